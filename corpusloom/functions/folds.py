@@ -14,40 +14,35 @@ def fold_emit(
     items: Column,
     state: Column,
     step: Callable[[Column, Column], tuple[Column, Column]],
-    state_type: str,
     out_type: str,
     width: int = FOLD_WIDTH,
 ) -> Column:
     """Fold ``items`` and return ``struct(state, out)``.
 
-    ``step(state, item)`` gives the next state and one element to put out (null for none). Appending to an
-    array copies it, so the fold works on slices of ``width`` items and appends whole slices: the cost stays
-    near linear for arrays of millions of items.
+    ``step(state, item)`` gives the next state (of exactly the same type) and one element to put out, null
+    for none. Appending to an array copies it, so the fold works on slices of ``width`` items and appends
+    whole slices: the cost stays near linear for arrays of millions of items. No casts inside the fold: a cast
+    of an array would copy it at every step.
     """
-    inner_type = f"struct<state:{state_type},out:array<{out_type}>>"
-    outer_type = f"struct<state:{state_type},out:array<array<{out_type}>>>"
+
+    def pair(state: Column, out: Column) -> Column:
+        return F.struct(state.alias("state"), out.alias("out"))
+
+    none = F.array().cast(f"array<{out_type}>")
+    no_slices = F.array().cast(f"array<array<{out_type}>>")
 
     def push(acc: Column, item: Column) -> Column:
         after, emitted = step(acc["state"], item)
-        out = F.when(emitted.isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(emitted)))
-        return F.struct(after.alias("state"), out.alias("out")).cast(inner_type)
+        return pair(after, F.when(emitted.isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(emitted))))
 
     def push_slice(acc: Column, number: Column) -> Column:
-        empty = F.struct(acc["state"].alias("state"), F.array().alias("out")).cast(inner_type)
-        part = F.aggregate(F.slice(items, number * width + 1, F.lit(width)), empty, push)
+        part = F.aggregate(F.slice(items, number * width + 1, F.lit(width)), pair(acc["state"], none), push)
         # transform over a one-element array keeps the inner fold from being evaluated twice
         return F.transform(
-            F.array(part),
-            lambda p: F.struct(
-                p["state"].alias("state"), F.concat(acc["out"], F.array(p["out"])).alias("out")
-            ).cast(outer_type),
+            F.array(part), lambda p: pair(p["state"], F.concat(acc["out"], F.array(p["out"])))
         )[0]
 
-    start = F.struct(state.alias("state"), F.array().alias("out")).cast(outer_type)
     slices = F.sequence(F.lit(0), F.floor(F.greatest(F.size(items) - 1, F.lit(0)) / width).cast("int"))
-    folded = F.aggregate(slices, start, push_slice)
-    # one evaluation of the fold, again
-    return F.transform(
-        F.array(folded),
-        lambda r: F.struct(r["state"].alias("state"), F.flatten(r["out"]).alias("out")),
-    )[0]
+    return F.aggregate(
+        slices, pair(state, no_slices), push_slice, lambda r: pair(r["state"], F.flatten(r["out"]))
+    )

@@ -73,15 +73,40 @@ def detect_lang(value: Column | str, default: str = "en") -> Column:
     return F.when(col_of(value).rlike(CJK_RANGE), F.lit("zh")).otherwise(F.lit(default))
 
 
+def _char_class(marks: str) -> str:
+    return "".join("\\" + m if m in "\\]^-[&" else m for m in marks)
+
+
+def _without_blank_tail(value: Column, marks: str) -> Column:
+    """A piece with a mark is never blank, so only what follows the last mark can be."""
+    text = F.coalesce(value, F.lit(""))
+    kept = F.rtrim(text, F.lit(WHITESPACE))
+    ends = F.lit(marks).contains(F.right(kept, F.lit(1)))  # true for empty text as well
+    return F.when(ends, kept).otherwise(text)
+
+
 def split_sentences(value: Column | str, marks: str = SENTENCE_MARKS) -> Column:
     """Pieces that end with a mark, in order; the mark stays and blank pieces go."""
-    pattern = f"[^{marks}]*[{marks}]|[^{marks}]+"
-    pieces = F.regexp_extract_all(F.coalesce(col_of(value), F.lit("")), F.lit(pattern), F.lit(0))
-    return F.filter(pieces, lambda p: F.length(strip(p)) > 0)
+    chars = _char_class(marks)
+    pattern = f"[^{chars}]*[{chars}]|[^{chars}]+"
+    return F.regexp_extract_all(_without_blank_tail(col_of(value), marks), F.lit(pattern), F.lit(0))
+
+
+def split_and_pack(value: Column | str, limit: int = 100, marks: str = SENTENCE_MARKS) -> Column:
+    """``pack_segments(split_sentences(text))`` in one pass of one expression.
+
+    The longest run of whole pieces below the limit is the longest run of fewer than ``limit`` characters
+    that ends with a mark or with the text; where there is none, the next piece is a long one.
+    """
+    if limit < 2:
+        return split_sentences(value, marks)
+    chars = _char_class(marks)
+    pattern = rf"(?s).{{0,{limit - 2}}}(?:[{chars}]|.\z)|[^{chars}]+[{chars}]?"
+    return F.regexp_extract_all(_without_blank_tail(col_of(value), marks), F.lit(pattern), F.lit(0))
 
 
 def pack_segments(pieces: Column | str, limit: int = 100) -> Column:
-    """Join neighbouring pieces while the result stays below ``limit`` characters.
+    """Join neighbouring pieces of an array while the result stays below ``limit`` characters.
 
     A piece that is longer than the limit stays whole. The fold is local to the row.
     """
@@ -91,10 +116,11 @@ def pack_segments(pieces: Column | str, limit: int = 100) -> Column:
         flushed = F.when(~fits & (F.length(held) > 0), held)
         return F.when(fits, F.concat(held, piece)).otherwise(piece), flushed
 
-    folded = fold_emit(col_of(pieces), F.lit(""), step, "string", "string")
-    return F.when(F.length(folded["state"]) > 0, F.concat(folded["out"], F.array(folded["state"]))).otherwise(
-        folded["out"]
-    )
+    folded = fold_emit(col_of(pieces), F.lit(""), step, "string")
+    return F.transform(
+        F.array(folded),
+        lambda f: F.when(F.length(f["state"]) > 0, F.concat(f["out"], F.array(f["state"]))).otherwise(f["out"]),
+    )[0]
 
 
 def suffix_of(path: Column | str) -> Column:

@@ -72,14 +72,13 @@ def reply_metrics(
     pattern: str = TOKEN_PATTERN,
 ) -> DataFrame:
     """Elapsed seconds and token count of every reply; a reply without text has 0 tokens."""
-    timed = chunks.groupBy(*keys).agg(
-        (F.max(ts).cast("double") - F.min(ts).cast("double")).alias("elapsed"),
-        F.count(F.lit(1)).alias("n_chunks"),
+    counted = chunks.withColumn("_one", F.lit(1).cast("long"))
+    also = {"_from": ("min", ts), "_to": ("max", ts), "n_chunks": ("sum", "_one")}
+    joined = ordered_concat(counted, keys, index, content, "_text", also=also)
+    elapsed = F.col("_to").cast("double") - F.col("_from").cast("double")
+    return joined.select(
+        *keys, elapsed.alias("elapsed"), "n_chunks", count_tokens(strip("_text"), pattern).alias("n_tokens")
     )
-    texts = assemble_text(chunks, keys, index, content).select(
-        *keys, F.coalesce(count_tokens("text", pattern), F.lit(0)).alias("n_tokens")
-    )
-    return timed.join(texts, list(keys))
 
 
 def mark_budget(
@@ -216,27 +215,29 @@ def rechunk(
     A piece keeps the index of its first chunk. Streams are folded in blocks of index values. What a block
     does to the characters held back before it depends only on how many they are (0 to ``min_len - 1``), so
     each block is first reduced to that small table, the tables are chained per stream, and then all blocks
-    run on their own. ``bounded=True`` says that every stream is known to fit in one block.
+    run on their own. Stream keys must not be null. ``bounded=True`` says that every stream is known to fit in one block.
     """
     used = chunks.filter(F.col(content) != "")
     block = F.lit(0).cast("long") if bounded else F.floor(F.col(index) / F.lit(block_rows))
     blocks = (
         used.withColumn("_block", block)
         .groupBy(*keys, "_block")
-        .agg(F.array_sort(F.collect_list(F.struct(F.col(index).cast("long").alias("i"), F.col(content).alias("c")))).alias("_items"))
+        .agg(F.sort_array(F.collect_list(F.struct(F.col(index).cast("long").alias("i"), F.col(content).alias("c")))).alias("_items"))
     )
     if bounded:
         entered = blocks.withColumn("_entry", _open_piece(F.lit(0), F.lit(None)))
     else:
-        entered = blocks.join(_block_entries(blocks, keys, min_len), [*keys, "_block"], "left").withColumn(
+        # only streams that reach a second block need chaining; on a stored table this filter is pushed down
+        long = used.filter(F.col(index) >= block_rows).select(*keys).distinct()
+        entries = _block_entries(blocks.join(long, list(keys), "left_semi"), keys, min_len)
+        entered = blocks.join(entries, [*keys, "_block"], "left").withColumn(
             "_entry", F.coalesce("_entry", _open_piece(F.lit(0), F.lit(None)))
         )
 
-    state_type = "struct<n:int,start:bigint,text:string>"
     piece_type = "struct<start:bigint,text:string>"
-    first = F.struct(
-        F.col("_entry.n").alias("n"), F.col("_entry.start").alias("start"), F.lit("").alias("text")
-    ).cast(state_type)
+
+    def held_back(n: Column, start: Column, text: Column) -> Column:
+        return F.struct(n.alias("n"), start.alias("start"), text.alias("text"))
 
     def step(held: Column, item: Column) -> tuple[Column, Column]:
         n = held["n"] + F.length(item["c"])
@@ -244,10 +245,11 @@ def rechunk(
         text = F.concat(held["text"], item["c"])
         full = n >= min_len
         piece = F.when(full, F.struct(start.alias("start"), text.alias("text")))
-        emptied = F.struct(F.lit(0), F.lit(None).cast("long"), F.lit("")).cast(state_type)
-        return F.when(full, emptied).otherwise(F.struct(n, start, text).cast(state_type)), piece
+        emptied = held_back(F.lit(0), F.lit(None).cast("long"), F.lit(""))
+        return F.when(full, emptied).otherwise(held_back(n, start, text)), piece
 
-    folded = fold_emit(F.col("_items"), first, step, state_type, piece_type)
+    first = held_back(F.col("_entry.n"), F.col("_entry.start"), F.lit(""))
+    folded = fold_emit(F.col("_items"), first, step, piece_type)
     out = entered.select(*keys, "_block", folded.alias("_f"))
     left = F.col("_f.state")
     tail = F.when(
@@ -269,12 +271,11 @@ def rechunk(
 
 
 def _open_piece(n: Column, start: Column) -> Column:
-    return F.struct(n.alias("n"), start.alias("start")).cast("struct<n:int,start:bigint>")
+    return F.struct(n.cast("int").alias("n"), start.cast("long").alias("start"))
 
 
 def _block_entries(blocks: DataFrame, keys: Sequence[str], min_len: int) -> DataFrame:
     """How many characters are held back when each later block of a stream begins, and since which chunk."""
-    state = "struct<n:int,start:bigint>"
 
     def run_through(n_before: Column) -> Column:
         # a null start on leaving means that the piece was already open on entering
@@ -288,7 +289,7 @@ def _block_entries(blocks: DataFrame, keys: Sequence[str], min_len: int) -> Data
     table = F.transform(F.sequence(F.lit(0), F.lit(min_len - 1)), run_through)
     tables = blocks.select(*keys, "_block", table.alias("_table"))
     chained = tables.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct(F.col("_block").alias("b"), F.col("_table").alias("t")))).alias("_t")
+        F.sort_array(F.collect_list(F.struct(F.col("_block").alias("b"), F.col("_table").alias("t")))).alias("_t")
     ).filter(F.size("_t") > 1)
 
     def chain(held: Column, entry: Column) -> tuple[Column, Column]:
@@ -297,9 +298,8 @@ def _block_entries(blocks: DataFrame, keys: Sequence[str], min_len: int) -> Data
         emitted = F.struct(entry["b"].alias("b"), held["n"].alias("n"), held["start"].alias("start"))
         return _open_piece(leaving["n"], start), emitted
 
-    entries = fold_emit(
-        F.col("_t"), _open_piece(F.lit(0), F.lit(None)), chain, state, "struct<b:bigint,n:int,start:bigint>"
-    )["out"]
+    nothing = _open_piece(F.lit(0), F.lit(None))
+    entries = fold_emit(F.col("_t"), nothing, chain, "struct<b:bigint,n:int,start:bigint>")["out"]
     return (
         chained.select(*keys, F.explode(entries).alias("_e"))
         .filter("_e.n > 0")

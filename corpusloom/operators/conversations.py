@@ -57,20 +57,26 @@ def attach_system_prompt(
     The template follows the language of the first user message. One aggregation finds what a conversation
     needs, so no row is joined and a long conversation is combined before the shuffle.
     """
+    if default_lang not in templates:
+        raise ValueError(f"no template for the default language {default_lang}")
+    # Only flags and numbers are aggregated, never texts: the aggregation stays in fixed-width hash buffers.
+    langs = list(templates)
+    lang = detect_lang(text, default_lang)
+    number = F.lit(langs.index(default_lang))
+    for i, name in enumerate(langs):
+        number = F.when(lang == name, F.lit(i)).otherwise(number)
     user_turn = F.when(_is(role, "user"), F.col(turn))
     carried = [F.min(c).alias(c) for c in (SEGMENT, RUN) if c in conv.columns]
     heads = (
         conv.groupBy(*keys)
         .agg(
-            F.min_by(role, turn).alias("_first_role"),
-            F.min_by(text, user_turn).alias("_first_user"),
-            F.count(user_turn).alias("_users"),
+            F.min_by(_is(role, "system"), turn).alias("_led"),
+            F.min_by(number, user_turn).alias("_lang"),
             *carried,
         )
-        .filter((F.col("_users") > 0) & ~_is("_first_role", "system"))
+        .filter(F.col("_lang").isNotNull() & ~F.col("_led"))
     )
-    lang = detect_lang("_first_user", default_lang)
-    prompt = _by_key(lang, templates, F.lit(templates[default_lang]))
+    prompt = F.element_at(F.array(*[F.lit(templates[name]) for name in langs]), F.col("_lang") + 1)
     rows = heads.select(
         *keys,
         F.lit(SYSTEM_TURN).cast(conv.schema[turn].dataType).alias(turn),
@@ -212,7 +218,9 @@ def prompt_at_turn(
 
     Messages are numbered inside their history. The prompt at number ``p`` holds the messages ``lo..p``, so
     it is an interval join; both sides are cut into blocks of numbers, which makes it an equality join that
-    pairs a prompt only with the blocks it touches, also within a very long conversation.
+    pairs a prompt only with the blocks it touches. Where no conversation is split into runs, numbering, join
+    and grouping all use the one partitioning by conversation (see ``session.SETTINGS``), so the repeated
+    texts of overlapping prompts are never shuffled; with runs the blocks spread a long conversation.
     """
     history = [*keys, SEGMENT] if SEGMENT in conv.columns else list(keys)
     system = _is(role, "system")
@@ -244,6 +252,9 @@ def prompt_at_turn(
     )
     messages = numbered.select(*history, "_pos", "_line", F.floor(F.col("_pos") / width).alias("_block"))
     pairs = prompts.join(messages, [*history, "_block"]).filter("_pos between _lo and _p")
-    joined = ordered_concat(pairs, [*history, turn, "_lead"], "_pos", "_line", "_body")
-    prompt = F.concat(F.coalesce("_lead", F.lit("")), "_body", F.lit(suffix))
-    return joined.select(*history, turn, prompt.alias("prompt"))
+    # the system message goes in front of the first line; a role without a tag has no line
+    lead = F.when(F.col("_pos") == F.col("_lo"), F.coalesce("_lead", F.lit(""))).otherwise(F.lit(""))
+    lines = pairs.withColumn("_line", F.concat(lead, F.coalesce("_line", F.lit(""))))
+    # one prompt is one value, so its lines fit together; no second step over blocks is needed
+    joined = ordered_concat(lines, [*history, turn], "_pos", "_line", "prompt", bounded=True)
+    return joined.select(*history, turn, F.concat("prompt", F.lit(suffix)).alias("prompt"))

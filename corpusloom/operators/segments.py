@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.text import (
     col_of,
-    pack_segments,
     segment_name,
     short_id,
+    split_and_pack,
     split_sentences,
     stamp,
     strip,
@@ -29,8 +29,7 @@ def sentences(df: DataFrame, text: str = "text", index: str = "piece_no", piece:
 def segments(df: DataFrame, text: str = "text", limit: int = SEGMENT_LIMIT, index: str = "seg_no") -> DataFrame:
     """One row per packed segment, numbered from 0. Local to each input row: nothing is shuffled."""
     others = [c for c in df.columns if c != text]
-    packed = pack_segments(split_sentences(text), limit)
-    return df.select(*others, F.posexplode(packed).alias(index, text))
+    return df.select(*others, F.posexplode(split_and_pack(text, limit)).alias(index, text))
 
 
 def segment_ids(

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.arrays import attention_mask, mask_labels, pad_fallback, pad_truncate
 from corpusloom.functions.text import TOKEN_PATTERN, tokens
-from corpusloom.plans.lookup import lookup
+from corpusloom.plans.lookup import MAX_INLINE_ROWS, inline_table, look_up, lookup
 
 PAD, EOS, UNK = "<pad>", "</s>", "<unk>"
 SPECIALS = (PAD, EOS, UNK)
@@ -60,18 +60,25 @@ def encode(
     keys: Sequence[str] = ("doc_id",),
     text: str = "text",
     pattern: str = TOKEN_PATTERN,
+    max_inline: int = MAX_INLINE_ROWS,
 ) -> DataFrame:
     """``(keys, input_ids)``: ids of the first ``max_len`` tokens; an empty text has no ids.
 
-    Tokens past the limit are cut before the lookup. All tokens of a row sit in one task, so its ids are
-    collected there before one short row per text is shuffled.
+    Tokens past the limit are cut before the lookup. With a vocabulary of up to ``max_inline`` tokens the
+    work is local to each row. Beyond that the tokens are joined with it; ``keys`` must then identify a row.
+    ``vocab`` should be a stored table.
     """
     cut = F.slice(tokens(text, pattern), 1, max_len)
+    table = inline_table(vocab, "token", "token_id", max_inline)
+    if table is not None:
+        held = df.select(*keys, text, table.alias("_table"))
+        ids = F.transform(cut, lambda t: F.coalesce(look_up(F.col("_table"), t), F.lit(unk_id)))
+        return held.select(*keys, ids.alias("input_ids"))
     long = df.select(*keys, F.posexplode_outer(cut).alias("_pos", "_token"))
     words = vocab.select(F.col("token").alias("_vocab_token"), F.col("token_id").alias("_id"))
     found = lookup(long, words, F.col("_token") == F.col("_vocab_token"))
     pair = F.when(F.col("_pos").isNotNull(), F.struct("_pos", F.coalesce("_id", F.lit(unk_id)).alias("_id")))
-    listed = found.groupBy(*keys).agg(F.array_sort(F.collect_list(pair)).alias("_pairs"))
+    listed = found.groupBy(*keys).agg(F.sort_array(F.collect_list(pair)).alias("_pairs"))
     return listed.select(*keys, F.transform("_pairs", lambda p: p["_id"]).alias("input_ids"))
 
 
@@ -91,15 +98,20 @@ def decode(
     df: DataFrame,
     vocab: DataFrame,
     keys: Sequence[str] = ("doc_id",),
-    ids: Column | str = "input_ids",
+    ids: str = "input_ids",
     skip_special: bool = True,
+    max_inline: int = MAX_INLINE_ROWS,
 ) -> DataFrame:
-    """``(keys, text)``: tokens of the ids joined again; special tokens are dropped."""
-    ids_col = F.col(ids) if isinstance(ids, str) else ids
-    long = df.select(*keys, F.posexplode_outer(ids_col).alias("_pos", "_id"))
-    words = vocab.select(F.col("token_id").alias("_vocab_id"), F.col("token").alias("_word"), "is_special")
-    found = lookup(long, words, F.col("_id") == F.col("_vocab_id"))
-    if skip_special:
-        found = found.withColumn("_word", F.when(~F.col("is_special"), F.col("_word")))
-    joined = found.groupBy(*keys).agg(F.expr("listagg(_word, '') within group (order by _pos)").alias("text"))
+    """``(keys, text)``: tokens of the ids joined again; special tokens are dropped. Sizes as in ``encode``."""
+    shown = vocab.filter(~F.col("is_special")) if skip_special else vocab
+    words = shown.select("token_id", "token")
+    table = inline_table(words, "token_id", "token", max_inline)
+    if table is not None:
+        kind = vocab.schema["token_id"].dataType
+        held = df.select(*keys, ids, table.alias("_table"))
+        found = F.transform(ids, lambda i: look_up(F.col("_table"), i.cast(kind)))
+        return held.select(*keys, F.coalesce(F.array_join(found, ""), F.lit("")).alias("text"))
+    long = df.select(*keys, F.posexplode_outer(ids).alias("_pos", "_id"))
+    found = lookup(long, words, F.col("_id") == F.col("token_id"))
+    joined = found.groupBy(*keys).agg(F.expr("listagg(token, '') within group (order by _pos)").alias("text"))
     return joined.withColumn("text", F.coalesce("text", F.lit("")))

@@ -8,14 +8,16 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings that are safe on any cluster: adaptive plans, UTC clocks, Arrow for the few Python operators,
-# and room for more groups in the hash based collect before it falls back to sorting.
+# Settings that are safe on any cluster: adaptive plans, UTC clocks, Arrow for the few Python operators, room
+# for more groups in the hash based collect before it falls back to sorting, and joins that may use a
+# partitioning by some of their keys (rows that windows have brought together by conversation stay there).
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
 }
 

@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from conftest import bag_of, rows_of
+from conftest import SF, bag_of, rows_of
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -25,11 +25,12 @@ from corpusloom.operators.conversations import (
     trim_history,
 )
 from corpusloom.operators.sessions import idle_sessions
-from corpusloom.operators.tokens import encode
+from corpusloom.operators.tokens import build_vocab, decode, encode
 from corpusloom.plans.lookup import lookup
 from corpusloom.plans.ordered import RUN, with_runs, without_runs
 from corpusloom.plans.prompts import conversation_prompts
 from corpusloom.plans.text import ordered_concat
+from corpusloom.session import materialize
 
 CHUNK = "stream_id string, chunk_idx int, at bigint, content string"
 CONV = "conv_id bigint, turn bigint, role string, text string"
@@ -188,8 +189,19 @@ def test_lookup_beyond_the_broadcast_size(spark, frame):
     assert bag_of(lookup(big, table, on)) == bag_of(lookup(big, table, on, max_rows=2))
 
 
-def test_encode_keeps_long_and_empty_rows(frame):
-    vocab = frame([("<unk>", 0), ("a", 1)], "token string, token_id int")
+@pytest.mark.parametrize("max_inline", [0, 100])
+def test_encode_keeps_long_and_empty_rows(frame, max_inline):
+    vocab = frame([("<unk>", 0, True), ("a", 1, False)], "token string, token_id int, is_special boolean")
     df = frame([(1, "a " * 500), (2, None)], "doc_id int, text string")
-    ids = dict(rows_of(encode(df, vocab, 300, 0, pattern=r"\w+"), "doc_id", "input_ids"))
-    assert ids == {1: [1] * 300, 2: []}
+    encoded = encode(df, vocab, 300, 0, pattern=r"\w+", max_inline=max_inline)
+    assert dict(rows_of(encoded, "doc_id", "input_ids")) == {1: [1] * 300, 2: []}
+    assert dict(rows_of(decode(encoded, vocab, max_inline=max_inline), "doc_id", "text")) == {1: "a" * 300, 2: ""}
+
+
+def test_inline_and_joined_lookups_agree(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    vocab = materialize(build_vocab(docs, 700), "vocab")
+    local, joined = (encode(docs, vocab, 50, 2, max_inline=n) for n in (1000, 10))
+    assert "Exchange" not in local._jdf.queryExecution().optimizedPlan().toString()
+    assert bag_of(local) == bag_of(joined)
+    assert bag_of(decode(local, vocab, max_inline=1000)) == bag_of(decode(local, vocab, max_inline=10))

@@ -1,5 +1,7 @@
 """Hand-worked cases for the scalar functions."""
 
+import re
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -23,6 +25,7 @@ from corpusloom.functions.text import (
     fill_template,
     normalize_command,
     pack_segments,
+    split_and_pack,
     split_sentences,
     strip,
     strip_think_text,
@@ -93,6 +96,17 @@ def test_pack_segments_matches_a_loop(frame, lists):
         assert "".join(got[i]) == "".join(pieces)
 
 
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text("ab \n!。;\u3000🌙", max_size=120), min_size=1, max_size=8), st.sampled_from([1, 2, 5, 12, 30]))
+def test_split_and_pack_is_split_then_pack(frame, texts, limit):
+    df = frame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    rows = df.select("i", split_sentences("t").alias("p"), split_and_pack("t", limit).alias("s")).collect()
+    for r in rows:
+        loop = [p for p in re.findall("[^!。;]*[!。;]|[^!。;]+", texts[r["i"]]) if p.strip()]
+        assert r["p"] == loop
+        assert r["s"] == greedy(loop, limit)
+
+
 def test_strip(frame):
     assert value(frame, normalize_command, "\t Clear \n") == "clear"
     padded = WHITESPACE + "a b" + WHITESPACE
