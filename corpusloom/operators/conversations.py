@@ -43,6 +43,22 @@ def message_line(
     return F.concat(tag, F.lit("\n"), F.coalesce(F.col(text), F.lit("")), F.lit("\n\n"))
 
 
+def _template_number(text: str, templates: Mapping[str, str], default_lang: str) -> Column:
+    """Which template a text asks for, as a number: small enough for hash aggregation and windows."""
+    if default_lang not in templates:
+        raise ValueError(f"no template for the default language {default_lang}")
+    langs = list(templates)
+    lang = detect_lang(text, default_lang)
+    number = F.lit(langs.index(default_lang))
+    for i, name in enumerate(langs):
+        number = F.when(lang == name, F.lit(i)).otherwise(number)
+    return number
+
+
+def _template(number: Column, templates: Mapping[str, str]) -> Column:
+    return F.element_at(F.array(*[F.lit(t) for t in templates.values()]), number + 1)
+
+
 def attach_system_prompt(
     conv: DataFrame,
     templates: Mapping[str, str],
@@ -57,14 +73,8 @@ def attach_system_prompt(
     The template follows the language of the first user message. One aggregation finds what a conversation
     needs, so no row is joined and a long conversation is combined before the shuffle.
     """
-    if default_lang not in templates:
-        raise ValueError(f"no template for the default language {default_lang}")
     # Only flags and numbers are aggregated, never texts: the aggregation stays in fixed-width hash buffers.
-    langs = list(templates)
-    lang = detect_lang(text, default_lang)
-    number = F.lit(langs.index(default_lang))
-    for i, name in enumerate(langs):
-        number = F.when(lang == name, F.lit(i)).otherwise(number)
+    number = _template_number(text, templates, default_lang)
     user_turn = F.when(_is(role, "user"), F.col(turn))
     carried = [F.min(c).alias(c) for c in (SEGMENT, RUN) if c in conv.columns]
     heads = (
@@ -76,7 +86,7 @@ def attach_system_prompt(
         )
         .filter(F.col("_lang").isNotNull() & ~F.col("_led"))
     )
-    prompt = F.element_at(F.array(*[F.lit(templates[name]) for name in langs]), F.col("_lang") + 1)
+    prompt = _template(F.col("_lang"), templates)
     rows = heads.select(
         *keys,
         F.lit(SYSTEM_TURN).cast(conv.schema[turn].dataType).alias(turn),
@@ -157,23 +167,21 @@ def segment_on_reset(
 ) -> DataFrame:
     """``mark_segments`` where every later segment also begins with the first system message.
 
-    Later system messages are not part of a history and are left out.
+    Later system messages are not part of a history and are left out. A reset command turns into the copy of
+    the system message that begins its segment, so every row becomes at most one row.
     """
-    marked = mark_segments(conv, commands, keys, (turn,), role, text)
-    talk = marked.filter(~_is(role, "system"))
-    system_order = F.when(_is(role, "system"), F.col(turn))
-    row = F.struct(*[F.col(c) for c in conv.columns])
-    copies = (
-        marked.groupBy(*keys)
-        .agg(
-            F.min_by(row, system_order).alias("_row"),
-            F.min_by(SEGMENT, system_order).alias("_from"),
-            F.max(SEGMENT).alias("_to"),
-        )
-        .filter(F.col("_from").isNotNull())
-        .select("_row.*", F.explode(F.sequence("_from", "_to")).alias(SEGMENT))
+    reset = is_command(text, commands) & _is(role, "user")
+    system = _is(role, "system")
+    flagged = conv.withColumns({"_reset": reset.cast("long"), "_system": system})
+    columns = [c for c in conv.columns if c != turn]
+    row = F.when(system, F.struct(turn, *columns))
+    marked = running(flagged, keys, (turn,), **{SEGMENT: total(F.col("_reset")), "_lead": smallest(row)})
+    begins = F.col("_reset") == 1
+    kept = F.when(begins, F.col("_lead").isNotNull()).otherwise(
+        ~F.col("_system") | (F.col(turn) == F.col(f"_lead.{turn}"))
     )
-    return talk.unionByName(copies)
+    out = [F.when(begins, F.col(f"_lead.{c}")).otherwise(F.col(c)).alias(c) if c not in keys and c != RUN else F.col(c) for c in conv.columns]
+    return marked.filter(kept).select(*out, SEGMENT)
 
 
 def trim_history(
@@ -210,11 +218,14 @@ def prompt_at_turn(
     turn: str = "turn",
     role: str = "role",
     text: str = "text",
+    templates: Mapping[str, str] | None = None,
+    default_lang: str = "en",
 ) -> DataFrame:
     """The rendered prompt each user message is answered from.
 
     With a ``segment`` column (``mark_segments``) histories start anew in every segment, only the first
-    system message of the conversation stays.
+    system message of the conversation stays. With ``templates`` a conversation that does not begin with a
+    system message is led by one, as after ``attach_system_prompt`` but without another pass over the table.
 
     Messages are numbered inside their history. The prompt at number ``p`` holds the messages ``lo..p``, so
     it is an interval join; both sides are cut into blocks of numbers, which makes it an equality join that
@@ -232,10 +243,19 @@ def prompt_at_turn(
         system.alias("_system"),
         _is(role, "user").alias("_user"),
         _is(role, "assistant").alias("_reply"),
+        *([] if templates is None else [_template_number(text, templates, default_lang).alias("_asked")]),
     )
-    with_system = running(
-        rows, keys, (turn,), _lead=smallest(F.when(F.col("_system"), F.struct(turn, "_line")))
-    )
+    first_system = smallest(F.when(F.col("_system"), F.struct(turn, "_line")))
+    if templates is None:
+        with_system = running(rows, keys, (turn,), _first=first_system).withColumn("_lead", F.col("_first._line"))
+    else:
+        asked = smallest(F.when(F.col("_user"), F.struct(turn, "_asked")))
+        marked = running(rows, keys, (turn,), _first=first_system, _asks=asked, _begin=smallest(F.col(turn)))
+        chosen = F.concat(
+            F.lit(f"{tags['system']}\n"), _template(F.col("_asks._asked"), templates), F.lit("\n\n")
+        )
+        led = F.col(f"_first.{turn}") == F.col("_begin")
+        with_system = marked.withColumn("_lead", F.when(led, F.col("_first._line")).otherwise(chosen))
     numbered = running(
         with_system.filter(~F.col("_system")), history, (turn,), _pos=total(F.lit(1).cast("long"))
     )
@@ -247,7 +267,7 @@ def prompt_at_turn(
     lowest = F.greatest(F.coalesce("_reply_pos", F.lit(0)) - 2 * max_rounds + 1, F.lit(1))
     prompts = (
         answered.filter("_user")
-        .select(*history, turn, F.col("_lead._line").alias("_lead"), F.col("_pos").alias("_p"), lowest.alias("_lo"))
+        .select(*history, turn, "_lead", F.col("_pos").alias("_p"), lowest.alias("_lo"))
         .withColumn("_block", F.explode(F.sequence(F.floor(F.col("_lo") / width), F.floor(F.col("_p") / width))))
     )
     messages = numbered.select(*history, "_pos", "_line", F.floor(F.col("_pos") / width).alias("_block"))

@@ -10,12 +10,11 @@ from corpusloom.operators.conversations import (
     EXIT_COMMANDS,
     MAX_ROUNDS,
     RESET_COMMANDS,
-    attach_system_prompt,
     cut_at_exit,
     mark_segments,
     prompt_at_turn,
 )
-from corpusloom.plans.ordered import with_runs
+from corpusloom.plans.ordered import MAX_ROWS_PER_KEY, with_runs
 
 
 def conversation_prompts(
@@ -26,10 +25,15 @@ def conversation_prompts(
     exits: Sequence[str] = EXIT_COMMANDS,
     keys: Sequence[str] = ("conv_id",),
     turn: str = "turn",
+    split_above: int | None = MAX_ROWS_PER_KEY,
 ) -> DataFrame:
-    """Exit, reset, system prompt, history window, rendering: one row per user message."""
-    conv = with_runs(conv, keys, (turn,))
+    """Exit, reset, system prompt, history window, rendering: one row per user message.
+
+    ``split_above`` is the number of rows from which one conversation is worked on in parts; null leaves out
+    the count that finds such conversations.
+    """
+    if split_above is not None:
+        conv = with_runs(conv, keys, (turn,), split_above)
     live = cut_at_exit(conv, exits, keys, (turn,))
     segmented = mark_segments(live, resets, keys, (turn,))
-    led = attach_system_prompt(segmented, templates, keys=keys, turn=turn)
-    return prompt_at_turn(led, max_rounds, keys=keys, turn=turn)
+    return prompt_at_turn(segmented, max_rounds, keys=keys, turn=turn, templates=templates)

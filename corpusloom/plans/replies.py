@@ -21,7 +21,7 @@ from corpusloom.operators.chunks import (
     take_until_sentinel,
 )
 from corpusloom.functions.text import THINK_CLOSE, THINK_OPEN
-from corpusloom.plans.ordered import with_runs, without_runs
+from corpusloom.plans.ordered import MAX_ROWS_PER_KEY, with_runs, without_runs
 from corpusloom.plans.text import BLOCK_ROWS
 
 
@@ -38,15 +38,21 @@ def filter_replies(
     index: str = "chunk_idx",
     content: str = "content",
     ts: str | None = None,
+    split_above: int | None = MAX_ROWS_PER_KEY,
 ) -> DataFrame:
     """Budget, hidden blocks, chunk size, repetition, sentinel: in this order.
 
     The budget counts all chunks, the repetition guard sees only the re-chunked text. After the budget a
-    stream has at most ``max_tokens`` chunks, so what follows needs no further splitting.
+    stream has at most ``max_tokens`` chunks, so what follows needs no further splitting. ``split_above`` is
+    the number of chunks from which one stream is worked on in parts; null leaves out the count that finds
+    such streams.
     """
-    chunks = with_runs(chunks, keys, (index,))
+    if max_tokens > BLOCK_ROWS:
+        raise ValueError(f"max_tokens must not exceed {BLOCK_ROWS}")
+    if split_above is not None:
+        chunks = with_runs(chunks, keys, (index,), split_above)
     within = without_runs(budget_guard(chunks, max_tokens, max_seconds, keys, (index,), ts))
     shown = suppress_think(within, open_tag, close_tag, keys, (index,), content)
-    pieces = rechunk(shown, min_len, keys, index, content, bounded=max_tokens <= BLOCK_ROWS)
+    pieces = rechunk(shown, min_len, keys, index, content, bounded=True)
     fresh = repetition_guard(pieces, window, keys, (index,), content)
     return take_until_sentinel(fresh, end, keys, (index,), content)

@@ -102,6 +102,7 @@ TALK_OPERATORS = {
     "system": lambda df: attach_system_prompt(df, {"en": "EN", "zh": "ZH"}),
     "prompts 1": lambda df: prompt_at_turn(df, 1),
     "prompts 4": lambda df: prompt_at_turn(mark_segments(df), 4),
+    "prompts with templates": lambda df: prompt_at_turn(mark_segments(df), 2, templates={"en": "EN", "zh": "ZH"}),
     "chain": lambda df: prompt_at_turn(attach_system_prompt(mark_segments(cut_at_exit(df)), {"en": "EN"}), 2),
 }
 
@@ -143,12 +144,18 @@ def simulated_prompts(rows, rounds):
     return sorted(out)
 
 
-@pytest.mark.parametrize("rounds", [1, 2, 10])
-def test_prompts_match_the_loop(talk, rounds):
-    got = conversation_prompts(talk, {"en": "EN", "zh": "ZH"}, rounds)
+@pytest.mark.parametrize("rounds, split_above", [(1, None), (2, 16), (10, 1000)])
+def test_prompts_match_the_loop(talk, rounds, split_above):
+    got = conversation_prompts(talk, {"en": "EN", "zh": "ZH"}, rounds, split_above=split_above)
     assert sorted(rows_of(got, "conv_id", "prompt", "segment", "turn")) == simulated_prompts([tuple(r) for r in talk.collect()], rounds)
 
 
+def test_templates_equal_an_attached_system_row(talk):
+    templates = {"en": "EN", "zh": "ZH"}
+    attached = prompt_at_turn(attach_system_prompt(mark_segments(talk), templates), 3)
+    assert bag_of(prompt_at_turn(mark_segments(talk), 3, templates=templates)) == bag_of(attached)
+
+
 def test_small_keys_are_left_alone(chunks):
     assert with_runs(chunks, ["stream_id"], ["chunk_idx"]) is chunks
 
