@@ -7,10 +7,10 @@ from checks.registry import (
     CHUNKS_SQL,
     EVENT_CHUNKS_SQL,
     MARKED_SQL,
+    documents,
     event_chunks,
     message_chunks,
     query,
-    table,
     with_markers,
 )
 from corpusloom.functions.text import TOKEN_PATTERN
@@ -51,7 +51,7 @@ def e2_assemble_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT doc_id, " + STRIP_SQL.format("text") + " AS text FROM documents")
 def e2_assemble_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir)
     return assemble_text(chunk_text(docs), keys=["doc_id"])
 
 
@@ -81,7 +81,7 @@ LINES_SQL = """lines AS (
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir)
     return chunk_text(docs, pattern="[^\n]*\n|[^\n]+", index="line_no")
 
 
@@ -192,7 +192,7 @@ SENTENCES_SQL = f"""list_filter(regexp_extract_all(text, '[^{MARKS}]*[{MARKS}]|[
 
 
 def _marked_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", F.replace("text", F.lit("."), F.lit("!")).alias("text"))
+    return documents(spark, sf_dir).withColumn("text", F.replace("text", F.lit("."), F.lit("!")))
 
 
 @query(

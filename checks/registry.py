@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.text import CHUNK_PATTERN
 from corpusloom.operators.chunks import chunk_text
+from corpusloom.plans.spread import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -28,6 +29,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and texts, for work that is heavy on every text."""
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+
+
 # --- derived tables: a Spark form and a SQL form of each -----------------------------------------------
 
 # every message cut into words: (stream_id, chunk_idx, content)

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.registry import query, table
+from checks.registry import documents, query, table
 from corpusloom.functions.arrays import attention_mask, last_n, mask_labels, pad_truncate
 from corpusloom.functions.text import TOKEN_PATTERN
 from corpusloom.operators.batching import batch_plan
@@ -40,16 +40,12 @@ IDS_SQL = f"list_concat(ids[1:{MAX_LEN}], list_transform(range(greatest({MAX_LEN
 MASK_SQL = f"list_transform(range({MAX_LEN}), lambda i: CASE WHEN i < len(ids) THEN 1 ELSE 0 END)"
 
 
-def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
-
-
 def _vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return materialize(build_vocab(_docs(spark, sf_dir), SIZE), "vocab")
+    return materialize(build_vocab(documents(spark, sf_dir), SIZE), "vocab")
 
 
 def _encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode(_docs(spark, sf_dir), _vocab(spark, sf_dir), MAX_LEN, 2)
+    return encode(documents(spark, sf_dir), _vocab(spark, sf_dir), MAX_LEN, 2)
 
 
 def _text(name: str):
@@ -58,7 +54,7 @@ def _text(name: str):
 
 @query(f"WITH {VOCAB_SQL} SELECT token, token_id, is_special, n FROM vocab")
 def i0_build_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_vocab(_docs(spark, sf_dir), SIZE)
+    return build_vocab(documents(spark, sf_dir), SIZE)
 
 
 @query(f"WITH {ENCODED_SQL} SELECT doc_id, array_to_string(ids, ',') AS input_ids FROM encoded")
@@ -127,7 +123,7 @@ def i6_pad_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def i7_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocab = _vocab(spark, sf_dir)
-    return decode(encode(_docs(spark, sf_dir), vocab, MAX_LEN, 2), vocab)
+    return decode(encode(documents(spark, sf_dir), vocab, MAX_LEN, 2), vocab)
 
 
 @query(

@@ -87,9 +87,8 @@ def _without_blank_tail(value: Column, marks: str) -> Column:
 
 def split_sentences(value: Column | str, marks: str = SENTENCE_MARKS) -> Column:
     """Pieces that end with a mark, in order; the mark stays and blank pieces go."""
-    chars = _char_class(marks)
-    pattern = f"[^{chars}]*[{chars}]|[^{chars}]+"
-    return F.regexp_extract_all(_without_blank_tail(col_of(value), marks), F.lit(pattern), F.lit(0))
+    pieces = F.split(_without_blank_tail(col_of(value), marks), f"(?<=[{_char_class(marks)}])")
+    return F.array_remove(pieces, "")
 
 
 def split_and_pack(value: Column | str, limit: int = 100, marks: str = SENTENCE_MARKS) -> Column:
@@ -100,8 +99,9 @@ def split_and_pack(value: Column | str, limit: int = 100, marks: str = SENTENCE_
     """
     if limit < 2:
         return split_sentences(value, marks)
-    chars = _char_class(marks)
-    pattern = rf"(?s).{{0,{limit - 2}}}(?:[{chars}]|.\z)|[^{chars}]+[{chars}]?"
+    # Looking back at the mark is several times faster here than matching a class that is not all ASCII.
+    ended = rf"(?:(?<=[{_char_class(marks)}])|\z)"
+    pattern = rf"(?s).{{1,{limit - 1}}}{ended}|.+?{ended}"
     return F.regexp_extract_all(_without_blank_tail(col_of(value), marks), F.lit(pattern), F.lit(0))
 
 
