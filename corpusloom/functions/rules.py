@@ -103,13 +103,19 @@ def model_family(architecture: Column | str, model_type: Column | str) -> Column
 
 
 def size_from_name(
-    name: Column | str, num_params: Column | str | None = None, tags: Sequence[tuple[str, float]] = SIZE_TAGS
+    name: Column | str,
+    num_params: Column | str | None = None,
+    tags: Sequence[tuple[str, float]] = SIZE_TAGS,
+    only_with: str = "",
 ) -> Column:
-    """The stated parameter count, else the one its size tag stands for, else 0."""
+    """The stated parameter count, else the one its size tag stands for, else 0.
+
+    ``only_with`` limits the tags to names that contain it.
+    """
     low = F.lower(F.coalesce(col_of(name), F.lit("")))
     by_tag = None
     for tag, count in tags:
-        hit = low.contains(tag)
+        hit = low.contains(tag) & low.contains(only_with)
         by_tag = F.when(hit, F.lit(count)) if by_tag is None else by_tag.when(hit, F.lit(count))
     by_tag = by_tag.otherwise(F.lit(0.0))
     if num_params is None:

@@ -58,7 +58,11 @@ def _same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
 def with_runs(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int = MAX_ROWS_PER_KEY
 ) -> DataFrame:
-    """Add a run number when a key holds more than ``max_rows`` rows; see the module text."""
+    """Add a run number when a key holds more than ``max_rows`` rows; see the module text.
+
+    Select the needed columns first: the rows of big keys are written once. ``order`` should tell the rows of
+    a key apart.
+    """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     rows, top = counts.agg(F.sum("_n"), F.max("_n")).first()
     limit = max(max_rows, (rows or 0) // MAX_HOT_KEYS)

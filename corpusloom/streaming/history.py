@@ -49,43 +49,45 @@ def stream_history(
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         next_turn, begun, lead, segment, ended, messages_json, waiting_json = state.get if state.exists else FRESH
-        messages, out = json.loads(messages_json), []
+        messages = json.loads(messages_json)
         waiting = {row[0]: row for row in json.loads(waiting_json)}
         for batch in batches:
+            out = []
             for turn, role, text in zip(batch["turn"], batch["role"], batch["text"]):
                 if turn >= next_turn and not ended:
                     waiting[int(turn)] = [int(turn), role, text or ""]
-        while not ended and next_turn in waiting:
-            turn, role, text = waiting.pop(next_turn)
-            next_turn += 1
-            command = text.strip().lower() if role == "user" else None
-            if command in exits:
-                ended = True
-                continue
-            if command in resets:
-                segment, messages = segment + 1, []
-                continue
-            begun = begun or role
-            if role == "system":
-                if begun == "system" and lead is None:
-                    lead = text
-                continue
-            if role == "user" and lead is None:
-                lead = templates["zh"] if CJK.search(text) and "zh" in templates else templates[default_lang]
-            messages.append([role, text])
-            if role == "assistant":
-                messages = messages[-2 * max_rounds :]
-            elif role == "user":
-                body = "".join(line(r, t) for r, t in [["system", lead], *messages])
-                out.append((segment, turn, body + suffix))
-        rest = [] if ended else sorted(waiting.values())
+            while not ended and next_turn in waiting:
+                turn, role, text = waiting.pop(next_turn)
+                next_turn += 1
+                command = text.strip().lower() if role == "user" else None
+                if command in exits:
+                    ended = True
+                    continue
+                if command in resets:
+                    segment, messages = segment + 1, []
+                    continue
+                begun = begun or role
+                if role == "system":
+                    if begun == "system" and lead is None:
+                        lead = text
+                    continue
+                if role == "user" and lead is None:
+                    lead = templates["zh"] if CJK.search(text) and "zh" in templates else templates[default_lang]
+                messages.append([role, text])
+                if role == "assistant":
+                    messages = messages[-2 * max_rounds :]
+                elif role == "user":
+                    body = "".join(line(r, t) for r, t in [["system", lead], *messages])
+                    out.append((segment, turn, body + suffix))
+            if out:
+                frame = pd.DataFrame(out, columns=["segment", "turn", "prompt"])
+                frame.insert(0, "conv_id", key[0])
+                yield frame
+        if ended:
+            messages, waiting = [], {}
         state.update(
-            (next_turn, begun, lead, segment, ended, "[]" if ended else json.dumps(messages), json.dumps(rest))
+            (next_turn, begun, lead, segment, ended, json.dumps(messages), json.dumps(sorted(waiting.values())))
         )
-        if out:
-            frame = pd.DataFrame(out, columns=["segment", "turn", "prompt"])
-            frame.insert(0, "conv_id", key[0])
-            yield frame
 
     return conv.groupBy("conv_id").applyInPandasWithState(
         run, out_schema, STATE, "append", GroupStateTimeout.NoTimeout

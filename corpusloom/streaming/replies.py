@@ -48,7 +48,9 @@ def stream_reply_filter(
         (next_idx, seen, first_at, hidden, held, start, recent_json, stopped, waiting_json) = (
             state.get if state.exists else FRESH
         )
-        recent, out = json.loads(recent_json), []
+        recent = json.loads(recent_json)
+        waiting = {row[0]: row for row in json.loads(waiting_json)}
+        out: list[tuple[int, str]] = []
 
         def emit(index: int, piece: str) -> bool:
             """Put the piece out; false when it repeats what came before or is the sentinel."""
@@ -63,18 +65,23 @@ def stream_reply_filter(
             out.append((index, piece))
             return True
 
+        def rows_out() -> pd.DataFrame:
+            frame = pd.DataFrame(out, columns=["chunk_idx", "content"])
+            frame.insert(0, "stream_id", key[0])
+            out.clear()
+            return frame
+
         if state.hasTimedOut:
             if held and not stopped:
                 emit(start, held)
             state.remove()
-        else:
-            waiting = {row[0]: row for row in json.loads(waiting_json)}
-            for batch in batches:
-                for index, at, content, last in zip(
-                    batch["chunk_idx"], batch["at"], batch["content"], batch["is_last"]
-                ):
-                    if index >= next_idx and not stopped:
-                        waiting[int(index)] = [int(index), None if pd.isna(at) else float(at), content, bool(last)]
+            if out:
+                yield rows_out()
+            return
+        for batch in batches:
+            for index, at, content, last in zip(batch["chunk_idx"], batch["at"], batch["content"], batch["is_last"]):
+                if index >= next_idx and not stopped:
+                    waiting[int(index)] = [int(index), None if pd.isna(at) else float(at), content, bool(last)]
             while not stopped and next_idx in waiting:
                 index, at, content, last = waiting.pop(next_idx)
                 next_idx += 1
@@ -99,16 +106,14 @@ def stream_reply_filter(
                     if held:
                         emit(start, held)
                     stopped, held = True, ""
-            rest = [] if stopped else sorted(waiting.values())
-            state.update(
-                (next_idx, seen, first_at, hidden, held, start, "[]" if stopped else json.dumps(recent), stopped, json.dumps(rest))
-            )
-            if idle_ms is not None:
-                state.setTimeoutDuration(idle_ms)
-        if out:
-            frame = pd.DataFrame(out, columns=["chunk_idx", "content"])
-            frame.insert(0, "stream_id", key[0])
-            yield frame
+            if out:
+                yield rows_out()
+        if stopped:
+            recent, waiting = [], {}
+        kept = (next_idx, seen, first_at, hidden, held, start, json.dumps(recent), stopped)
+        state.update((*kept, json.dumps(sorted(waiting.values()))))
+        if idle_ms is not None:
+            state.setTimeoutDuration(idle_ms)
 
     return chunks.groupBy("stream_id").applyInPandasWithState(
         run,

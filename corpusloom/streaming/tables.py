@@ -8,17 +8,17 @@ from pyspark.sql import types as T
 from corpusloom.session import scratch_path
 from corpusloom.sources.catalog import is_file
 
+FILES_PER_TRIGGER = 1000
+
 
 def read_stream(
-    spark: SparkSession, path: str, schema: T.StructType | str, max_files: int | None = None
+    spark: SparkSession, path: str, schema: T.StructType | str, max_files: int = FILES_PER_TRIGGER
 ) -> DataFrame:
     """Files of a folder as they arrive; ``max_files`` bounds what one trigger takes in.
 
     A stream reads folders, so for a table that is one file the folder is filtered by its name.
     """
-    reader = spark.readStream.schema(schema)
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
     if is_file(spark, path):
         path, name = path.rsplit("/", 1)
         reader = reader.option("pathGlobFilter", name)
