@@ -57,7 +57,7 @@ def e2_assemble_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""SELECT user_id AS stream_id, round(epoch(max(ts)) - epoch(min(ts)), 3) AS elapsed, count(*) AS n_chunks,
-        len(regexp_extract_all(string_agg(event_type || ' ', '' ORDER BY event_id).trim(), '{TOKEN_PATTERN}')) AS n_tokens
+        CAST(len(regexp_extract_all(string_agg(event_type || ' ', '' ORDER BY event_id).trim(), '{TOKEN_PATTERN}')) AS INTEGER) AS n_tokens
         FROM events GROUP BY user_id"""
 )
 def e3_reply_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +76,7 @@ def _repeat_sql(window: int, source: str, key: str, order: str) -> str:
 
 
 LINES_SQL = """lines AS (
-  SELECT doc_id, i AS line_no, ls[i + 1] AS content
+  SELECT doc_id, CAST(i AS INTEGER) AS line_no, ls[i + 1] AS content
   FROM (SELECT doc_id, ls, unnest(range(len(ls))) AS i FROM (SELECT doc_id, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS ls FROM documents)))"""
 
 

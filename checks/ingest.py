@@ -120,7 +120,7 @@ def a7_run_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.join(written.unionByName(planned), "stage", "left").select("position", "stage", "status", "rows_out")
 
 
-@query("SELECT doc_id, length(text) AS n FROM documents")
+@query("SELECT doc_id, CAST(length(text) AS INTEGER) AS n FROM documents")
 def b1_require_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = require_columns(table(spark, sf_dir, "documents"), ("doc_id", "text"))
     return docs.select("doc_id", F.length("text").alias("n"))

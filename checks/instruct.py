@@ -126,7 +126,7 @@ def h2_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", prefix("text", 50).alias("head"))
 
 
-@query("SELECT doc_id, text, length(text) AS n FROM documents")
+@query("SELECT doc_id, text, CAST(length(text) AS INTEGER) AS n FROM documents")
 def u1_map_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return map_rows(docs, lambda row: {"n": len(row["text"])}, "n int")

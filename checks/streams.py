@@ -42,4 +42,5 @@ def k3_stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     HAVING max(ts) + INTERVAL 600 SECOND <= (SELECT max(ts) FROM events) - INTERVAL 30 SECOND"""
 )
 def k4_stream_idle_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drain(stream_idle_sessions(_stream(spark, sf_dir, "events").select("user_id", "ts")), "sessions")
+    spans = drain(stream_idle_sessions(_stream(spark, sf_dir, "events").select("user_id", "ts")), "sessions")
+    return spans.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("first_ts", "last_ts")})

@@ -62,7 +62,7 @@ def i1_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _encoded(spark, sf_dir).select("doc_id", _text("input_ids"))
 
 
-@query(f"WITH {ENCODED_SQL} SELECT doc_id, pos, coalesce(token_id, 2) AS token_id FROM long LEFT JOIN vocab USING (token)")
+@query(f"WITH {ENCODED_SQL} SELECT doc_id, CAST(pos AS INTEGER) AS pos, coalesce(token_id, 2) AS token_id FROM long LEFT JOIN vocab USING (token)")
 def d2_vocab_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _encoded(spark, sf_dir).select("doc_id", F.posexplode("input_ids").alias("pos", "token_id"))
 
@@ -128,7 +128,7 @@ def i7_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """SELECT vec_id, array_to_string(list_transform(embedding[-4:], lambda x: CAST(round(CAST(x AS DOUBLE) * 1000) AS BIGINT)), ',') AS tail,
-       len(embedding) AS n FROM embeddings"""
+       CAST(len(embedding) AS INTEGER) AS n FROM embeddings"""
 )
 def i8_last_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     tail = F.transform(last_n("embedding", 4), lambda x: F.round(x.cast("double") * 1000).cast("long").cast("string"))
@@ -136,7 +136,7 @@ def i8_last_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT epoch, rn, rn // 2 AS micro_batch, rn // 32 AS step, doc_id FROM (
+    """SELECT CAST(epoch AS INTEGER) AS epoch, rn, rn // 2 AS micro_batch, rn // 32 AS step, doc_id FROM (
       SELECT epoch, doc_id, row_number() OVER (PARTITION BY epoch ORDER BY md5('42|' || epoch || '|' || doc_id), doc_id) - 1 AS rn
       FROM documents, (SELECT unnest(range(3)) AS epoch))"""
 )
