@@ -49,7 +49,7 @@ def g1_stale_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""WITH {ASSETS_SQL} SELECT event_id, path FROM assets
-        WHERE event_id % 3 < 2 AND epoch(TIMESTAMP '2024-01-20 00:00:00') - epoch(mtime) > 3600"""
+        WHERE lower(path) SIMILAR TO '.*\\.(wav|mp3)' AND epoch(TIMESTAMP '2024-01-20 00:00:00') - epoch(mtime) > 3600"""
 )
 def g2_expired(spark: SparkSession, sf_dir: str) -> DataFrame:
     now = F.lit("2024-01-20 00:00:00").cast("timestamp")

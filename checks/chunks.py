@@ -172,19 +172,29 @@ def h9_rechunk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rechunk(message_chunks(spark, sf_dir))
 
 
-FILTER_REPLIES_SQL = f"""WITH {MARKED_SQL},
-  within AS (SELECT * FROM marked WHERE chunk_idx < 200),
+def _filter_sql(max_tokens: int, window: int) -> str:
+    return f"""WITH {MARKED_SQL},
+  within AS (SELECT * EXCLUDE (n) FROM (
+    SELECT *, row_number() OVER (PARTITION BY stream_id ORDER BY chunk_idx) AS n FROM marked) WHERE n <= {max_tokens}),
   {_think_sql('within', 'stream_id', 'chunk_idx', '<think>', '</think>')},
   {_rechunk_sql('shown')},
-  {_repeat_sql(4, 'pieces', 'stream_id', 'chunk_idx')}
+  {_repeat_sql(window, 'pieces', 'stream_id', 'chunk_idx')}
   SELECT stream_id, chunk_idx, content FROM fresh"""
 
 
+FILTER_REPLIES_SQL = _filter_sql(200, 4)
+
+
 @query(FILTER_REPLIES_SQL)
-def filter_replies_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+def filter_replies_tight(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_replies(with_markers(message_chunks(spark, sf_dir)), max_tokens=200, window=4)
 
 
+@query(_filter_sql(20480, 32))
+def filter_replies_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_replies(with_markers(message_chunks(spark, sf_dir)))
+
+
 MARKS = "。！？!?;；"
 # the test texts end their sentences with a full stop, which is not a mark
 _MARKED_DOCS = "(SELECT doc_id, replace(text, '.', '!') AS text FROM documents)"

@@ -112,7 +112,7 @@ def a7_run_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
         ],
         out_path=out,
         vocab_size=5000,
-        max_len=128,
+        max_len=512,
     )
     log = run_stages(training_set_stages(spark, cfg)).report(spark).select("position", "stage", "status")
     written = spark.read.parquet(f"{out}/arrays").agg(F.count(F.lit(1)).alias("rows_out")).select(F.lit("arrays").alias("stage"), "rows_out")

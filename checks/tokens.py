@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.registry import documents, query, table
-from corpusloom.functions.arrays import attention_mask, last_n, mask_labels, pad_truncate
+from corpusloom.functions.arrays import CPU_MAX_LENGTH, attention_mask, last_n, mask_labels, pad_truncate
 from corpusloom.functions.text import TOKEN_PATTERN
 from corpusloom.operators.batching import batch_plan
 from corpusloom.operators.tokens import (
@@ -18,7 +18,8 @@ from corpusloom.operators.tokens import (
 from corpusloom.session import materialize
 
 SIZE = 3000
-MAX_LEN = 64
+MAX_LEN = CPU_MAX_LENGTH
+WHOLE = 2**30  # no text has that many tokens
 
 TOKENS_SQL = f"regexp_extract_all(text, '{TOKEN_PATTERN}')"
 VOCAB_SQL = f"""
@@ -29,13 +30,19 @@ vocab AS (
   SELECT token, CAST(row_number() OVER (ORDER BY n DESC, token) + 2 AS INTEGER), false, n
   FROM (SELECT token, count(*) AS n FROM (SELECT unnest({TOKENS_SQL}) AS token FROM documents)
         WHERE token NOT IN ('<pad>', '</s>', '<unk>') GROUP BY token ORDER BY n DESC, token LIMIT {SIZE}))"""
-ENCODED_SQL = f"""{VOCAB_SQL},
+
+
+def _encoded_sql(length: str) -> str:
+    return f"""{VOCAB_SQL},
 long AS (
   SELECT doc_id, i AS pos, ts[i + 1] AS token FROM (
-    SELECT doc_id, ts, unnest(range(len(ts))) AS i FROM (SELECT doc_id, {TOKENS_SQL}[1:{MAX_LEN}] AS ts FROM documents))),
+    SELECT doc_id, ts, unnest(range(len(ts))) AS i FROM (SELECT doc_id, {TOKENS_SQL}{length} AS ts FROM documents))),
 encoded AS (
   SELECT d.doc_id, coalesce(ids, CAST([] AS INTEGER[])) AS ids FROM documents d LEFT JOIN (
     SELECT doc_id, list(coalesce(token_id, 2) ORDER BY pos) AS ids FROM long LEFT JOIN vocab USING (token) GROUP BY doc_id) e USING (doc_id))"""
+
+
+ENCODED_SQL, WHOLE_SQL = _encoded_sql(f"[1:{MAX_LEN}]"), _encoded_sql("")
 IDS_SQL = f"list_concat(ids[1:{MAX_LEN}], list_transform(range(greatest({MAX_LEN} - len(ids), 0)), lambda i: 0))"
 MASK_SQL = f"list_transform(range({MAX_LEN}), lambda i: CASE WHEN i < len(ids) THEN 1 ELSE 0 END)"
 
@@ -44,8 +51,8 @@ def _vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(build_vocab(documents(spark, sf_dir), SIZE), "vocab")
 
 
-def _encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode(documents(spark, sf_dir), _vocab(spark, sf_dir), MAX_LEN, 2)
+def _encoded(spark: SparkSession, sf_dir: str, max_len: int = MAX_LEN) -> DataFrame:
+    return encode(documents(spark, sf_dir), _vocab(spark, sf_dir), max_len, 2)
 
 
 def _text(name: str):
@@ -57,14 +64,14 @@ def i0_build_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_vocab(documents(spark, sf_dir), SIZE)
 
 
-@query(f"WITH {ENCODED_SQL} SELECT doc_id, array_to_string(ids, ',') AS input_ids FROM encoded")
+@query(f"WITH {WHOLE_SQL} SELECT doc_id, array_to_string(ids, ',') AS input_ids FROM encoded")
 def i1_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _encoded(spark, sf_dir).select("doc_id", _text("input_ids"))
+    return _encoded(spark, sf_dir, WHOLE).select("doc_id", _text("input_ids"))
 
 
-@query(f"WITH {ENCODED_SQL} SELECT doc_id, CAST(pos AS INTEGER) AS pos, coalesce(token_id, 2) AS token_id FROM long LEFT JOIN vocab USING (token)")
+@query(f"WITH {WHOLE_SQL} SELECT doc_id, CAST(pos AS INTEGER) AS pos, coalesce(token_id, 2) AS token_id FROM long LEFT JOIN vocab USING (token)")
 def d2_vocab_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _encoded(spark, sf_dir).select("doc_id", F.posexplode("input_ids").alias("pos", "token_id"))
+    return _encoded(spark, sf_dir, WHOLE).select("doc_id", F.posexplode("input_ids").alias("pos", "token_id"))
 
 
 @query(f"WITH {ENCODED_SQL} SELECT doc_id, array_to_string({IDS_SQL}, ',') AS input_ids FROM encoded")
@@ -79,9 +86,9 @@ def i3_attention_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     return masked.select("doc_id", _text("attention_mask"))
 
 
-@query(f"WITH {ENCODED_SQL} SELECT doc_id, array_to_string(ids, ',') AS labels FROM encoded")
+@query(f"WITH {WHOLE_SQL} SELECT doc_id, array_to_string(ids, ',') AS labels FROM encoded")
 def i4_copy_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return copy_labels(_encoded(spark, sf_dir)).select("doc_id", _text("labels"))
+    return copy_labels(_encoded(spark, sf_dir, WHOLE)).select("doc_id", _text("labels"))
 
 
 @query(
@@ -116,14 +123,14 @@ def i6_pad_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {ENCODED_SQL}, words AS (
+    f"""WITH {WHOLE_SQL}, words AS (
       SELECT doc_id, string_agg(CASE WHEN coalesce(token_id, 2) > 2 THEN token ELSE '' END, '' ORDER BY pos) AS text
       FROM long LEFT JOIN vocab USING (token) GROUP BY doc_id)
     SELECT doc_id, coalesce(words.text, '') AS text FROM documents LEFT JOIN words USING (doc_id)"""
 )
 def i7_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocab = _vocab(spark, sf_dir)
-    return decode(encode(documents(spark, sf_dir), vocab, MAX_LEN, 2), vocab)
+    return decode(encode(documents(spark, sf_dir), vocab, WHOLE, 2), vocab)
 
 
 @query(
