@@ -231,7 +231,8 @@ def prompt_at_turn(
     it is an interval join; both sides are cut into blocks of numbers, which makes it an equality join that
     pairs a prompt only with the blocks it touches. Where no conversation is split into runs, numbering, join
     and grouping all use the one partitioning by conversation (see ``session.SETTINGS``), so the repeated
-    texts of overlapping prompts are never shuffled; with runs the blocks spread a long conversation.
+    texts of overlapping prompts are never shuffled; with runs the blocks spread a long conversation. Keys must
+    not be null.
     """
     history = [*keys, SEGMENT] if SEGMENT in conv.columns else list(keys)
     system = _is(role, "system")
