@@ -46,17 +46,16 @@ def settled_crc(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
 
 
-def prefix_sums(df: DataFrame, order: str, value: str, out: str) -> DataFrame:
-    """Add ``out``: the sum of ``value`` over all rows with a smaller ``order`` (unique longs from 0).
+def prefix_sums(df: DataFrame, order: str, value: str, out: str, block: Column | None = None) -> DataFrame:
+    """Add ``out``: the sum of ``value`` over all rows with a smaller ``order``.
 
     Two levels, so that no task sees more than a block of the table: sums of blocks first, then inside blocks.
+    ``block`` must not fall where ``order`` rises; by default it is a long from 0 cut into ranges.
     """
-    blocked = df.withColumn("_block", F.expr(f"{order} div {PREFIX_BLOCK}"))
+    blocked = df.withColumn("_block", F.expr(f"{order} div {PREFIX_BLOCK}") if block is None else block)
     sums = blocked.groupBy("_block").agg(F.sum(value).alias("_sum"))
     before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("_block", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"))
     inside = Window.partitionBy("_block").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     blocked = blocked.withColumn("_in", F.coalesce(F.sum(value).over(inside), F.lit(0)))
     return blocked.join(sums, "_block").withColumn(out, F.col("_base") + F.col("_in")).drop("_block", "_base", "_in")
-
-

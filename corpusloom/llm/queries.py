@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import contamination, neardup, rules, toxicity
+from corpusloom.llm import contamination, neardup, packing, records, rules, secrets_scan, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -100,3 +100,34 @@ def op5_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_clause_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op8_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets_scan.secret_spans(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        *[secrets_scan.n_of(name).alias(f"n_{name}") for name in secrets_scan.KINDS[:3]],
+        F.sha2(secrets_scan.base_spelled().cast("binary"), 256).alias("base_sha256"),
+        secrets_scan.all_spelled().alias("spans"),
+        F.size("owned").cast("long").alias("n_owned"),
+        "n_copied",
+    )
+
+
+def tokenizer_path() -> str:
+    """The public vocabulary file that the token queries use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op2_framed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return records.records_round_trip(docs, tokenizer_path()).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query
+def op4_local_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
