@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import chat, contamination, neardup, packing, records, rules, secrets_scan, toxicity
+from corpusloom.llm import chat, contamination, neardup, packing, records, ring, rules, secrets_scan, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -140,3 +140,9 @@ def op6_token_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(trap).alias("text"))
     formatted = chat.format_turns(talk.unionByName(extra), tokenizer_path())
     return chat.read_back(formatted, tokenizer_path())
+
+
+@query
+def op10_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = ring.ring_shards(table(spark, sf_dir, "documents"), shards=24)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
