@@ -14,6 +14,7 @@ rows and tied ids each give their own row; null item ids are no items.
 from __future__ import annotations
 
 import itertools
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -246,33 +247,46 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, max
     Nothing is shuffled. Items beyond ``max_words`` words are searched in further passes whose spans and items
     are merged into the same row.
     """
-    out = texts_of(docs).withColumns(
-        {"n_words": F.lit(0).cast("long"), "spans": F.expr("cast(array() AS array<struct<start:long,end:long>>)"), "items": F.expr("cast(array() AS array<string>)")}
-    )
+    return _searched(texts_of(docs), "text", benchmark, ("n_words", "spans", "items"), width, max_words).drop("text")
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", width: int = WIDTH) -> DataFrame:
+    """The rows of ``docs``, all columns, that the contamination rule does not reject."""
+    tag = uuid.uuid4().hex  # no column of docs has such a name
+    names = (f"n_words_{tag}", f"spans_{tag}", f"items_{tag}")
+    found = _searched(docs, text_col, benchmark, names, width, MAX_ITEM_WORDS)
+    return found.filter(~contaminated(names[1], names[0])).select(*docs.columns)
+
+
+def _searched(docs: DataFrame, text_col: str, benchmark: DataFrame, names: tuple[str, str, str], width: int, max_words: int) -> DataFrame:
+    """``docs`` with three more columns: words, spans and items of every text."""
+    none = (F.lit(0).cast("long"), F.expr("cast(array() AS array<struct<start:long,end:long>>)"), F.expr("cast(array() AS array<string>)"))
+    out = docs.withColumns(dict(zip(names, none)))
     for items in item_blocks(benchmark, max_words):
-        out = out.mapInArrow(_pass(items, width), out.schema)
-    return out.drop("text")
+        out = out.mapInArrow(_pass(items, width, text_col, names), out.schema)
+    return out
 
 
-def _pass(items: list[tuple[str, str]], width: int):
+def _pass(items: list[tuple[str, str]], width: int, text_col: str, names: tuple[str, str, str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases = Phrases(items, width)
         for batch in batches:
-            counts, spans, found = _found(batch.column("text").to_pylist(), phrases)
-            earlier = [[(s["start"], s["end"]) for s in old] for old in batch.column("spans").to_pylist()]
+            columns = dict(zip(batch.schema.names, batch.columns))
+            counts, spans, found = _found([t or "" for t in columns[text_col].to_pylist()], phrases)
+            earlier = [[(s["start"], s["end"]) for s in old] for old in columns[names[1]].to_pylist()]
             spans = [[{"start": a, "end": b} for a, b in merged(old + new)] for old, new in zip(earlier, spans)]
-            found = [sorted({*old, *new}) for old, new in zip(batch.column("items").to_pylist(), found)]
-            columns = [batch.column("doc_id"), batch.column("text"), pa.array(counts, pa.int64()), pa.array(spans, _SPANS), pa.array(found, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text", "n_words", "spans", "items"])
+            found = [sorted({*old, *new}) for old, new in zip(columns[names[2]].to_pylist(), found)]
+            columns |= {names[0]: pa.array(counts, pa.int64()), names[1]: pa.array(spans, _SPANS), names[2]: pa.array(found, pa.list_(pa.string()))}
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     return run
 
 
-def hit_words() -> Column:
+def hit_words(spans: str = "spans") -> Column:
     """Words inside the spans of a row."""
-    return F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
+    return F.aggregate(spans, F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
 
 
-def contaminated() -> Column:
+def contaminated(spans: str = "spans", n_words: str = "n_words") -> Column:
     """The contamination rule: hit words make up a twentieth of the text or more."""
-    return (hit_words() > 0) & (20 * hit_words() >= F.col("n_words"))
+    return (hit_words(spans) > 0) & (20 * hit_words(spans) >= F.col(n_words))

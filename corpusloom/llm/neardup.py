@@ -254,3 +254,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def pairs_both(pairs: DataFrame) -> DataFrame:
     """Pairs in either order."""
     return pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+
+
+def without_duplicates(docs: DataFrame) -> DataFrame:
+    """One row of every group of near-duplicates, that with the smallest doc_id; same columns.
+
+    Rows that share a doc_id are one document; rows without one are kept.
+    """
+    found = near_duplicates(docs)
+    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+    named = docs.filter(F.col("doc_id").isNotNull())
+    named = named.join(gone, named["doc_id"] == gone["_gone"], "left_anti").dropDuplicates(["doc_id"])
+    return named.union(docs.filter(F.col("doc_id").isNull()))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import chat, contamination, neardup, packing, records, ring, rules, secrets_scan, toxicity
+from corpusloom.llm import chat, contamination, fixity, neardup, packing, records, ring, rules, secrets_scan, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -146,3 +146,45 @@ def op6_token_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = ring.ring_shards(table(spark, sf_dir, "documents"), shards=24)
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def damaged_copy(pages: DataFrame) -> DataFrame:
+    """A replica of the pages as a disk would leave it: some records altered, some lost, some that don't belong."""
+    html = F.when(F.col("page_id") % 97 == 5, F.concat(F.expr("substr(html, 1, length(html) - 1)"), F.lit("?"))).otherwise(F.col("html"))
+    kept = pages.filter("page_id % 101 <> 7").select("page_id", "url", html.alias("html"))
+    return kept.union(pages.filter("page_id % 211 = 3").select((-F.col("page_id") - 1).alias("page_id"), "url", "html"))
+
+
+@query
+def op9_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return fixity.audit(pages, damaged_copy(pages))
+
+
+_RECORD_SQL = """
+  'WARC/1.1' || crlf || 'WARC-Type: response' || crlf || 'WARC-Record-ID: <urn:page:' || page_id || '>' || crlf
+  || 'WARC-Target-URI: ' || coalesce(url, '') || crlf || 'Content-Type: text/html' || crlf || 'Content-Length: '
+  || strlen(coalesce(html, '')) || crlf || crlf || coalesce(html, '') || crlf || crlf"""
+
+SQL["op9_merkle_audit"] = f"""
+WITH n AS (SELECT greatest(1, ceil(count(*) / 512.0))::BIGINT AS files, chr(13) || chr(10) AS crlf FROM pages),
+original AS (SELECT page_id, {_RECORD_SQL} AS record FROM pages, n),
+replica AS (
+  SELECT page_id, {_RECORD_SQL} AS record FROM (
+    SELECT page_id, url, CASE WHEN page_id % 97 = 5 THEN left(html, length(html) - 1) || '?' ELSE html END AS html
+    FROM pages WHERE page_id % 101 <> 7
+    UNION ALL SELECT -page_id - 1, url, html FROM pages WHERE page_id % 211 = 3), n),
+placed AS (
+  SELECT side, page_id, sha256(record) AS sha256, strlen(record) AS size,
+         ('0x' || substr(md5(page_id::VARCHAR), 1, 8))::BIGINT % files AS file_no
+  FROM (SELECT 'a' AS side, * FROM original UNION ALL SELECT 'b', * FROM replica), n),
+found AS (
+  SELECT side, page_id, file_no, sha256, sum(size) OVER w AS last, sum(size) OVER w - size AS first
+  FROM placed WINDOW w AS (PARTITION BY side, file_no ORDER BY page_id))
+SELECT coalesce(a.page_id, b.page_id) AS page_id, coalesce(a.file_no, b.file_no) AS file_no,
+       CAST(coalesce(a.first, b.first) AS BIGINT) AS first, CAST(coalesce(a.last, b.last) AS BIGINT) AS last,
+       CAST(1 AS BIGINT) AS copies, coalesce(a.sha256, b.sha256) AS sha256,
+       CASE WHEN b.page_id IS NULL THEN 'missing' WHEN a.page_id IS NULL THEN 'extra'
+            WHEN a.sha256 <> b.sha256 THEN 'changed' ELSE 'ok' END AS status
+FROM (SELECT * FROM found WHERE side = 'a') a FULL JOIN (SELECT * FROM found WHERE side = 'b') b USING (page_id)
+"""
