@@ -2,8 +2,8 @@
 
 A document longer than ``size`` is cut so that only its first piece may be shorter; full pieces are sequences of
 their own. The first pieces are packed in groups of some ten thousand, each in one task: best fit by decreasing
-length, then a local search among the bins that are not full. It takes the emptiest bin and, for its documents,
-tries to move one into another bin, to exchange one for a shorter one, or to exchange one for two shorter ones.
+length, then a local search among the bins that are not full. It takes the fullest of them and moves a document
+of an emptier bin into it, or exchanges one of its documents for a longer one, or for two that are longer together.
 Every step adds to the sum of squared fills, so the search ends, with bins emptied on the way.
 
 The emptiest tenth of each group's bins goes on to a next round with fewer groups, until one group is left, so
@@ -16,8 +16,9 @@ rows only.
 
 from __future__ import annotations
 
+import heapq
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,8 +35,6 @@ SIZE = 2048
 GROUP_ROWS = 16_384
 # One in so many bins of a group, the emptiest, is packed again with those of other groups.
 CARRY = 10
-# Bins in a row that cannot be emptied before the search of a group ends.
-STUCK = 32
 
 
 class Bins:
@@ -68,84 +67,80 @@ class Bins:
             mask |= 1 << left
 
     def improve(self) -> None:
-        """Empty the emptiest bins into the others while some step raises the sum of squared fills."""
-        open_bins = {k for k, room in enumerate(self.room) if room}
-        stuck = 0
-        while len(open_bins) > 1 and stuck < STUCK:
-            victim = max(open_bins, key=lambda k: (self.room[k], k))
-            others = open_bins - {victim}
-            if sum(self.room[k] for k in others) < self.size - self.room[victim]:
-                break  # what the victim holds can't fit whatever is exchanged
-            if not self._empty(victim, others):
-                stuck += 1
-                open_bins.discard(victim)
-            open_bins = {k for k in open_bins if self.room[k] and self.items[k]}
-
-    def _empty(self, victim: int, others: set[int]) -> bool:
-        """Move or exchange until ``victim`` is empty; False if it stays."""
-        by_length: dict[int, set[int]] = defaultdict(set)  # length -> bins with an item of it
-        pairs: dict[int, set[int]] = defaultdict(set)  # sum of two items -> bins that hold them
-        rooms = np.zeros(self.size + 1, np.int64)
-        for k in others:
-            rooms[self.room[k]] += 1
-            self._list(k, by_length, pairs, True)
-
-        def change(k: int, take: list[int], give: list[int]) -> None:
-            rooms[self.room[k]] -= 1
-            self._list(k, by_length, pairs, False)
-            for item in give:
-                self.items[k].remove(item)
-            self.items[k] += take
-            self.room[k] += sum(self.lengths[i] for i in give) - sum(self.lengths[i] for i in take)
-            rooms[self.room[k]] += 1
-            self._list(k, by_length, pairs, True)
-            for item in take:
-                self.items[victim].remove(item)
-            self.items[victim] += give
-            self.room[victim] = self.size - sum(self.lengths[i] for i in self.items[victim])
-
-        while self.items[victim]:
-            step = None
-            for item in sorted(set(self.items[victim]), key=self.lengths.__getitem__, reverse=True):
-                step = self._step(item, others, by_length, pairs, rooms)
-                if step:
-                    break
-            if not step:
-                return False
-            change(*step)
-        return True
-
-    def _list(self, k: int, by_length, pairs, add: bool) -> None:
-        lengths = sorted({self.lengths[i] for i in self.items[k]})
-        twice = {n for n in lengths if sum(self.lengths[i] == n for i in self.items[k]) > 1}
+        """Fill the fullest bins from emptier ones while some step raises the sum of squared fills.
+
+        A step moves an item into a bin with room, or exchanges an item for a longer one, or for two that are
+        longer together. What goes in comes from a bin that is not fuller, so every step raises the sum and the
+        search ends; the emptiest bins run empty.
+        """
+        self.by_length: dict[int, set[int]] = defaultdict(set)  # length -> bins with an item of it
+        self.by_pair: dict[int, set[int]] = defaultdict(set)  # length of two items -> bins that hold them
+        waiting = [(room, k) for k, room in enumerate(self.room) if room]
+        for _, k in waiting:
+            self._list(k, True)
+        heapq.heapify(waiting)
+        while waiting:
+            room, k = heapq.heappop(waiting)
+            if room != self.room[k] or not self.items[k] or room == self.size:
+                continue  # changed since it was put here
+            step = self._step(k)
+            if step:
+                other, take, give = step
+                self._change(k, other, take, give)
+                for bin_no in (k, other):
+                    if self.room[bin_no] and self.items[bin_no]:
+                        heapq.heappush(waiting, (self.room[bin_no], bin_no))
+
+    def _list(self, k: int, add: bool) -> None:
+        counts = Counter(self.lengths[i] for i in self.items[k])
+        lengths = list(counts)
         for a, n in enumerate(lengths):
-            (by_length[n].add if add else by_length[n].discard)(k)
-            for m in lengths[a + 1 :] + ([n] if n in twice else []):
-                (pairs[n + m].add if add else pairs[n + m].discard)(k)
-
-    def _step(self, item: int, others, by_length, pairs, rooms):
-        """The bin, what it takes and what it gives: a move, else the exchange that fills most."""
-        n = self.lengths[item]
-        free = np.flatnonzero(rooms[n:])
-        if len(free):
-            k = min(k for k in others if self.room[k] == n + free[0])
-            return k, [item], []
-        most = int(np.flatnonzero(rooms)[-1])
-        for gain in range(min(most, n - 1), 0, -1):
-            for table, two in ((by_length, False), (pairs, True)):
-                fitting = [k for k in table.get(n - gain, ()) if self.room[k] >= gain]
-                if fitting:
-                    k = min(fitting, key=lambda k: (self.room[k], k))
-                    return k, [item], self._found(k, n - gain, two)
+            (self.by_length[n].add if add else self.by_length[n].discard)(k)
+            for m in lengths[a + 1 :] + ([n] if counts[n] > 1 else []):
+                (self.by_pair[n + m].add if add else self.by_pair[n + m].discard)(k)
+
+    def _change(self, k: int, other: int, take: list[int], give: list[int]) -> None:
+        """Bin ``k`` takes items of ``other`` and gives it some of its own; full and empty bins are listed no more."""
+        for bin_no, gone, new in ((k, give, take), (other, take, give)):
+            self._list(bin_no, False)
+            self.items[bin_no] = [i for i in self.items[bin_no] if i not in gone] + new
+            self.room[bin_no] = self.size - sum(self.lengths[i] for i in self.items[bin_no])
+            if self.room[bin_no]:
+                self._list(bin_no, True)
+
+    def _step(self, k: int) -> tuple[int, list[int], list[int]] | None:
+        """What bin ``k`` takes from which bin and gives for it: what fills it most, moves before exchanges."""
+        own = {self.lengths[i]: i for i in self.items[k]}
+        for gain in range(self.room[k], 0, -1):
+            other = self._emptier(self.by_length, gain, k)
+            if other is not None:
+                return other, [self._one(other, gain)], []
+            for n, item in own.items():
+                other = self._emptier(self.by_length, n + gain, k)
+                if other is not None:
+                    return other, [self._one(other, n + gain)], [item]
+                other = self._emptier(self.by_pair, n + gain, k)
+                if other is not None:
+                    return other, self._two(other, n + gain), [item]
         return None
 
-    def _found(self, k: int, total: int, two: bool) -> list[int]:
-        if not two:
-            return [next(i for i in self.items[k] if self.lengths[i] == total)]
-        for a, i in enumerate(self.items[k]):
-            for j in self.items[k][a + 1 :]:
-                if self.lengths[i] + self.lengths[j] == total:
-                    return [i, j]
+    def _emptier(self, table: dict[int, set[int]], length: int, k: int) -> int | None:
+        found = table.get(length)
+        if found:
+            for other in found:
+                if self.room[other] >= self.room[k] and other != k:
+                    return other
+        return None
+
+    def _one(self, k: int, length: int) -> int:
+        return next(i for i in self.items[k] if self.lengths[i] == length)
+
+    def _two(self, k: int, length: int) -> list[int]:
+        first: dict[int, int] = {}
+        for i in self.items[k]:
+            if length - self.lengths[i] in first:
+                return [first[length - self.lengths[i]], i]
+            first[self.lengths[i]] = i
         raise AssertionError("a listed pair is missing")
 
 
