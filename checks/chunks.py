@@ -66,11 +66,11 @@ def e3_reply_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.withColumn("elapsed", F.round("elapsed", 3))
 
 
-def _repeat_sql(window: int, source: str, key: str, order: str) -> str:
+def _repeat_sql(window: int, source: str, key: str, order: str, tested: str = "true") -> str:
     half = window // 2
     return f"""
     looked AS (SELECT *, list(content) OVER (PARTITION BY {key} ORDER BY {order} ROWS BETWEEN {window - 1} PRECEDING AND CURRENT ROW) AS seen FROM {source}),
-    hits AS (SELECT *, CASE WHEN len(seen) = {window} AND array_to_string(seen[{half + 1}:{window}], '') <> ''
+    hits AS (SELECT *, CASE WHEN {tested} AND len(seen) = {window} AND array_to_string(seen[{half + 1}:{window}], '') <> ''
                AND array_to_string(seen[1:{half}], '') = array_to_string(seen[{half + 1}:{window}], '') THEN 1 ELSE 0 END AS hit FROM looked),
     fresh AS (SELECT * FROM (SELECT *, max(hit) OVER (PARTITION BY {key} ORDER BY {order}) AS stopped FROM hits) WHERE stopped = 0)"""
 
@@ -178,7 +178,9 @@ def _filter_sql(max_tokens: int, window: int) -> str:
     SELECT *, row_number() OVER (PARTITION BY stream_id ORDER BY chunk_idx) AS n FROM marked) WHERE n <= {max_tokens}),
   {_think_sql('within', 'stream_id', 'chunk_idx', '<think>', '</think>')},
   {_rechunk_sql('shown')},
-  {_repeat_sql(window, 'pieces', 'stream_id', 'chunk_idx')}
+  whole AS (SELECT * FROM pieces WHERE length(content) >= 5 OR stream_id NOT IN (
+    SELECT stream_id FROM marked GROUP BY stream_id HAVING count(*) > {max_tokens})),
+  {_repeat_sql(window, 'whole', 'stream_id', 'chunk_idx', 'length(content) >= 5')}
   SELECT stream_id, chunk_idx, content FROM fresh"""
 
 

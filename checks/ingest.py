@@ -8,7 +8,6 @@ from corpusloom.operators.concat import concat_datasets, concat_or_first, count_
 from corpusloom.operators.instruct import non_empty, require_columns
 from corpusloom.plans.stages import TrainingSetConfig, run_stages, training_set_stages
 from corpusloom.session import scratch_path
-from corpusloom.sources.assets import list_assets
 from corpusloom.sources.catalog import (
     Source,
     load_catalog,
@@ -87,15 +86,6 @@ def a5_select_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preferred.unionByName(first).unionByName(whole)
 
 
-@query(
-    """SELECT t || '.parquet' AS file_name FROM (VALUES ('region'), ('nation'), ('customer'), ('supplier'),
-       ('part'), ('orders'), ('lineitem'), ('events'), ('documents'), ('embeddings'), ('pages'), ('benchmark'),
-       ('labels'), ('conversations')) v(t)"""
-)
-def a6_list_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return list_assets(spark, sf_dir, (".PARQUET",)).select(F.element_at(F.split("path", "/"), -1).alias("file_name"))
-
-
 @query(
     """SELECT 0 AS position, 'ingest' AS stage, 'done' AS status, NULL AS rows_out
        UNION ALL SELECT 1, 'render', 'done', NULL

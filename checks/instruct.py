@@ -115,10 +115,10 @@ def b9_known_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return known_roles(table(spark, sf_dir, "conversations"), ("user", "assistant")).select("conv_id", "turn", "role")
 
 
-@query("SELECT doc_id, lang || '/' || source || ': ' || left(text, 20) AS label FROM documents")
+@query("SELECT doc_id, lang || '/' || source || ': ' || text AS label FROM documents")
 def h1_fill_template(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return docs.select("doc_id", fill_template("{a}/{b}: {c}", a="lang", b="source", c=prefix("text", 20)).alias("label"))
+    return docs.select("doc_id", fill_template("{a}/{b}: {c}", a="lang", b="source", c="text").alias("label"))
 
 
 @query("SELECT doc_id, left(text, 50) AS head FROM documents")

@@ -31,7 +31,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and texts, for work that is heavy on every text."""
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 # --- derived tables: a Spark form and a SQL form of each -----------------------------------------------

@@ -33,7 +33,8 @@ MANIFESTS_SQL = f"""manifests AS (
     || CASE WHEN p_size > 40 THEN ', "num_params": ' || p_size || '000000000' ELSE '' END
     || CASE WHEN p_size % 7 = 0 THEN ', "vision_config": {{"x": 1}}' ELSE '' END || '}}' END AS manifest
   FROM (SELECT *, {_ARCH_CASE} AS arch,
-        replace(p_name, ' ', '-') || CASE p_size % 4 WHEN 0 THEN '-7b' WHEN 1 THEN '-14B' WHEN 2 THEN '-1.5b' ELSE '' END AS name FROM part))"""
+        replace(p_name, ' ', '-') || CASE p_size % 4 WHEN 0 THEN '-7b' WHEN 1 THEN '-14B' WHEN 2 THEN '-1.5b' ELSE '-72b' END
+        || CASE WHEN p_partkey % 2 = 0 THEN '-Qwen' ELSE '' END AS name FROM part))"""
 
 
 def _manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,7 +44,8 @@ def _manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
         arch = F.when(hit, value) if arch is None else arch.when(hit, value)
     tag = F.col("p_size") % 4
     name = F.concat(
-        F.replace("p_name", F.lit(" "), F.lit("-")), F.when(tag == 0, "-7b").when(tag == 1, "-14B").when(tag == 2, "-1.5b").otherwise("")
+        F.replace("p_name", F.lit(" "), F.lit("-")), F.when(tag == 0, "-7b").when(tag == 1, "-14B").when(tag == 2, "-1.5b").otherwise("-72b"),
+        F.when(F.col("p_partkey") % 2 == 0, "-Qwen").otherwise(""),
     )
     manifest = F.concat(
         F.lit('{"architectures": ["'),
@@ -114,25 +116,28 @@ _LISTING_RULES = ((("red ", "hot "), "warm"), (("blue ",), "cool"))
 
 
 @query(
-    """SELECT p_brand, p_size, CASE WHEN bool_or(contains(lower(p_name), 'red ') OR contains(lower(p_name), 'hot ')) THEN 'warm'
+    """SELECT p_brand, p_size, CASE WHEN bool_or(p_partkey % 17 = 0) THEN 'gguf'
+       WHEN bool_or(contains(lower(p_name), 'red ') OR contains(lower(p_name), 'hot ')) THEN 'warm'
        WHEN bool_or(contains(lower(p_name), 'blue ')) THEN 'cool' ELSE 'plain' END AS label FROM part GROUP BY p_brand, p_size"""
 )
 def j3_classify_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classify_listing(table(spark, sf_dir, "part"), ["p_brand", "p_size"], "p_name", _LISTING_RULES, "plain")
+    packed = F.when(F.col("p_partkey") % 17 == 0, F.concat("p_name", F.lit(".GGuf"))).otherwise(F.col("p_name"))
+    names = table(spark, sf_dir, "part").select("p_brand", "p_size", packed.alias("name"))
+    return classify_listing(names, ["p_brand", "p_size"], "name", _LISTING_RULES, "plain")
 
 
 @query(
-    """SELECT p_partkey, CASE WHEN p_type = 'SMALL' THEN 'gguf' ELSE 'hf' END AS label FROM part"""
+    """SELECT p_partkey, CASE WHEN p_type IN ('SMALL', 'LARGE') THEN 'gguf' ELSE 'hf' END AS label FROM part"""
 )
 def j3_classify_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    weights = F.when(F.col("p_type") == "SMALL", "model-GGML.bin").otherwise("model.bin")
+    weights = F.when(F.col("p_type") == "SMALL", "model-GGML.bin").when(F.col("p_type") == "LARGE", "m.Gguf").otherwise("pytorch_model.gguf.bin")
     return table(spark, sf_dir, "part").select("p_partkey", classify_names(F.array(F.col("p_name"), weights)).alias("label"))
 
 
 @query(
     f"""WITH {MANIFESTS_SQL}, sized AS (
       SELECT p_partkey, coalesce(nullif(TRY_CAST(regexp_extract(manifest, '"num_params": (\\d+)', 1) AS DOUBLE), 0),
-        CASE WHEN contains(lower(name), '-1.5b') THEN 1.5e9 WHEN contains(lower(name), '-7b') THEN 7e9
+        CASE WHEN NOT contains(lower(name), 'qwen') THEN 0 WHEN contains(lower(name), '-1.5b') THEN 1.5e9 WHEN contains(lower(name), '-7b') THEN 7e9
              WHEN contains(lower(name), '-14b') THEN 14e9 WHEN contains(lower(name), '-72b') THEN 72e9 ELSE 0 END) AS num_params FROM manifests)
     SELECT p_partkey, CAST(num_params AS BIGINT) AS num_params, num_params > 10e9 AS is_large FROM sized"""
 )

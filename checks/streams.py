@@ -9,7 +9,8 @@ from checks.registry import TEMPLATES, commands_in, query, streams_of, table, wi
 from corpusloom.operators.chunks import assemble_text, chunk_text
 from corpusloom.streaming.history import stream_history
 from corpusloom.streaming.replies import stream_reply_filter
-from corpusloom.streaming.sessions import stream_idle_sessions
+from corpusloom.session import scratch_path
+from corpusloom.streaming.sessions import WHOLE_BACKLOG, closing_event, stream_idle_sessions
 from corpusloom.streaming.tables import drain, read_stream
 
 
@@ -38,9 +39,13 @@ def k3_stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""WITH {_sessions_sql(600)}
-    SELECT user_id, min(ts) AS first_ts, max(ts) AS last_ts, count(*) AS n FROM sessions GROUP BY user_id, session
-    HAVING max(ts) + INTERVAL 600 SECOND <= (SELECT max(ts) FROM events) - INTERVAL 30 SECOND"""
+    SELECT user_id, min(ts) AS first_ts, max(ts) AS last_ts, count(*) AS n FROM sessions GROUP BY user_id, session"""
 )
 def k4_stream_idle_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spans = drain(stream_idle_sessions(_stream(spark, sf_dir, "events").select("user_id", "ts")), "sessions")
+    events = table(spark, sf_dir, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+    backlog = scratch_path(spark, "events")
+    events.repartition(3, "ts").write.parquet(backlog)  # every file holds times from all over
+    closing_event(events).write.mode("append").parquet(backlog)
+    stream = read_stream(spark, backlog, events.schema, max_files=1)
+    spans = drain(stream_idle_sessions(stream, delay=WHOLE_BACKLOG), "sessions")
     return spans.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("first_ts", "last_ts")})

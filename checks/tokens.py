@@ -19,7 +19,7 @@ from corpusloom.session import materialize
 
 SIZE = 3000
 MAX_LEN = CPU_MAX_LENGTH
-WHOLE = 2**30  # no text has that many tokens
+WHOLE = None  # no limit
 
 TOKENS_SQL = f"regexp_extract_all(text, '{TOKEN_PATTERN}')"
 VOCAB_SQL = f"""
@@ -51,7 +51,7 @@ def _vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(build_vocab(documents(spark, sf_dir), SIZE), "vocab")
 
 
-def _encoded(spark: SparkSession, sf_dir: str, max_len: int = MAX_LEN) -> DataFrame:
+def _encoded(spark: SparkSession, sf_dir: str, max_len: int | None = MAX_LEN) -> DataFrame:
     return encode(documents(spark, sf_dir), _vocab(spark, sf_dir), max_len, 2)
 
 
@@ -69,6 +69,20 @@ def i1_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _encoded(spark, sf_dir, WHOLE).select("doc_id", _text("input_ids"))
 
 
+_JOINED = 10  # a vocabulary of more tokens is joined
+
+
+def _twice(df: DataFrame) -> DataFrame:
+    """Every row two times, so that ids repeat."""
+    return df.withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1)))).drop("_copy")
+
+
+@query(f"WITH {WHOLE_SQL} SELECT doc_id, array_to_string(ids, ',') AS input_ids FROM encoded, (SELECT unnest([0, 1]))")
+def i1_encode_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = encode(_twice(documents(spark, sf_dir)), _vocab(spark, sf_dir), WHOLE, 2, max_inline=_JOINED)
+    return encoded.select("doc_id", _text("input_ids"))
+
+
 @query(f"WITH {WHOLE_SQL} SELECT doc_id, CAST(pos AS INTEGER) AS pos, coalesce(token_id, 2) AS token_id FROM long LEFT JOIN vocab USING (token)")
 def d2_vocab_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _encoded(spark, sf_dir, WHOLE).select("doc_id", F.posexplode("input_ids").alias("pos", "token_id"))
@@ -92,11 +106,11 @@ def i4_copy_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {ENCODED_SQL} SELECT doc_id,
-        array_to_string(list_transform({IDS_SQL}, lambda x: CASE WHEN x = 0 THEN -100 ELSE x END), ',') AS labels FROM encoded"""
+    f"""WITH {WHOLE_SQL} SELECT doc_id, array_to_string(
+        list_transform(list_concat(ids, [0, 0, 0]), lambda x: CASE WHEN x = 0 THEN -100 ELSE x END), ',') AS labels FROM encoded"""
 )
 def i5_mask_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    padded = _encoded(spark, sf_dir).select("doc_id", pad_truncate("input_ids", MAX_LEN, 0).alias("ids"))
+    padded = _encoded(spark, sf_dir, WHOLE).select("doc_id", F.concat("input_ids", F.array_repeat(F.lit(0), 3)).alias("ids"))
     return padded.select("doc_id", mask_labels("ids", 0).alias("labels")).select("doc_id", _text("labels"))
 
 
@@ -133,6 +147,17 @@ def i7_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode(encode(documents(spark, sf_dir), vocab, WHOLE, 2), vocab)
 
 
+@query(
+    f"""WITH {WHOLE_SQL}, words AS (
+      SELECT doc_id, string_agg(CASE WHEN coalesce(token_id, 2) > 2 THEN token ELSE '' END, '' ORDER BY pos) AS text
+      FROM long LEFT JOIN vocab USING (token) GROUP BY doc_id)
+    SELECT doc_id, coalesce(words.text, '') AS text FROM documents LEFT JOIN words USING (doc_id), (SELECT unnest([0, 1]))"""
+)
+def i7_decode_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocab = _vocab(spark, sf_dir)
+    return decode(_twice(encode(documents(spark, sf_dir), vocab, WHOLE, 2)), vocab, max_inline=_JOINED)
+
+
 @query(
     """SELECT vec_id, array_to_string(list_transform(embedding[-4:], lambda x: CAST(round(CAST(x AS DOUBLE) * 1000) AS BIGINT)), ',') AS tail,
        CAST(len(embedding) AS INTEGER) AS n FROM embeddings"""

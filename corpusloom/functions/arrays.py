@@ -10,8 +10,6 @@ from corpusloom.functions.text import col_of
 # --- fixed values -------------------------------------------------------------------------------------
 IGNORE_LABEL = -100
 CPU_MAX_LENGTH = 512
-GPU_MAX_LENGTH = 2048
-IMAGE_MAX_LENGTH = 20480
 # ------------------------------------------------------------------------------------------------------
 
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import col_of
+from corpusloom.functions.text import col_of, suffix_of
 
 # --- fixed values -------------------------------------------------------------------------------------
 # Ordered rules for the family of a model, first hit wins.
@@ -26,10 +26,13 @@ FAMILY_OVERRIDES: tuple[tuple[tuple[str, ...], str], ...] = (
 DEFAULT_FAMILY = "hf"
 # File suffixes and file names that decide the family before anything else.
 PACKED_SUFFIXES = (".gguf", ".ggml")
+PACKED_FAMILY = "gguf"
 LISTING_RULES: tuple[tuple[tuple[str, ...], str], ...] = ((("ggml",), "gguf"), (("pytorch_model",), "hf"))
 # Size tags in a model name and the parameter counts they stand for.
 SIZE_TAGS: tuple[tuple[str, float], ...] = (("-1.5b", 1.5e9), ("-7b", 7e9), ("-14b", 14e9), ("-72b", 72e9))
 LARGE_PARAMS = 10e9
+# Size tags count in names of this family.
+TAGGED_FAMILY = "qwen"
 # Paths into a model manifest and into one raw chunk.
 MANIFEST_PATHS = {
     "architecture": "$.architectures[0]",
@@ -94,23 +97,32 @@ def classify_by_rules(
     return fallback if label is None else label.otherwise(fallback)
 
 
-def model_family(architecture: Column | str, model_type: Column | str) -> Column:
-    """Family from the rules, then the overriding pass. The first rule also looks at ``model_type``."""
+def is_packed(path: Column | str, suffixes: Sequence[str] = PACKED_SUFFIXES) -> Column:
+    """Whether a file name ends with one of the suffixes, in any case of letters; null names don't."""
+    return F.coalesce(suffix_of(path).isin(*suffixes), F.lit(False))
+
+
+def model_family(architecture: Column | str, model_type: Column | str, path: Column | str | None = None) -> Column:
+    """Family from the rules, then the overriding pass. The first rule also looks at ``model_type``.
+
+    The suffix of a packed file decides before anything else.
+    """
     first_needles, first_label = FAMILY_RULES[0]
     by_type = _contains_any(F.lower(F.coalesce(col_of(model_type), F.lit(""))), first_needles)
     base = F.when(by_type, F.lit(first_label)).otherwise(classify_by_rules(architecture))
-    return classify_by_rules(architecture, FAMILY_OVERRIDES, base)
+    family = classify_by_rules(architecture, FAMILY_OVERRIDES, base)
+    return family if path is None else F.when(is_packed(path), PACKED_FAMILY).otherwise(family)
 
 
 def size_from_name(
     name: Column | str,
     num_params: Column | str | None = None,
     tags: Sequence[tuple[str, float]] = SIZE_TAGS,
-    only_with: str = "",
+    only_with: str = TAGGED_FAMILY,
 ) -> Column:
     """The stated parameter count, else the one its size tag stands for, else 0.
 
-    ``only_with`` limits the tags to names that contain it.
+    Tags count in names that contain ``only_with``; an empty one reads the tags of all names.
     """
     low = F.lower(F.coalesce(col_of(name), F.lit("")))
     by_tag = None

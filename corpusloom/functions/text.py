@@ -16,7 +16,8 @@ WHITESPACE = (
     "\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 SENTENCE_MARKS = "。！？!?;；"
-CJK_RANGE = r"[\x{4E00}-\x{9FFF}]"
+CJK_FIRST, CJK_LAST = 0x4E00, 0x9FFF
+CJK_RANGE = rf"[\x{{{CJK_FIRST:X}}}-\x{{{CJK_LAST:X}}}]"
 THINK_OPEN = "<think>"
 THINK_CLOSE = "</think>"
 # Words, runs of symbols and runs of blanks; a leading space belongs to the word. Lossless.

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 # --- fixed values -------------------------------------------------------------------------------------
 EPOCHS = 3
 CPU_BATCH, CPU_ACCUMULATE = 2, 16
-GPU_BATCH, GPU_ACCUMULATE = 4, 8
 # ------------------------------------------------------------------------------------------------------
 BUCKET_DIGITS = 3
 # The offsets of all buckets are broadcast: 16 ** digits * epochs rows at most, whatever the table holds.

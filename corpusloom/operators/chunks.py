@@ -16,7 +16,7 @@ from corpusloom.functions.text import (
     count_tokens,
     strip,
 )
-from corpusloom.plans.ordered import RUN, largest, run_keys, running, smallest, total
+from corpusloom.plans.ordered import is_split, largest, run_keys, running, smallest, total
 from corpusloom.plans.text import BLOCK_ROWS, ordered_concat
 
 # --- fixed values -------------------------------------------------------------------------------------
@@ -172,15 +172,19 @@ def repetition_guard(
     order: Sequence[str] = INDEX,
     content: str = "content",
     block_rows: int = BLOCK_ROWS,
+    exempt: Column | None = None,
 ) -> DataFrame:
-    """Stop a stream before the chunk that makes the last half window repeat the half before it."""
+    """Stop a stream before the chunk that makes the last half window repeat the half before it.
+
+    Chunks for which ``exempt`` is true are not tested.
+    """
     if window < 2 or window % 2:
         raise ValueError("the window must be even")
     half = window // 2
     columns = chunks.columns
     rows = chunks
     parts = list(keys)
-    if RUN in columns:
+    if is_split(chunks):
         # Long streams: number the chunks and look back inside blocks of numbers; the last rows of a block
         # also go to the next one, where they only serve as history.
         numbered = running(rows, keys, order, _pos=total(F.lit(1).cast("long")))
@@ -194,8 +198,9 @@ def repetition_guard(
     newer = F.array_join(F.slice("_seen", half + 1, half), "")
     older = F.array_join(F.slice("_seen", 1, half), "")
     hit = (F.size("_seen") == window) & (newer != "") & (newer == older)
+    hit = hit if exempt is None else hit & ~F.coalesce(exempt, F.lit(False))
     rows = rows.withColumn("_hit", hit.cast("int")).drop("_seen")
-    if RUN in columns:
+    if is_split(chunks):
         rows = rows.filter("_own = _block")
     stopped = running(rows, keys, order, _hits=total(F.col("_hit")))
     return stopped.filter("_hits = 0").select(*columns)
@@ -209,9 +214,13 @@ def rechunk(
     content: str = "content",
     bounded: bool = False,
     block_rows: int = BLOCK_ROWS,
+    cut: str | None = None,
 ) -> DataFrame:
     """Hold chunks back until they have ``min_len`` characters together; the rest comes out at the end.
 
+    ``cut`` names a column that is 1 on all chunks of a stream that was stopped before its end: such a stream has no
+    rest. Only a rest is shorter than ``min_len``.
+
     A piece keeps the index of its first chunk. Streams are folded in blocks of index values. What a block
     does to the characters held back before it depends only on how many they are (0 to ``min_len - 1``), so
     each block is first reduced to that small table, the tables are chained per stream, and then all blocks
@@ -219,10 +228,11 @@ def rechunk(
     """
     used = chunks.filter(F.col(content) != "")
     block = F.lit(0).cast("long") if bounded else F.floor(F.col(index) / F.lit(block_rows))
+    stopped = F.max(F.lit(0) if cut is None else F.col(cut)).alias("_cut")
     blocks = (
         used.withColumn("_block", block)
         .groupBy(*keys, "_block")
-        .agg(F.sort_array(F.collect_list(F.struct(F.col(index).cast("long").alias("i"), F.col(content).alias("c")))).alias("_items"))
+        .agg(F.sort_array(F.collect_list(F.struct(F.col(index).cast("long").alias("i"), F.col(content).alias("c")))).alias("_items"), stopped)
     )
     if bounded:
         entered = blocks.withColumn("_entry", _open_piece(F.lit(0), F.lit(None)))
@@ -250,24 +260,26 @@ def rechunk(
 
     first = held_back(F.col("_entry.n"), F.col("_entry.start"), F.lit(""))
     folded = fold_emit(F.col("_items"), first, step, piece_type)
-    out = entered.select(*keys, "_block", folded.alias("_f"))
+    out = entered.select(*keys, "_block", "_cut", folded.alias("_f"))
     left = F.col("_f.state")
     tail = F.when(
         left["text"] != "", F.array(F.struct(left["start"].alias("start"), left["text"].alias("text")))
     ).otherwise(F.array().cast(f"array<{piece_type}>"))
     pieces = F.concat(F.col("_f.out"), tail)
-    exploded = out.select(*keys, "_block", F.explode(pieces).alias("_p"))
+    exploded = out.select(*keys, "_block", "_cut", F.explode(pieces).alias("_p"))
     index_type = chunks.schema[index].dataType
     if bounded:
-        return exploded.select(
+        ended = (F.col("_cut") == 0) | (F.length("_p.text") >= min_len)
+        return exploded.filter(ended).select(
             *keys, F.col("_p.start").cast(index_type).alias(index), F.col("_p.text").alias(content)
         )
     # a piece that crosses blocks has its parts in several of them
-    parts = exploded.select(*keys, F.col("_p.start").alias(index), "_block", F.col("_p.text").alias("_part"))
+    parts = exploded.select(*keys, F.col("_p.start").alias(index), "_block", "_cut", F.col("_p.text").alias("_part"))
     merged = parts.groupBy(*keys, index).agg(
-        F.expr("listagg(_part, '') within group (order by _block)").alias(content)
+        F.expr("listagg(_part, '') within group (order by _block)").alias(content), F.max("_cut").alias("_cut")
     )
-    return merged.withColumn(index, F.col(index).cast(index_type))
+    ended = (F.col("_cut") == 0) | (F.length(content) >= min_len)
+    return merged.filter(ended).drop("_cut").withColumn(index, F.col(index).cast(index_type))
 
 
 def _open_piece(n: Column, start: Column) -> Column:

@@ -16,7 +16,6 @@ from corpusloom.plans.text import ordered_concat
 MAX_ROUNDS = 10
 RESET_COMMANDS = ("clear", "reset", "清除", "重置")
 EXIT_COMMANDS = ("exit", "quit")
-MESSAGE_FORMAT = ("{tag}\n", "{text}\n\n")
 PROMPT_SUFFIX = "<|assistant|>"
 # ------------------------------------------------------------------------------------------------------
 SEGMENT = "segment"
@@ -76,7 +75,7 @@ def attach_system_prompt(
     # Only flags and numbers are aggregated, never texts: the aggregation stays in fixed-width hash buffers.
     number = _template_number(text, templates, default_lang)
     user_turn = F.when(_is(role, "user"), F.col(turn))
-    carried = [F.min(c).alias(c) for c in (SEGMENT, RUN) if c in conv.columns]
+    carried = [F.min(c).alias(c, metadata=conv.schema[c].metadata) for c in (SEGMENT, RUN) if c in conv.columns]
     heads = (
         conv.groupBy(*keys)
         .agg(

@@ -34,9 +34,13 @@ def newest(
 def stale(
     files: DataFrame, n: int = KEEP_NEWEST, group: Sequence[str] = (), mtime: str = "modificationTime", tie: str = "path"
 ) -> DataFrame:
-    """Everything ``newest`` does not keep. ``tie`` must identify a row, it is what the rows are matched by."""
+    """Everything ``newest`` does not keep. Group and ``tie`` must identify a row, by them the rows are matched."""
     kept = newest(files.select(*dict.fromkeys([*group, mtime, tie])), n, group, mtime, tie)
-    return files.join(kept.select(tie), [tie], "left_anti").select(*files.columns)
+    kept = kept.select(*[F.col(c).alias(f"_kept_{i}") for i, c in enumerate([*group, tie])])
+    same = F.lit(True)
+    for i, c in enumerate([*group, tie]):
+        same = same & files[c].eqNullSafe(kept[f"_kept_{i}"])
+    return files.join(kept, same, "left_anti").select(*files.columns)
 
 
 def expired(

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.arrays import attention_mask, mask_labels, pad_fallback, pad_truncate
 from corpusloom.functions.text import TOKEN_PATTERN, tokens
-from corpusloom.plans.lookup import MAX_INLINE_ROWS, inline_table, look_up, lookup
+from corpusloom.plans.lookup import MAX_INLINE_ROWS, inline_table, look_up, lookup, unique_keys
+from corpusloom.session import materialize
 
 PAD, EOS, UNK = "<pad>", "</s>", "<unk>"
 SPECIALS = (PAD, EOS, UNK)
@@ -55,31 +56,41 @@ def with_pad(special: DataFrame, pad: str = "pad_token", eos: str = "eos_token")
 def encode(
     df: DataFrame,
     vocab: DataFrame,
-    max_len: int,
+    max_len: int | None,
     unk_id: int,
     keys: Sequence[str] = ("doc_id",),
     text: str = "text",
     pattern: str = TOKEN_PATTERN,
     max_inline: int = MAX_INLINE_ROWS,
 ) -> DataFrame:
-    """``(keys, input_ids)``: ids of the first ``max_len`` tokens; an empty text has no ids.
+    """``(keys, input_ids)`` of every row: ids of the first ``max_len`` tokens, of all without a limit.
 
-    Tokens past the limit are cut before the lookup. With a vocabulary of up to ``max_inline`` tokens the
-    work is local to each row. Beyond that the tokens are joined with it; ``keys`` must then identify a row.
-    ``vocab`` should be a stored table.
+    An empty text has no ids; of a token that the vocabulary holds twice the smallest id counts. Tokens past the
+    limit are cut before the lookup. With a vocabulary of up to ``max_inline`` tokens the work is local to each
+    row. Beyond that rows are numbered and written once, and their tokens are joined with it; the rows are the
+    same either way. ``vocab`` should be a stored table.
     """
-    cut = F.slice(tokens(text, pattern), 1, max_len)
+    cut = tokens(text, pattern)
+    cut = cut if max_len is None else F.slice(cut, 1, max_len)
     table = inline_table(vocab, "token", "token_id", max_inline)
     if table is not None:
         held = df.select(*keys, text, table.alias("_table"))
         ids = F.transform(cut, lambda t: F.coalesce(look_up(F.col("_table"), t), F.lit(unk_id)))
         return held.select(*keys, ids.alias("input_ids"))
-    long = df.select(*keys, F.posexplode_outer(cut).alias("_pos", "_token"))
-    words = vocab.select(F.col("token").alias("_vocab_token"), F.col("token_id").alias("_id"))
+    rows = _numbered(df.select(*keys, cut.alias("_tokens")), "encode")
+    long = rows.select("_row", F.posexplode("_tokens").alias("_pos", "_token"))
+    words = unique_keys(vocab, "token", "token_id").select(F.col("token").alias("_vocab_token"), F.col("token_id").alias("_id"))
     found = lookup(long, words, F.col("_token") == F.col("_vocab_token"))
-    pair = F.when(F.col("_pos").isNotNull(), F.struct("_pos", F.coalesce("_id", F.lit(unk_id)).alias("_id")))
-    listed = found.groupBy(*keys).agg(F.sort_array(F.collect_list(pair)).alias("_pairs"))
-    return listed.select(*keys, F.transform("_pairs", lambda p: p["_id"]).alias("input_ids"))
+    pair = F.struct("_pos", F.coalesce("_id", F.lit(unk_id)).alias("_id"))
+    listed = found.groupBy("_row").agg(F.sort_array(F.collect_list(pair)).alias("_pairs"))
+    ids = F.transform("_pairs", lambda p: p["_id"])
+    none = F.when(F.col("_tokens").isNotNull(), F.array().cast("array<int>"))
+    return rows.join(listed, "_row", "left").select(*keys, F.coalesce(ids, none).alias("input_ids"))
+
+
+def _numbered(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with a number for every row, written once so that the numbers stay."""
+    return materialize(df.withColumn("_row", F.monotonically_increasing_id()), name)
 
 
 def training_arrays(encoded: DataFrame, max_len: int, pad_id: int, ids: str = "input_ids") -> DataFrame:
@@ -102,7 +113,10 @@ def decode(
     skip_special: bool = True,
     max_inline: int = MAX_INLINE_ROWS,
 ) -> DataFrame:
-    """``(keys, text)``: tokens of the ids joined again; special tokens are dropped. Sizes as in ``encode``."""
+    """``(keys, text)`` of every row: tokens of the ids joined again; special tokens are dropped.
+
+    Sizes as in ``encode``; of an id that the vocabulary holds twice the smallest token counts.
+    """
     shown = vocab.filter(~F.col("is_special")) if skip_special else vocab
     words = shown.select("token_id", "token")
     table = inline_table(words, "token_id", "token", max_inline)
@@ -111,7 +125,8 @@ def decode(
         held = df.select(*keys, ids, table.alias("_table"))
         found = F.transform(ids, lambda i: look_up(F.col("_table"), i.cast(kind)))
         return held.select(*keys, F.coalesce(F.array_join(found, ""), F.lit("")).alias("text"))
-    long = df.select(*keys, F.posexplode_outer(ids).alias("_pos", "_id"))
-    found = lookup(long, words, F.col("_id") == F.col("token_id"))
-    joined = found.groupBy(*keys).agg(F.expr("listagg(token, '') within group (order by _pos)").alias("text"))
-    return joined.withColumn("text", F.coalesce("text", F.lit("")))
+    rows = _numbered(df.select(*keys, F.col(ids).alias("_ids")), "decode")
+    long = rows.select("_row", F.posexplode("_ids").alias("_pos", "_id"))
+    found = lookup(long, unique_keys(words, "token_id", "token"), F.col("_id") == F.col("token_id"))
+    joined = found.groupBy("_row").agg(F.expr("listagg(token, '') within group (order by _pos)").alias("text"))
+    return rows.join(joined, "_row", "left").select(*keys, F.coalesce("text", F.lit("")).alias("text"))

@@ -1,29 +1,29 @@
 """Running aggregates per key that survive a key holding a large share of all rows.
 
 A window over one key is one task. ``with_runs`` counts the rows per key first (only the key columns are
-read, and the counts are combined before the shuffle). When no key is too big the table is returned as it
-is and every window stays a plain one. Otherwise the rows of the big keys are range-partitioned by key and
+read, and the counts are combined before the shuffle). Its result always has a run number. When no key is too
+big that is one constant, marked as such, and every window stays a plain one. Otherwise the rows of the big keys are range-partitioned by key and
 order into *runs* of similar size, written once, and carry a run number. ``running`` then works inside
 each run and adds what the earlier runs of the key sum up to, a table of at most one row per run.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.plans.lookup import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, has_at_most
 from corpusloom.session import materialize
 
 RUN = "_run"
 WHOLE = -1  # run number of every row whose key was not split
 MAX_ROWS_PER_KEY = 1_000_000
-# No more than this many keys can each hold more than total / MAX_HOT_KEYS rows, so the list of them is
-# small whatever the data is.
-MAX_HOT_KEYS = 10_000
+# Tasks that the rows of all big keys are dealt over at most; beyond it runs grow, nothing else changes.
+MAX_RUNS = 200_000
+_SPLIT = "split"  # metadata of the run number: whether any key was split
 
 
 @dataclass(frozen=True)
@@ -58,19 +58,18 @@ def _same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
 def with_runs(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int = MAX_ROWS_PER_KEY
 ) -> DataFrame:
-    """Add a run number when a key holds more than ``max_rows`` rows; see the module text.
+    """Add a run number, of more than one value for keys with more than ``max_rows`` rows; see the module text.
 
     Select the needed columns first: the rows of big keys are written once. ``order`` should tell the rows of
-    a key apart.
+    a key apart. The limit is the same whatever the table holds; the big keys are a written table of any size.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    rows, top = counts.agg(F.sum("_n"), F.max("_n")).first()
-    limit = max(max_rows, (rows or 0) // MAX_HOT_KEYS)
-    if (top or 0) <= limit:
-        return df
-    big = counts.filter(F.col("_n") > limit).collect()  # fewer than MAX_HOT_KEYS rows, see above
-    runs = sum(math.ceil(row["_n"] / limit) for row in big) + 1
-    hot = F.broadcast(df.sparkSession.createDataFrame(big, counts.schema)).withColumnRenamed("_n", "_hot")
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_hot"))
+    hot = materialize(counts.filter(F.col("_hot") > max_rows), "hot-keys")
+    runs = hot.agg(F.sum(F.ceil(F.col("_hot") / max_rows))).first()[0]
+    if not runs:
+        return df.select("*", F.lit(WHOLE).alias(RUN, metadata={_SPLIT: False}))
+    runs = min(int(runs) + 1, MAX_RUNS)
+    hot = F.broadcast(hot) if has_at_most(hot, MAX_BROADCAST_ROWS, MAX_BROADCAST_BYTES) else hot
     marked = df.join(hot, _same(df, hot, keys), "left").select(*[df[c] for c in df.columns], "_hot")
     split = (
         marked.filter(F.col("_hot").isNotNull())
@@ -81,15 +80,21 @@ def with_runs(
     # The run numbers are read twice below, so they must not be computed twice.
     split = materialize(split, "runs")
     rest = marked.filter(F.col("_hot").isNull()).drop("_hot").withColumn(RUN, F.lit(WHOLE))
-    return rest.unionByName(split)
+    both = rest.unionByName(split)
+    return both.select(*[c for c in both.columns if c != RUN], F.col(RUN).alias(RUN, metadata={_SPLIT: True}))
 
 
 def without_runs(df: DataFrame) -> DataFrame:
     return df.drop(RUN)
 
 
+def is_split(df: DataFrame) -> bool:
+    """Whether some key's rows are in several runs."""
+    return RUN in df.columns and df.schema[RUN].metadata.get(_SPLIT, True)
+
+
 def run_keys(df: DataFrame, keys: Sequence[str]) -> list[str]:
-    return [*keys, RUN] if RUN in df.columns else list(keys)
+    return [*keys, RUN] if is_split(df) else list(keys)
 
 
 def ordering(order: Sequence[str], reverse: bool = False) -> list[Column]:
@@ -109,7 +114,7 @@ def running(
         for name, spec in columns.items()
     ]
     out = df.select("*", *local)
-    if RUN not in df.columns:
+    if not is_split(df):
         return _zero_sums(out, columns)
 
     sums = (

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from corpusloom.operators.chunks import (
     END,
@@ -14,14 +15,14 @@ from corpusloom.operators.chunks import (
     MIN_CHUNK,
     REPETITION_WINDOW,
     STREAM,
-    budget_guard,
+    mark_budget,
     rechunk,
     repetition_guard,
     suppress_think,
     take_until_sentinel,
 )
 from corpusloom.functions.text import THINK_CLOSE, THINK_OPEN
-from corpusloom.plans.ordered import MAX_ROWS_PER_KEY, with_runs, without_runs
+from corpusloom.plans.ordered import MAX_ROWS_PER_KEY, largest, running, with_runs, without_runs
 from corpusloom.plans.text import BLOCK_ROWS
 
 
@@ -42,17 +43,23 @@ def filter_replies(
 ) -> DataFrame:
     """Budget, hidden blocks, chunk size, repetition, sentinel: in this order.
 
-    The budget counts all chunks, the repetition guard sees only the re-chunked text. After the budget a
-    stream has at most ``max_tokens`` chunks, so what follows needs no further splitting. ``split_above`` is
+    The budget counts all chunks, the repetition guard sees only the re-chunked text. What a stream holds back at
+    its end comes out untested; a stream that the budget stops has no such rest. A budget of up to ``BLOCK_ROWS``
+    chunks makes every stream small, so what follows needs no further splitting. ``split_above`` is
     the number of chunks from which one stream is worked on in parts; null leaves out the count that finds
     such streams.
     """
-    if max_tokens > BLOCK_ROWS:
-        raise ValueError(f"max_tokens must not exceed {BLOCK_ROWS}")
     if split_above is not None:
         chunks = with_runs(chunks, keys, (index,), split_above)
-    within = without_runs(budget_guard(chunks, max_tokens, max_seconds, keys, (index,), ts))
+    marked = mark_budget(chunks, max_tokens, max_seconds, keys, (index,), ts)
+    over = F.col("stop_reason").isNotNull().cast("int")
+    marked = running(marked, keys, (index,), reverse=True, _cut=largest(over))  # 1 on every chunk of a stopped stream
+    within = marked.filter("stop_reason IS NULL").drop("stop_reason")
+    small = max_tokens <= BLOCK_ROWS  # then every stream is small from here on
+    within = without_runs(within) if small else within
     shown = suppress_think(within, open_tag, close_tag, keys, (index,), content)
-    pieces = rechunk(shown, min_len, keys, index, content, bounded=True)
-    fresh = repetition_guard(pieces, window, keys, (index,), content)
-    return take_until_sentinel(fresh, end, keys, (index,), content)
+    pieces = rechunk(shown, min_len, keys, index, content, bounded=small, cut="_cut")
+    if not small and split_above is not None:
+        pieces = with_runs(pieces, keys, (index,), split_above)
+    fresh = repetition_guard(pieces, window, keys, (index,), content, exempt=F.length(content) < min_len)
+    return without_runs(take_until_sentinel(fresh, end, keys, (index,), content))

@@ -1,15 +1,19 @@
-"""Using all cores on an input that comes in too few splits."""
+"""Using all cores on an input that comes in one or two splits."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+# A scan of so few splits holds no more than that many times ``spark.sql.files.maxPartitionBytes``.
+MAX_SPLITS = 2
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-partition by ``keys`` when a scan has fewer splits than the session has cores.
 
-    For work that costs much more than moving its input, such as long regular expressions over one small
-    file with a single row group. A large table has more splits than cores and is left as it is.
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out the rows of a scan of at most ``MAX_SPLITS`` splits over the session's cores.
+
+    For work that costs much more than moving its input, such as long regular expressions over one small file
+    with a single row group. What is moved is bounded by the splits; any larger table is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+    splits = df.rdd.getNumPartitions()
+    return df.repartition(cores) if splits <= min(MAX_SPLITS, cores - 1) else df

@@ -5,8 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,8 +64,8 @@ def load_with_report(
             rows = df.count() if count else None
             tables[source.name] = df
             report.append((source.name, LOADED, rows, None))
-        except (PySparkException, Py4JJavaError, ValueError) as error:
-            report.append((source.name, FAILED, None, str(error).splitlines()[0]))
+        except Exception as error:  # whatever goes wrong with one source is its row in the report
+            report.append((source.name, FAILED, None, (str(error).splitlines() or [type(error).__name__])[0]))
     return tables, spark.createDataFrame(report, REPORT_SCHEMA)
 
 

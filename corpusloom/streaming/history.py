@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from corpusloom.functions.text import CJK_FIRST, CJK_LAST
 from corpusloom.operators.conversations import EXIT_COMMANDS, MAX_ROUNDS, PROMPT_SUFFIX, RESET_COMMANDS
 from corpusloom.operators.instruct import ROLE_TAGS
 
 STATE = "next_turn bigint, begun string, lead string, segment bigint, ended boolean, messages string, waiting string"
 FRESH = (0, None, None, 0, False, "[]", "[]")
-CJK = re.compile("[一-鿿]")
+CJK = re.compile(f"[{chr(CJK_FIRST)}-{chr(CJK_LAST)}]")
 
 
 def stream_history(

@@ -65,6 +65,38 @@ def stream_reply_filter(
             out.append((index, piece))
             return True
 
+        def put_rest() -> None:
+            """What is held at the end of a stream comes out untested."""
+            if held and held != end:
+                out.append((start, held))
+
+        def advance() -> None:
+            """Take the waiting chunk that is next."""
+            nonlocal next_idx, seen, first_at, hidden, held, start, stopped
+            index, at, content, last = waiting.pop(next_idx)
+            next_idx += 1
+            seen += 1
+            first_at = at if seen == 1 else first_at
+            late = at is not None and first_at is not None and at - first_at > max_seconds
+            over = late or seen > max_tokens
+            if not over:
+                content = content or ""
+                if open_tag in content:
+                    hidden, content = True, ""
+                elif close_tag in content:
+                    hidden, content = False, "\n"
+                elif hidden:
+                    content = ""
+                if content:
+                    start = index if not held else start
+                    held += content
+                    if len(held) >= min_len:
+                        stopped, held = not emit(start, held), ""
+            if (over or last) and not stopped:
+                if not over:
+                    put_rest()
+                stopped, held = True, ""
+
         def rows_out() -> pd.DataFrame:
             frame = pd.DataFrame(out, columns=["chunk_idx", "content"])
             frame.insert(0, "stream_id", key[0])
@@ -72,8 +104,12 @@ def stream_reply_filter(
             return frame
 
         if state.hasTimedOut:
-            if held and not stopped:
-                emit(start, held)
+            # no more input: what waits behind a gap comes out in order, then the rest
+            while waiting and not stopped:
+                next_idx = min(waiting)
+                advance()
+            if not stopped:
+                put_rest()
             state.remove()
             if out:
                 yield rows_out()
@@ -83,29 +119,7 @@ def stream_reply_filter(
                 if index >= next_idx and not stopped:
                     waiting[int(index)] = [int(index), None if pd.isna(at) else float(at), content, bool(last)]
             while not stopped and next_idx in waiting:
-                index, at, content, last = waiting.pop(next_idx)
-                next_idx += 1
-                seen += 1
-                first_at = at if seen == 1 else first_at
-                late = at is not None and first_at is not None and at - first_at > max_seconds
-                over = late or seen > max_tokens
-                if not over:
-                    content = content or ""
-                    if open_tag in content:
-                        hidden, content = True, ""
-                    elif close_tag in content:
-                        hidden, content = False, "\n"
-                    elif hidden:
-                        content = ""
-                    if content:
-                        start = index if not held else start
-                        held += content
-                        if len(held) >= min_len:
-                            stopped, held = not emit(start, held), ""
-                if (over or last) and not stopped:
-                    if held:
-                        emit(start, held)
-                    stopped, held = True, ""
+                advance()
             if out:
                 yield rows_out()
         if stopped:

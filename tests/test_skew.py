@@ -27,7 +27,7 @@ from corpusloom.operators.conversations import (
 from corpusloom.operators.sessions import idle_sessions
 from corpusloom.operators.tokens import build_vocab, decode, encode
 from corpusloom.plans.lookup import lookup
-from corpusloom.plans.ordered import RUN, with_runs, without_runs
+from corpusloom.plans.ordered import RUN, is_split, with_runs, without_runs
 from corpusloom.plans.prompts import conversation_prompts
 from corpusloom.plans.text import ordered_concat
 from corpusloom.session import materialize
@@ -157,7 +157,8 @@ def test_templates_equal_an_attached_system_row(talk):
 
 
 def test_small_keys_are_left_alone(chunks):
-    assert with_runs(chunks, ["stream_id"], ["chunk_idx"]) is chunks
+    whole = with_runs(chunks, ["stream_id"], ["chunk_idx"])
+    assert not is_split(whole) and bag_of(without_runs(whole)) == bag_of(chunks)
 
 
 def loop_rechunk(contents, min_len):

@@ -182,12 +182,13 @@ def test_classify_names(frame, names, label):
 
 
 def test_sizes(frame):
-    assert value(frame, size_from_name, "x-1.5b") == 1.5e9
+    assert value(frame, size_from_name, "qwen-x-1.5b") == 1.5e9
     assert value(frame, size_from_name, "x") == 0
-    assert value(frame, lambda c: size_from_name(c, only_with="qwen"), "x-7b") == 0
-    assert value(frame, lambda c: size_from_name(c, only_with="qwen"), "Qwen-7b") == 7e9
-    assert value(frame, lambda c: size_from_name(F.lit("x-7b"), c), 12e9, "double") == 12e9
-    assert value(frame, lambda c: size_from_name(F.lit("x-7b"), c), 0.0, "double") == 7e9
+    assert value(frame, size_from_name, "x-7b") == 0
+    assert value(frame, lambda c: size_from_name(c, only_with=""), "x-7b") == 7e9
+    assert value(frame, size_from_name, "Qwen-72b") == 72e9
+    assert value(frame, lambda c: size_from_name(F.lit("qwen-7b"), c), 12e9, "double") == 12e9
+    assert value(frame, lambda c: size_from_name(F.lit("qwen-7b"), c), 0.0, "double") == 7e9
     assert value(frame, is_large, 12e9, "double") is True
     assert value(frame, is_large, 1.5e9, "double") is False
 
