@@ -11,6 +11,7 @@ from corpusloom.operators.conversations import (
     first_system,
     mark_segments,
     prompt_at_turn,
+    prompt_ranges,
     render_prompt,
     segment_on_reset,
     trim_history,
@@ -110,6 +111,14 @@ def f2_prompt_at_turn_10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prompt_at_turn(_conv(spark, sf_dir))
 
 
+@query(
+    f"""WITH {_prompts_sql('conversations', 10)}
+    SELECT conv_id, turn, greatest(a - 19, 1) AS lo, pos AS hi FROM answered WHERE role = 'user'"""
+)
+def f2_prompt_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prompt_ranges(_conv(spark, sf_dir))
+
+
 IS_RESET = "(role = 'user' AND trim(lower(text), ' \t\n') IN ('clear', 'reset', '清除', '重置'))"
 IS_EXIT = "(role = 'user' AND trim(lower(text), ' \t\n') IN ('exit', 'quit'))"
 SEGMENTS_SQL = f"""segmented AS (

@@ -18,6 +18,7 @@ from corpusloom.functions.text import (
 )
 from corpusloom.plans.ordered import is_split, largest, run_keys, running, smallest, total
 from corpusloom.plans.text import BLOCK_ROWS, ordered_concat
+from corpusloom.session import materialize
 
 # --- fixed values -------------------------------------------------------------------------------------
 END = "||END||"
@@ -234,11 +235,15 @@ def rechunk(
         .groupBy(*keys, "_block")
         .agg(F.sort_array(F.collect_list(F.struct(F.col(index).cast("long").alias("i"), F.col(content).alias("c")))).alias("_items"), stopped)
     )
-    if bounded:
+    chained = False
+    if not bounded:
+        # the blocks are read several times below; only streams that reach a second one need chaining
+        blocks = materialize(blocks, "rechunk-blocks")
+        long = blocks.filter("_block > 0").select(*keys).distinct()
+        chained = bool(long.take(1))
+    if not chained:
         entered = blocks.withColumn("_entry", _open_piece(F.lit(0), F.lit(None)))
     else:
-        # only streams that reach a second block need chaining; on a stored table this filter is pushed down
-        long = used.filter(F.col(index) >= block_rows).select(*keys).distinct()
         entries = _block_entries(blocks.join(long, list(keys), "left_semi"), keys, min_len)
         entered = blocks.join(entries, [*keys, "_block"], "left").withColumn(
             "_entry", F.coalesce("_entry", _open_piece(F.lit(0), F.lit(None)))
@@ -268,18 +273,22 @@ def rechunk(
     pieces = F.concat(F.col("_f.out"), tail)
     exploded = out.select(*keys, "_block", "_cut", F.explode(pieces).alias("_p"))
     index_type = chunks.schema[index].dataType
-    if bounded:
-        ended = (F.col("_cut") == 0) | (F.length("_p.text") >= min_len)
+    ended = (F.col("_cut") == 0) | (F.length("_p.text") >= min_len)
+    if not chained:
         return exploded.filter(ended).select(
             *keys, F.col("_p.start").cast(index_type).alias(index), F.col("_p.text").alias(content)
         )
-    # a piece that crosses blocks has its parts in several of them
-    parts = exploded.select(*keys, F.col("_p.start").alias(index), "_block", "_cut", F.col("_p.text").alias("_part"))
+    # a piece that crosses blocks has its parts in several of them; those of other streams are whole
+    marked = exploded.join(long.withColumn("_long", F.lit(True)), list(keys), "left")
+    whole = marked.filter(F.col("_long").isNull() & ended).select(
+        *keys, F.col("_p.start").cast(index_type).alias(index), F.col("_p.text").alias(content)
+    )
+    parts = marked.filter("_long").select(*keys, F.col("_p.start").alias(index), "_block", "_cut", F.col("_p.text").alias("_part"))
     merged = parts.groupBy(*keys, index).agg(
         F.expr("listagg(_part, '') within group (order by _block)").alias(content), F.max("_cut").alias("_cut")
     )
     ended = (F.col("_cut") == 0) | (F.length(content) >= min_len)
-    return merged.filter(ended).drop("_cut").withColumn(index, F.col(index).cast(index_type))
+    return whole.unionByName(merged.filter(ended).drop("_cut").withColumn(index, F.col(index).cast(index_type)))
 
 
 def _open_piece(n: Column, start: Column) -> Column:

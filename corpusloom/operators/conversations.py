@@ -208,6 +208,42 @@ def trim_history(
     return counted.filter(live).select(*conv.columns)
 
 
+def _numbered(rows: DataFrame, history: Sequence[str], turn: str) -> tuple[DataFrame, DataFrame]:
+    """The messages of every history numbered from 1, and the same with the number of the last reply before each."""
+    numbered = running(rows, history, (turn,), _pos=total(F.lit(1).cast("long")))
+    reply = F.when(F.col("_reply"), F.col("_pos"))
+    return numbered, running(numbered, history, (turn,), _reply_pos=largest(reply, before=True))
+
+
+def _lowest(max_rounds: int) -> Column:
+    """The first message of the history that a message is answered from."""
+    return F.greatest(F.coalesce("_reply_pos", F.lit(0)) - 2 * max_rounds + 1, F.lit(1))
+
+
+def prompt_ranges(
+    conv: DataFrame,
+    max_rounds: int = MAX_ROUNDS,
+    keys: Sequence[str] = ("conv_id",),
+    turn: str = "turn",
+    role: str = "role",
+) -> DataFrame:
+    """``(keys, turn, lo, hi)`` per user message: which messages of its history ``prompt_at_turn`` puts in its prompt.
+
+    Messages other than system ones are numbered from 1 inside their history. One row a prompt whatever its length,
+    so the table stays linear where the prompts themselves would grow with the square of a conversation.
+    """
+    history = [*keys, SEGMENT] if SEGMENT in conv.columns else list(keys)
+    rows = conv.filter(~_is(role, "system")).select(
+        *history,
+        *[c for c in (RUN,) if c in conv.columns],
+        turn,
+        _is(role, "user").alias("_user"),
+        _is(role, "assistant").alias("_reply"),
+    )
+    answered = _numbered(rows, history, turn)[1].filter("_user")
+    return answered.select(*history, turn, _lowest(max_rounds).alias("lo"), F.col("_pos").alias("hi"))
+
+
 def prompt_at_turn(
     conv: DataFrame,
     max_rounds: int = MAX_ROUNDS,
@@ -256,18 +292,12 @@ def prompt_at_turn(
         )
         led = F.col(f"_first.{turn}") == F.col("_begin")
         with_system = marked.withColumn("_lead", F.when(led, F.col("_first._line")).otherwise(chosen))
-    numbered = running(
-        with_system.filter(~F.col("_system")), history, (turn,), _pos=total(F.lit(1).cast("long"))
-    )
-    answered = running(
-        numbered, history, (turn,), _reply_pos=largest(F.when(F.col("_reply"), F.col("_pos")), before=True)
-    )
+    numbered, answered = _numbered(with_system.filter(~F.col("_system")), history, turn)
 
     width = 2 * max_rounds + 1
-    lowest = F.greatest(F.coalesce("_reply_pos", F.lit(0)) - 2 * max_rounds + 1, F.lit(1))
     prompts = (
         answered.filter("_user")
-        .select(*history, turn, "_lead", F.col("_pos").alias("_p"), lowest.alias("_lo"))
+        .select(*history, turn, "_lead", F.col("_pos").alias("_p"), _lowest(max_rounds).alias("_lo"))
         .withColumn("_block", F.explode(F.sequence(F.floor(F.col("_lo") / width), F.floor(F.col("_p") / width))))
     )
     messages = numbered.select(*history, "_pos", "_line", F.floor(F.col("_pos") / width).alias("_block"))
