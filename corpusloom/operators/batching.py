@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 EPOCHS = 3
 CPU_BATCH, CPU_ACCUMULATE = 2, 16
 # ------------------------------------------------------------------------------------------------------
-BUCKET_DIGITS = 3
-# The offsets of all buckets are broadcast: 16 ** digits * epochs rows at most, whatever the table holds.
-MAX_BUCKETS = 16**5
+# A bucket is numbered in one task; more rows than this in the mean take another digit.
+BUCKET_ROWS = 1_000_000
 
 
 def batch_plan(
@@ -21,16 +20,19 @@ def batch_plan(
     per_device: int = CPU_BATCH,
     accumulate: int = CPU_ACCUMULATE,
     seed: int = 42,
-    bucket_digits: int = BUCKET_DIGITS,
+    bucket_digits: int | None = None,
 ) -> DataFrame:
     """``(epoch, rn, micro_batch, step, id)`` with a new, repeatable order in every epoch.
 
     Rows are ordered by a hash of seed, epoch and id. The first hex digits of the hash are ordered buckets of
     even size; numbering inside the buckets plus the rows of the buckets before gives the global number
-    without sorting an epoch in one task. ``bucket_digits=4`` suits tables of more than some 10^10 rows.
+    without sorting an epoch in one task. The number of digits follows from the number of rows, so buckets stay
+    small; the order does not depend on it.
     """
-    if 16**bucket_digits * epochs > MAX_BUCKETS:
-        raise ValueError("too many buckets to broadcast their offsets")
+    if bucket_digits is None:
+        rows, bucket_digits = df.count(), 1
+        while rows > BUCKET_ROWS * 16**bucket_digits:
+            bucket_digits += 1
     text = F.concat_ws("|", F.lit(str(seed)), F.col("epoch").cast("string"), F.col(id_column).cast("string"))
     rows = (
         df.select(id_column, F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("epoch"))
@@ -44,7 +46,7 @@ def batch_plan(
         .select("epoch", "_bucket", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
     )
     inside = F.row_number().over(Window.partitionBy("epoch", "_bucket").orderBy("_key", id_column))
-    numbered = rows.withColumn("_in", inside).join(F.broadcast(offsets), ["epoch", "_bucket"])
+    numbered = rows.withColumn("_in", inside).join(offsets, ["epoch", "_bucket"])
     rn = F.col("_offset") + F.col("_in") - 1
     return numbered.select("epoch", rn.alias("rn"), id_column).select(
         "epoch",
