@@ -10,8 +10,10 @@ text of fewer words is one shingle; without words the set is empty and the docum
 3. Representatives meet where the four registers of one of 40 bands agree: at similarity 0.75 a pair is missed
    by all bands with probability (1 - 0.75^4)^40 < 3e-7.
 4. Two rounds of links. First every bucket's most connected member is compared with the others, a number of pairs
-   no larger than the buckets. Then only members of a bucket that are still in different components are compared.
-   A pair already joined by other links needs no test, for the result is components.
+   no larger than the buckets. Then only members of a bucket that are still in different components are compared,
+   and of those only pairs that share enough: what a document has in common with no other component is counted
+   once and bounds its similarity to any. A pair already joined by other links needs no test, for the result is
+   components.
 5. A pair whose joint likelihood puts its similarity far below the limit is left; all others are verified on the
    full sets of words, exactly.
 6. Components by repeated large-star and small-star steps on written tables.
@@ -24,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -167,23 +170,36 @@ def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     last, known = None, set()
     for batch in batches:
-        keep = []
+        shared, missing, linked = [], [], []
         for a, b in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()):
             if a != last:
                 last, known = a, shingles(a)
             other = shingles(b)
             both = len(known & other)
-            keep.append(bool(known) and LIMIT[1] * both >= LIMIT[0] * (len(known) + len(other) - both))
-        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            shared.append(both)
+            missing.append(_bits(known - other))
+            linked.append(bool(known) and LIMIT[1] * both >= LIMIT[0] * (len(known) + len(other) - both))
+        columns = [batch.column("a"), batch.column("b"), pa.array(shared, pa.int64()), pa.array(missing, pa.int64()), pa.array(linked, pa.bool_())]
+        yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "shared", "missing", "linked"])
 
 
-def _links(pairs: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are as similar as the limit asks, written."""
+def _bits(some: set[tuple[bytes, ...]]) -> int:
+    """64 bits, one set by each shingle: a bit that only one of two sets has proves a shingle that only it has."""
+    bits = 0
+    for shingle in some:
+        bits |= 1 << (zlib.crc32(b" ".join(shingle)) & 63)
+    return bits - (1 << 64) if bits >> 63 else bits
+
+
+def _compared(pairs: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
+    """The likely ones of the pairs (a, b), written: how many shingles they ``shared``, bits of those of a that b is
+    ``missing``, and whether they are ``linked``.
+    """
     side = lambda s: reps.select(F.col("doc_id").alias(s), F.col("n_shingles").alias(f"n_{s}"), F.col("bands").alias(f"bands_{s}"))
     judged = pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_likely, "a long, b long")
     judged = materialize(judged, "neardup-judged")
     text = lambda s: texts.select(F.col("doc_id").alias(s), F.col("text").alias(f"text_{s}"))
-    return materialize(judged.join(text("b"), "b").join(text("a"), "a").mapInArrow(_verify, "a long, b long"), "neardup-links")
+    return materialize(judged.join(text("b"), "b").join(text("a"), "a").mapInArrow(_verify, "a long, b long, shared long, missing long, linked boolean"), "neardup-links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -213,38 +229,110 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.shiftright(h, 16)), F.bit_xor(h)).first())
 
 
+def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sketcher = Sketcher()
+    for batch in batches:
+        hashes = [sketcher.hashes(words_of(text)).view("<i8") for text in batch.column("text").to_pylist()]
+        columns = [batch.column("doc_id"), batch.column("component"), pa.array(hashes, pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "component", "hashes"])
+
+
+def _shared_sizes(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """``doc_id, n_shared``: how many shingles of a document occur in any document of another component.
+
+    No set outside its component can share more with it. Hashes that collide make the number larger, never smaller.
+    """
+    held = texts.join(members, "doc_id").mapInArrow(_hashes, "doc_id long, component long, hashes array<long>")
+    held = held.select("doc_id", "component", F.explode("hashes").alias("hash"))
+    spread = held.groupBy("hash").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
+    return held.join(spread.select("hash"), "hash").groupBy("doc_id").agg(F.count("*").alias("n_shared"))
+
+
+def _mixed(met: DataFrame) -> DataFrame:
+    """The rows of buckets that hold more than one component, with the component of the bucket's hub."""
+    ends = met.groupBy("band", "value").agg(
+        F.min("component").alias("lo"),
+        F.max("component").alias("hi"),
+        F.min("n_shingles").alias("n_least"),
+        F.max(F.when(F.col("doc_id") == F.col("hub"), F.col("component"))).alias("hub_component"),
+    )
+    return met.join(ends.filter("lo <> hi").drop("lo", "hi"), ["band", "value"])
+
+
+def _across(met: DataFrame, compared: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs of bucket members in different components that could be as similar as the limit asks.
+
+    With s shared shingles at most, two sets of n and m have a similarity of at most s / (n + m - s). What bounds s:
+
+    - what a document shares with all other components together (``n_shared``);
+    - inside the bucket's hub what each shares with the hub, as compared in the first round, less what only the
+      other is missing there; plus outside of it what each shares with other components.
+
+    Members that the first bound rules out with any other of their bucket leave at once. So a large group of edited
+    copies, each close to a common original but not to one another, does not meet all against all. A pair comes
+    out of the first of the bands it has in common.
+    """
+    met = materialize(_mixed(met), "neardup-mixed")
+    shared = materialize(_shared_sizes(met.select("doc_id", "component").distinct(), texts), "neardup-shared")
+    met = met.join(shared, "doc_id")
+    enough = "{1} * {2} >= {0} * ({3} + {4} - {2})".format
+    met = met.filter(enough(*LIMIT, "n_shared", "n_shingles", "greatest(n_shared, n_least)")).drop("n_least", "hub_component")
+    met = _mixed(met).drop("n_least")
+    known = compared.select(F.col("a").alias("hub"), F.col("b").alias("doc_id"), F.col("shared").alias("in_hub"), "missing")
+    met = met.join(known, ["hub", "doc_id"], "left")
+    in_hub = F.when(F.col("doc_id") == F.col("hub"), F.col("n_shingles")).otherwise(F.col("in_hub"))
+    # a hub of another component shares only what counts as shared with other components
+    other = F.coalesce(F.col("component") != F.col("hub_component"), F.lit(False))
+    outside = F.when(other, F.col("n_shared") - in_hub).otherwise(F.least("n_shared", F.col("n_shingles") - in_hub))
+    missing = F.when(F.col("doc_id") == F.col("hub"), F.lit(0)).otherwise(F.col("missing"))
+    met = met.withColumns({"in_hub": in_hub, "outside": outside, "missing": missing}).join(reps.select("doc_id", "bands"), "doc_id")
+    met = materialize(met.select("band", "value", "doc_id", "component", "n_shingles", "n_shared", "in_hub", "missing", "outside", "bands"), "neardup-mixed")
+    side = lambda s: met.select("band", "value", *[F.col(c).alias(f"{c}_{s}") for c in met.columns[2:]])
+    inside = "least(in_hub_a - bit_count(missing_b & ~missing_a), in_hub_b - bit_count(missing_a & ~missing_b))"
+    most = f"least(n_shared_a, n_shared_b, {inside} + least(outside_a, outside_b))"
+    bounded = "in_hub_a IS NULL OR in_hub_b IS NULL"
+    most = f"CASE WHEN {bounded} THEN least(n_shared_a, n_shared_b) ELSE {most} END"
+    can = enough(*LIMIT, most, "n_shingles_a", "n_shingles_b")
+    first = "array_position(zip_with(bands_a, bands_b, (x, y) -> x = y), true) = band + 1"
+    both = side("a").join(side("b"), ["band", "value"]).filter(f"component_a < component_b AND {can} AND {first}")
+    return both.select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row: ``component_id`` is the smallest linked id."""
     rows = materialize(sketches(docs), "neardup-sketches")
     some = rows.filter("doc_id IS NOT NULL AND set_key IS NOT NULL").withColumn("doc_id", F.col("doc_id").cast("long"))
     of_set = some.groupBy("set_key").agg(F.min("doc_id").alias("rep"))
     same = some.select("set_key", "doc_id").join(of_set, "set_key").filter("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    reps = materialize(some.join(of_set.select("set_key", F.col("rep").alias("doc_id")), ["set_key", "doc_id"]).dropDuplicates(["set_key"]).select("doc_id", "n_shingles", "bands"), "neardup-reps")
+    # a set's own row is found by its doc_id, which no large group of copies shares
+    first = of_set.select(F.col("rep").alias("doc_id"), F.col("set_key").alias("own_key"))
+    reps = some.join(first, "doc_id").filter("set_key = own_key").dropDuplicates(["doc_id", "set_key"])
+    reps = materialize(reps.select("doc_id", "n_shingles", "bands"), "neardup-reps")
 
-    met = reps.select("doc_id", F.posexplode("bands").alias("band", "value"))
+    met = reps.select("doc_id", "n_shingles", F.posexplode("bands").alias("band", "value"))
     counted = met.groupBy("band", "value").agg(F.count("*").alias("n")).filter("n > 1")
     met = materialize(met.join(counted, ["band", "value"]), "neardup-bands")
     degree = met.groupBy("doc_id").agg(F.sum("n").alias("degree"))
-    met = met.join(degree, "doc_id")
     texts = texts_of(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    texts = texts.join(degree.select("doc_id"), "doc_id", "left_semi")
-    texts = materialize(texts, "neardup-texts")
+    texts = materialize(texts.join(degree.select("doc_id"), "doc_id", "left_semi"), "neardup-texts")
 
-    hub = met.groupBy("band", "value").agg(F.max(F.struct(F.col("degree"), -F.col("doc_id"))).alias("hub"))
+    ranked = met.join(degree, "doc_id")
+    hub = ranked.groupBy("band", "value").agg(F.max(F.struct(F.col("degree"), -F.col("doc_id"))).alias("hub"))
     hub = hub.select("band", "value", (-F.col("hub.col2")).alias("a"))
     pairs = met.join(hub, ["band", "value"]).filter("doc_id <> a").select("a", F.col("doc_id").alias("b")).distinct()
-    links = _links(pairs, reps, texts)
-
-    label = components(links.union(same))
-    met = met.join(label, "doc_id", "left").withColumn("component", F.coalesce("component_id", "doc_id")).select("band", "value", "doc_id", "component")
-    mixed = met.groupBy("band", "value").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
-    met = materialize(met.join(mixed.select("band", "value"), ["band", "value"]), "neardup-mixed")
-    left = met.select("band", "value", F.col("doc_id").alias("a"), F.col("component").alias("component_a"))
-    right = met.select("band", "value", F.col("doc_id").alias("b"), F.col("component").alias("component_b"))
-    rest = left.join(right, ["band", "value"]).filter("component_a < component_b").select("a", "b").distinct()
-    more = _links(rest.join(pairs_both(pairs), ["a", "b"], "left_anti"), reps, texts)
-
-    label = materialize(components(links.union(same).union(more)), "neardup-labels")
+    pairs = materialize(pairs, "neardup-pairs")
+    compared = _compared(pairs, reps, texts)
+    links = compared.filter("linked").select("a", "b")
+
+    label = materialize(components(links.union(same)), "neardup-labels")
+    met = met.join(label, "doc_id", "left").withColumn("component", F.coalesce("component_id", "doc_id"))
+    met = met.join(hub.withColumnRenamed("a", "hub"), ["band", "value"])
+    rest = _across(met.select("band", "value", "doc_id", "n_shingles", "component", "hub"), compared, reps, texts)
+    rest = rest.join(pairs_both(pairs), ["a", "b"], "left_anti")
+    more = _compared(rest, reps, texts).filter("linked").select("a", "b")
+
+    if more.take(1):
+        label = materialize(components(links.union(same).union(more)), "neardup-labels")
     kind = rows.schema["doc_id"].dataType
     found = rows.select("doc_id", "n_shingles").join(label.withColumn("doc_id", F.col("doc_id").cast(kind)), "doc_id", "left")
     component = F.coalesce(F.col("component_id"), F.col("doc_id").cast("long"))
