@@ -45,7 +45,7 @@ BASE, RATE, TOP = 1.001, 20.0, 65_534
 # A pair is verified unless its estimated similarity is this many standard errors below the limit.
 ERRORS = 6.0
 # Words whose hashes a worker keeps.
-MAX_WORDS = 1_000_000
+MAX_WORDS = 200_000
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 

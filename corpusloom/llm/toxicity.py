@@ -42,7 +42,7 @@ PREFIXES = (4, 5, 6, 7, 8)
 MIN_ROWS = 5
 SHRINK = 8.0
 INSULT_WEIGHT = 1.8
-MAX_WORDS = 1_000_000
+MAX_WORDS = 200_000
 
 # Seed words of the grammar in the languages of the corpus.
 INSULTS = ("idiot", "moron", "stupid", "loser", "scum", "trash", "worthless", "pathetic", "disgusting", "clown",
