@@ -14,13 +14,15 @@ import re
 import numpy as np
 from tokenizers import Tokenizer
 
-# Entries a worker keeps for chunks and for pieces; beyond it starts again, the results don't change.
-MAX_CHUNKS = 1_000_000
-MAX_PIECES = 800_000
+# Chunks whose ids a worker keeps; beyond it starts again, the results don't change.
+MAX_CHUNKS = 800_000
 END_ID = 0
 
-_RUN = re.compile(r"\s\s|^\s|\s$")
-_CLOSERS = frozenset(",.!?;:")
+_OTHER_SPACE = re.compile(r"[^\S \n]")
+_RUNS = ("  ", " \n", "\n ")
+_CLOSERS = ",.!?;:"
+# New pieces that go to the library as one text.
+JOINED = 64
 
 
 class Encoder:
@@ -31,50 +33,73 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.tokenizer.encode_special_tokens = plain_specials
-        self.chunks: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {}  # ids of a space and the chunk
+        vocabulary = self.tokenizer.get_vocab()
+        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that begin with a space
+        self.opens[[i for token, i in vocabulary.items() if token.startswith("Ġ")]] = True
+        self.marks = dict(zip(_CLOSERS, self._each(list(_CLOSERS))))
 
     def encode(self, text: str) -> bytes:
         """All ids of ``text``, equal to those of one call of the library."""
         return self.encode_all([text])[0]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        split = [_split(text) for text in texts]
-        self._learn_pieces({chunks[0] for chunks in split})
-        self._learn_chunks({c for chunks in split for c in chunks[1:] if c not in self.chunks})
-        get, first = self.chunks.__getitem__, self.pieces
-        out = [first[chunks[0]] + b"".join(map(get, chunks[1:])) for chunks in split]
+        heads, rests, met = [], [], set()
+        for text in texts:
+            parts = _split(text)
+            heads.append(parts[0])
+            del parts[0]
+            rests.append(parts)
+            met.update(parts)
+        self._learn(met.difference(self.chunks))
+        known, first = self.chunks.__getitem__, self._each(heads)
+        out = [head + b"".join(map(known, parts)) for head, parts in zip(first, rests)]
         if len(self.chunks) > MAX_CHUNKS:
             self.chunks.clear()
-        if len(self.pieces) > MAX_PIECES:
-            self.pieces.clear()
         return out
 
-    def _learn_chunks(self, chunks: set[str]) -> None:
+    def _learn(self, chunks: set[str]) -> None:
         """Encode chunks not met before; one of letters, or of letters and one closing mark, is cut by hand."""
-        cuts = {}
+        known, marked, words, others = self.chunks, [], set(), []
         for chunk in chunks:
-            if len(chunk) > 1 and chunk[-1] in _CLOSERS and chunk[:-1].isalpha():
-                cuts[chunk] = (" " + chunk[:-1], chunk[-1])
+            if chunk.isalpha():
+                words.add(chunk)
+            elif chunk[-1:] in self.marks and chunk[:-1].isalpha():
+                marked.append(chunk)
+                if chunk[:-1] not in known:
+                    words.add(chunk[:-1])
             else:
-                cuts[chunk] = (" " + chunk, "")
-        self._learn_pieces({piece for cut in cuts.values() for piece in cut})
-        known, keep = self.pieces, self.chunks
-        for chunk, (piece, mark) in cuts.items():
-            keep[chunk] = known[piece] + known[mark]
-
-    def _learn_pieces(self, pieces: set[str]) -> None:
-        new = [piece for piece in pieces if piece not in self.pieces]
-        for start in range(0, len(new), 4096):
-            some = new[start : start + 4096]
-            for piece, encoded in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.pieces[piece] = np.array(encoded.ids, "<u4").tobytes()
+                others.append(chunk)
+        self._learn_words(list(words))
+        known.update(zip(others, self._each([" " + chunk for chunk in others])))
+        for chunk in marked:
+            known[chunk] = known[chunk[:-1]] + self.marks[chunk[-1]]
+
+    def _learn_words(self, words: list[str]) -> None:
+        """Encode letters behind a space, many in one text; each begins where an id begins with a space."""
+        for start in range(0, len(words), 64 * JOINED):
+            some = words[start : start + 64 * JOINED]
+            texts = [" " + " ".join(some[k : k + JOINED]) for k in range(0, len(some), JOINED)]
+            for k, encoded in enumerate(self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+                ids = np.array(encoded.ids, "<u4")
+                cuts = (4 * np.flatnonzero(self.opens[ids])).tolist()
+                data = ids.tobytes()
+                self.chunks.update(zip(some[k * JOINED :], [data[a:b] for a, b in zip(cuts, [*cuts[1:], len(data)])]))
+
+    def _each(self, texts: list[str]) -> list[bytes]:
+        """Every text by a call of its own."""
+        out = []
+        for start in range(0, len(texts), 4096):
+            encoded = self.tokenizer.encode_batch_fast(texts[start : start + 4096], add_special_tokens=False)
+            out += [np.array(e.ids, "<u4").tobytes() for e in encoded]
+        return out
 
 
 def _split(text: str) -> list[str]:
     """The chunks of a text, all but the first without their leading space."""
     parts = text.split(" ")
-    if _RUN.search(text) is None:
+    runs = any(run in text for run in _RUNS) or _OTHER_SPACE.search(text) or text[:1].isspace() or text[-1:].isspace()
+    if not runs:
         return parts
     out = [parts[0]]
     for part in parts[1:]:

@@ -32,7 +32,7 @@ from corpusloom.llm.encoding import END_ID, encoder
 
 FILE_RECORDS = 8192
 # Bytes of text a step encodes at once.
-STEP_BYTES = 4_000_000
+STEP_BYTES = 2_000_000
 _HEAD, _ID = struct.Struct("<QI"), struct.Struct("<Bq")
 _SUM = struct.Struct("<I")
 WIDE, NO_ID = 1, 2
