@@ -134,7 +134,8 @@ def write_index(spark: SparkSession, path: str, index_path: str) -> DataFrame:
 def with_starts(index: DataFrame) -> DataFrame:
     """Add ``start``: the ids of all records before, over all files in order."""
     part = F.regexp_extract("name", r"^part-(\d+)-", 1).cast("long")
-    piece = F.regexp_extract("name", r"-c(\d+)", 1).cast("long")
+    # the last group of the name: the write's uuid before it may hold a '-c<digit>' of its own
+    piece = F.regexp_extract("name", r"-c(\d+)\.[^-]*$", 1).cast("long")
     files = index.groupBy("name").agg(F.sum("n_tokens").alias("ids")).select("name", "ids", F.struct(part.alias("part"), piece.alias("piece")).alias("place"))
     files = prefix_sums(files, "place", "ids", "before", F.expr("place.part div 256")).select("name", "before")
     return index.join(files, "name").withColumn("start", F.col("before") + F.col("start_in_file"))

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from llm.conftest import SF, TOKENIZER
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from corpusloom.llm import chat, packing, queries, records, rules
@@ -90,6 +91,19 @@ def test_records_round_trip(spark, docs_of, odd_rows):
     assert read == {i: ids_of(t).tolist() for i, t in odd_rows if i in (4, -7)}
 
 
+def test_starts_of_names_whose_uuid_looks_like_a_piece(spark):
+    name = "part-{:05d}-5d0f3a52-8c1e-4b7a-c12d-0a1b2c3d4e5f-c{:03d}.txt{}"
+    places = [(part, piece) for part in (0, 1) for piece in range(12)]
+    rows = [(name.format(*p, ".gz" if p[0] else ""), 100 * k + r, 40 * r, k + 1) for k, p in enumerate(places) for r in (0, 1)]
+    index = spark.createDataFrame(random.Random(5).sample(rows, len(rows)), "name string, doc_id long, offset long, n_tokens long")
+    index = index.withColumn("start_in_file", F.when(F.col("offset") > 0, F.col("n_tokens")).otherwise(0))
+    got = {r["doc_id"]: r["start"] for r in records.with_starts(index).collect()}
+    at = 0
+    for _, doc_id, _, n in rows:
+        assert got[doc_id] == at
+        at += n
+
+
 def test_damage_is_found():
     data = bytearray(records.frame(9, np.array([1, 2, 70_000])))
     assert records.parse(data)[0] == 9 and records.parse(data)[1].tolist() == [1, 2, 70_000]
