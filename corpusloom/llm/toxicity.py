@@ -37,7 +37,6 @@ from pyspark.sql import functions as F
 from corpusloom.llm.common import by_batch, materialize, settled_crc, texts_of
 
 MAX_TRAIN = 20_000
-MAX_LEXICON = 20_000
 PREFIXES = (4, 5, 6, 7, 8)
 MIN_ROWS = 5
 SHRINK = 8.0
@@ -215,21 +214,20 @@ class Model:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, x))))
 
 
-def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_lexicon: int = MAX_LEXICON) -> Model:
-    """Learn lexicon and model. The driver gets at most twice ``max_lexicon`` counts and ``max_train`` short vectors."""
+def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model:
+    """Learn lexicon and model. The driver gets the counts of the lexicon, which ``max_train`` texts bound, and ``max_train`` short vectors."""
     rows = materialize(training_rows(docs, labels, max_train), "toxicity-train")
     n_all, n_toxic = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     counted = rows.select("text", "toxic").mapInArrow(_count_nodes, "node string, toxic long, n long")
     counted = counted.groupBy("node").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
     counted = materialize(counted.filter(F.col("n") >= MIN_ROWS), "toxicity-nodes")
+    counted = counted.withColumn("stem", F.substring("node", 1, PREFIXES[0]))
     # what is likelier in toxic texts, and, below the same beginnings, the words that are not
     lift = F.col("toxic") * max(1, n_all) > 2 * F.col("n") * max(1, n_toxic)
-    telling = counted.filter((F.col("toxic") >= MIN_ROWS) & lift).orderBy(F.desc(F.col("toxic") * F.col("toxic") / F.col("n")), "node").limit(max_lexicon)
-    telling = {r["node"]: (r["toxic"], r["n"]) for r in telling.collect()}
-    stems = docs.sparkSession.createDataFrame([(x,) for x in sorted({x[: PREFIXES[0]] for x in telling})], "stem string")
-    below = counted.withColumn("stem", F.substring("node", 1, PREFIXES[0])).join(F.broadcast(stems), "stem", "left_semi")
-    below = below.orderBy(F.desc("n"), "node").limit(max_lexicon)
-    lexicon = Lexicon({r["node"]: (r["toxic"], r["n"]) for r in below.collect()} | telling, n_toxic, n_all)
+    telling = counted.filter((F.col("toxic") >= MIN_ROWS) & lift).select("stem").distinct()
+    known = counted.join(telling, "stem", "left_semi").select("node", "toxic", "n").toArrow()
+    node, toxic, n = (known.column(c).to_pylist() for c in ("node", "toxic", "n"))
+    lexicon = Lexicon(dict(zip(node, zip(toxic, n))), n_toxic, n_all)
     shared = docs.sparkSession.sparkContext.broadcast((lexicon.counts, n_toxic, n_all))
 
     def learn():

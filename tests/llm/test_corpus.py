@@ -211,6 +211,26 @@ def test_labels_of_held_out_rows_are_not_seen(spark):
     assert toxicity.training_rows(docs, labels, 10).count() == 10
 
 
+def test_the_lexicon_keeps_every_count(spark, docs_of):
+    def spelled(k):
+        return "".join(chr(97 + k // 26**i % 26) for i in (3, 2, 1, 0))
+
+    insults = [spelled(k) for k in range(11_000)]  # 22,000 toxic words and beginnings
+    mild = [f"qwerbad{spelled(k)}" for k in range(21_000)]  # rare harmless words below a toxic beginning
+    texts = [("qwerbad", 1)] * 60 + [(" ".join(insults), 1)] * 6 + [(" ".join(mild), 0)] * 6 + [("fine", 0)] * 700
+    ids = [k for k in range(2000) if zlib.crc32(str(k).encode()) % 5][: len(texts)]
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in zip(ids, texts)], "doc_id long, toxic int")
+    lexicon = toxicity.train(docs_of([(i, t) for i, (t, _) in zip(ids, texts)]), labels).lexicon
+    want, n_toxic = defaultdict(lambda: [0, 0]), 66
+    for text, label in texts:
+        for node in {x for w in text.split() for x in toxicity.nodes_of(w)}:
+            want[node] = [want[node][0] + label, want[node][1] + 1]
+    stems = {x[:4] for x, (t, n) in want.items() if t >= 5 and t * len(texts) > 2 * n * n_toxic}
+    assert lexicon.counts == {x: tuple(c) for x, c in want.items() if c[1] >= 5 and x[:4] in stems}
+    assert {lexicon.classify(w)[0] for w in mild} == {toxicity.OTHER}
+    assert {lexicon.classify(w)[0] for w in ("qwerbad", *insults)} == {toxicity.INSULT}
+
+
 def test_clause_events():
     t = toxicity
     assert t.clause_events([t.INSULT]) == [(0, t.PLAIN)]
