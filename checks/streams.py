@@ -7,7 +7,7 @@ from checks.chunks import FILTER_REPLIES_SQL, STRIP_SQL
 from checks.conversations import PROMPTS_CHAIN_SQL, _sessions_sql
 from checks.registry import TEMPLATES, commands_in, query, streams_of, table, with_markers
 from corpusloom.operators.chunks import assemble_text, chunk_text
-from corpusloom.streaming.history import stream_history
+from corpusloom.streaming.history import closing_turns, stream_history
 from corpusloom.streaming.replies import stream_reply_filter
 from corpusloom.session import scratch_path
 from corpusloom.streaming.sessions import WHOLE_BACKLOG, closing_event, stream_idle_sessions
@@ -34,7 +34,12 @@ def k2_stream_reply_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(PROMPTS_CHAIN_SQL)
 def k3_stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drain(stream_history(commands_in(_stream(spark, sf_dir, "conversations")), TEMPLATES, max_rounds=1), "prompts")
+    conv = table(spark, sf_dir, "conversations")
+    backlog = scratch_path(spark, "conversations")
+    conv.write.parquet(backlog)
+    closing_turns(conv).write.mode("append").parquet(backlog)
+    stream = commands_in(read_stream(spark, backlog, conv.schema))
+    return drain(stream_history(stream, TEMPLATES, max_rounds=1), "prompts")
 
 
 @query(

@@ -8,6 +8,7 @@ from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -17,6 +18,8 @@ from corpusloom.operators.instruct import ROLE_TAGS
 
 STATE = "next_turn bigint, begun string, lead string, segment bigint, ended boolean, messages string, waiting string"
 FRESH = (0, None, None, 0, False, "[]", "[]")
+# Role of the row that ends a conversation; it has no turn.
+CLOSING_ROLE = "||CLOSE||"
 CJK = re.compile(f"[{chr(CJK_FIRST)}-{chr(CJK_LAST)}]")
 
 
@@ -29,11 +32,18 @@ def stream_history(
     tags: Mapping[str, str] = ROLE_TAGS,
     suffix: str = PROMPT_SUFFIX,
     default_lang: str = "en",
+    idle_ms: int | None = None,
 ) -> DataFrame:
     """Streaming form of the batch prompts: ``(conv_id, segment, turn, prompt)`` per user message.
 
-    Turns run from 0 without gaps; rows that arrive ahead of a missing one wait for it. The state is the
-    system message and the live history, which a reply trims to ``2 * max_rounds`` messages.
+    Turns count from 0; rows that arrive ahead of a missing one wait for it, and a row without a turn is none. The
+    state is the system message and the live history, which a reply trims to ``2 * max_rounds`` messages, besides
+    the waiting rows.
+
+    A conversation ends with its row of ``closing_turns``: what waits behind a gap then comes out in turn order and
+    the state is dropped. Append those rows to a stored backlog behind all others, or rows behind a gap stay in the
+    state. With ``idle_ms`` a conversation without input for that long ends likewise. Set it for a query that runs
+    all the time; a run over what is there now (``drain``) would wait for such timeouts without end.
     """
     key_field = conv.schema["conv_id"]
     out_schema = T.StructType(
@@ -52,44 +62,80 @@ def stream_history(
         next_turn, begun, lead, segment, ended, messages_json, waiting_json = state.get if state.exists else FRESH
         messages = json.loads(messages_json)
         waiting = {row[0]: row for row in json.loads(waiting_json)}
-        for batch in batches:
-            out = []
+        out: list[tuple[int, int, str]] = []
+
+        def advance() -> None:
+            """Take the waiting row that is next."""
+            nonlocal next_turn, begun, lead, segment, ended, messages
+            turn, role, text = waiting.pop(next_turn)
+            next_turn += 1
+            command = text.strip().lower() if role == "user" else None
+            if command in exits:
+                ended = True
+                return
+            if command in resets:
+                segment, messages = segment + 1, []
+                return
+            begun = begun or role
+            if role == "system":
+                if begun == "system" and lead is None:
+                    lead = text
+                return
+            if role == "user" and lead is None:
+                lead = templates["zh"] if CJK.search(text) and "zh" in templates else templates[default_lang]
+            messages.append([role, text])
+            if role == "assistant":
+                messages = messages[-2 * max_rounds :]
+            elif role == "user":
+                body = "".join(line(r, t) for r, t in [["system", lead], *messages])
+                out.append((segment, turn, body + suffix))
+
+        def rows_out() -> pd.DataFrame:
+            frame = pd.DataFrame(out, columns=["segment", "turn", "prompt"])
+            frame.insert(0, "conv_id", key[0])
+            out.clear()
+            return frame
+
+        closed = state.hasTimedOut
+        for batch in () if closed else batches:
             for turn, role, text in zip(batch["turn"], batch["role"], batch["text"]):
-                if turn >= next_turn and not ended:
+                if pd.isna(turn):
+                    closed = closed or role == CLOSING_ROLE
+                elif turn >= next_turn and not ended:
                     waiting[int(turn)] = [int(turn), role, text or ""]
             while not ended and next_turn in waiting:
-                turn, role, text = waiting.pop(next_turn)
-                next_turn += 1
-                command = text.strip().lower() if role == "user" else None
-                if command in exits:
-                    ended = True
-                    continue
-                if command in resets:
-                    segment, messages = segment + 1, []
-                    continue
-                begun = begun or role
-                if role == "system":
-                    if begun == "system" and lead is None:
-                        lead = text
-                    continue
-                if role == "user" and lead is None:
-                    lead = templates["zh"] if CJK.search(text) and "zh" in templates else templates[default_lang]
-                messages.append([role, text])
-                if role == "assistant":
-                    messages = messages[-2 * max_rounds :]
-                elif role == "user":
-                    body = "".join(line(r, t) for r, t in [["system", lead], *messages])
-                    out.append((segment, turn, body + suffix))
+                advance()
             if out:
-                frame = pd.DataFrame(out, columns=["segment", "turn", "prompt"])
-                frame.insert(0, "conv_id", key[0])
-                yield frame
+                yield rows_out()
+        if closed:
+            # no more input: what waits behind a gap comes out in order
+            for turn in sorted(waiting):
+                if not ended:
+                    next_turn = turn
+                    advance()
+            state.remove()
+            if out:
+                yield rows_out()
+            return
         if ended:
             messages, waiting = [], {}
         state.update(
             (next_turn, begun, lead, segment, ended, json.dumps(messages), json.dumps(sorted(waiting.values())))
         )
+        if idle_ms is not None:
+            state.setTimeoutDuration(idle_ms)
 
     return conv.groupBy("conv_id").applyInPandasWithState(
-        run, out_schema, STATE, "append", GroupStateTimeout.NoTimeout
+        run,
+        out_schema,
+        STATE,
+        "append",
+        GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout,
     )
+
+
+def closing_turns(conv: DataFrame) -> DataFrame:
+    """The end of every conversation of a stored table: a row each without a turn, in the columns of ``conv``."""
+    ids = conv.select("conv_id").distinct()
+    cols = [F.col(f.name) if f.name == "conv_id" else F.lit(CLOSING_ROLE if f.name == "role" else None) for f in conv.schema.fields]
+    return ids.select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(cols, conv.schema.fields)])

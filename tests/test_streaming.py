@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from corpusloom.operators.chunks import assemble_text
 from corpusloom.plans.prompts import conversation_prompts
 from corpusloom.plans.replies import filter_replies
-from corpusloom.streaming.history import stream_history
+from corpusloom.streaming.history import closing_turns, stream_history
 from corpusloom.streaming.replies import stream_reply_filter
 from corpusloom.streaming.sessions import stream_idle_sessions
 from corpusloom.streaming.tables import drain, read_stream
@@ -61,6 +61,36 @@ def test_history(spark, tmp_path):
     assert bag_of(drain(stream_history(stream, {"en": "EN", "zh": "ZH"}, 2))) == bag_of(batch)
 
 
+def test_history_with_gaps(spark, tmp_path):
+    rows = []
+    for conv, missing in [(0, {0}), (1, {4, 5}), (2, {0, 3, 9}), (3, set())]:
+        for turn in sorted(set(range(12)) - missing):
+            text = "reset" if (conv, turn) == (2, 5) else "quit" if (conv, turn) == (1, 9) else f"m{turn}"
+            rows.append((conv, turn, "user" if turn % 2 else "assistant", text))
+    conv = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    batch = conversation_prompts(conv, {"en": "EN"}, 2)
+    in_files(spark, tmp_path, conv, F.col("turn"))
+    closing_turns(conv).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = read_stream(spark, str(tmp_path / "in"), conv.schema, max_files=1)
+    assert bag_of(drain(stream_history(stream, {"en": "EN"}, 2))) == bag_of(batch)
+
+
+def test_idle_history_comes_out(spark, tmp_path):
+    rows = [(1, 1, "user", "a"), (1, 2, "assistant", "b"), (1, 5, "user", "c"), (2, 0, "user", "d")]
+    conv = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    batch = bag_of(conversation_prompts(conv, {"en": "EN"}, 2))
+    prompts = stream_history(in_files(spark, tmp_path, conv, F.col("turn"), 1), {"en": "EN"}, 2, idle_ms=500)
+    query = prompts.writeStream.format("memory").queryName("idle_history").outputMode("append").start()
+    try:
+        for _ in range(60):
+            if spark.table("idle_history").count() >= len(batch):
+                break
+            query.awaitTermination(1)
+    finally:
+        query.stop()
+    assert bag_of(spark.table("idle_history")) == batch
+
+
 def test_drain_keeps_every_chunk(spark, tmp_path, chunks):
     stream = in_files(spark, tmp_path, chunks, F.col("chunk_idx"))
     assert bag_of(assemble_text(drain(stream))) == bag_of(assemble_text(chunks))
