@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.common import materialize, texts_of
 from corpusloom.llm.encoding import END_ID, encoder
-from corpusloom.llm.records import batches_of
 
 SIZE = 2048
 GROUP_ROWS = 16_384
@@ -71,25 +70,35 @@ class Bins:
 
         A step moves an item into a bin with room, or exchanges an item for a longer one, or for two that are
         longer together. What goes in comes from a bin that is not fuller, so every step raises the sum and the
-        search ends; the emptiest bins run empty.
+        search ends; the emptiest bins run empty. A step may bring lengths into a bin that others passed over
+        before, so passes over all bins are repeated until one makes no step: then no bin has one.
         """
         self.by_length: dict[int, set[int]] = defaultdict(set)  # length -> bins with an item of it
         self.by_pair: dict[int, set[int]] = defaultdict(set)  # length of two items -> bins that hold them
-        waiting = [(room, k) for k, room in enumerate(self.room) if room]
-        for _, k in waiting:
-            self._list(k, True)
+        for k, room in enumerate(self.room):
+            if room:
+                self._list(k, True)
+        while self._pass():
+            pass
+
+    def _pass(self) -> int:
+        """Take every bin that is not full, the fullest first, as often as it changes; the number of steps made."""
+        waiting = [(room, k) for k, room in enumerate(self.room) if room and self.items[k]]
         heapq.heapify(waiting)
+        steps = 0
         while waiting:
             room, k = heapq.heappop(waiting)
-            if room != self.room[k] or not self.items[k] or room == self.size:
+            if room != self.room[k] or not self.items[k]:
                 continue  # changed since it was put here
             step = self._step(k)
             if step:
                 other, take, give = step
                 self._change(k, other, take, give)
+                steps += 1
                 for bin_no in (k, other):
                     if self.room[bin_no] and self.items[bin_no]:
                         heapq.heappush(waiting, (self.room[bin_no], bin_no))
+        return steps
 
     def _list(self, k: int, add: bool) -> None:
         counts = Counter(self.lengths[i] for i in self.items[k])
@@ -158,10 +167,10 @@ def token_pieces(docs: DataFrame, tokenizer: str, size: int = SIZE, end_id: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, end = encoder(tokenizer), np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            for a, b in batches_of(texts):
+            ids = iter(batch.column("doc_id").to_pylist())
+            for some in own.each(batch.column("text")):
                 rows = []
-                for doc_id, encoded in zip(ids[a:b], own.encode_all(texts[a:b])):
+                for encoded, doc_id in zip(some, ids):
                     data = encoded + end
                     total = len(data) // 4
                     at, piece = 0, 0

@@ -31,8 +31,6 @@ from corpusloom.llm.common import prefix_sums, scratch_path, texts_of
 from corpusloom.llm.encoding import END_ID, encoder
 
 FILE_RECORDS = 8192
-# Bytes of text a step encodes at once.
-STEP_BYTES = 2_000_000
 _HEAD, _ID = struct.Struct("<QI"), struct.Struct("<Bq")
 _SUM = struct.Struct("<I")
 WIDE, NO_ID = 1, 2
@@ -71,28 +69,15 @@ def parse(data: bytes | memoryview, offset: int = 0) -> tuple[int | None, np.nda
     return (None if flags & NO_ID else doc_id), ids, offset + _HEAD.size + length + _SUM.size
 
 
-def batches_of(texts: list[str], step_bytes: int = STEP_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of limited size together; a longer text is a range of its own."""
-    start = size = 0
-    for k, text in enumerate(texts):
-        if k > start and size + len(text) > step_bytes:
-            yield start, k
-            start, size = k, 0
-        size += len(text)
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def write_records(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, file_records: int = FILE_RECORDS) -> None:
     """Encode every text, append ``end_id`` and write the frames below ``path``, ordered by doc_id over all files."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, end = encoder(tokenizer), np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            for a, b in batches_of(texts):
-                encoded = own.encode_all(texts[a:b])
-                frames = [frame(i, np.frombuffer(e + end, "<u4")) for i, e in zip(ids[a:b], encoded)]
+            ids = iter(batch.column("doc_id").to_pylist())
+            for some in own.each(batch.column("text")):
+                frames = [frame(i, np.frombuffer(e + end, "<u4")) for e, i in zip(some, ids)]
                 yield pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], names=["frame"])
 
     texts = texts_of(docs).withColumn("doc_id", F.col("doc_id").cast("long"))

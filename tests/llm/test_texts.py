@@ -7,12 +7,13 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm.conftest import SF, TOKENIZER
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from corpusloom.llm import chat, packing, queries, records, rules
+from corpusloom.llm import chat, encoding, packing, queries, records, rules
 from corpusloom.llm.common import scratch_path
 from corpusloom.llm.encoding import Encoder
 
@@ -35,6 +36,19 @@ def test_chunked_encoding_equals_one_call():
         assert own.encode(text) == ids_of(text)[:-1].tobytes(), text
 
 
+def test_encoding_many_texts_in_small_steps(monkeypatch):
+    rng = random.Random(11)
+    parts = ["ab", "Été", "ß", "'ll", " ", " ", " ", "\n", "12", ",", ". ", "!\n", "<|endoftext|>", "\u2003", "\u2019", "\xa0", "word", "中", "\u3000", "×"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 9))) for _ in range(20_000)]
+    want = [np.array(e.ids, "<u4").tobytes() for e in LIBRARY.encode_batch(texts, add_special_tokens=False)]
+    monkeypatch.setattr(encoding, "STEP_BYTES", 3000)
+    monkeypatch.setattr(encoding, "MAX_PIECES", 500)  # forgets in between
+    own = Encoder(TOKENIZER)
+    assert own.encode_all(texts) == want
+    assert own.counted(pa.array(texts).slice(3, 9000)).tolist() == [len(w) // 4 for w in want[3:9003]]
+    assert own.encode_all([]) == [] and own.encode_all(["", ""]) == [b"", b""] and own.counted(pa.array([""])).tolist() == [0]
+
+
 # --- rules ---------------------------------------------------------------------------------------------
 
 
@@ -170,6 +184,19 @@ def test_local_search_empties_bins():
     assert all(sum(lengths[i] for i in b) <= 10 for b in left)
 
 
+def test_no_bin_has_a_step_left():
+    rng = random.Random(5)
+    for _ in range(8):
+        lengths = [rng.randint(1, rng.choice([300, 900, 1500])) for _ in range(600)]
+        bins = packing.Bins(lengths)
+        bins.best_fit()
+        before = sum((bins.size - room) ** 2 for room in bins.room)
+        bins.improve()
+        assert sum((bins.size - room) ** 2 for room in bins.room) >= before
+        assert sorted(i for items in bins.items for i in items) == list(range(600))
+        assert not [k for k, room in enumerate(bins.room) if room and bins.items[k] and bins._step(k)]
+
+
 def test_packing_is_close_to_the_bound():
     rng = random.Random(5)
     for draw in (lambda: rng.randint(1, 2047), lambda: min(2047, int(rng.expovariate(1 / 700)) + 1)):
