@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import chat, contamination, fixity, neardup, packing, records, ring, rules, secrets_scan, toxicity
+from corpusloom.llm import chat, contamination, divergence, fixity, lexical, neardup, packing, records, ring, rules, secrets_scan, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -188,3 +188,79 @@ SELECT coalesce(a.page_id, b.page_id) AS page_id, coalesce(a.file_no, b.file_no)
             WHEN a.sha256 <> b.sha256 THEN 'changed' ELSE 'ok' END AS status
 FROM (SELECT * FROM found WHERE side = 'a') a FULL JOIN (SELECT * FROM found WHERE side = 'b') b USING (page_id)
 """
+
+
+@query
+def op11_overlap_resync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path())
+    return counts.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
+@query
+def op12_dual_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+SQL["op12_dual_tree"] = f"""
+WITH doc_terms AS (
+  SELECT row, doc_id, unnest(regexp_extract_all(t, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS row, doc_id, {_LOWERED} AS t FROM documents)),
+item_terms AS (
+  SELECT item, item_id, term, count(*) AS times FROM (
+    SELECT item, item_id, unnest(regexp_extract_all(t, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+    FROM (SELECT row_number() OVER () AS item, item_id, {_LOWERED} AS t FROM benchmark)) GROUP BY ALL),
+sizes AS (SELECT row, count(*) AS n FROM doc_terms GROUP BY row),
+whole AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes),
+tfs AS (SELECT row, doc_id, term, count(*) AS tf FROM doc_terms GROUP BY ALL),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM tfs, whole GROUP BY term, docs),
+scores AS (
+  SELECT item, item_id, row, doc_id,
+         CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM item_terms JOIN tfs USING (term) JOIN weights USING (term) JOIN sizes USING (row), whole
+  GROUP BY item, item_id, row, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+WHERE rank <= 20
+"""
+
+SQL["op13_source_divergence"] = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_LOWERED} AS t FROM documents),
+terms AS (SELECT row, lang, source, unnest(regexp_extract_all(t, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM terms GROUP BY lang, term HAVING count(DISTINCT row) >= 3),
+langs AS (SELECT lang, count(*) AS v, CAST(sum(n) AS BIGINT) AS lang_total FROM kept GROUP BY lang),
+counts AS (SELECT lang, source, term, count(*) AS n FROM terms JOIN (SELECT lang, term FROM kept) USING (lang, term) GROUP BY ALL),
+groups AS (
+  SELECT lang, source, coalesce(v, 0) AS v, coalesce(lang_total, 0) AS lang_total, CAST(coalesce(total, 0) AS BIGINT) AS total
+  FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN langs USING (lang)
+  LEFT JOIN (SELECT lang, source, sum(n) AS total FROM counts GROUP BY ALL) USING (lang, source)),
+shares AS (
+  SELECT g.lang, g.source, k.term, 1 + (1000000000 * (coalesce(c.n, 0) + 1)) // (g.total + g.v) AS p
+  FROM groups g JOIN kept k ON k.lang = g.lang LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS BIGINT) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(s.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+used AS (
+  SELECT c.lang, c.source, c.term AS item, 1 + (1000000000 * (c.n + 1)) // (g.total + g.v) AS p,
+         1 + (1000000000 * (k.n + 1)) // (g.lang_total + g.v) AS q
+  FROM counts c JOIN groups g USING (lang, source) JOIN kept k ON k.lang = c.lang AND k.term = c.term),
+ranked AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs
+  UNION ALL SELECT lang, source, 'term', item, ((p - q) * (p - q)) // q FROM used WHERE p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM ranked)
+WHERE part = 'pair' OR rank <= 200
+"""
