@@ -5,7 +5,8 @@ the V terms that stand in at least ``MIN_DF`` of its documents. In a group (a so
 a whole) with ``count`` occurrences of a term and N of all kept terms,
 ``p = 1 + floor(10^9 (count + 1) / (N + V))``, and p differs from q by ``floor((p - q) (p - q) / q)``.
 
-``CountVectorizer`` builds the vocabulary, with ``minDF`` and no other limit, and one sparse vector per document.
+``CountVectorizer`` builds the vocabulary, with ``minDF`` and no other limit, and one sparse vector per document. It
+is fitted on ``held_lists``, in which every term reaches ``minDF`` exactly if it does so in the documents.
 Terms carry their language before them, so that one vectorizer is one per language: a term's documents are those of its
 language, and vectors of different languages share no index. Where there are more terms than the driver and a task
 should hold, the terms are dealt by hash into blocks of bounded size, each with a vectorizer of its own; a
@@ -22,17 +23,20 @@ columns, whatever their names, are left out.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections import Counter
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import IllegalArgumentException
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import by_batch, materialize
+from corpusloom.llm.common import materialize
 
 MIN_DF = 3
 MAX_INT = 2**31 - 1
@@ -40,6 +44,11 @@ TERM_RANKS = 200
 # Terms of one vectorizer, which the driver and every executor hold, and counts of groups in one task of the evaluation.
 BLOCK_TERMS = 500_000
 BLOCK_COUNTS = 200_000
+# One term in so many, by hash, tells how many blocks there are to be.
+PROBED = 64
+# Bytes of text whose terms a task holds at once, and distinct terms that it holds to count their documents.
+STEP_BYTES = 2_000_000
+HELD_TERMS = 200_000
 ONE = 1_000_000_000
 # Between language and term; no term has it.
 MARK = "\0"
@@ -47,23 +56,65 @@ MARK = "\0"
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[list[bytes]]]]:
+    """Some rows at a time with the terms of each, every term behind its language."""
+    for batch in batches:
+        sizes = np.cumsum(pc.binary_length(batch.column("text")).to_numpy())
+        start = 0
+        while start < len(batch):
+            before = sizes[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(sizes, before + STEP_BYTES, side="right")))
+            part = batch.slice(start, end - start)
+            langs = [(lang + MARK).encode() for lang in part.column("lang").to_pylist()]
+            yield part, [[lang + word for word in text.as_buffer().to_pybytes().translate(_TABLE).split()] for lang, text in zip(langs, part.column("text"))]
+            start = end
+
+
+def _strings(lists: Iterable[list[bytes]]) -> pa.Array:
+    words, ends = [], [0]
+    for some in lists:
+        words += some
+        ends.append(len(words))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(words, pa.binary()).cast(pa.string()))
+
+
+def _named(docs: DataFrame) -> DataFrame:
+    named = docs.select(*[F.coalesce(docs[c].cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
+    return named.withColumn("text", F.col("text").cast("binary"))
+
+
 def term_lists(docs: DataFrame) -> DataFrame:
     """``lang, source, terms`` of every document, every term behind its language."""
 
-    def make():
-        def step(batch: pa.RecordBatch) -> dict:
-            ends, words = [0], []
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
-                before = (lang + MARK).encode()
-                words += [before + word for word in text.as_buffer().to_pybytes().translate(_TABLE).split()]
-                ends.append(len(words))
-            terms = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(words, pa.binary()).cast(pa.string()))
-            return {"lang": batch.column("lang"), "source": batch.column("source"), "terms": terms}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, lists in _slices(batches):
+            yield pa.RecordBatch.from_arrays([part.column("lang"), part.column("source"), _strings(lists)], names=["lang", "source", "terms"])
 
-        return step
+    return _named(docs).mapInArrow(run, "lang string, source string, terms array<string>")
 
-    named = docs.select(*[F.coalesce(docs[c].cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    return by_batch(named.withColumn("text", F.col("text").cast("binary")), make, "lang string, source string, terms array<string>")
+
+def held_lists(docs: DataFrame, min_df: int) -> DataFrame:
+    """Fewer documents (``terms``) in which a term has the same document frequency, up to ``min_df``.
+
+    Of documents read together, the k-th list has the terms that at least k of them hold.
+    """
+
+    def lists_of(held: Counter) -> pa.RecordBatch:
+        lists = [[term for term, n in held.items() if n > k] for k in range(min_df)]
+        return pa.RecordBatch.from_arrays([_strings(lists)], names=["terms"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter = Counter()
+        for _, lists in _slices(batches):
+            for words in lists:
+                held.update(set(words))
+            if len(held) > HELD_TERMS:
+                yield lists_of(held)
+                held = Counter()
+        if held:
+            yield lists_of(held)
+
+    return _named(docs).select("lang", "text").mapInArrow(run, "terms array<string>")
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,12 +138,12 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=["lang", "source", "index", "n"])
 
 
-def _block_sums(lists: DataFrame, min_df: int) -> DataFrame | None:
+def _block_sums(lists: DataFrame, held: DataFrame, min_df: int) -> DataFrame | None:
     """``lang, source, term, n`` of one block of terms; None where no term is kept."""
     spark = lists.sparkSession
     vectorizer = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_df), vocabSize=MAX_INT)
     try:
-        model = vectorizer.fit(lists.select("terms"))
+        model = vectorizer.fit(held)
     except IllegalArgumentException as error:
         if "vocabulary size should be > 0" not in str(error):
             raise
@@ -105,18 +156,25 @@ def _block_sums(lists: DataFrame, min_df: int) -> DataFrame | None:
     return materialize(sums.join(vocabulary, "index").select("lang", "source", term.alias("term"), "n"), "divergence-sums")
 
 
+def n_blocks(held: DataFrame, min_df: int, block_terms: int) -> int:
+    """How many blocks keep terms below ``block_terms`` each, by the kept terms among one in ``PROBED`` by hash."""
+    probe = held.select(F.explode(F.filter("terms", lambda t: F.pmod(F.xxhash64(t), F.lit(PROBED)) == 0)).alias("term"))
+    kept = probe.groupBy("term").count().filter(F.col("count") >= min_df).count()
+    return 1 + (kept + 3 * math.isqrt(kept) + 9) * PROBED // block_terms
+
+
 def group_sums(docs: DataFrame, min_df: int = MIN_DF, block_terms: int = BLOCK_TERMS) -> DataFrame:
     """``lang, source, term, n``: occurrences above 0 of kept terms per group."""
-    lists = term_lists(docs)
-    terms = lists.select(F.explode(F.array_distinct("terms")).alias("term"))
-    # an estimate above the kept terms by all the rare ones, which are most of a vocabulary
-    blocks = 1 + terms.agg(F.approx_count_distinct("term", 0.02)).first()[0] // block_terms
+    lists, held = term_lists(docs), materialize(held_lists(docs, min_df), "divergence-held")
+    blocks = n_blocks(held, min_df, block_terms)
+
+    def own(table: DataFrame, block: int) -> DataFrame:
+        in_block = F.filter("terms", lambda t: F.pmod(F.xxhash64(t, F.lit(1)), F.lit(blocks)) == block)
+        return table.withColumn("terms", in_block) if blocks > 1 else table
+
     out = None
     for block in range(blocks):
-        part = lists
-        if blocks > 1:
-            part = lists.withColumn("terms", F.filter("terms", lambda t: F.pmod(F.xxhash64(t), F.lit(blocks)) == block))
-        sums = _block_sums(part, min_df)
+        sums = _block_sums(own(lists, block), own(held, block), min_df)
         if sums is not None:
             out = sums if out is None else out.union(sums)
     return docs.sparkSession.createDataFrame([], "lang string, source string, term string, n long") if out is None else out
@@ -134,7 +192,7 @@ def gap(p: str, q: str) -> Column:
 def _evaluate(key: tuple, counts: pd.DataFrame, groups: pd.DataFrame) -> pd.DataFrame:
     """What a block of terms adds to every pair of groups of a language, beside what terms of no group add."""
     if counts.empty:
-        return pd.DataFrame({"lang": [], "source": [], "item": [], "part_value": []})
+        return pd.DataFrame({"lang": [""], "source": [""], "item": [""], "part_value": [0]})[:0]
     names = groups["source"].tolist()
     size = groups["total"].to_numpy() + groups["v"].to_numpy()
     none = 1 + ONE // size  # p of a count of 0, by group

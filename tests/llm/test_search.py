@@ -204,7 +204,7 @@ def divergence_rows(rng):
     return rows
 
 
-@pytest.mark.parametrize("block_terms, block_counts, ranks", [(500_000, 200_000, 200), (20, 30, 5)])
+@pytest.mark.parametrize("block_terms, block_counts, ranks", [(500_000, 200_000, 200), (250, 30, 5)])
 def test_divergence_equals_brute_force(spark, docs_of, block_terms, block_counts, ranks):
     rows = divergence_rows(random.Random(ranks))
     schema = docs_of([]).schema
