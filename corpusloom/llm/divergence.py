@@ -53,11 +53,14 @@ ONE = 1_000_000_000
 # Between language and term; no term has it.
 MARK = "\0"
 
+# The terms in bytes, letters lower-cased and all else made a space; and in expressions.
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[list[bytes]]]]:
-    """Some rows at a time with the terms of each, every term behind its language."""
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[list[list[bytes]]]:
+    """The terms of some rows at a time, every term behind its language."""
     for batch in batches:
         sizes = np.cumsum(pc.binary_length(batch.column("text")).to_numpy())
         start = 0
@@ -66,7 +69,7 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
             end = max(start + 1, int(np.searchsorted(sizes, before + STEP_BYTES, side="right")))
             part = batch.slice(start, end - start)
             langs = [(lang + MARK).encode() for lang in part.column("lang").to_pylist()]
-            yield part, [[lang + word for word in text.as_buffer().to_pybytes().translate(_TABLE).split()] for lang, text in zip(langs, part.column("text"))]
+            yield [[lang + word for word in text.as_buffer().to_pybytes().translate(_TABLE).split()] for lang, text in zip(langs, part.column("text"))]
             start = end
 
 
@@ -78,19 +81,11 @@ def _strings(lists: Iterable[list[bytes]]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(words, pa.binary()).cast(pa.string()))
 
 
-def _named(docs: DataFrame) -> DataFrame:
-    named = docs.select(*[F.coalesce(docs[c].cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    return named.withColumn("text", F.col("text").cast("binary"))
-
-
 def term_lists(docs: DataFrame) -> DataFrame:
-    """``lang, source, terms`` of every document, every term behind its language."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, lists in _slices(batches):
-            yield pa.RecordBatch.from_arrays([part.column("lang"), part.column("source"), _strings(lists)], names=["lang", "source", "terms"])
-
-    return _named(docs).mapInArrow(run, "lang string, source string, terms array<string>")
+    """``lang, source, terms`` of every document, every term behind its language; expressions only."""
+    named = docs.select(*[F.coalesce(docs[c].cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
+    words = F.filter(F.split(F.translate("text", UPPER, UPPER.lower()), BETWEEN), lambda word: word != "")
+    return named.select("lang", "source", F.transform(words, lambda word: F.concat("lang", F.lit(MARK), word)).alias("terms"))
 
 
 def held_lists(docs: DataFrame, min_df: int) -> DataFrame:
@@ -105,7 +100,7 @@ def held_lists(docs: DataFrame, min_df: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
-        for _, lists in _slices(batches):
+        for lists in _slices(batches):
             for words in lists:
                 held.update(set(words))
             if len(held) > HELD_TERMS:
@@ -114,7 +109,8 @@ def held_lists(docs: DataFrame, min_df: int) -> DataFrame:
         if held:
             yield lists_of(held)
 
-    return _named(docs).select("lang", "text").mapInArrow(run, "terms array<string>")
+    named = docs.select(*[F.coalesce(docs[c].cast("string"), F.lit("")).alias(c) for c in ("lang", "text")])
+    return named.withColumn("text", F.col("text").cast("binary")).mapInArrow(run, "terms array<string>")
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,8 +134,8 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=["lang", "source", "index", "n"])
 
 
-def _block_sums(lists: DataFrame, held: DataFrame, min_df: int) -> DataFrame | None:
-    """``lang, source, term, n`` of one block of terms; None where no term is kept."""
+def _block_sums(lists: DataFrame, held: DataFrame, min_df: int, block: int) -> tuple[DataFrame, DataFrame] | None:
+    """``lang, source, index, n`` of one block of terms and ``index, term``; None where no term is kept."""
     spark = lists.sparkSession
     vectorizer = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_df), vocabSize=MAX_INT)
     try:
@@ -148,12 +144,13 @@ def _block_sums(lists: DataFrame, held: DataFrame, min_df: int) -> DataFrame | N
         if "vocabulary size should be > 0" not in str(error):
             raise
         return None
-    vocabulary = materialize(spark.createDataFrame(list(enumerate(model.vocabulary)), "index long, key string"), "divergence-vocabulary")
+    base = block << 32
+    words = [(base + k, key.rsplit(MARK, 1)[1]) for k, key in enumerate(model.vocabulary)]
+    vocabulary = materialize(spark.createDataFrame(words, "index long, term string"), "divergence-vocabulary")
     vectors = model.transform(lists).select("lang", "source", "vector")
     sums = vectors.mapInArrow(_summed, "lang string, source string, index long, n long")
-    sums = sums.groupBy("lang", "source", "index").agg(F.sum("n").alias("n"))
-    term = F.substring_index("key", MARK, -1)
-    return materialize(sums.join(vocabulary, "index").select("lang", "source", term.alias("term"), "n"), "divergence-sums")
+    sums = sums.groupBy("lang", "source", (F.col("index") + F.lit(base)).alias("index")).agg(F.sum("n").alias("n"))
+    return materialize(sums, "divergence-sums"), vocabulary
 
 
 def n_blocks(held: DataFrame, min_df: int, block_terms: int) -> int:
@@ -163,8 +160,11 @@ def n_blocks(held: DataFrame, min_df: int, block_terms: int) -> int:
     return 1 + (kept + 3 * math.isqrt(kept) + 9) * PROBED // block_terms
 
 
-def group_sums(docs: DataFrame, min_df: int = MIN_DF, block_terms: int = BLOCK_TERMS) -> DataFrame:
-    """``lang, source, term, n``: occurrences above 0 of kept terms per group."""
+def group_sums(docs: DataFrame, min_df: int = MIN_DF, block_terms: int = BLOCK_TERMS) -> tuple[DataFrame, DataFrame]:
+    """``lang, source, index, n``, the occurrences above 0 of kept terms per group, and ``index, term``.
+
+    A term has an index of its own in each of its languages.
+    """
     lists, held = term_lists(docs), materialize(held_lists(docs, min_df), "divergence-held")
     blocks = n_blocks(held, min_df, block_terms)
 
@@ -172,12 +172,14 @@ def group_sums(docs: DataFrame, min_df: int = MIN_DF, block_terms: int = BLOCK_T
         in_block = F.filter("terms", lambda t: F.pmod(F.xxhash64(t, F.lit(1)), F.lit(blocks)) == block)
         return table.withColumn("terms", in_block) if blocks > 1 else table
 
-    out = None
+    spark = docs.sparkSession
+    sums = spark.createDataFrame([], "lang string, source string, index long, n long")
+    vocabulary = spark.createDataFrame([], "index long, term string")
     for block in range(blocks):
-        sums = _block_sums(own(lists, block), own(held, block), min_df)
-        if sums is not None:
-            out = sums if out is None else out.union(sums)
-    return docs.sparkSession.createDataFrame([], "lang string, source string, term string, n long") if out is None else out
+        found = _block_sums(own(lists, block), own(held, block), min_df, block)
+        if found is not None:
+            sums, vocabulary = sums.union(found[0]), vocabulary.union(found[1])
+    return sums, vocabulary
 
 
 def share(n: str, total: str, size: str = "v") -> Column:
@@ -199,7 +201,7 @@ def _evaluate(key: tuple, counts: pd.DataFrame, groups: pd.DataFrame) -> pd.Data
     number = {name: k for k, name in enumerate(names)}
     group = np.fromiter(map(number.__getitem__, counts["source"]), np.int64, len(counts))
     order = np.argsort(group, kind="stable")
-    group, term = group[order], pd.factorize(counts["term"])[0][order]
+    group, term = group[order], np.unique(counts["index"].to_numpy(), return_inverse=True)[1][order]
     p = 1 + ONE * (counts["n"].to_numpy()[order] + 1) // size[group]
     held, first = np.unique(group, return_index=True)
     ends = np.append(first[1:], len(group))
@@ -227,16 +229,16 @@ def divergence(docs: DataFrame, min_df: int = MIN_DF, term_ranks: int = TERM_RAN
     """``lang, source, part, item, value, rank``: sources of a language by how far a group is from them (``pair``), and
     terms that a group uses more than its language by how much (``term``, the first ``term_ranks``)."""
     groups = docs.select(*[F.coalesce(docs[c].cast("string"), F.lit("")).alias(c) for c in ("lang", "source")]).distinct()
-    sums = group_sums(docs, min_df, block_terms)
+    sums, vocabulary = group_sums(docs, min_df, block_terms)
     totals = sums.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    kept = sums.groupBy("lang", "term").agg(F.sum("n").alias("n"))
-    langs = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("n").alias("lang_total"))
+    kept = sums.groupBy("lang", "index").agg(F.sum("n").alias("lang_n"))
+    langs = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("lang_n").alias("lang_total"))
     zero = F.lit(0).cast("long")
     groups = groups.join(totals, ["lang", "source"], "left").join(langs, "lang", "left")
     groups = materialize(groups.select("lang", "source", *[F.coalesce(c, zero).alias(c) for c in ("total", "v", "lang_total")]), "divergence-groups")
 
     blocks = 1 + sums.count() // block_counts
-    blocked = sums.withColumn("block", F.pmod(F.xxhash64("term"), F.lit(blocks)))
+    blocked = sums.withColumn("block", F.pmod(F.xxhash64("index"), F.lit(blocks)))
     everywhere = groups.filter("v > 0").withColumn("block", F.explode(F.sequence(zero, F.lit(blocks - 1))))
     cogrouped = blocked.groupBy("lang", "block").cogroup(everywhere.groupBy("lang", "block"))
     parts = cogrouped.applyInPandas(_evaluate, "lang string, source string, item string, part_value long")
@@ -247,10 +249,13 @@ def divergence(docs: DataFrame, min_df: int = MIN_DF, term_ranks: int = TERM_RAN
     value = F.coalesce(F.col("v") * gap("p", "q") + F.coalesce("part_value", zero), zero)
     pairs = pairs.select("lang", "source", F.lit("pair").alias("part"), "item", value.alias("value"))
 
-    whole = kept.withColumnRenamed("n", "lang_n")
-    terms = sums.join(whole, ["lang", "term"]).join(groups, ["lang", "source"])
+    terms = sums.join(kept, ["lang", "index"]).join(groups, ["lang", "source"])
     terms = terms.withColumns({"p": share("n", "total"), "q": share("lang_n", "lang_total")}).filter("p > q")
-    terms = terms.select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), gap("p", "q").alias("value"))
+    terms = terms.select("lang", "source", "index", gap("p", "q").alias("value"))
+    # names are looked up only for what can be in the ranks: ties at the last rank are all kept here
+    largest = Window.partitionBy("lang", "source").orderBy(F.col("value").desc())
+    terms = terms.withColumn("at", F.rank().over(largest)).filter(F.col("at") <= term_ranks).join(vocabulary, "index")
+    terms = terms.select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), "value")
 
     by_group = Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), "item")
     terms = terms.withColumn("rank", F.row_number().over(by_group)).filter(F.col("rank") <= term_ranks)
