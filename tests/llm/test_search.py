@@ -214,6 +214,17 @@ def test_divergence_equals_brute_force(spark, docs_of, block_terms, block_counts
     assert sorted(map(tuple, got.collect())) == sorted(slow_divergence(rows, ranks))
 
 
+def test_vectors_equal_those_of_the_model(spark, docs_of):
+    rows = [(k, t) for k, (_, t, _, _) in enumerate(divergence_rows(random.Random(3)))]
+    lists = [re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", lowered(t)) for _, t in rows]
+    model = divergence.CountVectorizer(inputCol="terms", outputCol="vector", minDF=3.0).fit(spark.createDataFrame([(w,) for w in lists], "terms array<string>"))
+    want = [r[0] for r in model.transform(spark.createDataFrame(list(enumerate(lists)), "k long, terms array<string>")).orderBy("k").select("vector").collect()]
+    index = {term.encode(): k for k, term in enumerate(model.vocabulary)}
+    doc, at, n = divergence.vectors_of([[w.encode() for w in words] for words in lists], [index] * len(lists))
+    for k, vector in enumerate(want):
+        assert at[doc == k].tolist() == vector.indices.tolist() and n[doc == k].tolist() == vector.values.tolist()
+
+
 def test_divergence_of_nothing(spark, docs_of):
     assert divergence.divergence(docs_of([])).count() == 0
 
