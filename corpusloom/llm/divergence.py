@@ -51,7 +51,7 @@ BLOCK_COUNTS = 200_000
 PROBED = 64
 # Bytes of text whose terms a task holds at once, and distinct terms that it holds to count their documents.
 STEP_BYTES = 2_000_000
-HELD_TERMS = 200_000
+HELD_TERMS = 500_000
 # Entries of document vectors that a task sums up before it gives them on.
 HELD_ENTRIES = 4_000_000
 ONE = 1_000_000_000
@@ -166,10 +166,13 @@ def _block_sums(docs: DataFrame, held: DataFrame, min_df: int, block: int) -> tu
             raise
         return None
     base = block << 32
-    words = [(base + k, key.rsplit(MARK, 1)[1]) for k, key in enumerate(model.vocabulary)]
-    vocabulary = materialize(spark.createDataFrame(words, "index long, term string"), "divergence-vocabulary")
-    sums = group_vectors(docs, spark.sparkContext.broadcast(model.vocabulary))
-    sums = sums.groupBy("lang", "source", (F.col("index") + F.lit(base)).alias("index")).agg(F.sum("n").alias("n"))
+    words = model.vocabulary
+    named_terms = pa.table({"index": pa.array(range(base, base + len(words))), "term": pa.array([key.rsplit(MARK, 1)[1] for key in words])})
+    vocabulary = materialize(spark.createDataFrame(named_terms, "index long, term string"), "divergence-vocabulary")
+    sums = group_vectors(docs, spark.sparkContext.broadcast(words))
+    sums = sums.withColumn("index", F.col("index") + F.lit(base))
+    # tasks have summed already, so nothing is gained by another sum before the shuffle
+    sums = sums.repartition("lang", "source", "index").groupBy("lang", "source", "index").agg(F.sum("n").alias("n"))
     return materialize(sums, "divergence-sums"), vocabulary
 
 
@@ -251,7 +254,7 @@ def divergence(docs: DataFrame, min_df: int = MIN_DF, term_ranks: int = TERM_RAN
     groups = docs.select(*[F.coalesce(docs[c].cast("string"), F.lit("")).alias(c) for c in ("lang", "source")]).distinct()
     sums, vocabulary = group_sums(docs, min_df, block_terms)
     totals = sums.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    kept = sums.groupBy("lang", "index").agg(F.sum("n").alias("lang_n"))
+    kept = materialize(sums.groupBy("lang", "index").agg(F.sum("n").alias("lang_n")), "divergence-kept")
     langs = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("lang_n").alias("lang_total"))
     zero = F.lit(0).cast("long")
     groups = groups.join(totals, ["lang", "source"], "left").join(langs, "lang", "left")
