@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import detect_lang, is_command
 from corpusloom.operators.instruct import ROLE_TAGS, known_roles
-from corpusloom.plans.ordered import RUN, largest, running, smallest, total
+from corpusloom.plans.lookup import lookup
+from corpusloom.plans.ordered import RUN, WHOLE, Mark, composed, is_split, running, smallest, total
 from corpusloom.plans.text import ordered_concat
+from corpusloom.session import materialize
 
 # --- fixed values -------------------------------------------------------------------------------------
 MAX_ROUNDS = 10
@@ -170,16 +174,14 @@ def segment_on_reset(
     the system message that begins its segment, so every row becomes at most one row.
     """
     reset = is_command(text, commands) & _is(role, "user")
-    system = _is(role, "system")
-    flagged = conv.withColumns({"_reset": reset.cast("long"), "_system": system})
-    columns = [c for c in conv.columns if c != turn]
-    row = F.when(system, F.struct(turn, *columns))
-    marked = running(flagged, keys, (turn,), **{SEGMENT: total(F.col("_reset")), "_lead": smallest(row)})
+    flagged = conv.withColumns({"_reset": reset.cast("long"), "_system": _is(role, "system")})
+    columns = [c for c in conv.columns if c not in (turn, RUN, *keys)]
+    marked = running(_with_head(flagged, keys, turn, columns), keys, (turn,), **{SEGMENT: total(F.col("_reset"))})
     begins = F.col("_reset") == 1
-    kept = F.when(begins, F.col("_lead").isNotNull()).otherwise(
-        ~F.col("_system") | (F.col(turn) == F.col(f"_lead.{turn}"))
+    kept = F.when(begins, F.col("_head").isNotNull()).otherwise(
+        ~F.col("_system") | (F.col(turn) == F.col(f"_head.{turn}"))
     )
-    out = [F.when(begins, F.col(f"_lead.{c}")).otherwise(F.col(c)).alias(c) if c not in keys and c != RUN else F.col(c) for c in conv.columns]
+    out = [F.when(begins, F.col(f"_head.{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in conv.columns]
     return marked.filter(kept).select(*out, SEGMENT)
 
 
@@ -196,23 +198,45 @@ def trim_history(
     everything after that reply, and the first system message.
     """
     system = _is(role, "system")
-    flagged = conv.withColumn("_system", system.cast("int"))
-    # from the start: is this the first system message?
-    ahead = running(flagged, keys, order, _systems=total(F.col("_system")))
-    # from the end: has the last reply been seen, and how many messages since
-    seen = running(ahead, keys, order, reverse=True, _seen=largest(_is(role, "assistant").cast("int")))
-    counted = running(
-        seen, keys, order, reverse=True, _back=total(F.col("_seen") * (F.lit(1) - F.col("_system")))
-    )
-    live = F.when(F.col("_system") == 1, F.col("_systems") == 1).otherwise(F.col("_back") <= 2 * max_rounds)
-    return counted.filter(live).select(*conv.columns)
+    counts = {"_systems": system.cast("long"), "_pos": (~system).cast("long")}
+    last = {"_replied": Mark("_pos", _is(role, "assistant"), "whole")}
+    counted = composed(conv, keys, order, counts, last)
+    since = F.col("_pos") > F.coalesce("_replied", F.lit(0)) - 2 * max_rounds
+    return counted.filter(F.when(system, F.col("_systems") == 1).otherwise(since)).select(*conv.columns)
+
+
+def _numbered(rows: DataFrame, history: Sequence[str], turn: str) -> DataFrame:
+    """The messages of every history numbered from 1, and the number of the last reply before each."""
+    before = {"_reply_pos": Mark("_pos", F.col("_reply"), "before")}
+    return composed(rows, history, (turn,), {"_pos": F.lit(1).cast("long")}, before)
+
+
+def _heads(rows: DataFrame, keys: Sequence[str], turn: str, columns: Sequence[str]) -> DataFrame:
+    """The first system row of every key that is split into runs: ``keys, _head``. Its texts are looked up, never carried."""
+    split = rows.filter((F.col(RUN) != WHOLE) & F.col("_system"))
+    return materialize(split.groupBy(*keys).agg(F.min(F.struct(turn, *columns)).alias("_head")), "first-system-rows")
 
 
-def _numbered(rows: DataFrame, history: Sequence[str], turn: str) -> tuple[DataFrame, DataFrame]:
-    """The messages of every history numbered from 1, and the same with the number of the last reply before each."""
-    numbered = running(rows, history, (turn,), _pos=total(F.lit(1).cast("long")))
-    reply = F.when(F.col("_reply"), F.col("_pos"))
-    return numbered, running(numbered, history, (turn,), _reply_pos=largest(reply, before=True))
+def _looked_up(parts: DataFrame, heads: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add ``_head`` to rows that have a ``_first`` system turn."""
+    heads = heads.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_head")
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]) & F.col("_first").isNotNull()
+    return lookup(parts, heads, same).select(*parts.columns, "_head")
+
+
+def _with_head(rows: DataFrame, keys: Sequence[str], turn: str, columns: Sequence[str]) -> DataFrame:
+    """Add ``_head``, the first system row up to each row; ``_system`` tells system rows.
+
+    Rows of split keys carry its turn from run to run, and the row itself is looked up by key.
+    """
+    row = F.when(F.col("_system"), F.struct(turn, *columns))
+    if not is_split(rows):
+        return running(rows, keys, (turn,), _head=smallest(row))
+    whole = running(rows.filter(F.col(RUN) == WHOLE).drop(RUN), keys, (turn,), _head=smallest(row))
+    parts = running(rows.filter(F.col(RUN) != WHOLE), keys, (turn,), _first=smallest(F.when(F.col("_system"), F.col(turn))))
+    found = _looked_up(parts, _heads(rows, keys, turn, columns), keys)
+    both = whole.withColumn(RUN, F.lit(WHOLE)).unionByName(found.drop("_first"))
+    return both.select(*[c for c in both.columns if c != RUN], F.col(RUN).alias(RUN, metadata=rows.schema[RUN].metadata))
 
 
 def _lowest(max_rounds: int) -> Column:
@@ -240,7 +264,7 @@ def prompt_ranges(
         _is(role, "user").alias("_user"),
         _is(role, "assistant").alias("_reply"),
     )
-    answered = _numbered(rows, history, turn)[1].filter("_user")
+    answered = _numbered(rows, history, turn).filter("_user")
     return answered.select(*history, turn, _lowest(max_rounds).alias("lo"), F.col("_pos").alias("hi"))
 
 
@@ -255,11 +279,15 @@ def prompt_at_turn(
     text: str = "text",
     templates: Mapping[str, str] | None = None,
     default_lang: str = "en",
+    resets: Sequence[str] | None = None,
+    exits: Sequence[str] = (),
 ) -> DataFrame:
     """The rendered prompt each user message is answered from.
 
     With a ``segment`` column (``mark_segments``) histories start anew in every segment, only the first
-    system message of the conversation stays. With ``templates`` a conversation that does not begin with a
+    system message of the conversation stays. With ``resets`` the segments are found on the way, and what follows one
+    of the ``exits`` is left out: exits, resets, system message, numbers and replies are then all told by one
+    composed scan. With ``templates`` a conversation that does not begin with a
     system message is led by one, as after ``attach_system_prompt`` but without another pass over the table.
 
     Messages are numbered inside their history. The prompt at number ``p`` holds the messages ``lo..p``, so
@@ -269,38 +297,40 @@ def prompt_at_turn(
     texts of overlapping prompts are never shuffled; with runs the blocks spread a long conversation. Keys must
     not be null.
     """
-    history = [*keys, SEGMENT] if SEGMENT in conv.columns else list(keys)
-    system = _is(role, "system")
+    given = SEGMENT in conv.columns and resets is None
+    history = [*keys, SEGMENT] if given or resets is not None else list(keys)
+    user = _is(role, "user")
+    reset = user & is_command(text, resets) if resets else F.lit(False)
+    leaves = user & is_command(text, exits) if exits else F.lit(False)
     rows = conv.withColumn("_line", message_line(role, text, tags)).select(
-        *history,
+        *(history if given else keys),
         *[c for c in (RUN,) if c in conv.columns],
         turn,
         "_line",
-        system.alias("_system"),
-        _is(role, "user").alias("_user"),
+        _is(role, "system").alias("_system"),
+        (user & ~reset & ~leaves).alias("_user"),
         _is(role, "assistant").alias("_reply"),
+        reset.alias("_reset"),
+        leaves.alias("_exit"),
         *([] if templates is None else [_template_number(text, templates, default_lang).alias("_asked")]),
     )
-    first_system = smallest(F.when(F.col("_system"), F.struct(turn, "_line")))
-    if templates is None:
-        with_system = running(rows, keys, (turn,), _first=first_system).withColumn("_lead", F.col("_first._line"))
+    out = [*history, turn, "_line", "_user", "_lead", "_pos", "_reply_pos"]
+    if not is_split(rows):
+        scanned = _scanned(rows.drop(RUN), keys, history, turn, tags, templates, None).select(*out)
     else:
-        asked = smallest(F.when(F.col("_user"), F.struct(turn, "_asked")))
-        marked = running(rows, keys, (turn,), _first=first_system, _asks=asked, _begin=smallest(F.col(turn)))
-        chosen = F.concat(
-            F.lit(f"{tags['system']}\n"), _template(F.col("_asks._asked"), templates), F.lit("\n\n")
-        )
-        led = F.col(f"_first.{turn}") == F.col("_begin")
-        with_system = marked.withColumn("_lead", F.when(led, F.col("_first._line")).otherwise(chosen))
-    numbered, answered = _numbered(with_system.filter(~F.col("_system")), history, turn)
+        # rows of small conversations in one window each; those of long ones by their runs, with texts looked up
+        whole = _scanned(rows.filter(F.col(RUN) == WHOLE).drop(RUN), keys, history, turn, tags, templates, None)
+        heads = _heads(rows, keys, turn, ["_line"])
+        parts = _scanned(rows.filter(F.col(RUN) != WHOLE), keys, history, turn, tags, templates, heads)
+        scanned = whole.select(*out).unionByName(parts.select(*out))
 
     width = 2 * max_rounds + 1
     prompts = (
-        answered.filter("_user")
+        scanned.filter("_user")
         .select(*history, turn, "_lead", F.col("_pos").alias("_p"), _lowest(max_rounds).alias("_lo"))
         .withColumn("_block", F.explode(F.sequence(F.floor(F.col("_lo") / width), F.floor(F.col("_p") / width))))
     )
-    messages = numbered.select(*history, "_pos", "_line", F.floor(F.col("_pos") / width).alias("_block"))
+    messages = scanned.select(*history, "_pos", "_line", F.floor(F.col("_pos") / width).alias("_block"))
     pairs = prompts.join(messages, [*history, "_block"]).filter("_pos between _lo and _p")
     # the system message goes in front of the first line; a role without a tag has no line
     lead = F.when(F.col("_pos") == F.col("_lo"), F.coalesce("_lead", F.lit(""))).otherwise(F.lit(""))
@@ -308,3 +338,45 @@ def prompt_at_turn(
     # one prompt is one value, so its lines fit together; no second step over blocks is needed
     joined = ordered_concat(lines, [*history, turn], "_pos", "_line", "prompt", bounded=True)
     return joined.select(*history, turn, F.concat("prompt", F.lit(suffix)).alias("prompt"))
+
+
+def _scanned(
+    rows: DataFrame,
+    keys: Sequence[str],
+    history: Sequence[str],
+    turn: str,
+    tags: Mapping[str, str],
+    templates: Mapping[str, str] | None,
+    heads: DataFrame | None,
+) -> DataFrame:
+    """The messages of every history with ``_lead``, ``_pos`` and ``_reply_pos``, by one composed scan of ``rows``.
+
+    ``heads`` tells the first system lines of split conversations; else a window carries them.
+    """
+    said = ~F.col("_reset") & ~F.col("_exit")
+    extremes = {"_begin": smallest(F.when(said, F.col(turn)))}
+    if heads is None:
+        extremes["_head"] = smallest(F.when(F.col("_system"), F.struct(turn, "_line")))
+    else:
+        extremes["_first"] = smallest(F.when(F.col("_system"), F.col(turn)))
+    if templates is not None:
+        extremes["_asks"] = smallest(F.when(F.col("_user"), F.struct(turn, "_asked")))
+    message = said & ~F.col("_system")
+    counts = {"_exits": F.col("_exit").cast("long"), "_said": message.cast("long")}
+    if SEGMENT not in rows.columns:
+        counts[SEGMENT] = F.col("_reset").cast("long")
+        marks = {"_from": Mark("_said", F.col("_reset")), "_replied": Mark("_said", F.col("_reply"), "before")}
+        scanned = composed(rows, keys, (turn,), counts, marks, extremes)
+        scanned = scanned.filter((F.col("_exits") == 0) & message)
+        start = F.coalesce("_from", F.lit(0))
+        replied = F.when(F.col("_replied") > start, F.col("_replied") - start)
+        scanned = scanned.withColumns({"_pos": F.col("_said") - start, "_reply_pos": replied})
+    else:
+        scanned = _numbered(composed(rows, keys, (turn,), counts, {}, extremes).filter(message), history, turn)
+    if heads is not None:
+        scanned = _looked_up(scanned, heads, keys)
+    own = F.col("_head._line")
+    if templates is not None:
+        chosen = F.concat(F.lit(f"{tags['system']}\n"), _template(F.col("_asks._asked"), templates), F.lit("\n\n"))
+        own = F.when(F.col(f"_head.{turn}") == F.col("_begin"), own).otherwise(chosen)
+    return scanned.withColumn("_lead", own)

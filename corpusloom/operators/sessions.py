@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.plans.ordered import largest, running, total
+from corpusloom.plans.ordered import sessions_between
 
 # --- fixed values -------------------------------------------------------------------------------------
 IDLE_SECONDS = 600
@@ -23,11 +23,10 @@ def idle_sessions(
     name: str = "session",
 ) -> DataFrame:
     """Number the sessions of every key from 0; a gap of more than ``timeout`` seconds begins a new one."""
-    order = (ts, *tie)
-    gaps = running(events, keys, order, _last=largest(F.col(ts), before=True))
-    gap = F.col(ts).cast("timestamp").cast("double") - F.col("_last").cast("timestamp").cast("double")
-    flagged = gaps.withColumn("_new", F.coalesce((gap > timeout).cast("long"), F.lit(0))).drop("_last")
-    return running(flagged, keys, order, **{name: total(F.col("_new"))}).drop("_new")
+    def begins(before: Column, now: Column) -> Column:
+        return now.cast("timestamp").cast("double") - before.cast("timestamp").cast("double") > timeout
+
+    return sessions_between(events, keys, (ts, *tie), begins, ts, name)
 
 
 def session_spans(

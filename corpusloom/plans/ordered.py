@@ -9,7 +9,7 @@ each run and adds what the earlier runs of the key sum up to, a table of at most
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -64,10 +64,11 @@ def with_runs(
     a key apart. The limit is the same whatever the table holds; the big keys are a written table of any size.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_hot"))
-    hot = materialize(counts.filter(F.col("_hot") > max_rows), "hot-keys")
+    hot = counts.filter(F.col("_hot") > max_rows)
     runs = hot.agg(F.sum(F.ceil(F.col("_hot") / max_rows))).first()[0]
     if not runs:
         return df.select("*", F.lit(WHOLE).alias(RUN, metadata={_SPLIT: False}))
+    hot = materialize(hot, "hot-keys")
     runs = min(int(runs) + 1, MAX_RUNS)
     hot = F.broadcast(hot) if has_at_most(hot, MAX_BROADCAST_ROWS, MAX_BROADCAST_BYTES) else hot
     marked = df.join(hot, _same(df, hot, keys), "left").select(*[df[c] for c in df.columns], "_hot")
@@ -132,7 +133,8 @@ def running(
         F.count(F.lit(1)).over(earlier).alias("_runs_before"),
         *[_AGGREGATE[spec.kind](F.col(f"_c_{n}")).over(earlier).alias(f"_c_{n}") for n, spec in columns.items()],
     ).filter("_runs_before > 0")  # at most one row per run: only its first key can have begun earlier
-    carry = F.broadcast(carry)
+    # written, so that later steps over the result don't compute it again
+    carry = F.broadcast(materialize(carry, "carry"))
     joined = out.join(carry, _same(out, carry, parts), "left")
     kept = [out[c] for c in df.columns]
     for name, spec in columns.items():
@@ -147,6 +149,117 @@ def running(
     return joined.select(*kept)
 
 
+@dataclass(frozen=True)
+class Mark:
+    """The count named ``of`` at the last row where ``flag`` holds: up to a row, before it, or of the whole key."""
+
+    of: str
+    flag: Column
+    frame: str = "up to"  # up to, before or whole
+
+
+def composed(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    counts: dict[str, Column],
+    marks: dict[str, Mark],
+    extremes: dict[str, Running] | None = None,
+) -> DataFrame:
+    """Several running values at once, also such that build on each other: two scans and two shuffles of split rows.
+
+    ``counts`` are running sums of numbers that are not negative, ``marks`` tell a count at the last flagged row,
+    ``extremes`` are minima and maxima. What a run of rows does to all of them is one element of a monoid: its sums,
+    its extremes, and its marks counted from its begin. Of two runs side by side the sums add up, the better
+    extreme stays, and a mark is that of the later run, with the sums of the earlier added, or else that of the
+    earlier. So one pass over the rows summarises every run, the summaries of a key are combined on one row per
+    run, and a second pass adds to the values inside a run what the runs before it make together.
+
+    The combined summaries hold numbers, not texts: extremes must be of fixed width. They are at most one row per run,
+    written once and broadcast.
+    """
+    extremes = extremes or {}
+    parts = run_keys(df, keys)
+    ordered = Window.partitionBy(*parts).orderBy(*ordering(order))
+    frames = {
+        "up to": ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow),
+        "before": ordered.rowsBetween(Window.unboundedPreceding, -1),
+        "whole": ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing),
+    }
+    local = df.select(
+        "*",
+        *[F.coalesce(F.sum(value).over(frames["up to"]), F.lit(0)).alias(name) for name, value in counts.items()],
+        *[_AGGREGATE[x.kind](x.value).over(frames["before" if x.before else "up to"]).alias(n) for n, x in extremes.items()],
+    )
+    at = {name: F.when(mark.flag, F.col(mark.of)) for name, mark in marks.items()}
+    local = local.select("*", *[F.max(at[name]).over(frames[mark.frame]).alias(name) for name, mark in marks.items()])
+    if not is_split(df):
+        return local
+
+    flags = {f"_f_{name}": mark.flag for name, mark in marks.items()}
+    values = {f"_v_{name}": value for name, value in counts.items()}
+    sizes = {f"_x_{name}": x.value for name, x in extremes.items()}
+    needed = df.filter(F.col(RUN) != WHOLE).select(*parts, *order, *[c.alias(n) for n, c in {**flags, **values, **sizes}.items()])
+    needed = needed.select("*", *[F.sum(f"_v_{name}").over(frames["up to"]).alias(f"_c_{name}") for name in counts])
+    runs = needed.groupBy(*parts).agg(
+        *[F.coalesce(F.sum(f"_v_{name}"), F.lit(0)).alias(f"_c_{name}") for name in counts],
+        *[F.max(F.when(F.col(f"_f_{name}"), F.col(f"_c_{mark.of}"))).alias(f"_c_{name}") for name, mark in marks.items()],
+        *[_AGGREGATE[x.kind](f"_x_{name}").alias(f"_c_{name}") for name, x in extremes.items()],
+    )
+    by_run = Window.partitionBy(*keys).orderBy(RUN)
+    earlier = by_run.rowsBetween(Window.unboundedPreceding, -1)
+    every = by_run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    runs = runs.select(
+        *parts,
+        *[F.coalesce(F.sum(f"_c_{name}").over(earlier), F.lit(0)).alias(f"_b_{name}") for name in counts],
+        *[F.col(f"_c_{name}") for name in marks],
+        *[_AGGREGATE[x.kind](f"_c_{name}").over(earlier).alias(f"_b_{name}") for name, x in extremes.items()],
+    )
+    from_start = {name: F.col(f"_c_{name}") + F.col(f"_b_{mark.of}") for name, mark in marks.items()}
+    carry = runs.select(
+        *parts,
+        *[f"_b_{name}" for name in [*counts, *extremes]],
+        *[F.max(from_start[n]).over(every if mark.frame == "whole" else earlier).alias(f"_b_{n}") for n, mark in marks.items()],
+    )
+    carry = F.broadcast(materialize(carry, "carry"))
+    joined = local.join(carry, _same(local, carry, parts), "left")
+    out = {name: F.coalesce(carry[f"_b_{name}"], F.lit(0)) + local[name] for name in counts}
+    for name, mark in marks.items():
+        out[name] = F.greatest(local[name] + F.coalesce(carry[f"_b_{mark.of}"], F.lit(0)), carry[f"_b_{name}"])
+    for name, x in extremes.items():
+        out[name] = (F.least if x.kind == "min" else F.greatest)(local[name], carry[f"_b_{name}"])
+    return joined.select(*[local[c] for c in df.columns], *[value.alias(name) for name, value in out.items()])
+
+
+def sessions_between(df: DataFrame, keys: Sequence[str], order: Sequence[str], begins: Callable[[Column, Column], Column], at: str, name: str) -> DataFrame:
+    """Add ``name``: how many rows up to this one begin something new, as ``begins`` tells from ``at`` of the row before and of a row.
+
+    A run's summary is its first and last ``at`` and the begins inside it; between two runs there may be one more.
+    """
+    parts = run_keys(df, keys)
+    ordered = Window.partitionBy(*parts).orderBy(*ordering(order))
+    up_to = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def numbered(rows: DataFrame) -> DataFrame:
+        new = F.coalesce(begins(F.lag(at).over(ordered), F.col(at)).cast("long"), F.lit(0))
+        rows = rows.select("*", new.alias("_new"))
+        return rows.select(*[c for c in rows.columns if c != "_new"], F.sum("_new").over(up_to).alias(name))
+
+    local = numbered(df)
+    if not is_split(df):
+        return local
+    runs = numbered(df.filter(F.col(RUN) != WHOLE).select(*parts, *order, *[c for c in [at] if c not in [*parts, *order]]))
+    runs = runs.groupBy(*parts).agg(F.max(name).alias("_n"), F.min(F.struct(*order, F.col(at).alias("_at"))).alias("_low"), F.max(F.struct(*order, F.col(at).alias("_at"))).alias("_high"))
+    by_run = Window.partitionBy(*keys).orderBy(RUN)
+    gap = F.coalesce(begins(F.lag("_high._at").over(by_run), F.col("_low._at")).cast("long"), F.lit(0))
+    runs = runs.select(*parts, "_n", gap.alias("_gap"))
+    before = F.coalesce(F.sum("_n").over(by_run.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    gaps = F.sum("_gap").over(by_run.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    carry = F.broadcast(materialize(runs.select(*parts, (before + gaps).alias("_before")), "carry"))
+    joined = local.join(carry, _same(local, carry, parts), "left")
+    return joined.select(*[local[c] for c in df.columns], (local[name] + F.coalesce(carry["_before"], F.lit(0))).alias(name))
+
+
 def _zero_sums(df: DataFrame, columns: dict[str, Running]) -> DataFrame:
     empty_first = {n: F.coalesce(F.col(n), F.lit(0)) for n, s in columns.items() if s.kind == "sum"}
     return df.withColumns(empty_first) if empty_first else df

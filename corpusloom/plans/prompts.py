@@ -10,8 +10,6 @@ from corpusloom.operators.conversations import (
     EXIT_COMMANDS,
     MAX_ROUNDS,
     RESET_COMMANDS,
-    cut_at_exit,
-    mark_segments,
     prompt_at_turn,
 )
 from corpusloom.plans.ordered import MAX_ROWS_PER_KEY, with_runs
@@ -34,6 +32,4 @@ def conversation_prompts(
     """
     if split_above is not None:
         conv = with_runs(conv, keys, (turn,), split_above)
-    live = cut_at_exit(conv, exits, keys, (turn,))
-    segmented = mark_segments(live, resets, keys, (turn,))
-    return prompt_at_turn(segmented, max_rounds, keys=keys, turn=turn, templates=templates)
+    return prompt_at_turn(conv, max_rounds, keys=keys, turn=turn, templates=templates, resets=resets, exits=exits)
