@@ -100,6 +100,19 @@ def f5_repetition_guard_2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _guarded_lines(spark, sf_dir, 2)
 
 
+# a third of all events in one stream
+HOT_EVENTS_SQL = EVENT_CHUNKS_SQL.replace("SELECT user_id AS", "SELECT CASE WHEN user_id % 3 = 0 THEN -1 ELSE user_id END AS")
+
+
+@query(f"WITH {HOT_EVENTS_SQL}, {_repeat_sql(8, 'event_chunks', 'stream_id', 'ts, event_id')} SELECT stream_id, event_id, content FROM fresh")
+def f5_repetition_guard_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hot = F.when(F.col("stream_id") % 3 == 0, F.lit(-1)).otherwise(F.col("stream_id"))
+    order = ["ts", "event_id"]
+    events = with_runs(event_chunks(spark, sf_dir).withColumn("stream_id", hot), ["stream_id"], order, 200)
+    fresh = repetition_guard(events, 8, ["stream_id"], order, block_rows=256)
+    return without_runs(fresh).select("stream_id", "event_id", "content")
+
+
 _BUDGET_SQL = f"""WITH {EVENT_CHUNKS_SQL}, timed AS (
   SELECT *, row_number() OVER w AS n, epoch(ts) - epoch(first(ts) OVER w) AS elapsed
   FROM event_chunks WINDOW w AS (PARTITION BY stream_id ORDER BY ts, event_id)),

@@ -75,6 +75,23 @@ def f1_trim_history_2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_runs(trim_history(_conv(spark, sf_dir), 2))
 
 
+# a third of all rows and more in one conversation
+HOT_TALK_SQL = """hot_talk AS (
+  SELECT CASE WHEN conv_id % 3 = 0 THEN -1 ELSE conv_id END AS conv_id, conv_id * 100 + turn AS turn, role, text FROM conversations)"""
+
+
+def hot_talk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = table(spark, sf_dir, "conversations")
+    hot = F.when(F.col("conv_id") % 3 == 0, F.lit(-1).cast("long")).otherwise(F.col("conv_id"))
+    talk = conv.select(hot.alias("conv_id"), (F.col("conv_id") * 100 + F.col("turn")).alias("turn"), "role", "text")
+    return with_runs(talk, ["conv_id"], ["turn"], 16)
+
+
+@query(f"WITH {HOT_TALK_SQL} {_trim_sql(2).replace('FROM conversations', 'FROM hot_talk')}")
+def f1_trim_history_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_runs(trim_history(hot_talk(spark, sf_dir), 2))
+
+
 def _prompts_sql(source: str, rounds: int, segment: str = "0") -> str:
     return f"""
     numbered AS (
@@ -119,6 +136,23 @@ def f2_prompt_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prompt_ranges(_conv(spark, sf_dir))
 
 
+@query(
+    f"""WITH {HOT_TALK_SQL}, {_prompts_sql('hot_talk', 2)}
+    SELECT conv_id, turn, greatest(a - 3, 1) AS lo, pos AS hi FROM answered WHERE role = 'user'"""
+)
+def f2_prompt_ranges_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prompt_ranges(hot_talk(spark, sf_dir), 2)
+
+
+@query(
+    f"""WITH {HOT_TALK_SQL}, {_prompts_sql('hot_talk', 2)}
+    SELECT conv_id, turn, CASE WHEN s_turn < turn THEN lead ELSE '' END || body || '<|assistant|>' AS prompt
+    FROM (SELECT conv_id, turn, body, coalesce(s_turn, turn) AS s_turn, coalesce(lead, '') AS lead FROM prompts LEFT JOIN leads USING (conv_id))"""
+)
+def f2_prompt_at_turn_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prompt_at_turn(hot_talk(spark, sf_dir), 2)
+
+
 IS_RESET = "(role = 'user' AND trim(lower(text), ' \t\n') IN ('clear', 'reset', '清除', '重置'))"
 IS_EXIT = "(role = 'user' AND trim(lower(text), ' \t\n') IN ('exit', 'quit'))"
 SEGMENTS_SQL = f"""segmented AS (
@@ -186,6 +220,17 @@ def _sessions_sql(seconds: int) -> str:
       FROM (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS last FROM events))"""
 
 
+HOT_EVENTS_SQL = _sessions_sql(600).replace("FROM events)", "FROM (SELECT CASE WHEN user_id % 3 = 0 THEN -1 ELSE user_id END AS user_id, ts, event_id FROM events))")
+
+
+@query(f"WITH {HOT_EVENTS_SQL} SELECT user_id, event_id, session FROM sessions")
+def f9_idle_sessions_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events")
+    hot = F.when(F.col("user_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id"))
+    runs = with_runs(events.select(hot.alias("user_id"), "ts", "event_id"), ["user_id"], ["ts", "event_id"], 200)
+    return idle_sessions(runs, 600).select("user_id", "event_id", "session")
+
+
 def _sessions(spark: SparkSession, sf_dir: str, seconds: int) -> DataFrame:
     events = with_runs(table(spark, sf_dir, "events").select("user_id", "ts", "event_id"), ["user_id"], ["ts", "event_id"])
     return idle_sessions(events, seconds)

@@ -1,17 +1,20 @@
 """Streaming queries over the stored tables; each must equal its batch form."""
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.chunks import FILTER_REPLIES_SQL, STRIP_SQL
 from checks.conversations import PROMPTS_CHAIN_SQL, _sessions_sql
-from checks.registry import TEMPLATES, commands_in, query, streams_of, table, with_markers
+from checks.registry import CHUNKS_SQL, TEMPLATES, commands_in, query, streams_of, table, with_markers
 from corpusloom.operators.chunks import assemble_text, chunk_text
-from corpusloom.streaming.history import closing_turns, stream_history
+from corpusloom.streaming.history import stream_history
 from corpusloom.streaming.replies import stream_reply_filter
 from corpusloom.session import scratch_path
 from corpusloom.streaming.sessions import WHOLE_BACKLOG, closing_event, stream_idle_sessions
 from corpusloom.streaming.tables import drain, read_stream
+from corpusloom.streaming.timeouts import end_of_input, without_times
 
 
 def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,22 +27,42 @@ def k1_drain_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assemble_text(drain(chunks, "chunks"))
 
 
+def _backlog(spark: SparkSession, df: DataFrame, name: str, files: int, order: str) -> tuple[DataFrame, Callable[[], None]]:
+    """A table written in files that each hold rows from all over, as a stream with times; and the end of that input."""
+    folder, timed = scratch_path(spark, name), without_times(df, "ts")
+    timed.repartition(files, order).write.parquet(folder)
+    stream = read_stream(spark, folder, timed.schema, max_files=1)
+    return stream, lambda: end_of_input(timed, "ts").coalesce(1).write.mode("append").parquet(folder)
+
+
 @query(FILTER_REPLIES_SQL)
 def k2_stream_reply_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chunks = with_markers(chunk_text(streams_of(_stream(spark, sf_dir, "conversations")), last="is_last"))
-    timed = chunks.withColumn("at", F.lit(None).cast("double"))
-    filtered = stream_reply_filter(timed, max_tokens=200, window=4)
-    return drain(filtered, "replies").withColumn("chunk_idx", F.col("chunk_idx").cast("int"))
+    conv = table(spark, sf_dir, "conversations")
+    chunks = with_markers(chunk_text(streams_of(conv), last="is_last")).withColumn("at", F.lit(None).cast("double"))
+    stream, end = _backlog(spark, chunks, "chunks", 2, "chunk_idx")
+    filtered = stream_reply_filter(stream, max_tokens=200, window=4, ts="ts")
+    return drain(filtered, "replies", end).withColumn("chunk_idx", F.col("chunk_idx").cast("int"))
+
+
+# the chunks of every stream but its fourth and its last, so that the rest stands behind a gap and no chunk is marked last
+GAP_SQL = FILTER_REPLIES_SQL.replace(CHUNKS_SQL, CHUNKS_SQL.replace("chunks AS (", "all_chunks AS (", 1) + """, chunks AS (
+  SELECT stream_id, chunk_idx, content FROM (
+    SELECT *, max(chunk_idx) OVER (PARTITION BY stream_id) AS top FROM all_chunks) WHERE chunk_idx <> 3 AND chunk_idx < top)""")
+
+
+@query(GAP_SQL)
+def k2_stream_reply_filter_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = table(spark, sf_dir, "conversations")
+    chunks = with_markers(chunk_text(streams_of(conv), last="is_last")).filter("chunk_idx <> 3 AND NOT is_last")
+    stream, end = _backlog(spark, chunks.withColumn("at", F.lit(None).cast("double")), "chunks", 2, "chunk_idx")
+    filtered = stream_reply_filter(stream, max_tokens=200, window=4, ts="ts")
+    return drain(filtered, "replies", end).withColumn("chunk_idx", F.col("chunk_idx").cast("int"))
 
 
 @query(PROMPTS_CHAIN_SQL)
 def k3_stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    conv = table(spark, sf_dir, "conversations")
-    backlog = scratch_path(spark, "conversations")
-    conv.write.parquet(backlog)
-    closing_turns(conv).write.mode("append").parquet(backlog)
-    stream = commands_in(read_stream(spark, backlog, conv.schema))
-    return drain(stream_history(stream, TEMPLATES, max_rounds=1), "prompts")
+    stream, end = _backlog(spark, commands_in(table(spark, sf_dir, "conversations")), "conversations", 2, "turn")
+    return drain(stream_history(stream, TEMPLATES, max_rounds=1, ts="ts"), "prompts", end)
 
 
 @query(

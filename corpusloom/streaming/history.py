@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import re
 from collections.abc import Iterator, Mapping, Sequence
 
@@ -10,14 +9,18 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.state import GroupState
 
 from corpusloom.functions.text import CJK_FIRST, CJK_LAST
 from corpusloom.operators.conversations import EXIT_COMMANDS, MAX_ROUNDS, PROMPT_SUFFIX, RESET_COMMANDS
 from corpusloom.operators.instruct import ROLE_TAGS
+from corpusloom.streaming.timeouts import DELAY, last_ms, set_timeout, timeout_kind
 
-STATE = "next_turn bigint, begun string, lead string, segment bigint, ended boolean, messages string, waiting string"
-FRESH = (0, None, None, 0, False, "[]", "[]")
+STATE = (
+    "next_turn bigint, begun string, lead string, segment bigint, ended boolean, messages array<struct<role: string, text: string>>,"
+    " waiting array<struct<turn: bigint, role: string, text: string>>, latest bigint"
+)
+FRESH = (0, None, None, 0, False, [], [], 0)
 # Role of the row that ends a conversation; it has no turn.
 CLOSING_ROLE = "||CLOSE||"
 CJK = re.compile(f"[{chr(CJK_FIRST)}-{chr(CJK_LAST)}]")
@@ -33,6 +36,8 @@ def stream_history(
     suffix: str = PROMPT_SUFFIX,
     default_lang: str = "en",
     idle_ms: int | None = None,
+    ts: str | None = None,
+    delay: str = DELAY,
 ) -> DataFrame:
     """Streaming form of the batch prompts: ``(conv_id, segment, turn, prompt)`` per user message.
 
@@ -40,10 +45,14 @@ def stream_history(
     state is the system message and the live history, which a reply trims to ``2 * max_rounds`` messages, besides
     the waiting rows.
 
-    A conversation ends with its row of ``closing_turns``: what waits behind a gap then comes out in turn order and
-    the state is dropped. Append those rows to a stored backlog behind all others, or rows behind a gap stay in the
-    state. With ``idle_ms`` a conversation without input for that long ends likewise. Set it for a query that runs
-    all the time; a run over what is there now (``drain``) would wait for such timeouts without end.
+    With ``ts``, the column of event times, a conversation ends when the watermark (the latest time seen less ``delay``)
+    passes its latest row by ``idle_ms``: what waits behind a gap then comes out in turn order and the state is
+    dropped. No clock is involved; ``drain`` with an ``end_of_input`` ends all conversations. Rows older than the watermark are
+    late and left out.
+
+    A conversation also ends with its row of ``closing_turns``. Append those rows to a stored backlog behind all others,
+    or rows behind a gap stay in the state. Without ``ts``, ``idle_ms`` is time on the clock without input. Set it for a
+    query that runs all the time; a run over what is there now would wait for such timeouts without end.
     """
     key_field = conv.schema["conv_id"]
     out_schema = T.StructType(
@@ -59,9 +68,9 @@ def stream_history(
         return f"{tags[role]}\n{text}\n\n" if role in tags else ""
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        next_turn, begun, lead, segment, ended, messages_json, waiting_json = state.get if state.exists else FRESH
-        messages = json.loads(messages_json)
-        waiting = {row[0]: row for row in json.loads(waiting_json)}
+        next_turn, begun, lead, segment, ended, live, ahead, latest = state.get if state.exists else FRESH
+        messages = [tuple(message) for message in live]
+        waiting = {row[0]: tuple(row) for row in ahead}
         out: list[tuple[int, int, str]] = []
 
         def advance() -> None:
@@ -83,11 +92,11 @@ def stream_history(
                 return
             if role == "user" and lead is None:
                 lead = templates["zh"] if CJK.search(text) and "zh" in templates else templates[default_lang]
-            messages.append([role, text])
+            messages.append((role, text))
             if role == "assistant":
                 messages = messages[-2 * max_rounds :]
             elif role == "user":
-                body = "".join(line(r, t) for r, t in [["system", lead], *messages])
+                body = "".join(line(r, t) for r, t in [("system", lead), *messages])
                 out.append((segment, turn, body + suffix))
 
         def rows_out() -> pd.DataFrame:
@@ -98,11 +107,13 @@ def stream_history(
 
         closed = state.hasTimedOut
         for batch in () if closed else batches:
+            if ts is not None:
+                latest = max(latest, last_ms(batch[ts]))
             for turn, role, text in zip(batch["turn"], batch["role"], batch["text"]):
                 if pd.isna(turn):
                     closed = closed or role == CLOSING_ROLE
                 elif turn >= next_turn and not ended:
-                    waiting[int(turn)] = [int(turn), role, text or ""]
+                    waiting[int(turn)] = (int(turn), role, text or "")
             while not ended and next_turn in waiting:
                 advance()
             if out:
@@ -117,21 +128,16 @@ def stream_history(
             if out:
                 yield rows_out()
             return
+        if pd.isna(key[0]) and not waiting and not next_turn:
+            return  # the end of the input, which is no conversation
         if ended:
             messages, waiting = [], {}
-        state.update(
-            (next_turn, begun, lead, segment, ended, json.dumps(messages), json.dumps(sorted(waiting.values())))
-        )
-        if idle_ms is not None:
-            state.setTimeoutDuration(idle_ms)
-
-    return conv.groupBy("conv_id").applyInPandasWithState(
-        run,
-        out_schema,
-        STATE,
-        "append",
-        GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout,
-    )
+        rest = [waiting[turn] for turn in sorted(waiting)]
+        state.update((next_turn, begun, lead, segment, ended, messages, rest, latest))
+        set_timeout(state, idle_ms, latest if ts is not None else None)
+
+    timed = conv if ts is None else conv.withWatermark(ts, delay)
+    return timed.groupBy("conv_id").applyInPandasWithState(run, out_schema, STATE, "append", timeout_kind(idle_ms, ts))
 
 
 def closing_turns(conv: DataFrame) -> DataFrame:

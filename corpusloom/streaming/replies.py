@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.state import GroupState
 
 from corpusloom.functions.text import THINK_CLOSE, THINK_OPEN
 from corpusloom.operators.chunks import END, MAX_SECONDS, MAX_TOKENS, MIN_CHUNK, REPETITION_WINDOW
+from corpusloom.streaming.timeouts import DELAY, last_ms, set_timeout, timeout_kind
 
-STATE = "next_idx bigint, seen bigint, first_at double, hidden boolean, held string, held_start bigint, recent string, stopped boolean, waiting string"
-FRESH = (0, 0, None, False, "", None, "[]", False, "[]")
+STATE = (
+    "next_idx bigint, seen bigint, first_at double, hidden boolean, held string, held_start bigint, recent array<string>, stopped boolean,"
+    " waiting array<struct<index: bigint, at: double, content: string, last: boolean>>, latest bigint"
+)
+FRESH = (0, 0, None, False, "", None, [], False, [], 0)
 
 
 def stream_reply_filter(
@@ -27,6 +30,8 @@ def stream_reply_filter(
     close_tag: str = THINK_CLOSE,
     end: str = END,
     idle_ms: int | None = None,
+    ts: str | None = None,
+    delay: str = DELAY,
 ) -> DataFrame:
     """Streaming form of the batch reply filter.
 
@@ -35,8 +40,13 @@ def stream_reply_filter(
     missing one wait for it. What a stream holds back comes out with its last chunk. The state holds at most
     ``window`` pieces besides the waiting chunks.
 
-    With ``idle_ms`` a stream without input for that long is flushed and forgotten. Set it for a query that
-    runs all the time; a run over what is there now (``drain``) would wait for such timeouts without end.
+    With ``ts``, the column of event times, a stream ends when the watermark (the latest time seen less ``delay``)
+    passes its latest chunk by ``idle_ms``: what waits behind a gap then comes out in order, and its state goes. No
+    clock is involved, so a run over what is there now gives the same rows each time; ``drain`` with an
+    ``end_of_input`` ends all streams. Chunks older than the watermark are late and left out.
+
+    Without ``ts``, ``idle_ms`` is time on the clock without input. Set it for a query that
+    runs all the time; a run over what is there now would wait for such timeouts without end.
     """
     half = window // 2
     key_field = chunks.schema["stream_id"]
@@ -45,11 +55,9 @@ def stream_reply_filter(
     )
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        (next_idx, seen, first_at, hidden, held, start, recent_json, stopped, waiting_json) = (
-            state.get if state.exists else FRESH
-        )
-        recent = json.loads(recent_json)
-        waiting = {row[0]: row for row in json.loads(waiting_json)}
+        next_idx, seen, first_at, hidden, held, start, recent, stopped, ahead, latest = state.get if state.exists else FRESH
+        recent = list(recent)
+        waiting = {row[0]: tuple(row) for row in ahead}
         out: list[tuple[int, str]] = []
 
         def emit(index: int, piece: str) -> bool:
@@ -115,24 +123,22 @@ def stream_reply_filter(
                 yield rows_out()
             return
         for batch in batches:
+            if ts is not None:
+                latest = max(latest, last_ms(batch[ts]))
             for index, at, content, last in zip(batch["chunk_idx"], batch["at"], batch["content"], batch["is_last"]):
-                if index >= next_idx and not stopped:
-                    waiting[int(index)] = [int(index), None if pd.isna(at) else float(at), content, bool(last)]
+                if not pd.isna(index) and index >= next_idx and not stopped:
+                    waiting[int(index)] = (int(index), None if pd.isna(at) else float(at), content, bool(last))
             while not stopped and next_idx in waiting:
                 advance()
             if out:
                 yield rows_out()
+        if pd.isna(key[0]) and not waiting and not seen:
+            return  # the end of the input, which is no stream
         if stopped:
             recent, waiting = [], {}
-        kept = (next_idx, seen, first_at, hidden, held, start, json.dumps(recent), stopped)
-        state.update((*kept, json.dumps(sorted(waiting.values()))))
-        if idle_ms is not None:
-            state.setTimeoutDuration(idle_ms)
-
-    return chunks.groupBy("stream_id").applyInPandasWithState(
-        run,
-        out_schema,
-        STATE,
-        "append",
-        GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout,
-    )
+        rest = [waiting[index] for index in sorted(waiting)]
+        state.update((next_idx, seen, first_at, hidden, held, start, recent, stopped, rest, latest))
+        set_timeout(state, idle_ms, latest if ts is not None else None)
+
+    timed = chunks if ts is None else chunks.withWatermark(ts, delay)
+    return timed.groupBy("stream_id").applyInPandasWithState(run, out_schema, STATE, "append", timeout_kind(idle_ms, ts))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -25,19 +27,34 @@ def read_stream(
     return reader.parquet(path)
 
 
-def drain(stream: DataFrame, name: str = "drained") -> DataFrame:
+class RowsLeft(RuntimeError):
+    """A drained stream whose state is not empty at the end of its input."""
+
+
+def drain(stream: DataFrame, name: str = "drained", end: Callable[[], None] | None = None) -> DataFrame:
     """Run the stream over everything that is there now and return the rows it put out.
 
     Progress and rows go to the shared folder, so the run resumes after a failure and puts out each row once.
+
+    ``end`` adds the end of the input (``end_of_input``) to what the stream reads. It is called when all that was there
+    is worked off, so no row can come behind it whatever the order of the files, and a second run takes it in. All
+    states must have ended then: if one still holds rows, that is an error and not a loss.
     """
     spark = stream.sparkSession
     path = scratch_path(spark, name)
-    query = (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", f"{path}-progress")
-        .trigger(availableNow=True)
-        .start(path)
-    )
-    query.awaitTermination()
+
+    def run(before: int = 0) -> int:
+        """The rows of all states after a run; as many as before it if there was nothing to do."""
+        writer = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{path}-progress")
+        query = writer.trigger(availableNow=True).start(path)
+        query.awaitTermination()
+        last = query.lastProgress
+        return before if last is None else sum(operator["numRowsTotal"] for operator in last["stateOperators"])
+
+    held = run()
+    if end is not None:
+        end()
+        left = run(held)
+        if left:
+            raise RowsLeft(f"{left} states of {name} have not ended")
     return spark.read.schema(stream.schema).parquet(path)

@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 
 from checks import QUERIES, SQL
 from corpusloom.operators.batching import batch_plan
-from corpusloom.operators.conversations import attach_system_prompt
+from corpusloom.operators.conversations import attach_system_prompt, trim_history
 from corpusloom.operators.instruct import render_instruction
 from corpusloom.operators.retention import newest, stale
 from corpusloom.operators.segments import segments
+from corpusloom.operators.sessions import idle_sessions
+from corpusloom.plans.ordered import with_runs
+from corpusloom.plans.prompts import conversation_prompts
 from tools.compare import bag
 
 
@@ -89,3 +92,30 @@ def test_split_filter_prunes_folders(spark, tmp_path):
     save_dataset(read(spark, "documents").withColumn("split", F.when(F.col("lang") == "en", "train").otherwise("test")), path, "split")
     text = plan(select_split(read_saved(spark, [path])[0], ["test", "train"]))
     assert "PartitionFilters: [isnotnull(split" in text
+
+
+def count_of_runs(df):
+    """Scans of the written runs in a plan, and shuffles by key."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("/runs-"), plan.count("Exchange hashpartitioning") + plan.count("Exchange rangepartitioning")
+
+
+def test_a_chain_over_a_hot_key_scans_it_a_few_times(spark):
+    rows = [(1, t, "user" if t % 2 else "assistant", f"m{t}") for t in range(400)] + [(c, t, "user", "x") for c in range(2, 30) for t in range(4)]
+    conv = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    # exit, reset, system row, numbers, replies, and the join of prompts with messages: each side of it scans once per size of key
+    scans, shuffles = count_of_runs(conversation_prompts(conv, {"en": "EN"}, split_above=32))
+    assert scans <= 4 and shuffles <= 7
+    scans, shuffles = count_of_runs(trim_history(with_runs(conv, ["conv_id"], ["turn"], 32)))
+    assert scans <= 1 and shuffles <= 1
+    events = conv.withColumn("ts", F.timestamp_seconds("turn"))
+    scans, shuffles = count_of_runs(idle_sessions(with_runs(events, ["conv_id"], ["ts"], 32), 600, ["conv_id"], "ts", []))
+    assert scans <= 1 and shuffles <= 1
+
+
+def test_no_table_is_written_for_hot_keys_where_there_are_none(spark, monkeypatch):
+    from corpusloom.plans import ordered
+
+    monkeypatch.setattr(ordered, "materialize", lambda *_: pytest.fail("a table was written"))
+    conv = spark.createDataFrame([(1, 1)], "conv_id int, turn int")
+    assert not ordered.is_split(with_runs(conv, ["conv_id"], ["turn"]))

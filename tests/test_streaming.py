@@ -10,7 +10,8 @@ from corpusloom.plans.replies import filter_replies
 from corpusloom.streaming.history import closing_turns, stream_history
 from corpusloom.streaming.replies import stream_reply_filter
 from corpusloom.streaming.sessions import stream_idle_sessions
-from corpusloom.streaming.tables import drain, read_stream
+from corpusloom.streaming.tables import RowsLeft, drain, read_stream
+from corpusloom.streaming.timeouts import end_of_input, without_times
 
 WORDS = ["ab ", "c", "<think>", "no", "</think>", "dd", " eee", "f ", "||END||", "", "gh"]
 
@@ -75,6 +76,50 @@ def test_history_with_gaps(spark, tmp_path):
     assert bag_of(drain(stream_history(stream, {"en": "EN"}, 2))) == bag_of(batch)
 
 
+def backlog(spark, tmp_path, df, part, n=3):
+    """A stream over ``n`` files in any order, with times, and the end of its input."""
+    timed = without_times(df, "ts")
+    stream = in_files(spark, tmp_path, timed, part, n)
+    return stream, lambda: end_of_input(timed, "ts").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+
+
+@pytest.mark.parametrize("missing, with_last", [((3,), True), ((0, 7), False), ((), False)])
+def test_replies_behind_a_gap_come_out_at_the_end(spark, tmp_path, chunks, missing, with_last):
+    some = chunks.filter(~F.col("chunk_idx").isin(*missing) if missing else F.lit(True))
+    some = some if with_last else some.withColumn("is_last", F.lit(False))
+    batch = bag_of(filter_replies(some.drop("is_last"), window=4))
+    stream, end = backlog(spark, tmp_path, some, 60 - F.col("chunk_idx"))
+    assert batch and bag_of(drain(stream_reply_filter(stream, window=4, ts="ts"), "gaps", end)) == batch
+
+
+def test_history_ends_by_event_time(spark, tmp_path):
+    rows = [(conv, turn, "user" if turn % 2 else "assistant", "reset" if (conv, turn) == (2, 5) else f"m{turn}")
+            for conv, missing in [(0, {0}), (1, {4, 5}), (2, {0, 3, 9}), (3, set())] for turn in sorted(set(range(12)) - missing)]
+    conv = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    batch = bag_of(conversation_prompts(conv, {"en": "EN"}, 2))
+    stream, end = backlog(spark, tmp_path, conv, 60 - F.col("turn"))
+    assert bag_of(drain(stream_history(stream, {"en": "EN"}, 2, ts="ts"), "ends", end)) == batch
+
+
+def test_a_reply_ends_behind_the_watermark(spark, tmp_path):
+    rows = [("a", 0, 0, "one "), ("a", 2, 1, "three "), ("b", 0, 500, "later "), ("c", 0, 900, "last ")]
+    df = spark.createDataFrame(rows, "stream_id string, chunk_idx bigint, t bigint, content string")
+    df = df.select("stream_id", "chunk_idx", F.lit(None).cast("double").alias("at"), "content", F.lit(False).alias("is_last"), F.timestamp_seconds(F.col("t") + 1_000_000).alias("ts"))
+    folder = str(tmp_path / "in")
+    for part in (df.filter("stream_id = 'a'"), df.filter("stream_id <> 'a'")):
+        part.coalesce(1).write.mode("append").parquet(folder)
+    stream = read_stream(spark, folder, df.schema, max_files=1)
+    out = drain(stream_reply_filter(stream, idle_ms=60_000, ts="ts", delay="0 seconds"))
+    # the later times end a, whose two chunks stand apart and are held together; whole chunks come out at once
+    assert sorted(rows_of(out, "stream_id", "chunk_idx", "content")) == [("a", 0, "one three "), ("b", 0, "later "), ("c", 0, "last ")]
+
+
+def test_an_unfinished_stream_is_an_error(spark, tmp_path, chunks):
+    stream, _ = backlog(spark, tmp_path, chunks.withColumn("is_last", F.lit(False)), F.col("chunk_idx"), 2)
+    with pytest.raises(RowsLeft):
+        drain(stream_reply_filter(stream, ts="ts"), "unfinished", lambda: None)
+
+
 def test_idle_history_comes_out(spark, tmp_path):
     rows = [(1, 1, "user", "a"), (1, 2, "assistant", "b"), (1, 5, "user", "c"), (2, 0, "user", "d")]
     conv = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
