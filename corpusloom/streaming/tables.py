@@ -48,8 +48,8 @@ def drain(stream: DataFrame, name: str = "drained", end: Callable[[], None] | No
         writer = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{path}-progress")
         query = writer.trigger(availableNow=True).start(path)
         query.awaitTermination()
-        last = query.lastProgress
-        return before if last is None else sum(operator["numRowsTotal"] for operator in last["stateOperators"])
+        told = [p["stateOperators"] for p in query.recentProgress if p["stateOperators"]]
+        return sum(operator["numRowsTotal"] for operator in told[-1]) if told else before
 
     held = run()
     if end is not None:
