@@ -28,6 +28,8 @@ MAX_SECONDS = 2400
 MIN_CHUNK = 5
 # ------------------------------------------------------------------------------------------------------
 STREAM = ("stream_id",)
+# Tables of blocks that one node of their tree holds.
+TREE_FAN = 256
 INDEX = ("chunk_idx",)
 
 
@@ -224,8 +226,8 @@ def rechunk(
 
     A piece keeps the index of its first chunk. Streams are folded in blocks of index values. What a block
     does to the characters held back before it depends only on how many they are (0 to ``min_len - 1``), so
-    each block is first reduced to that small table, the tables are chained per stream, and then all blocks
-    run on their own. Stream keys must not be null. ``bounded=True`` says that every stream is known to fit in one block.
+    each block is first reduced to that small table, the tables are composed in a tree of ``TREE_FAN`` a node, and then
+    all blocks run on their own: no row or task holds more tables than a node, however long a stream is. Stream keys must not be null. ``bounded=True`` says that every stream is known to fit in one block.
     """
     used = chunks.filter(F.col(content) != "")
     block = F.lit(0).cast("long") if bounded else F.floor(F.col(index) / F.lit(block_rows))
@@ -308,21 +310,39 @@ def _block_entries(blocks: DataFrame, keys: Sequence[str], min_len: int) -> Data
         return F.aggregate("_items", _open_piece(n_before, F.lit(None)), step)
 
     table = F.transform(F.sequence(F.lit(0), F.lit(min_len - 1)), run_through)
-    tables = blocks.select(*keys, "_block", table.alias("_table"))
-    chained = tables.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.struct(F.col("_block").alias("b"), F.col("_table").alias("t")))).alias("_t")
-    ).filter(F.size("_t") > 1)
+    def passed(held: Column, leaving: Column) -> Column:
+        """What is held back behind a block, by its table, when ``held`` is before it."""
+        start = F.when((leaving["n"] > 0) & leaving["start"].isNull(), held["start"]).otherwise(leaving["start"])
+        return _open_piece(leaving["n"], start)
 
     def chain(held: Column, entry: Column) -> tuple[Column, Column]:
-        leaving = entry["t"][held["n"]]
-        start = F.when((leaving["n"] > 0) & leaving["start"].isNull(), held["start"]).otherwise(leaving["start"])
         emitted = F.struct(entry["b"].alias("b"), held["n"].alias("n"), held["start"].alias("start"))
-        return _open_piece(leaving["n"], start), emitted
+        return passed(held, entry["t"][held["n"]]), emitted
+
+    # Upwards: the tables of TREE_FAN blocks side by side are composed to one, until a stream is one group.
+    tables, levels = blocks.select(*keys, "_block", table.alias("_table")), []
+    while True:
+        members = F.sort_array(F.collect_list(F.struct(F.col("_block").alias("b"), F.col("_table").alias("t"))))
+        group = F.floor(F.col("_block") / F.lit(TREE_FAN)).alias("_group")
+        levels.append(materialize(tables.groupBy(*keys, group).agg(members.alias("_t")), "rechunk-tables"))
+        if not levels[-1].filter("_group > 0").take(1):
+            break
+        through = F.transform(
+            F.sequence(F.lit(0), F.lit(min_len - 1)),
+            lambda n: F.aggregate("_t", _open_piece(n, F.lit(None)), lambda held, entry: passed(held, entry["t"][held["n"]])),
+        )
+        tables = levels[-1].select(*keys, F.col("_group").alias("_block"), through.alias("_table"))
 
+    # Downwards: what is held back before a group tells what is held back before each of its members.
     nothing = _open_piece(F.lit(0), F.lit(None))
-    entries = fold_emit(F.col("_t"), nothing, chain, "struct<b:bigint,n:int,start:bigint>")["out"]
-    return (
-        chained.select(*keys, F.explode(entries).alias("_e"))
-        .filter("_e.n > 0")
-        .select(*keys, F.col("_e.b").alias("_block"), _open_piece(F.col("_e.n"), F.col("_e.start")).alias("_entry"))
-    )
+    held_before = None
+    for level in reversed(levels):
+        if held_before is None:
+            entered = level.withColumn("_entry", nothing)
+        else:
+            above = held_before.withColumnRenamed("_block", "_group")
+            entered = level.join(above, [*keys, "_group"], "left").withColumn("_entry", F.coalesce("_entry", nothing))
+        entries = fold_emit(F.col("_t"), F.col("_entry"), chain, "struct<b:bigint,n:int,start:bigint>")["out"]
+        some = entered.select(*keys, F.explode(entries).alias("_e")).filter("_e.n > 0")
+        held_before = some.select(*keys, F.col("_e.b").alias("_block"), _open_piece(F.col("_e.n"), F.col("_e.start")).alias("_entry"))
+    return held_before

@@ -8,6 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from corpusloom.operators import chunks as chunk_operators
 from corpusloom.operators.chunks import (
     budget_guard,
     budget_stops,
@@ -181,6 +182,20 @@ def test_rechunk_blocks_match_a_loop(frame, contents, min_len, block_rows):
     assert rows_of(got, "chunk_idx", "content") == loop_rechunk(contents, min_len)
 
 
+def test_rechunk_of_many_blocks_composes_their_tables(spark, monkeypatch):
+    monkeypatch.setattr(chunk_operators, "TREE_FAN", 3)
+    rng = random.Random(9)
+    streams = {f"s{k}": [rng.choice(["", "a", "bb", "ccc", "dddd"]) for _ in range(n)] for k, n in enumerate([200, 47, 3, 1])}
+    df = spark.createDataFrame([(s, i, c) for s, cs in streams.items() for i, c in enumerate(cs)], "stream_id string, chunk_idx int, content string")
+    nodes = []
+    monkeypatch.setattr(chunk_operators, "materialize", lambda table, name: nodes.append((name, kept := materialize(table, name))) or kept)
+    got = rechunk(df, 11, block_rows=2).orderBy("stream_id", "chunk_idx")
+    want = [(s, *piece) for s, cs in streams.items() for piece in loop_rechunk(cs, 11)]
+    assert rows_of(got, "stream_id", "chunk_idx", "content") == sorted(want)
+    levels = [table for name, table in nodes if name == "rechunk-tables"]
+    assert len(levels) == 5 and max(level.agg(F.max(F.size("_t"))).first()[0] for level in levels) == 3
+
+
 def test_concat_blocks(spark):
     df = spark.range(100).selectExpr("id % 2 as k", "id as i", "cast(id as string) as v")
     whole = bag_of(ordered_concat(df, ["k"], "i", "v", "t", bounded=True))
