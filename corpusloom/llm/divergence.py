@@ -45,7 +45,7 @@ MIN_DF = 3
 MAX_INT = 2**31 - 1
 TERM_RANKS = 200
 # Terms of one vectorizer, which the driver and every executor hold, and counts of groups in one task of the evaluation.
-BLOCK_TERMS = 500_000
+BLOCK_TERMS = 750_000
 BLOCK_COUNTS = 200_000
 # One term in so many, by hash, tells how many blocks there are to be.
 PROBED = 64
