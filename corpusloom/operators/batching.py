@@ -27,7 +27,7 @@ def batch_plan(
     Rows are ordered by a hash of seed, epoch and id. The first hex digits of the hash are ordered buckets of
     even size; numbering inside the buckets plus the rows of the buckets before gives the global number
     without sorting an epoch in one task. The number of digits follows from the number of rows, so buckets stay
-    small; the order does not depend on it.
+    small; the order does not depend on it. Without epochs there are no rows.
     """
     if bucket_digits is None:
         rows, bucket_digits = df.count(), 1
@@ -35,7 +35,7 @@ def batch_plan(
             bucket_digits += 1
     text = F.concat_ws("|", F.lit(str(seed)), F.col("epoch").cast("string"), F.col(id_column).cast("string"))
     rows = (
-        df.select(id_column, F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("epoch"))
+        df.select(id_column, F.explode(F.slice(F.sequence(F.lit(0), F.lit(max(epochs, 1) - 1)), 1, max(epochs, 0))).alias("epoch"))
         .withColumn("_key", F.md5(text))
         .withColumn("_bucket", F.substring("_key", 1, bucket_digits))
     )

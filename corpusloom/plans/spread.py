@@ -1,11 +1,11 @@
-"""Using all cores on an input that comes in one or two splits."""
+"""Using all cores on an input that comes in few splits."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
 # A scan of so few splits holds no more than that many times ``spark.sql.files.maxPartitionBytes``.
-MAX_SPLITS = 2
+MAX_SPLITS = 16
 
 
 def spread(df: DataFrame) -> DataFrame:

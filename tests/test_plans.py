@@ -119,3 +119,8 @@ def test_no_table_is_written_for_hot_keys_where_there_are_none(spark, monkeypatc
     monkeypatch.setattr(ordered, "materialize", lambda *_: pytest.fail("a table was written"))
     conv = spark.createDataFrame([(1, 1)], "conv_id int, turn int")
     assert not ordered.is_split(with_runs(conv, ["conv_id"], ["turn"]))
+
+
+def test_no_epochs_are_no_rows(spark):
+    assert batch_plan(spark.range(5), "id", epochs=0).count() == 0
+    assert batch_plan(spark.range(5), "id", epochs=2).count() == 10
