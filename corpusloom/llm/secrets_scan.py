@@ -4,13 +4,15 @@ Base kinds, leftmost and non-overlapping each: ``assign`` (a name such as passwo
 value of 12 characters or more), ``access`` (``AKIA…`` of 18 or more), ``hex`` (16 or more of ``[0-9a-f]``).
 
 Further candidates are long tokens of mixed characters and values after other credential names. Each value is
-hashed with a key; hashes are counted by distinct repositories and owners over the whole corpus. A value that
-few owners have and that looks alive (varied, of several character classes) becomes a span of kind ``owned``; one
-that many have is a widely copied example and stays text. Base spans stay whatever their count is; their counts
-tell which of them are copied.
-
-Null texts count as empty. Null repositories or owners count as one unnamed repository or owner. Repeated rows
-give repeated rows and count once. Offsets are code points, ends exclusive.
+hashed with a key; hashes are counted by distinct repositories, owners and texts over the whole corpus. A value that few
+of each hold and that looks alive (varied, of several character classes) becomes a span of kind ``owned``; one that many
+repositories have, or many different texts of one repository, is a widely copied example and stays text. Copies of one
+text within a repository count once. Base spans stay whatever their count is; their counts tell which of them are copied.
+
+Null texts count as empty. Null repositories or owners count as one unnamed repository or owner; without a column
+``lang`` the owner is the repository. Repeated rows give repeated rows and count once. A text of any length is scanned
+whole, in time linear in its length and spans. An empty table gives no rows. Other columns may have any names. Offsets
+are code points, ends exclusive.
 """
 
 from __future__ import annotations
@@ -39,9 +41,10 @@ OWNED = KINDS.index("owned")
 _ASSIGN_WORDS = ("password", "passwd", "secret", "token", "api")
 _NAMED_WORDS = ("credential", "auth", "bearer", "private", "access", "pwd")
 
-# A value is owner-specific if at most so many repositories and owners hold it.
+# A value is owner-specific if at most so many repositories, owners and different texts hold it.
 MAX_REPOSITORIES = 2
 MAX_OWNERS = 2
+MAX_TEXTS = 16
 MIN_ENTROPY = 3.5
 
 _SPAN = pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("value", pa.binary())])
@@ -68,13 +71,28 @@ def scan(text: str) -> tuple[list[tuple[int, int, int, str]], list[tuple[int, in
     found = [(m.start(), m.end()) for m in TOKEN.finditer(text)]
     if any(w in low for w in _NAMED_WORDS):
         found += [m.span(1) for m in NAMED.finditer(text)]
-    end = -1
+    base.sort(key=lambda s: (s[1], s[0]))
+    covered = _runs([(x, y) for _, x, y, _ in base])
+    end, at = -1, 0
     for a, b in sorted(found):
-        inside = any(a < y and x < b for _, x, y, _ in base)
+        while at < len(covered) and covered[at][1] <= a:
+            at += 1
+        inside = at < len(covered) and covered[at][0] < b
         if a >= end and not inside and looks_alive(text[a:b]):
             more.append((OWNED, a, b, text[a:b]))
             end = b
-    return sorted(base, key=lambda s: (s[1], s[0])), more
+    return base, more
+
+
+def _runs(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The union of spans sorted by start, as spans that do not overlap."""
+    runs: list[tuple[int, int]] = []
+    for a, b in spans:
+        if runs and a < runs[-1][1]:
+            runs[-1] = (runs[-1][0], max(runs[-1][1], b))
+        else:
+            runs.append((a, b))
+    return runs
 
 
 def _scan(key: bytes):
@@ -95,29 +113,30 @@ def _scan(key: bytes):
 
 
 def ownership(spans: DataFrame) -> DataFrame:
-    """``value, n_repositories, n_owners``: distinct holders of every hashed value, combined before the shuffles."""
-    held = spans.select("value", "repository", "owner").distinct()
-    return held.groupBy("value").agg(F.countDistinct("repository").alias("n_repositories"), F.countDistinct("owner").alias("n_owners"))
+    """``value, n_repositories, n_owners, n_texts``: distinct holders of every hashed value, combined before the shuffles."""
+    held = spans.select("value", "repository", "owner", "text_key").distinct()
+    return held.groupBy("value").agg(*[F.countDistinct(c).alias(n) for c, n in (("repository", "n_repositories"), ("owner", "n_owners"), ("text_key", "n_texts"))])
 
 
 def owner_specific() -> Column:
-    return (F.col("n_repositories") <= MAX_REPOSITORIES) & (F.col("n_owners") <= MAX_OWNERS)
+    return (F.col("n_repositories") <= MAX_REPOSITORIES) & (F.col("n_owners") <= MAX_OWNERS) & (F.col("n_texts") <= MAX_TEXTS)
 
 
 def secret_spans(docs: DataFrame, repository: str = "source", owner: Column | None = None, text_col: str = "text", key: bytes = b"") -> DataFrame:
     """``doc_id, text_key, base, owned, n_copied`` for every row.
 
     ``base`` and ``owned`` are arrays of spans with hashed values, never the values themselves; ``n_copied`` counts
-    the base spans whose value many owners have. ``owner`` is a column, by default repository and language.
+    the base spans whose value many hold. ``owner`` is a column, by default repository and, where there is one, language.
     """
     repo = F.coalesce(docs[repository].cast("string"), F.lit(""))
-    owner = F.concat_ws(":", docs[repository].cast("string"), docs["lang"].cast("string")) if owner is None else owner
+    by_default = [docs[c].cast("string") for c in (repository, "lang") if c in docs.columns]
+    owner = F.concat_ws(":", *by_default) if owner is None else owner
     rows = docs.select(docs["doc_id"], repo.alias("repository"), F.coalesce(owner, F.lit("")).alias("owner"), docs[text_col].alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, repository string, owner string, text_key binary, base {_SPANS}, more {_SPANS}"
     rows = rows.mapInArrow(_scan(key), schema).withColumn("row", F.monotonically_increasing_id())
     rows = materialize(rows, "secrets-scan")
-    held = rows.select("row", "repository", "owner", F.explode(F.concat("base", "more")).alias("s")).select("row", "repository", "owner", "s", F.col("s.value").alias("value"))
+    held = rows.select("row", "text_key", "repository", "owner", F.explode(F.concat("base", "more")).alias("s")).withColumn("value", F.col("s.value"))
     judged = held.join(ownership(held), "value")
     per_row = judged.groupBy("row").agg(
         F.array_sort(F.collect_list(F.when((F.col("s.kind") == OWNED) & owner_specific(), F.struct("s.start", "s.end")))).alias("owned"),
@@ -153,31 +172,36 @@ def redacted(docs: DataFrame, mark: str = "<secret>", text_col: str = "text", le
     """``docs`` with every base and owned span replaced by ``mark``, same columns; clean rows stay as they are."""
     found = secret_spans(docs, text_col=text_col, **options)
     spans = F.concat(F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))), "owned")
-    found = found.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.array_sort(spans).alias("_spans")).filter(F.size("_spans") > 0)
-    found = found.dropDuplicates(["_id", "_key"])
+    found = found.select("doc_id", "text_key", F.array_sort(spans).alias("spans")).filter(F.size("spans") > 0)
+    found = found.dropDuplicates(["doc_id", "text_key"]).toDF("found_id", "found_key", "spans")
     schema = docs.schema
+    # columns go by their place in between, so that no name of the table can clash
+    places = {name: f"c{k}" for k, name in enumerate(schema.names)}
+    placed = StructType([StructField(f"c{k}", f.dataType, f.nullable) for k, f in enumerate(schema.fields)])
+    text_at, length_at = places[text_col], places.get(length_col)
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = [hashlib.blake2b((t or "").encode(), digest_size=16).digest() for t in batch.column(text_col).to_pylist()]
-            yield batch.append_column("_key", pa.array(keys, pa.binary()))
+            keys = [hashlib.blake2b((t or "").encode(), digest_size=16).digest() for t in batch.column(text_at).to_pylist()]
+            yield batch.append_column("key", pa.array(keys, pa.binary()))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(text_col).to_pylist()
-            for i, spans in enumerate(batch.column("_spans").to_pylist()):
+            texts, spans_of = batch.column(text_at).to_pylist(), batch.column("spans").to_pylist()
+            for i, spans in enumerate(spans_of):
                 if spans:
                     texts[i] = without(texts[i], [(s["start"], s["end"]) for s in spans], mark)
-            columns = {name: batch.column(name) for name in schema.names}
-            columns[text_col] = pa.array(texts, pa.string())
-            if length_col in columns:
-                changed = [len(t) if s else n for t, s, n in zip(texts, batch.column("_spans").to_pylist(), columns[length_col].to_pylist())]
-                columns[length_col] = pa.array(changed, columns[length_col].type)
+            columns = {name: batch.column(name) for name in placed.names}
+            columns[text_at] = pa.array(texts, pa.string())
+            if length_at is not None:
+                changed = [len(t) if s else n for t, s, n in zip(texts, spans_of, columns[length_at].to_pylist())]
+                columns[length_at] = pa.array(changed, columns[length_at].type)
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
-    with_key = docs.mapInArrow(keyed, StructType([*schema.fields, StructField("_key", BinaryType())]))
-    same = with_key["doc_id"].eqNullSafe(found["_id"]) & (with_key["_key"] == found["_key"])
-    return with_key.join(found, same, "left").select(*[with_key[c] for c in schema.names], "_spans").mapInArrow(cut, schema)
+    with_key = docs.toDF(*placed.names).mapInArrow(keyed, StructType([*placed.fields, StructField("key", BinaryType())]))
+    same = F.col(places["doc_id"]).eqNullSafe(F.col("found_id")) & (F.col("key") == F.col("found_key"))
+    cut_rows = with_key.join(found, same, "left").select(*placed.names, "spans").mapInArrow(cut, placed)
+    return cut_rows.toDF(*schema.names)
 
 
 def without(text: str, spans: list[tuple[int, int]], mark: str) -> str:

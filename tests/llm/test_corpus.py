@@ -283,6 +283,45 @@ def test_ownership_separates_copies(spark, docs_of):
     assert secrets_scan.secret_spans(docs_of([])).count() == 0
 
 
+LIVE = "Zk3Qw9Lx7Tb2Vn5Rm8Yp4Hd6"
+
+
+def test_holders_are_texts_not_copies(spark, docs_of):
+    """Many texts of one source make an example; copies of one text in a source are one holder."""
+    many = [(k, f"note {k} bearer: {LIVE}", "en", "src0") for k in range(40)]
+    assert {len(r["owned"]) for r in secrets_scan.secret_spans(docs_of(many)).collect()} == {0}
+    copies = [(k, f"my bearer: {LIVE}", "en", "src0") for k in range(40)]
+    assert {len(r["owned"]) for r in secrets_scan.secret_spans(docs_of(copies)).collect()} == {1}
+    few = [(k, f"note {k} bearer: {LIVE}", "en", "src0") for k in range(secrets_scan.MAX_TEXTS)]
+    assert {len(r["owned"]) for r in secrets_scan.secret_spans(docs_of(few)).collect()} == {1}
+    apart = [(k, f"note {k} bearer: {LIVE}", "en", f"src{k}") for k in range(3)]
+    assert {len(r["owned"]) for r in secrets_scan.secret_spans(docs_of(apart)).collect()} == {0}
+
+
+def test_redaction_with_any_column_names(spark):
+    rows = [(1, f"my bearer: {LIVE}", "src0", 1, "a", 2, "b", "x"), (2, "clean", None, 1, "a", 2, "b", "y"), (None, None, "src0", 1, None, 2, "b", "z")]
+    names = "doc_id long, text string, source string, _key long, _spans string, _id int, key string, spans string"
+    docs = spark.createDataFrame(rows, names)
+    found = secrets_scan.redacted(docs)
+    assert found.schema == docs.schema
+    assert sorted(found.collect(), key=str) == sorted([(1, "my bearer: <secret>", *rows[0][2:]), rows[1], rows[2]], key=str)
+
+
+def test_candidates_inside_base_spans():
+    """Merged base spans tell what each of them tells."""
+    rng = random.Random(8)
+    parts = ["token=", "auth: ", "0123456789abcdef", LIVE, "AKIA", "ABCDEF12345678", " ", "\n", "-", "é", "zz9"]
+    for _ in range(3000):
+        text = "".join(rng.choices(parts, k=rng.randint(1, 14)))
+        base, more = secrets_scan.scan(text)
+        assert not any(a < y and x < b for _, a, b, _ in more for _, x, y, _ in base)
+        taken = [m[1:3] for m in more]
+        found = [m.span() for m in secrets_scan.TOKEN.finditer(text)] + [m.span(1) for m in secrets_scan.NAMED.finditer(text)]
+        for a, b in found:
+            if secrets_scan.looks_alive(text[a:b]) and not any(a < y and x < b for _, x, y, _ in base):
+                assert any(a < y and x < b for x, y in taken)
+
+
 def test_query_eight(spark):
     want = {}
     for doc_id, text in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect():
