@@ -49,6 +49,8 @@ BLOCK_TERMS = 500_000
 BLOCK_COUNTS = 200_000
 # One term in so many, by hash, tells how many blocks there are to be.
 PROBED = 64
+# Steps that values of terms are counted in, for each doubling.
+STEPS = 16
 # Bytes of text whose terms a task holds at once, and distinct terms that it holds to count their documents.
 STEP_BYTES = 2_000_000
 HELD_TERMS = 500_000
@@ -156,7 +158,7 @@ def group_vectors(docs: DataFrame, vocabulary: Broadcast) -> DataFrame:
 
 
 def _block_sums(docs: DataFrame, held: DataFrame, min_df: int, block: int) -> tuple[DataFrame, DataFrame] | None:
-    """``lang, source, index, n`` of one block of terms and ``index, term``; None where no term is kept."""
+    """``group_sums`` of one block of terms; None where no term is kept."""
     spark = docs.sparkSession
     vectorizer = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_df), vocabSize=MAX_INT)
     try:
@@ -171,9 +173,11 @@ def _block_sums(docs: DataFrame, held: DataFrame, min_df: int, block: int) -> tu
     vocabulary = materialize(spark.createDataFrame(named_terms, "index long, term string"), "divergence-vocabulary")
     sums = group_vectors(docs, spark.sparkContext.broadcast(words))
     sums = sums.withColumn("index", F.col("index") + F.lit(base))
-    # tasks have summed already, so nothing is gained by another sum before the shuffle
-    sums = sums.repartition("lang", "source", "index").groupBy("lang", "source", "index").agg(F.sum("n").alias("n"))
-    return materialize(sums, "divergence-sums"), vocabulary
+    # tasks have summed already, so nothing is gained by another sum before the shuffle; all sums need this one only
+    sums = sums.repartition("index").groupBy("lang", "source", "index").agg(F.sum("n").alias("n"))
+    everywhere = Window.partitionBy("index")
+    first = F.row_number().over(everywhere.orderBy("index")) == 1
+    return materialize(sums.select("*", F.sum("n").over(everywhere).alias("lang_n"), first.alias("first")), "divergence-sums"), vocabulary
 
 
 def n_blocks(held: DataFrame, min_df: int, block_terms: int) -> int:
@@ -184,9 +188,10 @@ def n_blocks(held: DataFrame, min_df: int, block_terms: int) -> int:
 
 
 def group_sums(docs: DataFrame, min_df: int = MIN_DF, block_terms: int = BLOCK_TERMS) -> tuple[DataFrame, DataFrame]:
-    """``lang, source, index, n``, the occurrences above 0 of kept terms per group, and ``index, term``.
+    """``lang, source, index, n, lang_n, first``, the occurrences above 0 of kept terms per group, and ``index, term``.
 
-    A term has an index of its own in each of its languages.
+    A term has an index of its own in each of its languages. ``lang_n`` are the occurrences in all groups of the
+    language; ``first`` is true in one row of every index.
     """
     held = materialize(held_lists(docs, min_df), "divergence-held")
     blocks = n_blocks(held, min_df, block_terms)
@@ -196,7 +201,7 @@ def group_sums(docs: DataFrame, min_df: int = MIN_DF, block_terms: int = BLOCK_T
         return table.withColumn("terms", in_block) if blocks > 1 else table
 
     spark = docs.sparkSession
-    sums = spark.createDataFrame([], "lang string, source string, index long, n long")
+    sums = spark.createDataFrame([], "lang string, source string, index long, n long, lang_n long, first boolean")
     vocabulary = spark.createDataFrame([], "index long, term string")
     for block in range(blocks):
         found = _block_sums(docs, own(held, block), min_df, block)
@@ -248,20 +253,33 @@ def _evaluate(key: tuple, counts: pd.DataFrame, groups: pd.DataFrame) -> pd.Data
     return pd.DataFrame({"lang": key[0], "source": np.array(names, object)[a], "item": np.array(names, object)[b], "part_value": values[a, b]})
 
 
+def _from_last_step(terms: DataFrame, ranks: int) -> DataFrame:
+    """``terms`` without those whose value is certainly behind the first ``ranks`` of their group.
+
+    Values are counted in steps that grow with them; the step that holds the last rank stays whole. So no task
+    sorts all terms of a group.
+    """
+    step = F.floor(F.log2(F.col("value") + 1) * STEPS)
+    counts = terms.groupBy("lang", "source", step.alias("step")).agg(F.count(F.lit(1)).alias("held"))
+    before = Window.partitionBy("lang", "source").orderBy(F.col("step").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("above", F.coalesce(F.sum("held").over(before), F.lit(0))).filter(F.col("above") < ranks)
+    last = counts.groupBy("lang", "source").agg(F.min("step").alias("last"))
+    return terms.join(last, ["lang", "source"]).filter(step >= F.col("last")).drop("last")
+
+
 def divergence(docs: DataFrame, min_df: int = MIN_DF, term_ranks: int = TERM_RANKS, block_terms: int = BLOCK_TERMS, block_counts: int = BLOCK_COUNTS) -> DataFrame:
     """``lang, source, part, item, value, rank``: sources of a language by how far a group is from them (``pair``), and
     terms that a group uses more than its language by how much (``term``, the first ``term_ranks``)."""
     groups = docs.select(*[F.coalesce(docs[c].cast("string"), F.lit("")).alias(c) for c in ("lang", "source")]).distinct()
     sums, vocabulary = group_sums(docs, min_df, block_terms)
     totals = sums.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    kept = materialize(sums.groupBy("lang", "index").agg(F.sum("n").alias("lang_n")), "divergence-kept")
-    langs = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("lang_n").alias("lang_total"))
+    langs = sums.groupBy("lang").agg(F.count_if("first").alias("v"), F.sum("n").alias("lang_total"))
     zero = F.lit(0).cast("long")
     groups = groups.join(totals, ["lang", "source"], "left").join(langs, "lang", "left")
     groups = materialize(groups.select("lang", "source", *[F.coalesce(c, zero).alias(c) for c in ("total", "v", "lang_total")]), "divergence-groups")
 
     blocks = 1 + sums.count() // block_counts
-    blocked = sums.withColumn("block", F.pmod(F.xxhash64("index"), F.lit(blocks)))
+    blocked = sums.select("lang", "source", "index", "n").withColumn("block", F.pmod(F.xxhash64("index"), F.lit(blocks)))
     everywhere = groups.filter("v > 0").withColumn("block", F.explode(F.sequence(zero, F.lit(blocks - 1))))
     cogrouped = blocked.groupBy("lang", "block").cogroup(everywhere.groupBy("lang", "block"))
     parts = cogrouped.applyInPandas(_evaluate, "lang string, source string, item string, part_value long")
@@ -272,11 +290,12 @@ def divergence(docs: DataFrame, min_df: int = MIN_DF, term_ranks: int = TERM_RAN
     value = F.coalesce(F.col("v") * gap("p", "q") + F.coalesce("part_value", zero), zero)
     pairs = pairs.select("lang", "source", F.lit("pair").alias("part"), "item", value.alias("value"))
 
-    terms = sums.join(kept, ["lang", "index"]).join(groups, ["lang", "source"])
+    terms = sums.join(groups, ["lang", "source"])
     terms = terms.withColumns({"p": share("n", "total"), "q": share("lang_n", "lang_total")}).filter("p > q")
     terms = terms.select("lang", "source", "index", gap("p", "q").alias("value"))
     # names are looked up only for what can be in the ranks: ties at the last rank are all kept here
     largest = Window.partitionBy("lang", "source").orderBy(F.col("value").desc())
+    terms = _from_last_step(terms, term_ranks)
     terms = terms.withColumn("at", F.rank().over(largest)).filter(F.col("at") <= term_ranks).join(vocabulary, "index")
     terms = terms.select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), "value")
 
