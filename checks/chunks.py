@@ -1,5 +1,7 @@
 """Ordered chunk tables and long texts."""
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from checks.registry import (
     with_markers,
 )
 from corpusloom.functions.text import TOKEN_PATTERN
+from corpusloom.operators.chunkers import chunk_with
 from corpusloom.operators.chunks import (
     assemble_text,
     budget_guard,
@@ -41,6 +44,22 @@ def u4_chunk_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return message_chunks(spark, sf_dir)
 
 
+def doubling(text: str) -> Iterator[str]:
+    """Pieces of 1, 2, 4, … characters, as for an output that starts at once and then comes in larger and larger parts."""
+    at, size = 0, 1
+    while at < len(text):
+        yield text[at : at + size]
+        at, size = at + size, 2 * size
+
+
+@query(
+    """SELECT doc_id, CAST(i AS INTEGER) AS chunk_idx, substring(text, 1::BIGINT << i, 1::BIGINT << i) AS content
+       FROM (SELECT doc_id, text, unnest(range(length(bin(length(text))))) AS i FROM documents WHERE text <> '')"""
+)
+def u4_own_chunker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_with(documents(spark, sf_dir), doubling)
+
+
 STRIP_SQL = "trim({}, ' \t\n\r')"
 
 

@@ -10,8 +10,11 @@ from corpusloom.plans.stages import TrainingSetConfig, run_stages, training_set_
 from corpusloom.session import scratch_path
 from corpusloom.sources.catalog import (
     Source,
+    file_report,
     load_catalog,
+    load_readable,
     load_with_report,
+    read_in_order,
     read_saved,
     save_dataset,
     select_split,
@@ -72,6 +75,44 @@ def a4_load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_with_report(spark, catalog)[1].select("source", "status", F.col("rows").alias("n"))
 
 
+def _with_a_broken_file(spark: SparkSession, sf_dir: str) -> Source:
+    """Documents by split, and beside them a file that is no Parquet."""
+    path = scratch_path(spark, "files")
+    save_dataset(_with_split(table(spark, sf_dir, "documents")), path, split="split")
+    table(spark, sf_dir, "documents").limit(1).select("text").coalesce(1).write.text(f"{path}/split=broken")
+    return Source("documents", path)
+
+
+@query(
+    """SELECT 'loaded' AS status, count(*) AS n_rows, false AS has_error FROM documents
+       UNION ALL SELECT 'failed', NULL, true"""
+)
+def a4_file_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = file_report(spark, _with_a_broken_file(spark, sf_dir))
+    return report.groupBy("status").agg(F.sum("rows").alias("n_rows"), F.max(F.col("error").isNotNull()).alias("has_error"))
+
+
+@query(f"SELECT doc_id, text, {SPLIT_SQL} AS split FROM documents")
+def a4_load_readable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load_readable(spark, _with_a_broken_file(spark, sf_dir))[0].select("doc_id", "text", "split")
+
+
+@query(
+    """SELECT 0 AS source_ord, row_number() OVER (ORDER BY doc_id) - 1 AS position, 'd' || doc_id AS example, text FROM documents
+       UNION ALL SELECT 1, row_number() OVER (ORDER BY item_id) - 1, 'b' || item_id, text FROM benchmark
+       UNION ALL SELECT 2, row_number() OVER (ORDER BY page_id) - 1, 'p' || page_id, url FROM pages"""
+)
+def c1_ordered_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keyed = lambda letter, key, text: lambda df: df.select("position", F.concat(F.lit(letter), key).alias("example"), F.col(text).alias("text"))
+    # the tables are written in the order of their keys, in several files, so that the order is known
+    sources = []
+    for name, letter, key, text in (("documents", "d", "doc_id", "text"), ("benchmark", "b", "item_id", "text"), ("pages", "p", "page_id", "url")):
+        path = scratch_path(spark, f"ordered-{name}")
+        save_dataset(table(spark, sf_dir, name).select(key, text).repartitionByRange(5, key).sortWithinPartitions(key), path)
+        sources.append(Source(name, path, prepare=keyed(letter, key, text)))
+    return concat_datasets(read_in_order(spark, sources), order_column=None).drop("source")
+
+
 @query(
     """SELECT 'train' AS chosen, doc_id, n_chars FROM documents WHERE source = 'src0'
        UNION ALL SELECT 'first', doc_id, n_chars FROM documents WHERE lang = 'fr'

@@ -2,7 +2,8 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks.chunks import FILTER_REPLIES_SQL, STRIP_SQL
@@ -13,7 +14,7 @@ from corpusloom.streaming.history import stream_history
 from corpusloom.streaming.replies import stream_reply_filter
 from corpusloom.session import scratch_path
 from corpusloom.streaming.sessions import WHOLE_BACKLOG, closing_event, stream_idle_sessions
-from corpusloom.streaming.tables import drain, read_stream
+from corpusloom.streaming.tables import drain, read_batches, read_stream, write_batches
 from corpusloom.streaming.timeouts import end_of_input, without_times
 
 
@@ -27,6 +28,34 @@ def k1_drain_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assemble_text(drain(chunks, "chunks"))
 
 
+@query(
+    """SELECT batch, user_id, event_id, row_number() OVER (PARTITION BY batch, user_id ORDER BY event_id) AS nth
+       FROM (SELECT event_id % 3 AS batch, user_id, event_id FROM events)"""
+)
+def k1_batches_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each batch ranked on its own, which a stream can't do, with the first batch lost behind its write and run again."""
+    folder, path = scratch_path(spark, "k1-events"), scratch_path(spark, "k1-batches")
+    events = table(spark, sf_dir, "events").select("user_id", "event_id", (F.col("event_id") % 3).alias("batch"))
+    for batch in range(3):
+        events.filter(F.col("batch") == batch).coalesce(1).write.mode("append").parquet(folder)
+    nth = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id"))
+    stream = read_stream(spark, folder, events.schema, max_files=1)
+    lost = []
+
+    def lose_first(number: int) -> None:
+        if not lost:
+            lost.append(number)
+            raise RuntimeError("the run is lost before it commits")
+
+    ranked = lambda rows: rows.withColumn("nth", nth)
+    try:
+        write_batches(stream, path, f"{path}-progress", ranked, lose_first)
+    except StreamingQueryException:
+        pass
+    write_batches(stream, path, f"{path}-progress", ranked)
+    return read_batches(spark, path, ranked(events).schema).select("batch", "user_id", "event_id", "nth")
+
+
 def _backlog(spark: SparkSession, df: DataFrame, name: str, files: int, order: str) -> tuple[DataFrame, Callable[[], None]]:
     """A table written in files that each hold rows from all over, as a stream with times; and the end of that input."""
     folder, timed = scratch_path(spark, name), without_times(df, "ts")

@@ -1,12 +1,14 @@
-"""Catalogs of named datasets, their splits, and a report of what could be read."""
+"""Catalogs of named datasets, their splits, the order of their rows, and a report of what could be read."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 REPORT_SCHEMA = "source string, status string, rows bigint, error string"
 LOADED, FAILED, MISSING = "loaded", "failed", "missing"
@@ -49,10 +51,112 @@ def load_catalog(spark: SparkSession, catalog: Sequence[Source]) -> dict[str, Da
     return {s.name: read_source(spark, s) for s in catalog}
 
 
+def _has_map(kind: DataType) -> bool:
+    if isinstance(kind, StructType):
+        return any(_has_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, MapType) or (isinstance(kind, ArrayType) and _has_map(kind.elementType))
+
+
+def _hash_of_all(df: DataFrame) -> Column:
+    """A hash that needs every value of a row; maps have none of their own."""
+    return F.xxhash64(*[F.to_json(F.struct(F.col(f"`{f.name}`"))) if _has_map(f.dataType) else F.col(f"`{f.name}`") for f in df.schema.fields])
+
+
+def _read_any(spark: SparkSession, source: Source, options: Mapping[str, str]) -> DataFrame:
+    """A source with the schema of the file that Spark asks for it, or of all files where that one tells none."""
+    try:
+        return spark.read.format(source.format).options(**options).load(source.path)
+    except AnalysisException:
+        return spark.read.format(source.format).options(**options, mergeSchema="true").load(source.path)
+
+
+def file_report(spark: SparkSession, source: Source) -> DataFrame:
+    """``source, file, status, rows, error`` of every Parquet file of a source, after reading all of its pages in tasks.
+
+    Spark's reader leaves a file where it breaks: a file is ``failed`` if it has no readable footer or gives fewer rows than
+    its footer names. Checksums of pages are verified where the writer left some (Spark's does); without them
+    a changed byte shows only where the page can't be decoded. Columns that ``source.prepare`` drops are read too.
+    Files beginning with ``_`` or ``.`` are no data. Where no file tells a schema, all are failed.
+    """
+    if source.format != "parquet":
+        raise ValueError("only Parquet files tell how many rows they should have")
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(source.path)
+    # names only: no content is read
+    files = listed.select(F.col("_metadata.file_path").alias("file")).filter(~F.regexp_like("file", F.lit("/[_.][^/]*$")))
+    options = {**dict(source.options), "ignoreCorruptFiles": "true", "parquet.page.verify-checksum.enabled": "true"}
+    try:
+        rows = _read_any(spark, source, options)
+    except Exception as error:  # no file tells a schema
+        failed = files.select(F.lit(source.name).alias("source"), "file", F.lit(FAILED).alias("status"))
+        return failed.select("*", F.lit(None).cast("bigint").alias("rows"), F.lit(_first_line(error)).alias("error"))
+    place = F.col("_metadata.file_path").alias("file")
+    # a plain count would need no values; one of even hashes and one of odd hashes need them all
+    even = F.pmod(_hash_of_all(rows), F.lit(2)) == 0
+    read = rows.select(place, even.alias("even")).groupBy("file").agg((F.count_if("even") + F.count_if(~F.col("even"))).alias("n_read"))
+    # needs no column, so it comes from the footers
+    named = rows.select(place).groupBy("file").agg(F.count(F.lit(1)).alias("n_named"))
+    found = files.join(named, "file", "left").join(read, "file", "left")
+    n_read = F.coalesce("n_read", F.lit(0).cast("bigint"))
+    whole = F.coalesce(n_read == F.col("n_named"), F.lit(False))
+    short = F.concat(n_read.cast("string"), F.lit(" of "), F.col("n_named").cast("string"), F.lit(" rows can be read"))
+    return found.select(
+        F.lit(source.name).alias("source"),
+        "file",
+        F.when(whole, LOADED).otherwise(FAILED).alias("status"),
+        F.when(whole, F.col("n_named")).alias("rows"),
+        F.when(~whole, F.coalesce(short, F.lit("no rows in its footer, or no footer"))).alias("error"),
+    )
+
+
+def load_readable(spark: SparkSession, source: Source) -> tuple[DataFrame | None, DataFrame]:
+    """The rows of the whole files of a source, and its ``file_report``. None where no file is whole.
+
+    The paths of whole files go through the driver, as the list of files of every table does; rows don't.
+    """
+    report = file_report(spark, source)
+    report = spark.createDataFrame(report.collect(), report.schema)
+    whole = [r["file"] for r in report.filter(F.col("status") == LOADED).collect()]
+    if not whole:
+        return None, report
+    options = dict(source.options) if is_file(spark, source.path) else {**dict(source.options), "basePath": source.path}
+    df = spark.read.format(source.format).options(**options).load(whole)
+    df = source.prepare(df) if source.prepare else df
+    return df.withColumn("source", F.lit(source.name)), report
+
+
+def read_in_order(
+    spark: SparkSession, sources: Sequence[Source], order_column: str = "source_ord", position: str = "position"
+) -> list[DataFrame]:
+    """Every Parquet source with its place in the list and the place of each row inside the source, from 0.
+
+    Rows count by file name, then by their place in the file, which is the order in which they were written. A file's
+    first place is the sum of the rows of the files before it; that sum runs over one row per file, and no row of
+    the sources is shuffled for it. Sorting by both columns gives the order of a concatenation of lists.
+    """
+    tables = []
+    for number, source in enumerate(sources):
+        rows = spark.read.format(source.format).options(**dict(source.options)).load(source.path)
+        counts = rows.select(F.col("_metadata.file_path").alias("_file")).groupBy("_file").agg(F.count(F.lit(1)).alias("_rows"))
+        before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+        first = counts.select("_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_first"))
+        placed = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+        placed = placed.join(first, "_file").withColumn(position, F.col("_first") + F.col("_row")).drop("_file", "_first", "_row")
+        placed = source.prepare(placed) if source.prepare else placed
+        tables.append(placed.withColumns({"source": F.lit(source.name), order_column: F.lit(number)}))
+    return tables
+
+
+def _first_line(error: Exception) -> str:
+    return (str(error).splitlines() or [type(error).__name__])[0]
+
+
 def load_with_report(
     spark: SparkSession, catalog: Sequence[Source], count: bool = True
 ) -> tuple[dict[str, DataFrame], DataFrame]:
-    """The readable entries, and one status row per entry. A failing entry does not stop the others."""
+    """The readable entries, and one status row per entry. A failing entry does not stop the others.
+
+    Rows are counted from footers; ``file_report`` reads every page of every file.
+    """
     tables: dict[str, DataFrame] = {}
     report: list[tuple[str, str, int | None, str | None]] = []
     for source in catalog:
@@ -65,7 +169,7 @@ def load_with_report(
             tables[source.name] = df
             report.append((source.name, LOADED, rows, None))
         except Exception as error:  # whatever goes wrong with one source is its row in the report
-            report.append((source.name, FAILED, None, (str(error).splitlines() or [type(error).__name__])[0]))
+            report.append((source.name, FAILED, None, _first_line(error)))
     return tables, spark.createDataFrame(report, REPORT_SCHEMA)
 
 

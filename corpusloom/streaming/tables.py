@@ -1,10 +1,11 @@
-"""Streaming reads of stored tables, and draining a stream into one."""
+"""Streaming reads of stored tables, and draining a stream into one or into a table of batches."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.session import scratch_path
@@ -58,3 +59,32 @@ def drain(stream: DataFrame, name: str = "drained", end: Callable[[], None] | No
         if left:
             raise RowsLeft(f"{left} states of {name} have not ended")
     return spark.read.schema(stream.schema).parquet(path)
+
+
+BATCH = "batch_id"
+
+
+def write_batches(
+    stream: DataFrame, path: str, progress: str, change: Callable[[DataFrame], DataFrame] | None = None, written: Callable[[int], None] | None = None
+) -> None:
+    """Work off what is there now, one folder ``batch_id=N`` of ``path`` per batch.
+
+    Writing a batch replaces what an earlier try of the same batch has left, whole or in part. So a run that is lost between
+    the write and the commit of its progress writes the same rows to the same place again, and each row is there once.
+    ``change`` may be any batch operation, also such that streams don't have (a sort, a rank); ``written`` is called with
+    the batch's number behind each write, for what has to follow it. ``progress`` belongs to ``path``: use both or neither again.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        rows = change(batch) if change else batch
+        rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH}={number}")
+        if written:
+            written(number)
+
+    stream.writeStream.foreachBatch(write).option("checkpointLocation", progress).trigger(availableNow=True).start().awaitTermination()
+
+
+def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rows of all batches and their number as ``batch_id``. ``schema`` is that of the written rows."""
+    df = spark.read.schema(T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])).parquet(path)
+    return df.withColumn(BATCH, F.col(BATCH).cast("long"))

@@ -11,7 +11,10 @@ from corpusloom.sources.assets import list_assets
 from corpusloom.sources.catalog import (
     Source,
     choose_split,
+    file_report,
+    load_readable,
     load_with_report,
+    read_in_order,
     read_saved,
     save_dataset,
     select_split,
@@ -49,6 +52,64 @@ def test_report_goes_on_after_a_failure(spark, tmp_path):
     assert rows["nation"]["rows"] == 25 and rows["bad"]["error"]
 
 
+def files_of(spark, path, n=4, rows=4000):
+    """Files of Spark's writer with incompressible texts, by name."""
+    df = spark.range(rows).select("id", F.sha2(F.col("id").cast("string"), 512).alias("text"))
+    df.repartitionByRange(n, "id").write.parquet(str(path))
+    return sorted(path.glob("*.parquet"))
+
+
+def damaged(spark, path):
+    """Four files: whole, cut short, with a flipped byte in a page, and whole."""
+    files = files_of(spark, path)
+    body = files[1].read_bytes()
+    files[1].write_bytes(body[: len(body) // 2])
+    body = bytearray(files[2].read_bytes())
+    body[len(body) // 2] ^= 0x55
+    files[2].write_bytes(bytes(body))
+    for sums in path.glob(".*.crc"):  # the file system's own checksums are not what is tested
+        sums.unlink()
+    return files
+
+
+def test_damage_is_told_per_file(spark, tmp_path):
+    files = damaged(spark, tmp_path / "x")
+    source = Source("x", str(tmp_path / "x"))
+    rows = {r["file"].rsplit("/", 1)[1]: r for r in file_report(spark, source).collect()}
+    assert [rows[f.name]["status"] for f in files] == ["loaded", "failed", "failed", "loaded"]
+    assert all((rows[f.name]["rows"] is None) == (rows[f.name]["status"] == "failed") == bool(rows[f.name]["error"]) for f in files)
+    df, report = load_readable(spark, source)
+    assert report.count() == 4 and df.count() == sum(r["rows"] or 0 for r in rows.values())
+    assert df.agg(F.sum(F.length("text"))).first()[0] == 128 * df.count()
+
+
+def test_no_file_is_whole(spark, tmp_path):
+    folder = tmp_path / "x"
+    folder.mkdir()
+    (folder / "a.parquet").write_text("no parquet")
+    df, report = load_readable(spark, Source("x", str(folder)))
+    assert df is None and [r["status"] for r in report.collect()] == ["failed"]
+
+
+def test_one_whole_file_and_odd_columns(spark, tmp_path):
+    path = str(tmp_path / "x")
+    df = spark.createDataFrame([({"a": 1}, [{"b": 2}], None), (None, None, 1)], "`a.b` map<string,int>, l array<map<string,int>>, file int")
+    df.coalesce(1).write.parquet(path)
+    found, report = load_readable(spark, Source("x", path))
+    assert found.count() == 2 and [(r["status"], r["rows"]) for r in report.collect()] == [("loaded", 2)]
+    single = load_readable(spark, Source("nation", f"{SF}/nation.parquet"))
+    assert single[0].count() == 25 and single[1].first()["error"] is None
+
+
+def test_rows_in_order(spark, tmp_path):
+    for name in ("a", "b"):
+        files_of(spark, tmp_path / name, 5, 1000)
+    tables = read_in_order(spark, [Source(n, str(tmp_path / n)) for n in ("a", "b")])
+    assert [t.filter("position = id").count() for t in tables] == [1000, 1000]
+    assert [t.select("source_ord", "source").distinct().collect()[0][:] for t in tables] == [(0, "a"), (1, "b")]
+    assert "RoundRobin" not in tables[0]._jdf.queryExecution().executedPlan().toString()
+
+
 def test_list_assets(spark, tmp_path):
     for name in ("b.PNG", "a.jpg", "c.txt", "d.webp.bak"):
         (tmp_path / name).write_bytes(b"x")

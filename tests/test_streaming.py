@@ -10,7 +10,7 @@ from corpusloom.plans.replies import filter_replies
 from corpusloom.streaming.history import closing_turns, stream_history
 from corpusloom.streaming.replies import stream_reply_filter
 from corpusloom.streaming.sessions import stream_idle_sessions
-from corpusloom.streaming.tables import RowsLeft, drain, read_stream
+from corpusloom.streaming.tables import RowsLeft, drain, read_batches, read_stream, write_batches
 from corpusloom.streaming.timeouts import end_of_input, without_times
 
 WORDS = ["ab ", "c", "<think>", "no", "</think>", "dd", " eee", "f ", "||END||", "", "gh"]
@@ -150,3 +150,26 @@ def test_sessions_close_after_the_timeout(spark, tmp_path):
     out = drain(stream_idle_sessions(read_stream(spark, folder, df.schema, max_files=1), 600, "0 seconds"))
     seconds = out.select("user_id", F.unix_timestamp("first_ts").alias("a"), F.unix_timestamp("last_ts").alias("b"), "n")
     assert sorted(rows_of(seconds, "user_id", "a", "b", "n")) == [(1, 0, 600, 2), (1, 1201, 1201, 1), (2, 100, 100, 1), (2, 5000, 5000, 1)]
+
+
+def test_a_lost_batch_is_written_once(spark, tmp_path):
+    """Runs that end between the write of a batch and its commit, and then go on."""
+    source, path, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    spark.range(100).withColumn("word", F.lit("a")).repartition(5, "id").write.parquet(source)
+    schema = spark.read.parquet(source).schema
+    lost = []
+
+    def lose_some(number):
+        if number in (0, 2) and number not in lost:
+            lost.append(number)
+            raise RuntimeError("lost")
+
+    for _ in range(2):
+        with pytest.raises(Exception, match="lost"):
+            write_batches(read_stream(spark, source, schema, 1), path, progress, written=lose_some)
+    write_batches(read_stream(spark, source, schema, 1), path, progress, written=lose_some)
+    found = read_batches(spark, path, schema)
+    assert sorted(r["id"] for r in found.collect()) == list(range(100)) and lost == [0, 2]
+    # nothing new: nothing is written
+    write_batches(read_stream(spark, source, schema, 1), path, progress)
+    assert found.select("batch_id").distinct().count() == 5 and found.count() == 100

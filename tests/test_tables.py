@@ -6,6 +6,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from corpusloom.operators.batching import batch_plan
+from corpusloom.operators.chunkers import chunk_with
 from corpusloom.operators.chunks import (
     assemble_text,
     budget_guard,
@@ -167,6 +168,32 @@ def contents_of(df):
     return rows_of(df.orderBy("chunk_idx"), "content")
 
 
+def test_own_chunkers(frame):
+    df = frame([(1, "ab((c)d)e", "x"), (2, None, "y"), (3, "", "z")], "id int, text string, other string")
+
+    def balanced(text):
+        """Cuts where no bracket is open."""
+        depth, start = 0, 0
+        for at, c in enumerate(text):
+            depth += (c == "(") - (c == ")")
+            if depth == 0:
+                yield text[start : at + 1]
+                start = at + 1
+        yield text[start:] or None
+
+    chunks = chunk_with(df, balanced)
+    assert chunks.columns == ["id", "other", "chunk_idx", "content"]
+    assert sorted(rows_of(chunks, "id", "chunk_idx", "content")) == [(1, 0, "a"), (1, 1, "b"), (1, 2, "((c)d)"), (1, 3, "e")]
+    twice = chunk_with(df, lambda t: ["", t], keep=["id"])
+    assert sorted(rows_of(twice, "id", "chunk_idx", "content")) == [(1, 0, ""), (1, 1, "ab((c)d)e"), (3, 0, ""), (3, 1, "")]
+    assert chunk_with(df.limit(0), balanced).count() == 0
+    assert "Exchange" not in chunks._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError):
+        chunk_with(df, balanced, content="other")
+    with pytest.raises(Exception, match="not a string"):
+        chunk_with(df, lambda t: [1]).collect()
+
+
 def test_repetition_guard(frame):
     assert contents_of(repetition_guard(stream(frame, *"ababc"), 4)) == ["a", "b", "a"]
     assert contents_of(repetition_guard(stream(frame, "ab", "c", "a", "bc"), 4)) == ["ab", "c", "a"]
