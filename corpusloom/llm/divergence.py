@@ -27,6 +27,7 @@ from __future__ import annotations
 import math
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 from itertools import repeat
 
 import numpy as np
@@ -114,6 +115,21 @@ def named(docs: DataFrame) -> DataFrame:
     return columns.withColumn("text", F.col("text").cast("binary"))
 
 
+class Vocabulary:
+    """Terms behind their language by index, and what a worker looks them up in: built once, not by every task."""
+
+    def __init__(self, words: list[str]) -> None:
+        self.words = words
+
+    @cached_property
+    def indexes(self) -> dict[str, dict[bytes, int]]:
+        indexes: defaultdict[str, dict[bytes, int]] = defaultdict(dict)
+        for k, key in enumerate(self.words):
+            lang, term = key.rsplit(MARK, 1)
+            indexes[lang][term.encode()] = k
+        return dict(indexes)
+
+
 def vectors_of(lists: list[list[bytes]], indexes: list[dict[bytes, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sparse vectors of some documents: document, index and count of every entry, by document and index."""
     ids = [np.fromiter(map(index.get, words, repeat(-1)), np.int64, len(words)) for words, index in zip(lists, indexes)]
@@ -126,10 +142,7 @@ def group_vectors(docs: DataFrame, vocabulary: Broadcast) -> DataFrame:
     """``lang, source, index, n``: the vectors of documents summed per group, as far as a task holds them at once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        indexes: defaultdict[str, dict[bytes, int]] = defaultdict(dict)
-        for k, key in enumerate(vocabulary.value):
-            lang, term = key.rsplit(MARK, 1)
-            indexes[lang][term.encode()] = k
+        indexes = vocabulary.value.indexes
         groups: dict[tuple[str, str], int] = {}
         cells, sums, size = [], [], 0
 
@@ -144,7 +157,7 @@ def group_vectors(docs: DataFrame, vocabulary: Broadcast) -> DataFrame:
 
         for part, lists in _slices(batches):
             langs = part.column("lang").to_pylist()
-            doc, index, n = vectors_of(lists, [indexes[lang] for lang in langs])
+            doc, index, n = vectors_of(lists, [indexes.get(lang, {}) for lang in langs])
             numbers = np.fromiter((groups.setdefault(pair, len(groups)) for pair in zip(langs, part.column("source").to_pylist())), np.int64, len(part))
             cells.append(numbers[doc] << 32 | index)
             sums.append(n)
@@ -171,7 +184,7 @@ def _block_sums(docs: DataFrame, held: DataFrame, min_df: int, block: int) -> tu
     words = model.vocabulary
     named_terms = pa.table({"index": pa.array(range(base, base + len(words))), "term": pa.array([key.rsplit(MARK, 1)[1] for key in words])})
     vocabulary = materialize(spark.createDataFrame(named_terms, "index long, term string"), "divergence-vocabulary")
-    sums = group_vectors(docs, spark.sparkContext.broadcast(words))
+    sums = group_vectors(docs, spark.sparkContext.broadcast(Vocabulary(words)))
     sums = sums.withColumn("index", F.col("index") + F.lit(base))
     # tasks have summed already, so nothing is gained by another sum before the shuffle; all sums need this one only
     sums = sums.repartition("index").groupBy("lang", "source", "index").agg(F.sum("n").alias("n"))
