@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.registry import query, table
+from checks.registry import documents, query, table
 from corpusloom.functions.rules import (
     chunk_content,
     classify_by_rules,
@@ -16,6 +16,7 @@ from corpusloom.functions.rules import (
     triage_messages,
 )
 from corpusloom.operators.classify import classify_listing, classify_names
+from corpusloom.operators.needles import classify_by_table, classify_listing_by_table, mark_rules
 
 # model manifests made of parts
 ARCHITECTURES = {
@@ -166,3 +167,61 @@ def j5_triage_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", F.concat("event_type", F.lit(" failed with "), "props").alias("m")
     )
     return events.select("event_id", triage_messages("m", _TRIAGE_RULES, ("other", "look closer")).alias("t")).select("event_id", "t.*")
+
+
+# rules from tables: every long word of a benchmark item leads to the item; every kind of part leads to its type
+WORD_RULES_SQL = """word_rules AS (
+  SELECT unnest(regexp_extract_all(text, '[^ \\n]{6,}')) AS needle, length(text) % 50 AS priority, item_id AS label FROM benchmark)"""
+PART_RULES_SQL = """part_rules AS (
+  SELECT p_brand || ' ' || p_name || ' ' || p_size AS needle, p_partkey % 100 AS priority, p_type AS label FROM part)"""
+
+
+def _word_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = F.regexp_extract_all("text", F.lit("[^ \\n]{6,}"), F.lit(0))
+    items = table(spark, sf_dir, "benchmark")
+    return items.select(F.explode(words).alias("needle"), (F.char_length("text") % 50).alias("priority"), F.col("item_id").alias("label"))
+
+
+def _part_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = table(spark, sf_dir, "part")
+    return parts.select(F.concat_ws(" ", "p_brand", "p_name", "p_size").alias("needle"), (F.col("p_partkey") % 100).alias("priority"), F.col("p_type").alias("label"))
+
+
+_WORDS_IN_DOCS_SQL = f"""WITH {WORD_RULES_SQL}, used AS (
+      SELECT needle, min({{'priority': priority, 'label': CAST(label AS VARCHAR)}}) AS best FROM word_rules GROUP BY needle),
+    hits AS (SELECT doc_id, min(best) AS best FROM documents JOIN used ON contains(text, needle) GROUP BY doc_id)
+    SELECT doc_id, best.priority AS priority, coalesce(best.label, 'none') AS label FROM documents LEFT JOIN hits USING (doc_id)"""
+
+
+@query(_WORDS_IN_DOCS_SQL)
+def j2_rules_from_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = mark_rules(documents(spark, sf_dir), "text", _word_rules(spark, sf_dir), ignore_case=False)
+    return marked.select("doc_id", F.col("rule.priority").alias("priority"), F.coalesce("rule.label", F.lit("none")).alias("label"))
+
+
+@query(_WORDS_IN_DOCS_SQL)
+def j2_rules_from_table_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = mark_rules(documents(spark, sf_dir), "text", _word_rules(spark, sf_dir), ignore_case=False, max_needles=0)
+    return marked.select("doc_id", F.col("rule.priority").alias("priority"), F.coalesce("rule.label", F.lit("none")).alias("label"))
+
+
+@query(
+    f"""WITH {PART_RULES_SQL}, names AS (SELECT p_retailprice % 10 AS shelf, 'in ' || lower(p_brand) || ' ' || upper(p_name) || ' ' || p_size || '0' AS name FROM part),
+    hits AS (SELECT shelf, min({{'priority': priority, 'label': label}}) AS best FROM names JOIN part_rules ON contains(lower(name), lower(needle)) GROUP BY shelf)
+    SELECT shelf, coalesce(best.label, 'none') AS label FROM (SELECT DISTINCT shelf FROM names) LEFT JOIN hits USING (shelf)"""
+)
+def j3_listing_from_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = F.concat(F.lit("in "), F.lower("p_brand"), F.lit(" "), F.upper("p_name"), F.lit(" "), "p_size", F.lit("0"))
+    names = table(spark, sf_dir, "part").select((F.col("p_retailprice") % 10).alias("shelf"), name.alias("name"))
+    return classify_listing_by_table(names, ["shelf"], "name", _part_rules(spark, sf_dir), "none")
+
+
+@query(
+    f"""WITH {PART_RULES_SQL}, messages AS (SELECT p_partkey, 'part ' || p_brand || ' ' || p_name || ' ' || p_size || p_partkey % 7 || ' is out' AS m FROM part),
+    hits AS (SELECT p_partkey, min({{'priority': priority, 'label': label}}) AS best FROM messages JOIN part_rules ON contains(m, needle) GROUP BY p_partkey)
+    SELECT p_partkey, coalesce(best.label, 'other') AS category, m AS detail FROM messages LEFT JOIN hits USING (p_partkey)"""
+)
+def j5_triage_from_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.concat_ws(" ", "p_brand", "p_name", F.concat(F.col("p_size").cast("string"), (F.col("p_partkey") % 7).cast("string")))
+    messages = table(spark, sf_dir, "part").select("p_partkey", F.concat(F.lit("part "), kind, F.lit(" is out")).alias("detail"))
+    return classify_by_table(messages, "detail", _part_rules(spark, sf_dir), "other", "category", ignore_case=False)
