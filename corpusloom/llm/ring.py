@@ -89,13 +89,12 @@ def ring_shards(docs: DataFrame, shards: int = 24, vnodes: int = VNODES, part_ro
         F.monotonically_increasing_id().alias("row"),
     )
     rows = materialize(rows, "ring-rows")  # numbers of rows stay what they are, whoever is lost
-    per_cell = {r["cell"]: r["n"] for r in rows.groupBy("cell").agg(F.count("*").alias("n")).collect()}  # at most 2^14
+    cells = materialize(rows.groupBy("cell").agg(F.count("*").alias("n")), "ring-cells")  # at most 2^14
+    per_cell = {r["cell"]: r["n"] for r in cells.collect()}
     counts = [per_cell.get(c, 0) for c in range(CELLS)]
-    hot = {c: -(-n // part_rows) for c, n in per_cell.items() if n > part_rows}
-    parts = F.lit(1)
-    if hot:
-        parts = F.coalesce(F.create_map(*[F.lit(x) for pair in hot.items() for x in pair])[F.col("cell")], F.lit(1))
-    rows = rows.withColumn("part", F.pmod(F.xxhash64("row"), parts.cast("long")))
+    parts = F.expr(f"(n + {part_rows - 1}) div {part_rows}")
+    rows = rows.join(F.broadcast(cells.select("cell", parts.alias("parts"))), "cell")
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")))
     sizes = rows.groupBy("cell", "part").agg(F.count("*").alias("n"))
     sizes = sizes.withColumn("place", F.struct("cell", "part"))
     sizes = prefix_sums(sizes, "place", "n", "before", F.expr("cell div 256")).select("cell", "part", "before")
