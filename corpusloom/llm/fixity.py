@@ -10,7 +10,9 @@ the children of nodes that differ; at the leaves it matches the records of diffe
 one lost record does not count all later ones of its file, which only moved, as damaged.
 
 Null urls and pages are empty; null page ids form a record set of their own; repeated equal records are one leaf
-with a count, so copies are collapsed before anything is brought together; an empty archive has no nodes.
+with a count, so copies are collapsed before anything is brought together. The different records of one page id share
+a file; they are numbered in 4,096 parts by their hash, so that id may hold any share of all rows. An empty archive has no
+nodes.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ from corpusloom.llm.common import materialize
 
 FILE_RECORDS = 512
 FANOUT = 16
+# Hexadecimal digits of a record's hash that tell the parts in which the records of one page id are numbered.
+PART_DIGITS = 3
 
 
 def warc_record(page_id: Column, url: Column, html: Column) -> Column:
@@ -54,10 +58,19 @@ def leaves(pages: DataFrame, files: int) -> DataFrame:
     rows = rows.groupBy("page_id", "sha256", "size").agg(F.count("*").alias("copies"))
     key = F.md5(F.coalesce(F.col("page_id").cast("string"), F.lit("")).cast("binary"))
     rows = rows.withColumn("file_no", F.conv(F.substring(key, 1, 8), 16, 10).cast("long") % files)
-    order = Window.partitionBy("file_no").orderBy("page_id", "sha256")
-    last = F.sum(F.col("size") * F.col("copies")).over(order)
-    rows = rows.withColumns({"place": F.row_number().over(order) - 1, "last": last})
-    return rows.select("page_id", "file_no", "place", (F.col("last") - F.col("size") * F.col("copies")).alias("first"), "last", "copies", "sha256")
+    rows = materialize(rows.withColumn("part", F.substring("sha256", 1, PART_DIGITS)), "fixity-records")
+    # two levels, so that no task sees all records of a page id: bytes and records before each part, then inside parts
+    weight = F.col("size") * F.col("copies")
+    part = ["file_no", "page_id", "part"]
+    sums = rows.groupBy(*part).agg(F.sum(weight).alias("bytes"), F.count("*").alias("records"))
+    before = Window.partitionBy("file_no").orderBy("page_id", "part").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = [F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_{c}") for c in ("bytes", "records")]
+    sums = sums.select(*[F.col(c).alias(f"_{c}") for c in part], *earlier)
+    inside = Window.partitionBy(*part).orderBy("sha256")
+    rows = rows.withColumns({"at": F.row_number().over(inside) - 1, "upto": F.sum(weight).over(inside)})
+    rows = rows.join(sums, _same(rows, part))
+    rows = rows.withColumns({"place": F.col("_records") + F.col("at"), "last": F.col("_bytes") + F.col("upto")})
+    return rows.select("page_id", "file_no", "place", (F.col("last") - weight).alias("first"), "last", "copies", "sha256")
 
 
 def _up(nodes: DataFrame, keys: list[str], number: str) -> DataFrame:

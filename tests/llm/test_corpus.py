@@ -412,6 +412,31 @@ def test_only_differing_branches_are_descended(spark):
 # --- pipeline ------------------------------------------------------------------------------------------
 
 
+def test_records_of_one_page_id_are_numbered_in_parts(spark):
+    rng = random.Random(8)
+    pages = [(rng.choice([7, 7, 7, None, -1, 3]), f"u{k % 3}", f"page {k % 300}" * (k % 4)) for k in range(900)]
+    files = 3
+    rows = fixity.leaves(spark.createDataFrame(pages, "page_id long, url string, html string"), files).collect()
+    assert sum(r["copies"] for r in rows) == len(pages)
+    by_file = defaultdict(list)
+    for r in rows:
+        by_file[r["file_no"]].append(r)
+    size_of = {}
+    for page_id, url, html in pages:
+        name = "" if page_id is None else str(page_id)
+        record = f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{name}>\r\nWARC-Target-URI: {url}\r\nContent-Type: text/html\r\nContent-Length: {len(html)}\r\n\r\n{html}\r\n\r\n"
+        size_of[page_id, hashlib.sha256(record.encode()).hexdigest()] = len(record)
+    assert {(r["page_id"], r["sha256"]) for r in rows} == set(size_of) and len(rows) == len(size_of)
+    for some in by_file.values():
+        at = 0
+        order = sorted(some, key=lambda r: (r["page_id"] is not None, r["page_id"] or 0, r["sha256"]))
+        for place, r in enumerate(order):
+            assert (r["place"], r["first"]) == (place, at)
+            at += size_of[r["page_id"], r["sha256"]] * r["copies"]
+            assert r["last"] == at
+
+
+
 def test_pipeline_stages(spark):
     sf_dir = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
