@@ -6,8 +6,10 @@ that ends in it. Texts are read in pieces that overlap by the longest needle, al
 very long text costs no more than many short ones. There is no join and no shuffle; frequent needles and texts
 add nothing to a task.
 
-A larger table is joined: every stretch of text that is as long as some needle is looked up, and the best rule
-per row is aggregated before the shuffle. Nothing of it passes through the driver but the lengths of needles.
+A larger table is joined. Bits of hashes of the needles and of their beginnings, of a bounded size, tell where in a
+text a needle may begin and which stretches there may be one; only those are looked up, and the number of the best rule
+per row is aggregated before the shuffle. Nothing of the table passes through the driver but those bits and the lengths of
+needles. Two different texts with one bit only cost a lookup.
 """
 
 from __future__ import annotations
@@ -32,6 +34,9 @@ MAX_NEEDLES = 50_000
 MAX_NEEDLE_BYTES = 200_000
 # Bytes, in the joined form characters, that one piece of a text adds to the ones before it.
 PIECE = 512
+# Bits for each needle, and each beginning of one, that say whether a text may be it; and at most so many, 8 MB, in all.
+BITS_PER_TEXT = 32
+MAX_BITS = 1 << 26
 # Pieces that are read in step.
 LANES = 65_536
 NO_RULE = np.iinfo(np.int64).max
@@ -146,22 +151,77 @@ def _by_automaton(df: DataFrame, value: Column, rules: DataFrame, out: str) -> D
     return df.withColumn(out, found).withColumn(out, F.when(F.col(f"`{out}`.priority").isNotNull(), F.col(f"`{out}`")))
 
 
+def _bit(text: Column, kind: int, n_bits: int) -> Column:
+    """The place of a text among ``n_bits`` (a power of two); ``kind`` keeps beginnings of needles apart from whole ones."""
+    return F.xxhash64(text, F.lit(kind)).bitwiseAND(F.lit(n_bits - 1).cast("long"))
+
+
+def _marked(rules: DataFrame, kinds: Sequence[tuple[Column, int]], n_bits: int) -> Column:
+    """Bits by ``_bit`` of a text for every row and kind, 64 to a number, as one array."""
+    places = rules.select(F.explode(F.array(*[_bit(text, kind, n_bits) for text, kind in kinds])).alias("bit"))
+    word, mask = F.shiftright("bit", 6), F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit").bitwiseAND(63).cast("int"))
+    words = places.select(word.alias("id"), mask.alias("mask")).groupBy("id").agg(F.bit_or("mask").alias("mask"))
+    every = rules.sparkSession.range(max(n_bits >> 6, 1)).join(words, "id", "left")
+    listed = every.agg(F.sort_array(F.collect_list(F.struct("id", F.coalesce("mask", F.lit(0)).alias("mask")))).alias("words"))
+    return materialize(listed.select(F.transform("words", lambda w: w["mask"]).alias("words")), "rule-bits").scalar()
+
+
+def _in_order(rules: DataFrame) -> DataFrame:
+    """``no, best``: a number for every best rule that sorts like it; sorted in ranges, so no task holds them all."""
+    bests = rules.select("best").distinct().orderBy("best.priority", "best.label")
+    return materialize(bests.select(F.monotonically_increasing_id().alias("no"), "best"), "rule-order")
+
+
+def _stretches(rows: DataFrame, rules: DataFrame, lengths: Sequence[int]) -> DataFrame:
+    """``id, needle``: the stretches of every text that may be needles, once per piece; null where there are none."""
+    # needles of similar lengths share a gate, the beginning that is as long as the shortest of them; all pass the first one
+    gates: dict[int, list[int]] = {}
+    for n in lengths:
+        gates.setdefault(min(m for m in lengths if m.bit_length() == n.bit_length()), []).append(n)
+    first = lengths[0]
+    n_bits = min(1 << (rules.count() * (len(gates) + 1) * BITS_PER_TEXT).bit_length(), MAX_BITS)
+    begins = [F.when(F.char_length("needle") >= gate, F.left("needle", F.lit(gate))) for gate in gates]
+    bits = _marked(rules, [(F.col("needle"), 0), *zip(begins, gates)], n_bits)
+
+    def found_in(piece: Column, bits: Column) -> Column:
+        """Stretches of a piece that may be needles: few others, and all that are."""
+
+        def known(text: Column, kind: int) -> Column:
+            bit = _bit(text, kind, n_bits)
+            return F.getbit(F.element_at(bits, (F.shiftright(bit, 6) + 1).cast("int")), bit.bitwiseAND(63).cast("int")) == 1
+
+        def cut(places: Column, gate: int, sizes: list[int]) -> Column:
+            open_at = places if gate == first else F.filter(places, lambda k: known(F.substring(piece, k, F.lit(gate)), gate))
+            return F.flatten(F.transform(open_at, lambda k: F.transform(F.array(*map(F.lit, sizes)), lambda n: F.substring(piece, k, n))))
+
+        begun = F.regexp_extract_all(piece, F.lit(f"(?s)(?=(.{{{first}}}))."), F.lit(1))
+        places = F.filter(F.transform(begun, lambda s, k: F.when(known(s, first), k + 1)), lambda k: k.isNotNull())
+        cuts = F.transform(F.array(places), lambda places: F.concat(*[cut(places, gate, sizes) for gate, sizes in gates.items()]))
+        return F.array_distinct(F.filter(F.flatten(cuts), lambda s: known(s, 0)))
+
+    # pieces with as much text behind them as a needle may have; outer, as Spark tests the input of a plain explode by making it twice
+    longest = lengths[-1]
+    size = max(PIECE, longest)
+    pieces = F.regexp_extract_all("text", F.lit(f"(?s)(?=(.{{1,{size + longest - 1}}})).{{1,{size}}}"), F.lit(1))
+    held = rows.select("id", F.explode_outer(pieces).alias("piece")).withColumn("_bits", bits)
+    # one mention of the bits, so that they are a constant of this step and no column of its rows
+    cut = F.flatten(F.transform(F.array("_bits"), lambda bits: found_in(F.col("piece"), bits)))
+    return held.select("id", cut.alias("_cut")).select("id", F.explode_outer("_cut").alias("needle"))
+
+
 def _by_join(df: DataFrame, value: Column, rules: DataFrame, out: str) -> DataFrame:
-    lengths = [r[0] for r in rules.select(F.char_length("needle")).distinct().collect()]
+    lengths = sorted(r[0] for r in rules.select(F.char_length("needle")).distinct().collect())
     kept = [c for c in df.columns if c != out]
     held = [df[c].alias(f"_{k}") for k, c in enumerate(kept)]  # whatever their names
     rows = df.select(F.monotonically_increasing_id().alias("id"), value.alias("text"), *held)
     rows = materialize(rows, "rule-rows")
-    longest = max(lengths, default=1)
-    # pieces and, at each of their places, as much text as a needle may have; a match of each takes at least one character
-    pieces = F.regexp_extract_all("text", F.lit(f"(?s)(?=(.{{1,{PIECE + longest - 1}}})).{{1,{PIECE}}}"), F.lit(1))
-    stretches = F.regexp_extract_all("piece", F.lit(f"(?s)(?=(.{{1,{longest}}}))."), F.lit(1))
-    sizes = F.array(*[F.lit(n) for n in lengths]).cast("array<int>")
-    cut = F.flatten(F.transform(stretches, lambda s: F.transform(F.filter(sizes, lambda n: n <= F.char_length(s)), lambda n: F.left(s, n))))
-    grams = rows.select("id", F.explode(pieces).alias("piece")).select("id", F.explode(F.array_distinct(cut)).alias("needle"))
+    if not lengths:
+        return rows.select(*[F.col(f"_{k}").alias(c) for k, c in enumerate(kept)], F.lit(None).cast(rules.schema["best"].dataType).alias(out))
+    order = _in_order(rules)
+    numbers = rules.join(order, "best").select("needle", "no")
     small = has_at_most(rules, MAX_BROADCAST_ROWS, MAX_BROADCAST_BYTES)
-    hits = grams.join(F.broadcast(rules) if small else rules.hint("merge"), "needle")
-    best = hits.groupBy("id").agg(F.min("best").alias("best"))
+    hits = _stretches(rows, rules, lengths).join(F.broadcast(numbers) if small else numbers.hint("merge"), "needle")
+    best = hits.groupBy("id").agg(F.min("no").alias("no")).join(order, "no").select("id", "best")
     found = rows.join(best, "id", "left")
     return found.select(*[F.col(f"_{k}").alias(c) for k, c in enumerate(kept)], F.col("best").alias(out))
 

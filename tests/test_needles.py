@@ -82,3 +82,19 @@ def test_lanes_and_pieces_change_nothing(monkeypatch):
     monkeypatch.setattr(needles, "PIECE", 2)
     assert (automaton.smallest(joined, ends - [len(t) for t in data], ends) == whole).all()
     assert whole.tolist() == [min((p for n, p in used if n in t), default=needles.NO_RULE) for t in data]
+
+
+def test_the_join_looks_up_few_stretches(spark):
+    """Not every stretch of text that is as long as some needle, and not the bits in every row."""
+    texts = ["".join(random.Random(k).choices("abcdefghij", k=3000)) + "needle" * (k % 2) for k in range(20)]
+    rules = spark.range(400).selectExpr("concat('need', id) AS needle", "id AS priority", "'x' AS label").union(
+        spark.createDataFrame([("needle", 1, "y"), ("long " * 20, 2, "z")], RULES)
+    )
+    usable = needles.materialize(needles.usable_rules(rules, "needle", "priority", "label", False))
+    lengths = sorted(r[0] for r in usable.selectExpr("char_length(needle)").distinct().collect())
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    found = needles._stretches(rows, usable, lengths)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "AS _bits" not in plan
+    looked_up = [(r["id"], r["needle"]) for r in found.filter("needle IS NOT NULL").collect()]
+    assert {(k, "needle") for k in range(1, 20, 2)} <= set(looked_up) and len(looked_up) < 1000
