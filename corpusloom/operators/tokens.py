@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.functions.arrays import attention_mask, mask_labels, pad_fallback, pad_truncate
 from corpusloom.functions.text import TOKEN_PATTERN, tokens
@@ -14,6 +15,9 @@ from corpusloom.session import materialize
 
 PAD, EOS, UNK = "<pad>", "</s>", "<unk>"
 SPECIALS = (PAD, EOS, UNK)
+# Rows of one part that is looked up by a join (a task sorts more than ``SETTINGS`` allows), and bytes of their texts.
+PART_ROWS = 2_000
+PART_BYTES = 8 << 20
 
 
 def build_vocab(
@@ -67,8 +71,8 @@ def encode(
 
     An empty text has no ids; of a token that the vocabulary holds twice the smallest id counts. Tokens past the
     limit are cut before the lookup. With a vocabulary of up to ``max_inline`` tokens the work is local to each
-    row. Beyond that rows are numbered and written once, and their tokens are joined with it; the rows are the
-    same either way. ``vocab`` should be a stored table.
+    row. Beyond that rows are numbered and written once, dealt out by number, and their tokens are joined with it;
+    the rows are the same either way. ``vocab`` should be a stored table.
     """
     cut = tokens(text, pattern)
     cut = cut if max_len is None else F.slice(cut, 1, max_len)
@@ -77,15 +81,28 @@ def encode(
         held = df.select(*keys, text, table.alias("_table"))
         ids = F.transform(cut, lambda t: F.coalesce(look_up(F.col("_table"), t), F.lit(unk_id)))
         return held.select(*keys, ids.alias("input_ids"))
-    rows = _numbered(df.select(*keys, cut.alias("_tokens")), "encode")
-    long = rows.select("_row", F.posexplode("_tokens").alias("_pos", "_token"))
+    rows = _numbered(df.select(*keys, F.col(text).alias("_text")), "encode")
+    cut = tokens("_text", pattern)
+    cut = cut if max_len is None else F.slice(cut, 1, max_len)
+    # outer, as Spark tests the input of a plain explode by making it twice
+    long = _dealt(rows, F.octet_length("_text")).select("_row", F.posexplode_outer(cut).alias("_pos", "_token")).filter("_pos IS NOT NULL")
     words = unique_keys(vocab, "token", "token_id").select(F.col("token").alias("_vocab_token"), F.col("token_id").alias("_id"))
     found = lookup(long, words, F.col("_token") == F.col("_vocab_token"))
-    pair = F.struct("_pos", F.coalesce("_id", F.lit(unk_id)).alias("_id"))
-    listed = found.groupBy("_row").agg(F.sort_array(F.collect_list(pair)).alias("_pairs"))
-    ids = F.transform("_pairs", lambda p: p["_id"])
-    none = F.when(F.col("_tokens").isNotNull(), F.array().cast("array<int>"))
-    return rows.join(listed, "_row", "left").select(*keys, F.coalesce(ids, none).alias("input_ids"))
+    known = F.coalesce("_id", F.lit(unk_id))
+    if isinstance(vocab.schema["token_id"].dataType, T.IntegerType) and -(1 << 31) <= unk_id < 1 << 31:  # place and id in one number, a quarter of a struct
+        pair = F.shiftleft(F.col("_pos").cast("long"), 32).bitwiseOR(known.cast("long").bitwiseAND(0xFFFFFFFF))
+        ids = F.transform("_pairs", lambda p: _low_int(p))
+    else:
+        pair = F.struct("_pos", known.alias("_id"))
+        ids = F.transform("_pairs", lambda p: p["_id"])
+    listed = found.groupBy("_row").agg(F.sort_array(F.collect_list(pair)).alias("_pairs")).select("_row", ids.alias("_ids"))
+    return rows.select("_row", *keys).join(listed, "_row", "left").select(*keys, F.coalesce("_ids", F.array().cast("array<int>")).alias("input_ids"))
+
+
+def _low_int(pair: Column) -> Column:
+    """The low 32 bits of a number as a signed one."""
+    low = pair.bitwiseAND(0xFFFFFFFF)
+    return (low - F.when(low > 0x7FFFFFFF, F.lit(1 << 32)).otherwise(F.lit(0).cast("long"))).cast("int")
 
 
 def _numbered(df: DataFrame, name: str) -> DataFrame:
@@ -93,6 +110,17 @@ def _numbered(df: DataFrame, name: str) -> DataFrame:
     return materialize(df.withColumn("_row", F.monotonically_increasing_id()), name)
 
 
+def _dealt(rows: DataFrame, size: Column) -> DataFrame:
+    """Numbered rows dealt out by number, in parts of a bounded number of rows and sum of sizes.
+
+    What is exploded, looked up in a broadcast table and grouped by row again then stays in its task: the rows
+    are shuffled once, before they are tokens, and a task has few enough groups to hold them without sorting.
+    """
+    n, total = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    parts = max(-(-n // PART_ROWS), -(-total // PART_BYTES), rows.sparkSession.sparkContext.defaultParallelism)
+    return rows.repartition(parts, "_row")
+
+
 def training_arrays(encoded: DataFrame, max_len: int, pad_id: int, ids: str = "input_ids") -> DataFrame:
     """Padded ``input_ids``, ``attention_mask`` and ``labels`` (a copy with padding masked)."""
     padded = encoded.withColumn("attention_mask", attention_mask(ids, max_len)).withColumn(
@@ -126,7 +154,7 @@ def decode(
         found = F.transform(ids, lambda i: look_up(F.col("_table"), i.cast(kind)))
         return held.select(*keys, F.coalesce(F.array_join(found, ""), F.lit("")).alias("text"))
     rows = _numbered(df.select(*keys, F.col(ids).alias("_ids")), "decode")
-    long = rows.select("_row", F.posexplode("_ids").alias("_pos", "_id"))
+    long = _dealt(rows, F.size("_ids").cast("long") * 8).select("_row", F.posexplode_outer("_ids").alias("_pos", "_id")).filter("_pos IS NOT NULL")
     found = lookup(long, unique_keys(words, "token_id", "token"), F.col("_id") == F.col("token_id"))
     joined = found.groupBy("_row").agg(F.expr("listagg(token, '') within group (order by _pos)").alias("text"))
-    return rows.join(joined, "_row", "left").select(*keys, F.coalesce("text", F.lit("")).alias("text"))
+    return rows.select("_row", *keys).join(joined, "_row", "left").select(*keys, F.coalesce("text", F.lit("")).alias("text"))

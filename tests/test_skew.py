@@ -228,3 +228,14 @@ def test_inline_and_joined_lookups_agree(spark):
     assert "Exchange" not in local._jdf.queryExecution().optimizedPlan().toString()
     assert bag_of(local) == bag_of(joined)
     assert bag_of(decode(local, vocab, max_inline=1000)) == bag_of(decode(local, vocab, max_inline=10))
+
+
+def test_looked_up_tokens_are_not_shuffled(spark):
+    """The rows are dealt out before they are tokens; partial and final grouping stand in one stage."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    vocab = materialize(build_vocab(docs, 700), "vocab")
+    encoded = encode(docs, vocab, None, 2, max_inline=10)
+    for df in (encoded, decode(encoded, vocab, max_inline=10)):
+        lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
+        at = [k for k, line in enumerate(lines) if "ObjectHashAggregate" in line]
+        assert len(at) == 2 and at[1] == at[0] + 1 and "REPARTITION_BY_NUM" in "".join(lines[at[1] :])
