@@ -3,24 +3,24 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState
 
 from corpusloom.functions.text import CJK_FIRST, CJK_LAST
 from corpusloom.operators.conversations import EXIT_COMMANDS, MAX_ROUNDS, PROMPT_SUFFIX, RESET_COMMANDS
 from corpusloom.operators.instruct import ROLE_TAGS
-from corpusloom.streaming.timeouts import DELAY, last_ms, set_timeout, timeout_kind
+from corpusloom.streaming.buckets import BUCKETS, apply_in_buckets
+from corpusloom.streaming.timeouts import DELAY
 
 STATE = (
-    "next_turn bigint, begun string, lead string, segment bigint, ended boolean, messages array<struct<role: string, text: string>>,"
-    " waiting array<struct<turn: bigint, role: string, text: string>>, latest bigint"
+    "next_turn: bigint, begun: string, lead: string, segment: bigint, ended: boolean, messages: array<struct<role: string, text: string>>,"
+    " waiting: array<struct<turn: bigint, role: string, text: string>>"
 )
-FRESH = (0, None, None, 0, False, [], [], 0)
+FRESH = (0, None, None, 0, False, [], [])
 # Role of the row that ends a conversation; it has no turn.
 CLOSING_ROLE = "||CLOSE||"
 CJK = re.compile(f"[{chr(CJK_FIRST)}-{chr(CJK_LAST)}]")
@@ -38,6 +38,7 @@ def stream_history(
     idle_ms: int | None = None,
     ts: str | None = None,
     delay: str = DELAY,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Streaming form of the batch prompts: ``(conv_id, segment, turn, prompt)`` per user message.
 
@@ -53,11 +54,11 @@ def stream_history(
     A conversation also ends with its row of ``closing_turns``. Append those rows to a stored backlog behind all others,
     or rows behind a gap stay in the state. Without ``ts``, ``idle_ms`` is time on the clock without input. Set it for a
     query that runs all the time; a run over what is there now would wait for such timeouts without end.
+
+    The conversations share ``buckets`` states (see ``apply_in_buckets``).
     """
-    key_field = conv.schema["conv_id"]
     out_schema = T.StructType(
         [
-            key_field,
             T.StructField("segment", T.LongType()),
             T.StructField("turn", T.LongType()),
             T.StructField("prompt", T.StringType()),
@@ -67,8 +68,8 @@ def stream_history(
     def line(role: str, text: str) -> str:
         return f"{tags[role]}\n{text}\n\n" if role in tags else ""
 
-    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        next_turn, begun, lead, segment, ended, live, ahead, latest = state.get if state.exists else FRESH
+    def step(key: str | None, values: tuple | None, rows: list[tuple], closed: bool) -> tuple[list[tuple], tuple | None]:
+        next_turn, begun, lead, segment, ended, live, ahead = values or FRESH
         messages = [tuple(message) for message in live]
         waiting = {row[0]: tuple(row) for row in ahead}
         out: list[tuple[int, int, str]] = []
@@ -99,45 +100,28 @@ def stream_history(
                 body = "".join(line(r, t) for r, t in [("system", lead), *messages])
                 out.append((segment, turn, body + suffix))
 
-        def rows_out() -> pd.DataFrame:
-            frame = pd.DataFrame(out, columns=["segment", "turn", "prompt"])
-            frame.insert(0, "conv_id", key[0])
-            out.clear()
-            return frame
-
-        closed = state.hasTimedOut
-        for batch in () if closed else batches:
-            if ts is not None:
-                latest = max(latest, last_ms(batch[ts]))
-            for turn, role, text in zip(batch["turn"], batch["role"], batch["text"]):
-                if pd.isna(turn):
-                    closed = closed or role == CLOSING_ROLE
-                elif turn >= next_turn and not ended:
-                    waiting[int(turn)] = (int(turn), role, text or "")
-            while not ended and next_turn in waiting:
-                advance()
-            if out:
-                yield rows_out()
+        for turn, role, text in rows:
+            if pd.isna(turn):
+                closed = closed or role == CLOSING_ROLE
+            elif turn >= next_turn and not ended:
+                waiting[int(turn)] = (int(turn), role, text or "")
+        while not ended and next_turn in waiting:
+            advance()
         if closed:
             # no more input: what waits behind a gap comes out in order
             for turn in sorted(waiting):
                 if not ended:
                     next_turn = turn
                     advance()
-            state.remove()
-            if out:
-                yield rows_out()
-            return
-        if pd.isna(key[0]) and not waiting and not next_turn:
-            return  # the end of the input, which is no conversation
+            return out, None
+        if key is None and not waiting and not next_turn:
+            return out, None  # the end of the input, which is no conversation
         if ended:
             messages, waiting = [], {}
         rest = [waiting[turn] for turn in sorted(waiting)]
-        state.update((next_turn, begun, lead, segment, ended, messages, rest, latest))
-        set_timeout(state, idle_ms, latest if ts is not None else None)
+        return out, (next_turn, begun, lead, segment, ended, messages, rest)
 
-    timed = conv if ts is None else conv.withWatermark(ts, delay)
-    return timed.groupBy("conv_id").applyInPandasWithState(run, out_schema, STATE, "append", timeout_kind(idle_ms, ts))
+    return apply_in_buckets(conv, "conv_id", ["turn", "role", "text"], step, out_schema, STATE, idle_ms, ts, delay, buckets)
 
 
 def closing_turns(conv: DataFrame) -> DataFrame:

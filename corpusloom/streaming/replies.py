@@ -1,23 +1,21 @@
-"""The guards on a reply stream, one small state per stream."""
+"""The guards on a reply stream, few values per stream."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState
 
 from corpusloom.functions.text import THINK_CLOSE, THINK_OPEN
 from corpusloom.operators.chunks import END, MAX_SECONDS, MAX_TOKENS, MIN_CHUNK, REPETITION_WINDOW
-from corpusloom.streaming.timeouts import DELAY, last_ms, set_timeout, timeout_kind
+from corpusloom.streaming.buckets import BUCKETS, apply_in_buckets
+from corpusloom.streaming.timeouts import DELAY
 
 STATE = (
-    "next_idx bigint, seen bigint, first_at double, hidden boolean, held string, held_start bigint, recent array<string>, stopped boolean,"
-    " waiting array<struct<index: bigint, at: double, content: string, last: boolean>>, latest bigint"
+    "next_idx: bigint, seen: bigint, first_at: double, hidden: boolean, held: string, held_start: bigint, recent: array<string>, stopped: boolean,"
+    " waiting: array<struct<index: bigint, at: double, content: string, last: boolean>>"
 )
-FRESH = (0, 0, None, False, "", None, [], False, [], 0)
+FRESH = (0, 0, None, False, "", None, [], False, [])
 
 
 def stream_reply_filter(
@@ -32,6 +30,7 @@ def stream_reply_filter(
     idle_ms: int | None = None,
     ts: str | None = None,
     delay: str = DELAY,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Streaming form of the batch reply filter.
 
@@ -45,17 +44,16 @@ def stream_reply_filter(
     clock is involved, so a run over what is there now gives the same rows each time; ``drain`` with an
     ``end_of_input`` ends all streams. Chunks older than the watermark are late and left out.
 
+    The streams share ``buckets`` states (see ``apply_in_buckets``).
+
     Without ``ts``, ``idle_ms`` is time on the clock without input. Set it for a query that
     runs all the time; a run over what is there now would wait for such timeouts without end.
     """
     half = window // 2
-    key_field = chunks.schema["stream_id"]
-    out_schema = T.StructType(
-        [key_field, T.StructField("chunk_idx", T.LongType()), T.StructField("content", T.StringType())]
-    )
+    out_schema = T.StructType([T.StructField("chunk_idx", T.LongType()), T.StructField("content", T.StringType())])
 
-    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        next_idx, seen, first_at, hidden, held, start, recent, stopped, ahead, latest = state.get if state.exists else FRESH
+    def step(key: str | None, values: tuple | None, rows: list[tuple], ended: bool) -> tuple[list[tuple], tuple | None]:
+        next_idx, seen, first_at, hidden, held, start, recent, stopped, ahead = values or FRESH
         recent = list(recent)
         waiting = {row[0]: tuple(row) for row in ahead}
         out: list[tuple[int, str]] = []
@@ -105,40 +103,25 @@ def stream_reply_filter(
                     put_rest()
                 stopped, held = True, ""
 
-        def rows_out() -> pd.DataFrame:
-            frame = pd.DataFrame(out, columns=["chunk_idx", "content"])
-            frame.insert(0, "stream_id", key[0])
-            out.clear()
-            return frame
-
-        if state.hasTimedOut:
+        if ended:
             # no more input: what waits behind a gap comes out in order, then the rest
             while waiting and not stopped:
                 next_idx = min(waiting)
                 advance()
             if not stopped:
                 put_rest()
-            state.remove()
-            if out:
-                yield rows_out()
-            return
-        for batch in batches:
-            if ts is not None:
-                latest = max(latest, last_ms(batch[ts]))
-            for index, at, content, last in zip(batch["chunk_idx"], batch["at"], batch["content"], batch["is_last"]):
-                if not pd.isna(index) and index >= next_idx and not stopped:
-                    waiting[int(index)] = (int(index), None if pd.isna(at) else float(at), content, bool(last))
-            while not stopped and next_idx in waiting:
-                advance()
-            if out:
-                yield rows_out()
-        if pd.isna(key[0]) and not waiting and not seen:
-            return  # the end of the input, which is no stream
+            return out, None
+        for index, at, content, last in rows:
+            if not pd.isna(index) and index >= next_idx and not stopped:
+                waiting[int(index)] = (int(index), None if pd.isna(at) else float(at), content, bool(last))
+        while not stopped and next_idx in waiting:
+            advance()
+        if key is None and not waiting and not seen:
+            return out, None  # the end of the input, which is no stream
         if stopped:
             recent, waiting = [], {}
         rest = [waiting[index] for index in sorted(waiting)]
-        state.update((next_idx, seen, first_at, hidden, held, start, recent, stopped, rest, latest))
-        set_timeout(state, idle_ms, latest if ts is not None else None)
+        return out, (next_idx, seen, first_at, hidden, held, start, recent, stopped, rest)
 
-    timed = chunks if ts is None else chunks.withWatermark(ts, delay)
-    return timed.groupBy("stream_id").applyInPandasWithState(run, out_schema, STATE, "append", timeout_kind(idle_ms, ts))
+    columns = ["chunk_idx", "at", "content", "is_last"]
+    return apply_in_buckets(chunks, "stream_id", columns, step, out_schema, STATE, idle_ms, ts, delay, buckets)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 DELAY = "1 day"
 # The time of rows of a stored table that has none; none of them is ever late before the end of the input.
@@ -20,18 +20,9 @@ def timeout_kind(idle_ms: int | None, ts: str | None) -> str:
     return GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout
 
 
-def last_ms(times: pd.Series) -> int:
-    """The latest of some event times in milliseconds; rows without a time count as the earliest."""
-    latest = pd.to_datetime(times).max()
-    return 0 if pd.isna(latest) else int(latest.timestamp() * 1000)
-
-
-def set_timeout(state: GroupState, idle_ms: int | None, latest: int | None) -> None:
-    """End the state ``idle_ms`` after its latest row, or after now."""
-    if latest is not None:
-        state.setTimeoutTimestamp(max(latest + (idle_ms or 0), state.getCurrentWatermarkMs()) + 1)
-    elif idle_ms is not None:
-        state.setTimeoutDuration(idle_ms)
+def times_ms(times: pd.Series) -> list[int]:
+    """Event times in milliseconds; rows without a time count as the earliest."""
+    return times.to_numpy().astype("datetime64[ms]").astype("int64").clip(0).tolist()
 
 
 def without_times(df: DataFrame, ts: str) -> DataFrame:

@@ -173,3 +173,20 @@ def test_a_lost_batch_is_written_once(spark, tmp_path):
     # nothing new: nothing is written
     write_batches(read_stream(spark, source, schema, 1), path, progress)
     assert found.select("batch_id").distinct().count() == 5 and found.count() == 100
+
+
+def test_streams_share_states(spark, tmp_path):
+    """A state per bucket, not per stream; streams of one bucket keep apart, also by the null that ends the input."""
+    rows = spark.range(60).selectExpr("id + 9007199254740992 AS stream_id", "explode(array(2, 0, 1)) AS chunk_idx")
+    rows = rows.selectExpr("*", "concat('word', stream_id % 7, chunk_idx, ' ') AS content", "CAST(NULL AS DOUBLE) AS at", "chunk_idx = 2 AND stream_id % 2 = 0 AS is_last")
+    rows = without_times(rows, "ts")
+    folder = str(tmp_path / "in")
+    rows.repartition(2, "chunk_idx").write.parquet(folder)
+    stream = stream_reply_filter(read_stream(spark, folder, rows.schema, max_files=1), ts="ts", buckets=4)
+    out = str(tmp_path / "out")
+    query = stream.writeStream.format("parquet").option("checkpointLocation", out + "-progress").trigger(availableNow=True).start(out)
+    query.awaitTermination()
+    assert 0 < query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 4
+    drained = drain(stream, "shared", lambda: end_of_input(rows, "ts").coalesce(1).write.mode("append").parquet(folder))
+    assert drained.schema["stream_id"].dataType.simpleString() == "bigint"
+    assert bag_of(drained) == bag_of(rows.select("stream_id", F.col("chunk_idx").cast("long"), "content"))
