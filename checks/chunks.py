@@ -13,6 +13,7 @@ from checks.registry import (
     event_chunks,
     message_chunks,
     query,
+    table,
     with_markers,
 )
 from corpusloom.functions.text import TOKEN_PATTERN
@@ -31,6 +32,7 @@ from corpusloom.operators.chunks import (
 from corpusloom.operators.segments import segment_ids, segments, sentences
 from corpusloom.plans.ordered import with_runs, without_runs
 from corpusloom.plans.replies import filter_replies
+from corpusloom.plans.spread import dealt
 
 EVENT_ORDER = ("ts", "event_id")
 
@@ -70,7 +72,8 @@ def e2_assemble_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT doc_id, " + STRIP_SQL.format("text") + " AS text FROM documents")
 def e2_assemble_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    # dealt out as texts, so that the chunks of a document are made and joined in one task
+    docs = dealt(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", F.octet_length("text"))
     return assemble_text(chunk_text(docs), keys=["doc_id"])
 
 

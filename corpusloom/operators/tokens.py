@@ -11,13 +11,11 @@ from pyspark.sql import types as T
 from corpusloom.functions.arrays import attention_mask, mask_labels, pad_fallback, pad_truncate
 from corpusloom.functions.text import TOKEN_PATTERN, tokens
 from corpusloom.plans.lookup import MAX_INLINE_ROWS, inline_table, look_up, lookup, unique_keys
+from corpusloom.plans.spread import dealt
 from corpusloom.session import materialize
 
 PAD, EOS, UNK = "<pad>", "</s>", "<unk>"
 SPECIALS = (PAD, EOS, UNK)
-# Rows of one part that is looked up by a join (a task sorts more than ``SETTINGS`` allows), and bytes of their texts.
-PART_ROWS = 2_000
-PART_BYTES = 8 << 20
 
 
 def build_vocab(
@@ -85,7 +83,7 @@ def encode(
     cut = tokens("_text", pattern)
     cut = cut if max_len is None else F.slice(cut, 1, max_len)
     # outer, as Spark tests the input of a plain explode by making it twice
-    long = _dealt(rows, F.octet_length("_text")).select("_row", F.posexplode_outer(cut).alias("_pos", "_token")).filter("_pos IS NOT NULL")
+    long = dealt(rows, "_row", F.octet_length("_text")).select("_row", F.posexplode_outer(cut).alias("_pos", "_token")).filter("_pos IS NOT NULL")
     words = unique_keys(vocab, "token", "token_id").select(F.col("token").alias("_vocab_token"), F.col("token_id").alias("_id"))
     found = lookup(long, words, F.col("_token") == F.col("_vocab_token"))
     known = F.coalesce("_id", F.lit(unk_id))
@@ -110,17 +108,6 @@ def _numbered(df: DataFrame, name: str) -> DataFrame:
     return materialize(df.withColumn("_row", F.monotonically_increasing_id()), name)
 
 
-def _dealt(rows: DataFrame, size: Column) -> DataFrame:
-    """Numbered rows dealt out by number, in parts of a bounded number of rows and sum of sizes.
-
-    What is exploded, looked up in a broadcast table and grouped by row again then stays in its task: the rows
-    are shuffled once, before they are tokens, and a task has few enough groups to hold them without sorting.
-    """
-    n, total = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
-    parts = max(-(-n // PART_ROWS), -(-total // PART_BYTES), rows.sparkSession.sparkContext.defaultParallelism)
-    return rows.repartition(parts, "_row")
-
-
 def training_arrays(encoded: DataFrame, max_len: int, pad_id: int, ids: str = "input_ids") -> DataFrame:
     """Padded ``input_ids``, ``attention_mask`` and ``labels`` (a copy with padding masked)."""
     padded = encoded.withColumn("attention_mask", attention_mask(ids, max_len)).withColumn(
@@ -154,7 +141,7 @@ def decode(
         found = F.transform(ids, lambda i: look_up(F.col("_table"), i.cast(kind)))
         return held.select(*keys, F.coalesce(F.array_join(found, ""), F.lit("")).alias("text"))
     rows = _numbered(df.select(*keys, F.col(ids).alias("_ids")), "decode")
-    long = _dealt(rows, F.size("_ids").cast("long") * 8).select("_row", F.posexplode_outer("_ids").alias("_pos", "_id")).filter("_pos IS NOT NULL")
+    long = dealt(rows, "_row", F.size("_ids").cast("long") * 8).select("_row", F.posexplode_outer("_ids").alias("_pos", "_id")).filter("_pos IS NOT NULL")
     found = lookup(long, unique_keys(words, "token_id", "token"), F.col("_id") == F.col("token_id"))
     joined = found.groupBy("_row").agg(F.expr("listagg(token, '') within group (order by _pos)").alias("text"))
     return rows.select("_row", *keys).join(joined, "_row", "left").select(*keys, F.coalesce("text", F.lit("")).alias("text"))

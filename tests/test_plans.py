@@ -125,3 +125,11 @@ def test_no_table_is_written_for_hot_keys_where_there_are_none(spark, monkeypatc
 def test_no_epochs_are_no_rows(spark):
     assert batch_plan(spark.range(5), "id", epochs=0).count() == 0
     assert batch_plan(spark.range(5), "id", epochs=2).count() == 10
+
+
+def test_documents_are_assembled_where_they_are_cut(spark):
+    """The texts are shuffled once, and none of their chunks."""
+    lines = plan(QUERIES["e2_assemble_documents"](spark, SF)).split("\n")
+    cut = next(k for k, line in enumerate(lines) if "Generate" in line)
+    assert not [line for line in lines[:cut] if "Exchange" in line]
+    assert len([line for line in lines if "Exchange" in line]) == 1
