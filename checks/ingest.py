@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from checks.registry import query, table
 from corpusloom.operators.concat import concat_datasets, concat_or_first, count_by_source
 from corpusloom.operators.instruct import non_empty, require_columns
+from corpusloom.plans.spread import parts_of
 from corpusloom.plans.stages import TrainingSetConfig, run_stages, training_set_stages
 from corpusloom.session import scratch_path
 from corpusloom.sources.catalog import (
@@ -21,6 +22,8 @@ from corpusloom.sources.catalog import (
 )
 
 NAMES = ("documents", "benchmark", "pages")
+# Bytes of text that one task sorts and writes as one file.
+FILE_BYTES = 64 << 20
 
 
 def _catalog(sf_dir: str) -> list[Source]:
@@ -104,11 +107,13 @@ def a4_load_readable(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def c1_ordered_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyed = lambda letter, key, text: lambda df: df.select("position", F.concat(F.lit(letter), key).alias("example"), F.col(text).alias("text"))
-    # the tables are written in the order of their keys, in several files, so that the order is known
+    # the tables are written in the order of their keys, in five files or more of a bounded size, so that the order is known
     sources = []
     for name, letter, key, text in (("documents", "d", "doc_id", "text"), ("benchmark", "b", "item_id", "text"), ("pages", "p", "page_id", "url")):
         path = scratch_path(spark, f"ordered-{name}")
-        save_dataset(table(spark, sf_dir, name).select(key, text).repartitionByRange(5, key).sortWithinPartitions(key), path)
+        rows = table(spark, sf_dir, name).select(key, text)
+        files = parts_of(rows, F.octet_length(text), least=5, max_bytes=FILE_BYTES)
+        save_dataset(rows.repartitionByRange(files, key).sortWithinPartitions(key), path)
         sources.append(Source(name, path, prepare=keyed(letter, key, text)))
     return concat_datasets(read_in_order(spark, sources), order_column=None).drop("source")
 

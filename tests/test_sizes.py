@@ -98,3 +98,15 @@ def test_any_failure_of_a_source_is_a_row(spark, tmp_path):
     tables, report = load_with_report(spark, sources)
     assert list(tables) == ["good"]
     assert {r["source"]: (r["status"], r["error"]) for r in report.collect()} == {"bad": ("failed", "KeyError"), "good": ("loaded", None)}
+
+
+def test_ordered_files_grow_in_number_not_in_size(spark, monkeypatch):
+    import checks.ingest as ingest
+
+    folder = "/root/testdata/sf0.001"
+    want = bag_of(ingest.c1_ordered_rows(spark, folder))
+    monkeypatch.setattr(ingest, "FILE_BYTES", 4096)
+    written = []
+    monkeypatch.setattr(ingest, "save_dataset", lambda df, path: (written.append(df.rdd.getNumPartitions()), df.write.parquet(path)))
+    assert bag_of(ingest.c1_ordered_rows(spark, folder)) == want
+    assert max(written) > 5
