@@ -21,8 +21,9 @@ from corpusloom.session import materialize
 RUN = "_run"
 WHOLE = -1  # run number of every row whose key was not split
 MAX_ROWS_PER_KEY = 1_000_000
-# Tasks that the rows of all big keys are dealt over at most; beyond it runs grow, nothing else changes.
-MAX_RUNS = 200_000
+# Tasks that the rows of all big keys are dealt over, each of several runs, as long as a task sorts no more than
+# ``MAX_ROWS_PER_KEY`` rows; a task costs the driver some kilobytes, a run nothing.
+RUN_TASKS = 1_000
 _SPLIT = "split"  # metadata of the run number: whether any key was split
 
 
@@ -65,22 +66,24 @@ def with_runs(
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_hot"))
     hot = counts.filter(F.col("_hot") > max_rows)
-    runs = hot.agg(F.sum(F.ceil(F.col("_hot") / max_rows))).first()[0]
+    runs, total_rows = hot.agg(F.sum(F.ceil(F.col("_hot") / max_rows)), F.sum("_hot")).first()
     if not runs:
-        return df.select("*", F.lit(WHOLE).alias(RUN, metadata={_SPLIT: False}))
+        return df.select("*", F.lit(WHOLE).cast("long").alias(RUN, metadata={_SPLIT: False}))
     hot = materialize(hot, "hot-keys")
-    runs = min(int(runs) + 1, MAX_RUNS)
+    tasks = min(int(runs) + 1, max(RUN_TASKS, -(-int(total_rows) // MAX_ROWS_PER_KEY)))
     hot = F.broadcast(hot) if has_at_most(hot, MAX_BROADCAST_ROWS, MAX_BROADCAST_BYTES) else hot
     marked = df.join(hot, _same(df, hot, keys), "left").select(*[df[c] for c in df.columns], "_hot")
+    # sorted rows of a task are numbered one by one, and those of the next task from far beyond
     split = (
         marked.filter(F.col("_hot").isNotNull())
         .drop("_hot")
-        .repartitionByRange(runs, *keys, *order)
-        .withColumn(RUN, F.spark_partition_id())
+        .repartitionByRange(tasks, *keys, *order)
+        .sortWithinPartitions(*keys, *order)
+        .withColumn(RUN, F.floor(F.monotonically_increasing_id() / F.lit(max_rows)))
     )
     # The run numbers are read twice below, so they must not be computed twice.
     split = materialize(split, "runs")
-    rest = marked.filter(F.col("_hot").isNull()).drop("_hot").withColumn(RUN, F.lit(WHOLE))
+    rest = marked.filter(F.col("_hot").isNull()).drop("_hot").withColumn(RUN, F.lit(WHOLE).cast("long"))
     both = rest.unionByName(split)
     return both.select(*[c for c in both.columns if c != RUN], F.col(RUN).alias(RUN, metadata={_SPLIT: True}))
 

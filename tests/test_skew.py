@@ -239,3 +239,15 @@ def test_looked_up_tokens_are_not_shuffled(spark):
         lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
         at = [k for k, line in enumerate(lines) if "ObjectHashAggregate" in line]
         assert len(at) == 2 and at[1] == at[0] + 1 and "REPARTITION_BY_NUM" in "".join(lines[at[1] :])
+
+
+def test_many_runs_need_few_tasks(spark, monkeypatch):
+    import corpusloom.plans.ordered as ordered
+
+    monkeypatch.setattr(ordered, "RUN_TASKS", 3)
+    df = spark.range(1000).selectExpr("CAST(id % 2 AS STRING) AS k", "999 - id AS i")
+    out = with_runs(df, ["k"], ["i"], 10)
+    runs = out.groupBy(RUN).agg(F.min(F.struct("k", "i")).alias("low"), F.max(F.struct("k", "i")).alias("high"), F.count("*").alias("n")).orderBy(RUN).collect()
+    assert len(runs) >= 100 and max(r["n"] for r in runs) <= 10 and sum(r["n"] for r in runs) == 1000
+    assert all(a["high"] < b["low"] for a, b in zip(runs, runs[1:]))
+    assert out.filter(f"{RUN} >= 0").select(F.input_file_name()).distinct().count() <= 3
