@@ -11,17 +11,20 @@ space is one piece.
 from __future__ import annotations
 
 import functools
+import os
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-# Pieces whose ids a worker keeps; beyond it starts again, the results don't change.
+# Pieces whose ids a worker keeps; beyond it starts again, the results don't change. Longer ones, of more bytes than
+# this, are not kept: a text with odd white space is one piece, of any size.
 MAX_PIECES = 500_000
+MAX_KEPT_BYTES = 256
 END_ID = 0
-# Bytes of text that are cut and looked up at once.
-STEP_BYTES = 8_000_000
+# Bytes of text that are cut and looked up at once; a step takes some 40 times as much memory.
+STEP_BYTES = 2_000_000
 # New pieces that go to the library as one text.
 JOINED = 64
 
@@ -121,7 +124,11 @@ class Encoder:
             some = alone[start : start + 4096]
             encoded = self.tokenizer.encode_batch_fast([p.decode() for p in some], add_special_tokens=False)
             known.update(zip(some, [np.array(e.ids, "<u4").tobytes() for e in encoded]))
-        return [known[piece] for piece in pieces]
+        found = [known[piece] for piece in pieces]
+        for piece in [*spaced, *plain, *alone]:
+            if len(piece) > MAX_KEPT_BYTES:
+                del known[piece]
+        return found
 
     def _joined(self, words: list[bytes], by: bytes) -> Iterator[bytes]:
         """Ids of words without white space inside, many in one text: behind their space each, or in a line each."""
@@ -178,5 +185,9 @@ def _cuts(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 @functools.cache
 def encoder(path: str, plain_specials: bool = False) -> Encoder:
-    """One encoder a worker process; its memory of pieces lasts from task to task."""
+    """One encoder a worker process; its memory of pieces lasts from task to task.
+
+    A task has one core, so the library starts no threads, each of which would take memory of its own.
+    """
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     return Encoder(path, plain_specials)

@@ -3,8 +3,11 @@
 import hashlib
 import random
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +52,34 @@ def test_encoding_many_texts_in_small_steps(monkeypatch):
     assert own.encode_all([]) == [] and own.encode_all(["", ""]) == [b"", b""] and own.counted(pa.array([""])).tolist() == [0]
 
 
+MEMORY_OF_A_BATCH = """
+import random, resource, sys
+import pyarrow as pa
+from corpusloom.llm import encoding
+
+rng = random.Random(3)
+words = ["".join(rng.choices("abcdefghijklmnop", k=7)) for _ in range(250_000)]
+texts = pa.array([" ".join(rng.choices(words, k=25_000)) for _ in range(100)])
+own = encoding.encoder(sys.argv[1])
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+for some in own.each(texts):
+    pass
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+
+
+def test_memory_of_a_batch_is_bounded():
+    out = subprocess.run([sys.executable, "-c", MEMORY_OF_A_BATCH, TOKENIZER], capture_output=True, text=True, check=True, cwd=Path(encoding.__file__).parents[2])
+    assert int(out.stdout) < 180
+
+
+def test_long_pieces_are_not_kept():
+    own = Encoder(TOKENIZER)
+    texts = ["a\tb  " * 200 + str(k) for k in range(5)] + ["x" * 900, "y " + "z" * 900, "short text"]
+    assert own.encode_all(texts) == own.encode_all(texts) == [ids_of(t)[:-1].tobytes() for t in texts]
+    assert own.known and max(map(len, own.known)) <= encoding.MAX_KEPT_BYTES
+
+
 # --- rules ---------------------------------------------------------------------------------------------
 
 
