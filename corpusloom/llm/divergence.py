@@ -6,12 +6,13 @@ a whole) with ``count`` occurrences of a term and N of all kept terms,
 ``p = 1 + floor(10^9 (count + 1) / (N + V))``, and p differs from q by ``floor((p - q) (p - q) / q)``.
 
 ``CountVectorizer`` builds the vocabulary, with ``minDF`` and no other limit. It is fitted on ``held_lists``, in which
-every term reaches ``minDF`` exactly if it does so in the documents. The sparse vectors of documents over that
-vocabulary are built in Arrow batches, equal to those of the model's ``transform`` but at a fraction of its time.
+every term reaches ``minDF`` exactly if it does so in the documents. The texts are read once: the sparse vectors of
+documents are built in Arrow batches over the terms that a task meets and summed per group there, then written and
+brought to the vocabulary, equal to the sums of those of the model's ``transform`` but at a fraction of its time.
 Terms carry their language before them, so that one vectorizer is one per language: a term's documents are those of its
 language, and vectors of different languages share no index. Where there are more terms than the driver and a task
 should hold, the terms are dealt by hash into blocks of bounded size, each with a vectorizer of its own; a
-block's vectors are exact parts of the whole ones. The vectors are summed per group, in every batch first.
+block's vectors are exact parts of the whole ones.
 
 Pairs of groups are evaluated on these sums, block of terms by block of terms. Only terms that one of the two groups
 has need a look: ``sum f = V f00 + (terms of q: f(p0, q) - f00) + (terms of p: f(p, q) - f(p0, q))``, where p0 and
@@ -25,8 +26,8 @@ columns, whatever their names, are left out.
 from __future__ import annotations
 
 import math
-from collections import Counter, defaultdict
-from collections.abc import Iterable, Iterator
+from collections import defaultdict
+from collections.abc import Iterator
 from functools import cached_property
 from itertools import repeat
 
@@ -55,8 +56,9 @@ STEPS = 16
 # Bytes of text whose terms a task holds at once, and distinct terms that it holds to count their documents.
 STEP_BYTES = 2_000_000
 HELD_TERMS = 500_000
-# Entries of document vectors that a task sums up before it gives them on.
+# Entries of document vectors that a task sums up before it gives them on, and terms in a row that it writes.
 HELD_ENTRIES = 4_000_000
+ROW_TERMS = 65_536
 ONE = 1_000_000_000
 # Between language and term; no term has it.
 MARK = "\0"
@@ -78,36 +80,109 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
             start = end
 
 
-def _strings(lists: Iterable[list[bytes]]) -> pa.Array:
-    words, ends = [], [0]
-    for some in lists:
-        words += some
-        ends.append(len(words))
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(words, pa.binary()).cast(pa.string()))
+class Numbers(dict):
+    """Numbers of terms by first occurrence: a term that is looked up the first time gets the next one."""
 
+    def __missing__(self, term: bytes) -> int:
+        self[term] = number = len(self)
+        return number
 
-def held_lists(docs: DataFrame, min_df: int) -> DataFrame:
-    """Fewer documents (``terms``) in which a term has the same document frequency, up to ``min_df``.
 
-    Of documents read together, the k-th list has the terms that at least k of them hold.
+def vectors_of(lists: list[list[bytes]], indexes: list[dict[bytes, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sparse vectors of some documents: document, index and count of every entry, by document and index.
+
+    Terms that an index lacks are left out, unless it is ``Numbers``.
     """
+    found = [map(index.__getitem__, words) if isinstance(index, Numbers) else map(index.get, words, repeat(-1)) for words, index in zip(lists, indexes)]
+    ids = [np.fromiter(some, np.int64, len(words)) for some, words in zip(found, lists)]
+    cells = np.concatenate([k << 32 | some[some >= 0] for k, some in enumerate(ids)])
+    cells, counts = np.unique(cells, return_counts=True)
+    return cells >> 32, cells & MAX_INT, counts
 
-    def lists_of(held: dict[str, Counter]) -> pa.RecordBatch:
-        marked = [((lang + MARK).encode(), counts) for lang, counts in held.items()]
-        lists = [[lang + term for lang, counts in marked for term, n in counts.items() if n > k] for k in range(min_df)]
-        return pa.RecordBatch.from_arrays([_strings(lists)], names=["terms"])
+
+def _summed(cells: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct cells in order and the sum of the counts of each."""
+    cell, n = np.concatenate([np.zeros(0, np.int64), *cells]), np.concatenate([np.zeros(0, np.int64), *counts])
+    order = np.argsort(cell, kind="stable")
+    cell, first = np.unique(cell[order], return_index=True)
+    return cell, np.add.reduceat(n[order], first) if len(first) else n
+
+
+def _lists(values: pa.Array | np.ndarray, ends: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
+
+
+def _held_batch(numbers: dict[str, Numbers], groups: dict[tuple[str, str], int], cells: list[np.ndarray], counts: list[np.ndarray], min_df: int) -> pa.RecordBatch:
+    """Rows of ``_HELD`` of documents read together; cells are ``term << 32 | group``, one for every term of a document."""
+    langs = {lang: k for k, lang in enumerate(numbers)}
+    base = np.cumsum([0, *map(len, numbers.values())])
+    lang_of = np.array([langs[lang] for lang, _ in groups], np.int64)
+    # terms of all languages in one row, by language, then the most frequent first
+    cells = [cell + (base[lang_of[cell & MAX_INT]] << 32) for cell in cells]
+    df = np.minimum(sum((np.bincount(cell >> 32, minlength=base[-1]) for cell in cells), np.zeros(base[-1], np.int64)), min_df)
+    order = np.argsort(np.repeat(np.arange(len(langs)), np.diff(base)) * (min_df + 1) + min_df - df, kind="stable")
+    place = np.empty_like(order)
+    place[order] = np.arange(len(order))
+    cell, n = _summed([place[cell >> 32] << 32 | cell & MAX_INT for cell in cells], counts)
+    term, group = cell >> 32, cell & MAX_INT
+    parts = [(lang, k) for lang, a, b in zip(numbers, base.tolist(), base[1:].tolist()) for k in range(a, b, ROW_TERMS)]
+    ends = np.array([*(k for _, k in parts), base[-1]])
+    cell_ends = np.searchsorted(term, ends)
+    held = [(df[order[a:b]] > k).sum() for a, b in zip(ends, ends[1:]) for k in range(min_df)]
+    marked = [(lang + MARK).encode() + word for lang, words in numbers.items() for word in words]
+    names, sources, source_ends, source = [name for _, name in groups], [], [0], np.empty(len(group), np.int32)
+    for a, b in zip(cell_ends, cell_ends[1:]):
+        own, source[a:b] = np.unique(group[a:b], return_inverse=True)
+        sources += [names[k] for k in own.tolist()]
+        source_ends.append(len(sources))
+    columns = [
+        pa.array([lang for lang, _ in parts], pa.string()),
+        _lists(pa.array(marked, pa.binary()).take(pa.array(order)).cast(pa.string()), ends),
+        _lists(np.array(held, np.int32), np.arange(len(ends)) * min_df),
+        _lists(pa.array(sources, pa.string()), np.array(source_ends)),
+        _lists(source, cell_ends),
+        _lists((term - np.repeat(ends[:-1], np.diff(cell_ends))).astype(np.int32), cell_ends),
+        _lists(n, cell_ends),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=["lang", "terms", "held", "sources", "source", "term", "n"])
+
+
+_HELD = "lang string, terms array<string>, held array<int>, sources array<string>, source array<int>, term array<int>, n array<long>"
+
+
+def held_terms(docs: DataFrame, min_df: int) -> DataFrame:
+    """What the texts hold, read once: rows of terms of a language (``terms``, behind the language) of documents read
+    together, and their vectors summed per group.
+
+    The first ``held[k]`` of the terms stand in more than k of these documents, for k below ``min_df``. An entry is
+    ``n`` occurrences of ``terms[term]`` in the group of ``sources[source]``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: defaultdict[str, Counter] = defaultdict(Counter)
+        numbers, groups, cells, counts, size = defaultdict(Numbers), {}, [], [], 0
         for part, lists in _slices(batches):
-            for lang, words in zip(part.column("lang").to_pylist(), lists):
-                held[lang].update(set(words))
-            if sum(map(len, held.values())) > HELD_TERMS:
-                yield lists_of(held)
-                held.clear()
-        yield lists_of(held)
+            langs = part.column("lang").to_pylist()
+            doc, index, n = vectors_of(lists, [numbers[lang] for lang in langs])
+            group = np.fromiter((groups.setdefault(pair, len(groups)) for pair in zip(langs, part.column("source").to_pylist())), np.int64, len(part))
+            cells.append(index << 32 | group[doc])
+            counts.append(n)
+            size += len(n)
+            if size > HELD_ENTRIES or sum(map(len, numbers.values())) > HELD_TERMS:
+                held = _held_batch(numbers, groups, cells, counts, min_df)
+                numbers, groups, cells, counts, size = defaultdict(Numbers), {}, [], [], 0
+                yield from (held.slice(k, 1) for k in range(len(held)))
+        held = _held_batch(numbers, groups, cells, counts, min_df)
+        yield from (held.slice(k, 1) for k in range(len(held)))
 
-    return named(docs).mapInArrow(run, "terms array<string>")
+    return named(docs).mapInArrow(run, _HELD)
+
+
+def held_lists(held: DataFrame) -> DataFrame:
+    """Fewer documents (``terms``) in which a term has the same document frequency, up to ``min_df``.
+
+    Of documents read together, the k-th list has the terms that at least k of them hold.
+    """
+    return held.select(F.explode(F.transform("held", lambda n: F.slice("terms", 1, n))).alias("terms"))
 
 
 def named(docs: DataFrame) -> DataFrame:
@@ -122,60 +197,48 @@ class Vocabulary:
         self.words = words
 
     @cached_property
-    def indexes(self) -> dict[str, dict[bytes, int]]:
-        indexes: defaultdict[str, dict[bytes, int]] = defaultdict(dict)
-        for k, key in enumerate(self.words):
-            lang, term = key.rsplit(MARK, 1)
-            indexes[lang][term.encode()] = k
-        return dict(indexes)
+    def index(self) -> dict[bytes, int]:
+        return {key.encode(): k for k, key in enumerate(self.words)}
 
 
-def vectors_of(lists: list[list[bytes]], indexes: list[dict[bytes, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sparse vectors of some documents: document, index and count of every entry, by document and index."""
-    ids = [np.fromiter(map(index.get, words, repeat(-1)), np.int64, len(words)) for words, index in zip(lists, indexes)]
-    cells = np.concatenate([k << 32 | some[some >= 0] for k, some in enumerate(ids)])
-    cells, counts = np.unique(cells, return_counts=True)
-    return cells >> 32, cells & MAX_INT, counts
-
-
-def group_vectors(docs: DataFrame, vocabulary: Broadcast) -> DataFrame:
-    """``lang, source, index, n``: the vectors of documents summed per group, as far as a task holds them at once."""
+def group_vectors(held: DataFrame, vocabulary: Broadcast) -> DataFrame:
+    """``lang, source, index, n``: the vectors of ``held_terms`` over a vocabulary, summed as far as a task holds them at once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        indexes = vocabulary.value.indexes
+        index = vocabulary.value.index
         groups: dict[tuple[str, str], int] = {}
         cells, sums, size = [], [], 0
 
         def summed() -> pa.RecordBatch:
-            cell, n = np.concatenate([np.zeros(0, np.int64), *cells]), np.concatenate([np.zeros(0, np.int64), *sums])
-            order = np.argsort(cell, kind="stable")
-            cell, first = np.unique(cell[order], return_index=True)
-            n = np.add.reduceat(n[order], first) if len(first) else n
+            cell, n = _summed(cells, sums)
             names, group = list(groups), (cell >> 32).astype(np.int32)
             columns = [pa.DictionaryArray.from_arrays(pa.array(group), pa.array([name[k] for name in names], pa.string())).cast(pa.string()) for k in (0, 1)]
             return pa.RecordBatch.from_arrays([*columns, pa.array(cell & MAX_INT), pa.array(n)], names=["lang", "source", "index", "n"])
 
-        for part, lists in _slices(batches):
-            langs = part.column("lang").to_pylist()
-            doc, index, n = vectors_of(lists, [indexes.get(lang, {}) for lang in langs])
-            numbers = np.fromiter((groups.setdefault(pair, len(groups)) for pair in zip(langs, part.column("source").to_pylist())), np.int64, len(part))
-            cells.append(numbers[doc] << 32 | index)
-            sums.append(n)
-            size += len(n)
-            if size > HELD_ENTRIES:
-                yield summed()
-                groups, cells, sums, size = {}, [], [], 0
+        for batch in batches:
+            for lang, terms, sources, source, term, n in zip(*batch.columns):
+                known = np.fromiter(map(index.get, terms.values.cast(pa.binary()).to_pylist(), repeat(-1)), np.int64, len(terms))
+                group = np.array([groups.setdefault((lang.as_py(), name), len(groups)) for name in sources.as_py()], np.int64)
+                at = known[term.values.to_numpy()]
+                kept = at >= 0
+                cells.append((group[source.values.to_numpy()] << 32 | at)[kept])
+                sums.append(n.values.to_numpy()[kept])
+                size += len(sums[-1])
+                if size > HELD_ENTRIES:
+                    yield summed()
+                    groups, cells, sums, size = {}, [], [], 0
         yield summed()
 
-    return named(docs).mapInArrow(run, "lang string, source string, index long, n long")
+    rows = held.select("lang", "terms", "sources", "source", "term", "n")
+    return rows.mapInArrow(run, "lang string, source string, index long, n long")
 
 
-def _block_sums(docs: DataFrame, held: DataFrame, min_df: int, block: int) -> tuple[DataFrame, DataFrame] | None:
-    """``group_sums`` of one block of terms; None where no term is kept."""
-    spark = docs.sparkSession
+def _block_sums(held: DataFrame, lists: DataFrame, min_df: int, block: int) -> tuple[DataFrame, DataFrame] | None:
+    """``group_sums`` of one block of terms, of which ``lists`` are the documents; None where no term is kept."""
+    spark = held.sparkSession
     vectorizer = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_df), vocabSize=MAX_INT)
     try:
-        model = vectorizer.fit(held)
+        model = vectorizer.fit(lists)
     except IllegalArgumentException as error:
         if "vocabulary size should be > 0" not in str(error):
             raise
@@ -184,7 +247,7 @@ def _block_sums(docs: DataFrame, held: DataFrame, min_df: int, block: int) -> tu
     words = model.vocabulary
     named_terms = pa.table({"index": pa.array(range(base, base + len(words))), "term": pa.array([key.rsplit(MARK, 1)[1] for key in words])})
     vocabulary = materialize(spark.createDataFrame(named_terms, "index long, term string"), "divergence-vocabulary")
-    sums = group_vectors(docs, spark.sparkContext.broadcast(Vocabulary(words)))
+    sums = group_vectors(held, spark.sparkContext.broadcast(Vocabulary(words)))
     sums = sums.withColumn("index", F.col("index") + F.lit(base))
     # tasks have summed already, so nothing is gained by another sum before the shuffle; all sums need this one only
     sums = sums.repartition("index").groupBy("lang", "source", "index").agg(F.sum("n").alias("n"))
@@ -193,9 +256,9 @@ def _block_sums(docs: DataFrame, held: DataFrame, min_df: int, block: int) -> tu
     return materialize(sums.select("*", F.sum("n").over(everywhere).alias("lang_n"), first.alias("first")), "divergence-sums"), vocabulary
 
 
-def n_blocks(held: DataFrame, min_df: int, block_terms: int) -> int:
+def n_blocks(lists: DataFrame, min_df: int, block_terms: int) -> int:
     """How many blocks keep terms below ``block_terms`` each, by the kept terms among one in ``PROBED`` by hash."""
-    probe = held.select(F.explode(F.filter("terms", lambda t: F.pmod(F.xxhash64(t), F.lit(PROBED)) == 0)).alias("term"))
+    probe = lists.select(F.explode(F.filter("terms", lambda t: F.pmod(F.xxhash64(t), F.lit(PROBED)) == 0)).alias("term"))
     kept = probe.groupBy("term").count().filter(F.col("count") >= min_df).count()
     return 1 + (kept + 3 * math.isqrt(kept) + 9) * PROBED // block_terms
 
@@ -206,8 +269,9 @@ def group_sums(docs: DataFrame, min_df: int = MIN_DF, block_terms: int = BLOCK_T
     A term has an index of its own in each of its languages. ``lang_n`` are the occurrences in all groups of the
     language; ``first`` is true in one row of every index.
     """
-    held = materialize(held_lists(docs, min_df), "divergence-held")
-    blocks = n_blocks(held, min_df, block_terms)
+    held = materialize(held_terms(docs, min_df), "divergence-held")
+    lists = held_lists(held)
+    blocks = n_blocks(lists, min_df, block_terms)
 
     def own(table: DataFrame, block: int) -> DataFrame:
         in_block = F.filter("terms", lambda t: F.pmod(F.xxhash64(t, F.lit(1)), F.lit(blocks)) == block)
@@ -217,7 +281,7 @@ def group_sums(docs: DataFrame, min_df: int = MIN_DF, block_terms: int = BLOCK_T
     sums = spark.createDataFrame([], "lang string, source string, index long, n long, lang_n long, first boolean")
     vocabulary = spark.createDataFrame([], "index long, term string")
     for block in range(blocks):
-        found = _block_sums(docs, own(held, block), min_df, block)
+        found = _block_sums(held, own(lists, block), min_df, block)
         if found is not None:
             sums, vocabulary = sums.union(found[0]), vocabulary.union(found[1])
     return sums, vocabulary

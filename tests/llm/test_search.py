@@ -6,9 +6,12 @@ import re
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from llm.conftest import SF, TOKENIZER
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from corpusloom.llm import divergence, lexical, queries, token_counts
@@ -214,6 +217,47 @@ def test_divergence_equals_brute_force(spark, docs_of, block_terms, block_counts
     assert sorted(map(tuple, got.collect())) == sorted(slow_divergence(rows, ranks))
 
 
+def test_divergence_reads_texts_once(spark, docs_of):
+    rows = divergence_rows(random.Random(6))
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    table = spark.createDataFrame([(i, t, lang, source, 0, 1, "v", 2) for i, t, lang, source in rows], docs_of([]).schema)
+    sums, _ = divergence.group_sums(table.mapInArrow(counted, table.schema), 3, 250)
+    assert sums.count() and read.value == len(rows)
+
+
+def test_divergence_in_small_rows_and_steps(spark, docs_of, monkeypatch):
+    rows = divergence_rows(random.Random(8))
+    table = spark.createDataFrame([(i, t, lang, source, 0, 1, "v", 2) for i, t, lang, source in rows], docs_of([]).schema)
+    named = table.select(*[F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source", "text")])
+    batch = pa.RecordBatch.from_pylist([r.asDict() | {"text": r["text"].encode()} for r in named.collect()])
+    monkeypatch.setattr(divergence, "ROW_TERMS", 7)
+    monkeypatch.setattr(divergence, "STEP_BYTES", 300)
+    numbers, groups, cells, counts = defaultdict(divergence.Numbers), {}, [], []
+    got, df = Counter(), Counter()
+    for part, lists in divergence._slices(iter([batch])):
+        langs = part.column("lang").to_pylist()
+        doc, index, n = divergence.vectors_of(lists, [numbers[lang] for lang in langs])
+        group = np.array([groups.setdefault(pair, len(groups)) for pair in zip(langs, part.column("source").to_pylist())])
+        cells.append(index << 32 | group[doc])
+        counts.append(n)
+    for row in divergence._held_batch(numbers, groups, cells, counts, 3).to_pylist():
+        assert len(row["terms"]) <= 7 and len(row["held"]) == 3
+        got.update({(row["lang"], row["sources"][s], row["terms"][t]): n for s, t, n in zip(row["source"], row["term"], row["n"])})
+        df.update(term for k in row["held"] for term in row["terms"][:k])
+    want, want_df = Counter(), Counter()
+    for r in batch.to_pylist():
+        words = [r["lang"] + "\0" + w for w in re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", lowered(r["text"].decode()))]
+        want.update((r["lang"], r["source"], w) for w in words)
+        want_df.update(set(words))
+    assert got == want and df == {term: min(n, 3) for term, n in want_df.items()}
+
+
 def test_vectors_equal_those_of_the_model(spark, docs_of):
     rows = [(k, t) for k, (_, t, _, _) in enumerate(divergence_rows(random.Random(3)))]
     lists = [re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", lowered(t)) for _, t in rows]
