@@ -24,7 +24,10 @@ MAX_ROWS_PER_KEY = 1_000_000
 # Tasks that the rows of all big keys are dealt over, each of several runs, as long as a task sorts no more than
 # ``MAX_ROWS_PER_KEY`` rows; a task costs the driver some kilobytes, a run nothing.
 RUN_TASKS = 1_000
-_SPLIT = "split"  # metadata of the run number: whether any key was split
+# Rows of one task where several ordered steps follow on each other.
+PART_ROWS = 250_000
+# metadata of the run number: whether any key was split, and how many rows were counted
+_SPLIT, _ROWS = "split", "rows"
 
 
 @dataclass(frozen=True)
@@ -65,11 +68,12 @@ def with_runs(
     a key apart. The limit is the same whatever the table holds; the big keys are a written table of any size.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_hot"))
-    hot = counts.filter(F.col("_hot") > max_rows)
-    runs, total_rows = hot.agg(F.sum(F.ceil(F.col("_hot") / max_rows)), F.sum("_hot")).first()
+    is_hot = F.col("_hot") > max_rows
+    of_hot = [F.sum(F.when(is_hot, x)) for x in (F.ceil(F.col("_hot") / max_rows), F.col("_hot"))]
+    runs, total_rows, every_row = counts.agg(*of_hot, F.coalesce(F.sum("_hot"), F.lit(0))).first()
     if not runs:
-        return df.select("*", F.lit(WHOLE).cast("long").alias(RUN, metadata={_SPLIT: False}))
-    hot = materialize(hot, "hot-keys")
+        return df.select("*", F.lit(WHOLE).cast("long").alias(RUN, metadata={_SPLIT: False, _ROWS: every_row}))
+    hot = materialize(counts.filter(is_hot), "hot-keys")
     tasks = min(int(runs) + 1, max(RUN_TASKS, -(-int(total_rows) // MAX_ROWS_PER_KEY)))
     hot = F.broadcast(hot) if has_at_most(hot, MAX_BROADCAST_ROWS, MAX_BROADCAST_BYTES) else hot
     marked = df.join(hot, _same(df, hot, keys), "left").select(*[df[c] for c in df.columns], "_hot")
@@ -85,7 +89,7 @@ def with_runs(
     split = materialize(split, "runs")
     rest = marked.filter(F.col("_hot").isNull()).drop("_hot").withColumn(RUN, F.lit(WHOLE).cast("long"))
     both = rest.unionByName(split)
-    return both.select(*[c for c in both.columns if c != RUN], F.col(RUN).alias(RUN, metadata={_SPLIT: True}))
+    return both.select(*[c for c in both.columns if c != RUN], F.col(RUN).alias(RUN, metadata={_SPLIT: True, _ROWS: every_row}))
 
 
 def without_runs(df: DataFrame) -> DataFrame:
@@ -97,6 +101,21 @@ def is_split(df: DataFrame) -> bool:
     return RUN in df.columns and df.schema[RUN].metadata.get(_SPLIT, True)
 
 
+def in_parts(df: DataFrame, keys: Sequence[str], rows: int, max_rows: int = PART_ROWS) -> DataFrame:
+    """``rows`` rows brought together by key, and by run where keys are split, in parts of at most ``max_rows`` on average.
+
+    The windows of all later steps over the keys stay in these parts, so what a task holds for its sorts does not
+    grow with the table, as it would in a fixed number of shuffle partitions.
+    """
+    least = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(-(-rows // max_rows), least), *run_keys(df, keys))
+
+
+def counted_rows(df: DataFrame) -> int | None:
+    """How many rows ``with_runs`` counted; null where it did not."""
+    return df.schema[RUN].metadata.get(_ROWS) if RUN in df.columns else None
+
+
 def run_keys(df: DataFrame, keys: Sequence[str]) -> list[str]:
     return [*keys, RUN] if is_split(df) else list(keys)
 

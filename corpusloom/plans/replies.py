@@ -22,7 +22,7 @@ from corpusloom.operators.chunks import (
     take_until_sentinel,
 )
 from corpusloom.functions.text import THINK_CLOSE, THINK_OPEN
-from corpusloom.plans.ordered import MAX_ROWS_PER_KEY, largest, running, with_runs, without_runs
+from corpusloom.plans.ordered import MAX_ROWS_PER_KEY, PART_ROWS, counted_rows, in_parts, is_split, largest, running, with_runs, without_runs
 from corpusloom.plans.text import BLOCK_ROWS
 
 
@@ -40,6 +40,7 @@ def filter_replies(
     content: str = "content",
     ts: str | None = None,
     split_above: int | None = MAX_ROWS_PER_KEY,
+    part_rows: int = PART_ROWS,
 ) -> DataFrame:
     """Budget, hidden blocks, chunk size, repetition, sentinel: in this order.
 
@@ -47,19 +48,23 @@ def filter_replies(
     its end comes out untested; a stream that the budget stops has no such rest. A budget of up to ``BLOCK_ROWS``
     chunks makes every stream small, so what follows needs no further splitting. ``split_above`` is
     the number of chunks from which one stream is worked on in parts; null leaves out the count that finds
-    such streams.
+    such streams, and that of all chunks, by which tasks get at most ``part_rows`` of them on average.
     """
     if split_above is not None:
         chunks = with_runs(chunks, keys, (index,), split_above)
+    rows, split = counted_rows(chunks), is_split(chunks)
+    chunks = in_parts(chunks, keys, rows, part_rows) if rows is not None else chunks
     marked = mark_budget(chunks, max_tokens, max_seconds, keys, (index,), ts)
     over = F.col("stop_reason").isNotNull().cast("int")
     marked = running(marked, keys, (index,), reverse=True, _cut=largest(over))  # 1 on every chunk of a stopped stream
     within = marked.filter("stop_reason IS NULL").drop("stop_reason")
     small = max_tokens <= BLOCK_ROWS  # then every stream is small from here on
     within = without_runs(within) if small else within
+    within = in_parts(within, keys, rows, part_rows) if rows is not None and split and small else within  # by key now, not by run
     shown = suppress_think(within, open_tag, close_tag, keys, (index,), content)
     pieces = rechunk(shown, min_len, keys, index, content, bounded=small, cut="_cut")
     if not small and split_above is not None:
         pieces = with_runs(pieces, keys, (index,), split_above)
+        pieces = in_parts(pieces, keys, counted_rows(pieces) or 0, part_rows)
     fresh = repetition_guard(pieces, window, keys, (index,), content, exempt=F.length(content) < min_len)
     return without_runs(take_until_sentinel(fresh, end, keys, (index,), content))

@@ -1,5 +1,7 @@
 """One result at every size, and what happens at the end of a stream."""
 
+from collections import Counter
+
 import pytest
 from conftest import bag_of, rows_of
 from pyspark.sql import functions as F
@@ -60,6 +62,21 @@ def test_the_rest_is_not_tested_for_repetition(frame):
     assert sorted(rows_of(filter_replies(tail, window=2, min_len=2), "content")) == ["a", "aa"]
 
 
+@pytest.mark.parametrize("split_above, beyond", [(1000, False), (25, False), (1000, True)])
+def test_tasks_of_the_reply_guards_hold_a_bounded_number_of_chunks(frame, monkeypatch, split_above, beyond):
+    import corpusloom.plans.replies as replies
+
+    rows = [row for s in range(300) for row in chunk_rows(f"s{s}", *[f"w{k * k % 7}{s} " for k in range(10 + (s % 5) * 5)])]
+    chunks = frame(rows, CHUNKS)
+    want = bag_of(filter_replies(chunks, max_tokens=28, window=4))
+    if beyond:
+        monkeypatch.setattr(replies, "BLOCK_ROWS", 10)
+    got = filter_replies(chunks, max_tokens=28, window=4, split_above=split_above, part_rows=200)
+    held = Counter(r[0] for r in got.select(F.spark_partition_id()).collect())
+    assert len(held) > 20 and max(held.values()) < 600 < len(rows) / 8
+    assert bag_of(got) == want
+
+
 def test_budgets_beyond_a_block_are_kept(frame, monkeypatch):
     import corpusloom.plans.replies as replies
 
