@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.text import col_of
 from corpusloom.plans.lookup import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, has_at_most
+from corpusloom.plans.spread import parts_of
 from corpusloom.session import materialize
 
 # Needles of one automaton, and their bytes with their labels. It has at most a state per byte; a state takes 4 bytes for
@@ -37,6 +38,8 @@ PIECE = 512
 # Bits for each needle, and each beginning of one, that say whether a text may be it; and at most so many, 8 MB, in all.
 BITS_PER_TEXT = 32
 MAX_BITS = 1 << 26
+# Bytes of text in one task that looks for stretches: its work is some thousand times that of reading them.
+TASK_BYTES = 1 << 20
 # Pieces that are read in step.
 LANES = 65_536
 NO_RULE = np.iinfo(np.int64).max
@@ -203,7 +206,11 @@ def _stretches(rows: DataFrame, rules: DataFrame, lengths: Sequence[int]) -> Dat
     longest = lengths[-1]
     size = max(PIECE, longest)
     pieces = F.regexp_extract_all("text", F.lit(f"(?s)(?=(.{{1,{size + longest - 1}}})).{{1,{size}}}"), F.lit(1))
-    held = rows.select("id", F.explode_outer(pieces).alias("piece")).withColumn("_bits", bits)
+    texts = rows.select("id", "text")
+    # a written table of short texts is one or two splits, however many rows it has
+    least = texts.sparkSession.sparkContext.defaultParallelism
+    texts = texts.repartition(parts_of(texts, F.octet_length("text"), least, TASK_BYTES), "id")
+    held = texts.select("id", F.explode_outer(pieces).alias("piece")).withColumn("_bits", bits)
     # one mention of the bits, so that they are a constant of this step and no column of its rows
     cut = F.flatten(F.transform(F.array("_bits"), lambda bits: found_in(F.col("piece"), bits)))
     return held.select("id", cut.alias("_cut")).select("id", F.explode_outer("_cut").alias("needle"))

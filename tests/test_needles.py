@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from corpusloom.operators import needles
 from corpusloom.operators.needles import Automaton, classify_by_table, classify_listing_by_table, mark_rules
@@ -98,3 +99,12 @@ def test_the_join_looks_up_few_stretches(spark):
     assert "AS _bits" not in plan
     looked_up = [(r["id"], r["needle"]) for r in found.filter("needle IS NOT NULL").collect()]
     assert {(k, "needle") for k in range(1, 20, 2)} <= set(looked_up) and len(looked_up) < 1000
+
+
+def test_short_texts_of_one_split_are_looked_up_in_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(needles, "TASK_BYTES", 1000)
+    rows = spark.createDataFrame([(k, f"text {k} with abc in it") for k in range(1000)], "id long, text string").coalesce(1)
+    rules = spark.createDataFrame([("abc",)], "needle string")
+    found = needles._stretches(rows, rules, [3]).filter("needle = 'abc'").withColumn("task", F.spark_partition_id())
+    held = [r["count"] for r in found.groupBy("task").count().collect()]
+    assert sum(held) == 1000 and len(held) > 15 and max(held) < 100
