@@ -47,7 +47,8 @@ _LATIN_LEAD, _NO_LATIN_LETTER = 0xC3, (0x97, 0xB7)
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit numbers."""
 
-    def __init__(self, path: str, plain_specials: bool = False):
+    def __init__(self, path: str, plain_specials: bool = False, max_pieces: int | None = None, step_bytes: int | None = None):
+        self.max_pieces, self.step_bytes = max_pieces, step_bytes  # None: those of this module
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -58,6 +59,14 @@ class Encoder:
         self.opens[[i for token, i in vocabulary.items() if token.startswith("Ġ")]] = True
         (self.line_feed,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
 
+    def forget(self) -> None:
+        """Give back what the encoder remembers and what Arrow has kept for later use.
+
+        Texts of one task fill the memory of pieces, so the next task loses little; the worker, which outlives it, is small.
+        """
+        self.known = {}
+        pa.default_memory_pool().release_unused()
+
     def encode(self, text: str) -> bytes:
         """All ids of ``text``, equal to those of one call of the library."""
         return self.encode_all([text])[0]
@@ -94,9 +103,10 @@ class Encoder:
         texts = texts.cast(pa.large_binary())
         at = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8)
         data = texts.buffers()[2] or pa.py_buffer(b"")
+        step_bytes = STEP_BYTES if self.step_bytes is None else self.step_bytes
         a = 0
         while a < len(texts):
-            b = max(a + 1, int(np.searchsorted(at, at[a] + STEP_BYTES, side="right")) - 1)
+            b = max(a + 1, int(np.searchsorted(at, at[a] + step_bytes, side="right")) - 1)
             part = data.slice(int(at[a]), int(at[b] - at[a]))
             cuts, odd = _cuts(np.frombuffer(part, np.uint8), at[a : b + 1] - at[a])
             self._last = np.searchsorted(cuts, at[a + 1 : b + 1] - at[a]) - 1
@@ -112,7 +122,7 @@ class Encoder:
     def _ids(self, pieces: list[bytes], odd: set[int]) -> list[bytes]:
         """Ids of distinct pieces; those numbered in ``odd`` are texts with white space that is not a cut."""
         known = self.known
-        if len(known) > MAX_PIECES:
+        if len(known) > (MAX_PIECES if self.max_pieces is None else self.max_pieces):
             known.clear()
         spaced, plain, alone = [], [], []
         for k, piece in enumerate(pieces):
@@ -184,10 +194,10 @@ def _cuts(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 @functools.cache
-def encoder(path: str, plain_specials: bool = False) -> Encoder:
+def encoder(path: str, plain_specials: bool = False, max_pieces: int | None = None, step_bytes: int | None = None) -> Encoder:
     """One encoder a worker process; its memory of pieces lasts from task to task.
 
     A task has one core, so the library starts no threads, each of which would take memory of its own.
     """
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    return Encoder(path, plain_specials)
+    return Encoder(path, plain_specials, max_pieces, step_bytes)

@@ -124,6 +124,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
             names=["doc_id", "n_shingles", "set_key", "bands"],
         )
+    pa.default_memory_pool().release_unused()  # the worker outlives the task
 
 
 def sketches(docs: DataFrame) -> DataFrame:

@@ -34,6 +34,10 @@ SIZE = 2048
 GROUP_ROWS = 16_384
 # One in so many bins of a group, the emptiest, is packed again with those of other groups.
 CARRY = 10
+# Pieces of texts that a worker remembers, and bytes of text that it encodes at once: less than the encoder would, since
+# packing is the last step of chains whose JVMs have grown before.
+KEPT_PIECES = 200_000
+STEP_BYTES = 1_000_000
 
 
 class Bins:
@@ -165,7 +169,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, size: int = SIZE, end_id: int
     """``doc_id, piece, start, length, ids_crc32`` of every piece of every encoded text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, end = encoder(tokenizer), np.array([end_id], "<u4").tobytes()
+        own, end = encoder(tokenizer, max_pieces=KEPT_PIECES, step_bytes=STEP_BYTES), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             ids = iter(batch.column("doc_id").to_pylist())
             for some in own.each(batch.column("text")):
@@ -180,6 +184,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, size: int = SIZE, end_id: int
                         at, piece = at + n, piece + 1
                 columns = list(zip(*rows))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _PIECE_TYPES)], names=_PIECE_NAMES)
+        own.forget()
 
     texts = texts_of(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
     return texts.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")

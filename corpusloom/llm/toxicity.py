@@ -297,5 +297,6 @@ def without_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> Data
         for batch in batches:
             keep = [own.score(t or "") < 0.5 for t in batch.column(text_col).to_pylist()]
             yield batch.filter(pa.array(keep, pa.bool_()))
+        pa.default_memory_pool().release_unused()  # the worker outlives the task
 
     return docs.mapInArrow(run, docs.schema)

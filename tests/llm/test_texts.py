@@ -194,6 +194,28 @@ def check_sequences(rows, docs, size):
     return len(sequences)
 
 
+def test_packing_leaves_small_workers(spark, docs_of, monkeypatch):
+    rng = random.Random(11)
+    texts = [" ".join(f"w{rng.randrange(10**9)}" for _ in range(40)) for _ in range(300)]
+    own, most = Encoder(TOKENIZER, max_pieces=500, step_bytes=4_000), []
+    ids = Encoder._ids
+    monkeypatch.setattr(Encoder, "_ids", lambda self, *a: (ids(self, *a), most.append(len(self.known)))[0])
+    assert own.encode_all(texts) == [ids_of(t)[:-1].tobytes() for t in texts]
+    assert 500 < max(most) <= 500 + 4_000  # a step of bytes holds no more pieces than that
+    own.forget()
+    assert not own.known
+
+    # the one worker of a single task has forgotten the task's pieces when the next one comes
+    def held(batches):
+        kept = encoding.encoder(TOKENIZER, max_pieces=packing.KEPT_PIECES, step_bytes=packing.STEP_BYTES)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(kept.known)] * len(batch))], names=["n"])
+
+    for _ in range(8):  # as many times as there may be idle workers
+        assert packing.token_pieces(docs_of(list(enumerate(texts))).coalesce(1), TOKENIZER).count() == len(texts)
+    assert all(r["n"] == 0 for r in spark.range(64, numPartitions=8).mapInArrow(held, "n long").collect())
+
+
 @pytest.mark.parametrize("group_rows", [4, 10_000])
 def test_packing(spark, docs_of, odd_rows, group_rows):
     rng = random.Random(4)
