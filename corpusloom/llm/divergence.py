@@ -32,7 +32,6 @@ from functools import cached_property
 from itertools import repeat
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast
@@ -46,7 +45,7 @@ from corpusloom.llm.common import materialize
 MIN_DF = 3
 MAX_INT = 2**31 - 1
 TERM_RANKS = 200
-# Terms of one vectorizer, which the driver and every executor hold, and counts of groups in one task of the evaluation.
+# Terms of one vectorizer, which the driver and every executor hold, and counts of groups that are summed as one row.
 BLOCK_TERMS = 500_000
 BLOCK_COUNTS = 200_000
 # One term in so many, by hash, tells how many blocks there are to be.
@@ -201,8 +200,13 @@ class Vocabulary:
         return {key.encode(): k for k, key in enumerate(self.words)}
 
 
-def group_vectors(held: DataFrame, vocabulary: Broadcast) -> DataFrame:
-    """``lang, source, index, n``: the vectors of ``held_terms`` over a vocabulary, summed as far as a task holds them at once."""
+_PART = "lang string, part int, sources array<string>, source array<int>, index array<int>, n array<long>"
+_SUMS = "lang string, v long, sources array<string>, totals array<long>, source array<int>, index array<long>, n array<long>"
+
+
+def group_vectors(held: DataFrame, vocabulary: Broadcast, parts: int) -> DataFrame:
+    """The vectors of ``held_terms`` over a vocabulary, summed as far as a task holds them at once, in rows of a language
+    and one of ``parts`` of the indexes: an entry is ``n`` occurrences of ``index`` in the group of ``sources[source]``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = vocabulary.value.index
@@ -211,9 +215,26 @@ def group_vectors(held: DataFrame, vocabulary: Broadcast) -> DataFrame:
 
         def summed() -> pa.RecordBatch:
             cell, n = _summed(cells, sums)
-            names, group = list(groups), (cell >> 32).astype(np.int32)
-            columns = [pa.DictionaryArray.from_arrays(pa.array(group), pa.array([name[k] for name in names], pa.string())).cast(pa.string()) for k in (0, 1)]
-            return pa.RecordBatch.from_arrays([*columns, pa.array(cell & MAX_INT), pa.array(n)], names=["lang", "source", "index", "n"])
+            group, at, names = cell >> 32, cell & MAX_INT, list(groups)
+            langs = {lang: k for k, lang in enumerate(dict.fromkeys(lang for lang, _ in names))}
+            key = np.array([langs[lang] for lang, _ in names], np.int64)[group] * parts + at % parts
+            order = np.argsort(key.astype(np.min_scalar_type(len(langs) * parts)), kind="stable")
+            keys, first = np.unique(key[order], return_index=True)
+            ends, group, source, sources, source_ends = np.append(first, len(order)), group[order], np.empty(len(order), np.int32), [], [0]
+            for a, b in zip(ends, ends[1:]):
+                own, source[a:b] = np.unique(group[a:b], return_inverse=True)
+                sources += [names[k][1] for k in own.tolist()]
+                source_ends.append(len(sources))
+            lang_names = list(langs)
+            columns = [
+                pa.array([lang_names[k // parts] for k in keys.tolist()], pa.string()),
+                pa.array((keys % parts).astype(np.int32)),
+                _lists(pa.array(sources, pa.string()), np.array(source_ends)),
+                _lists(source, ends),
+                _lists(at[order].astype(np.int32), ends),
+                _lists(n[order], ends),
+            ]
+            return pa.RecordBatch.from_arrays(columns, names=["lang", "part", "sources", "source", "index", "n"])
 
         for batch in batches:
             for lang, terms, sources, source, term, n in zip(*batch.columns):
@@ -227,13 +248,33 @@ def group_vectors(held: DataFrame, vocabulary: Broadcast) -> DataFrame:
                 if size > HELD_ENTRIES:
                     yield summed()
                     groups, cells, sums, size = {}, [], [], 0
-        yield summed()
+        if cells:
+            yield summed()
 
     rows = held.select("lang", "terms", "sources", "source", "term", "n")
-    return rows.mapInArrow(run, "lang string, source string, index long, n long")
+    return rows.mapInArrow(run, _PART)
+
+
+def _sum_part(base: int):
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        names, cells, sums = Numbers(), [], []
+        for batch in rows.select(["sources", "source", "index", "n"]).to_batches():
+            for sources, source, index, n in zip(*batch.columns):
+                group = np.array([names[name] for name in sources.as_py()], np.int64)
+                cells.append(index.values.to_numpy().astype(np.int64) << 32 | group[source.values.to_numpy()])
+                sums.append(n.values.to_numpy())
+        cell, n = _summed(cells, sums)
+        index, group = cell >> 32, cell & MAX_INT
+        totals = np.zeros(len(names), np.int64)
+        np.add.at(totals, group, n)
+        columns = [[key[0].as_py()], [len(np.unique(index))], [list(names)], [totals], [group.astype(np.int32)], [index + base], [n]]
+        types = [pa.string(), pa.int64(), pa.list_(pa.string()), *[pa.list_(t) for t in (pa.int64(), pa.int32(), pa.int64(), pa.int64())]]
+        return pa.table([pa.array(c, t) for c, t in zip(columns, types)], names=["lang", "v", "sources", "totals", "source", "index", "n"])
+
+    return run
 
 
-def _block_sums(held: DataFrame, lists: DataFrame, min_df: int, block: int) -> tuple[DataFrame, DataFrame] | None:
+def _block_sums(held: DataFrame, lists: DataFrame, min_df: int, block: int, parts: int) -> tuple[DataFrame, DataFrame] | None:
     """``group_sums`` of one block of terms, of which ``lists`` are the documents; None where no term is kept."""
     spark = held.sparkSession
     vectorizer = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_df), vocabSize=MAX_INT)
@@ -247,13 +288,9 @@ def _block_sums(held: DataFrame, lists: DataFrame, min_df: int, block: int) -> t
     words = model.vocabulary
     named_terms = pa.table({"index": pa.array(range(base, base + len(words))), "term": pa.array([key.rsplit(MARK, 1)[1] for key in words])})
     vocabulary = materialize(spark.createDataFrame(named_terms, "index long, term string"), "divergence-vocabulary")
-    sums = group_vectors(held, spark.sparkContext.broadcast(Vocabulary(words)))
-    sums = sums.withColumn("index", F.col("index") + F.lit(base))
-    # tasks have summed already, so nothing is gained by another sum before the shuffle; all sums need this one only
-    sums = sums.repartition("index").groupBy("lang", "source", "index").agg(F.sum("n").alias("n"))
-    everywhere = Window.partitionBy("index")
-    first = F.row_number().over(everywhere.orderBy("index")) == 1
-    return materialize(sums.select("*", F.sum("n").over(everywhere).alias("lang_n"), first.alias("first")), "divergence-sums"), vocabulary
+    vectors = group_vectors(held, spark.sparkContext.broadcast(Vocabulary(words)), parts)
+    sums = vectors.groupBy("lang", "part").applyInArrow(_sum_part(base), _SUMS)
+    return materialize(sums, "divergence-sums"), vocabulary
 
 
 def n_blocks(lists: DataFrame, min_df: int, block_terms: int) -> int:
@@ -263,25 +300,28 @@ def n_blocks(lists: DataFrame, min_df: int, block_terms: int) -> int:
     return 1 + (kept + 3 * math.isqrt(kept) + 9) * PROBED // block_terms
 
 
-def group_sums(docs: DataFrame, min_df: int = MIN_DF, block_terms: int = BLOCK_TERMS) -> tuple[DataFrame, DataFrame]:
-    """``lang, source, index, n, lang_n, first``, the occurrences above 0 of kept terms per group, and ``index, term``.
+def group_sums(docs: DataFrame, min_df: int = MIN_DF, block_terms: int = BLOCK_TERMS, block_counts: int = BLOCK_COUNTS) -> tuple[DataFrame, DataFrame]:
+    """The occurrences of kept terms per group, in rows of some ``v`` terms of a language, and ``index, term``.
 
-    A term has an index of its own in each of its languages. ``lang_n`` are the occurrences in all groups of the
-    language; ``first`` is true in one row of every index.
+    An entry is ``n > 0`` occurrences of ``index`` in the group of ``sources[source]``; all entries of an index are in
+    one row, by index. ``totals`` are the sums per source. A term has an index of its own in each of its languages. A row
+    is made of ``block_counts`` counts on average.
     """
     held = materialize(held_terms(docs, min_df), "divergence-held")
     lists = held_lists(held)
     blocks = n_blocks(lists, min_df, block_terms)
+    entries = held.agg(F.coalesce(F.sum(F.size("source")), F.lit(0))).first()[0]
+    parts = 1 + entries // (blocks * block_counts)
 
     def own(table: DataFrame, block: int) -> DataFrame:
         in_block = F.filter("terms", lambda t: F.pmod(F.xxhash64(t, F.lit(1)), F.lit(blocks)) == block)
         return table.withColumn("terms", in_block) if blocks > 1 else table
 
     spark = docs.sparkSession
-    sums = spark.createDataFrame([], "lang string, source string, index long, n long, lang_n long, first boolean")
+    sums = spark.createDataFrame([], _SUMS)
     vocabulary = spark.createDataFrame([], "index long, term string")
     for block in range(blocks):
-        found = _block_sums(held, own(lists, block), min_df, block)
+        found = _block_sums(held, own(lists, block), min_df, block, parts)
         if found is not None:
             sums, vocabulary = sums.union(found[0]), vocabulary.union(found[1])
     return sums, vocabulary
@@ -296,38 +336,85 @@ def gap(p: str, q: str) -> Column:
     return F.expr(f"(({p} - {q}) * ({p} - {q})) div {q}")
 
 
-def _evaluate(key: tuple, counts: pd.DataFrame, groups: pd.DataFrame) -> pd.DataFrame:
-    """What a block of terms adds to every pair of groups of a language, beside what terms of no group add."""
-    if counts.empty:
-        return pd.DataFrame({"lang": [""], "source": [""], "item": [""], "part_value": [0]})[:0]
-    names = groups["source"].tolist()
-    size = groups["total"].to_numpy() + groups["v"].to_numpy()
+def _gap(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    return (p - q) * (p - q) // q
+
+
+def _pair_values(group: np.ndarray, term: np.ndarray, n: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """What some terms add to every pair of groups of a language, beside what terms of no group add."""
     none = 1 + ONE // size  # p of a count of 0, by group
-    number = {name: k for k, name in enumerate(names)}
-    group = np.fromiter(map(number.__getitem__, counts["source"]), np.int64, len(counts))
     order = np.argsort(group, kind="stable")
-    group, term = group[order], np.unique(counts["index"].to_numpy(), return_inverse=True)[1][order]
-    p = 1 + ONE * (counts["n"].to_numpy()[order] + 1) // size[group]
+    group, term = group[order], term[order]
+    p = 1 + ONE * (n[order] + 1) // size[group]
     held, first = np.unique(group, return_index=True)
     ends = np.append(first[1:], len(group))
-    values = np.zeros((len(names), len(names)), np.int64)
-
-    def f(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return (a - b) * (a - b) // b
-
+    values = np.zeros((len(size), len(size)), np.int64)
     own = {int(g): slice(a, b) for g, a, b in zip(held, first, ends)}
     q = np.empty(term.max() + 1, np.int64)
-    for h in range(len(names)):
+    for h in range(len(size)):
         q[:] = none[h]
         if h in own:
             q[term[own[h]]] = p[own[h]]
             # equal counts give equal numbers
             there, often = np.unique(p[own[h]], return_counts=True)
-            values[:, h] = ((f(none[:, None], there) - f(none, none[h])[:, None]) * often).sum(axis=1)
-        more = f(p, q[term]) - f(none[group], q[term])
+            values[:, h] = ((_gap(none[:, None], there) - _gap(none, none[h])[:, None]) * often).sum(axis=1)
+        more = _gap(p, q[term]) - _gap(none[group], q[term])
         values[held, h] += np.add.reduceat(more, first)
-    a, b = np.nonzero(~np.eye(len(names), dtype=bool))
-    return pd.DataFrame({"lang": key[0], "source": np.array(names, object)[a], "item": np.array(names, object)[b], "part_value": values[a, b]})
+    return values
+
+
+def _term_values(group: np.ndarray, term: np.ndarray, n: np.ndarray, size: np.ndarray, lang_size: int, ranks: int) -> tuple[np.ndarray, np.ndarray]:
+    """Entries of terms that a group uses more than its language, and their values.
+
+    Of each group those that can be among its first ``ranks``, ties at the last rank included. Entries are by term.
+    """
+    lang_n = np.add.reduceat(n, np.unique(term, return_index=True)[1])
+    if lang_n.max() >= 2**63 // ONE - 1:
+        raise OverflowError("a term occurs too often for whole numbers of 64 bits")
+    p, q = 1 + ONE * (n + 1) // size[group], (1 + ONE * (lang_n + 1) // lang_size)[term]
+    entry = np.flatnonzero(p > q)
+    value = _gap(p[entry], q[entry])
+    order = np.argsort(group[entry], kind="stable")
+    entry, value = entry[order], value[order]
+    ends = [*np.unique(group[entry], return_index=True)[1].tolist(), len(entry)]
+    kept = np.ones(len(entry), bool)
+    for a, b in zip(ends, ends[1:]):
+        if b - a > ranks:
+            kept[a:b] = value[a:b] >= np.partition(value[a:b], b - a - ranks)[b - a - ranks]
+    return entry[kept], value[kept]
+
+
+def values_of(sums: DataFrame, groups: DataFrame, term_ranks: int) -> DataFrame:
+    """``lang, source, item, index, value``: what the terms of a task add to a pair (``index`` is null), and terms
+    that can be among the first (``item`` is null)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs: dict[str, tuple[list[str], np.ndarray]] = {}
+
+        def rows(lang: str, source: list, item: list, index: list, value: np.ndarray) -> pa.RecordBatch:
+            columns = [pa.array([lang] * len(value), pa.string()), pa.array(source, pa.string()), pa.array(item, pa.string()), pa.array(index, pa.int64()), pa.array(value)]
+            return pa.RecordBatch.from_arrays(columns, names=["lang", "source", "item", "index", "value"])
+
+        for batch in batches:
+            for lang, sources, source, index, n, names, totals, v, lang_total in zip(*batch.columns):
+                lang, names, v, lang_total = lang.as_py(), names.as_py(), v.as_py(), lang_total.as_py()
+                number = {name: k for k, name in enumerate(names)}
+                group = np.array([number[name] for name in sources.as_py()], np.int64)[source.values.to_numpy()]
+                index, n = index.values.to_numpy(), n.values.to_numpy()
+                term = np.unique(index, return_inverse=True)[1]
+                size = totals.values.to_numpy() + v
+                values = _pair_values(group, term, n, size)
+                pairs[lang] = (names, pairs[lang][1] + values if lang in pairs else values)
+                entry, value = _term_values(group, term, n, size, lang_total + v, term_ranks)
+                yield rows(lang, [names[k] for k in group[entry].tolist()], [None] * len(entry), index[entry], value)
+        for lang, (names, values) in pairs.items():
+            a, b = np.nonzero(~np.eye(len(names), dtype=bool))
+            yield rows(lang, [names[k] for k in a.tolist()], [names[k] for k in b.tolist()], [None] * len(a), values[a, b])
+
+    by_lang = groups.filter("v > 0").groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("source", "total"))).alias("own"), F.max("v").alias("v"), F.max("lang_total").alias("lang_total"))
+    by_lang = by_lang.select("lang", F.col("own.source").alias("names"), F.col("own.total").alias("group_totals"), F.col("v").alias("lang_v"), "lang_total")
+    counts = sums.select("lang", "sources", "source", "index", "n").join(F.broadcast(by_lang), "lang")
+    return counts.mapInArrow(run, "lang string, source string, item string, index long, value long")
 
 
 def _from_last_step(terms: DataFrame, ranks: int) -> DataFrame:
@@ -348,28 +435,24 @@ def divergence(docs: DataFrame, min_df: int = MIN_DF, term_ranks: int = TERM_RAN
     """``lang, source, part, item, value, rank``: sources of a language by how far a group is from them (``pair``), and
     terms that a group uses more than its language by how much (``term``, the first ``term_ranks``)."""
     groups = docs.select(*[F.coalesce(docs[c].cast("string"), F.lit("")).alias(c) for c in ("lang", "source")]).distinct()
-    sums, vocabulary = group_sums(docs, min_df, block_terms)
-    totals = sums.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    langs = sums.groupBy("lang").agg(F.count_if("first").alias("v"), F.sum("n").alias("lang_total"))
+    sums, vocabulary = group_sums(docs, min_df, block_terms, block_counts)
+    totals = sums.select("lang", F.explode(F.arrays_zip("sources", "totals")).alias("own"))
+    totals = totals.groupBy("lang", F.col("own.sources").alias("source")).agg(F.sum("own.totals").alias("total"))
+    total_of = F.aggregate("totals", F.lit(0).cast("long"), lambda a, b: a + b)
+    langs = sums.groupBy("lang").agg(F.sum("v").alias("v"), F.sum(total_of).alias("lang_total"))
     zero = F.lit(0).cast("long")
     groups = groups.join(totals, ["lang", "source"], "left").join(langs, "lang", "left")
     groups = materialize(groups.select("lang", "source", *[F.coalesce(c, zero).alias(c) for c in ("total", "v", "lang_total")]), "divergence-groups")
 
-    blocks = 1 + sums.count() // block_counts
-    blocked = sums.select("lang", "source", "index", "n").withColumn("block", F.pmod(F.xxhash64("index"), F.lit(blocks)))
-    everywhere = groups.filter("v > 0").withColumn("block", F.explode(F.sequence(zero, F.lit(blocks - 1))))
-    cogrouped = blocked.groupBy("lang", "block").cogroup(everywhere.groupBy("lang", "block"))
-    parts = cogrouped.applyInPandas(_evaluate, "lang string, source string, item string, part_value long")
-    parts = parts.groupBy("lang", "source", "item").agg(F.sum("part_value").alias("part_value"))
+    values = materialize(values_of(sums, groups, term_ranks), "divergence-values")
+    parts = values.filter("index IS NULL").groupBy("lang", "source", "item").agg(F.sum("value").alias("part_value"))
     own = groups.select("lang", "source", "v", F.when(F.col("v") > 0, share("0L", "total")).alias("p"))
     other = groups.select("lang", F.col("source").alias("item"), F.when(F.col("v") > 0, share("0L", "total")).alias("q"))
     pairs = own.join(other, "lang").filter("source <> item").join(parts, ["lang", "source", "item"], "left")
     value = F.coalesce(F.col("v") * gap("p", "q") + F.coalesce("part_value", zero), zero)
     pairs = pairs.select("lang", "source", F.lit("pair").alias("part"), "item", value.alias("value"))
 
-    terms = sums.join(groups, ["lang", "source"])
-    terms = terms.withColumns({"p": share("n", "total"), "q": share("lang_n", "lang_total")}).filter("p > q")
-    terms = terms.select("lang", "source", "index", gap("p", "q").alias("value"))
+    terms = values.filter("index IS NOT NULL").select("lang", "source", "index", "value")
     # names are looked up only for what can be in the ranks: ties at the last rank are all kept here
     largest = Window.partitionBy("lang", "source").orderBy(F.col("value").desc())
     terms = _from_last_step(terms, term_ranks)

@@ -269,6 +269,35 @@ def test_vectors_equal_those_of_the_model(spark, docs_of):
         assert at[doc == k].tolist() == vector.indices.tolist() and n[doc == k].tolist() == vector.values.tolist()
 
 
+def test_divergence_sums_are_rows_of_many_counts(spark, docs_of):
+    rows = divergence_rows(random.Random(5))
+    table = spark.createDataFrame([(i, t, lang, source, 0, 1, "v", 2) for i, t, lang, source in rows], docs_of([]).schema)
+    want = defaultdict(Counter)
+    for _, text, lang, source in rows:
+        want[lang or ""].update((source or "", w) for w in re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", lowered(text)))
+    for block_counts, most in ((200_000, 1), (100, 20)):
+        sums, vocabulary = divergence.group_sums(table.repartition(3), 1, 500_000, block_counts)
+        terms = {r["index"]: r["term"] for r in vocabulary.collect()}
+        got, seen, per_lang = defaultdict(Counter), Counter(), Counter()
+        for r in sums.collect():
+            per_lang[r["lang"]] += 1
+            seen.update({(r["lang"], k) for k in r["index"]})
+            assert r["v"] == len(set(r["index"])) and r["index"] == sorted(r["index"])
+            assert r["totals"] == [sum(n for s, n in zip(r["source"], r["n"]) if s == k) for k in range(len(r["sources"]))]
+            got[r["lang"]].update({(r["sources"][s], terms[k]): n for s, k, n in zip(r["source"], r["index"], r["n"])})
+        assert max(per_lang.values()) <= most and set(seen.values()) == {1}
+        assert got == {lang: c for lang, c in want.items() if c}
+
+
+def test_divergence_terms_keep_ties_at_the_last_rank():
+    group, term = np.array([0, 1, 0, 1, 0, 0]), np.array([0, 0, 1, 2, 3, 4])
+    n = np.array([9, 1, 4, 9, 4, 1])
+    entry, value = divergence._term_values(group, term, n, np.array([23, 15]), 33, 2)
+    assert sorted(term[entry[group[entry] == 0]].tolist()) in ([0, 1, 3], [1, 3]) and len(value) == len(entry)
+    with pytest.raises(OverflowError):
+        divergence._term_values(group, term, n * 10**9 * 2, np.array([23, 15]), 33, 2)
+
+
 def test_divergence_of_nothing(spark, docs_of):
     assert divergence.divergence(docs_of([])).count() == 0
 
