@@ -28,7 +28,6 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import cached_property
 from itertools import repeat
 
 import numpy as np
@@ -54,10 +53,12 @@ PROBED = 64
 STEPS = 16
 # Bytes of text whose terms a task holds at once, and distinct terms that it holds to count their documents.
 STEP_BYTES = 2_000_000
-HELD_TERMS = 500_000
+HELD_TERMS = 250_000
 # Entries of document vectors that a task sums up before it gives them on, and terms in a row that it writes.
-HELD_ENTRIES = 4_000_000
+HELD_ENTRIES = 2_000_000
 ROW_TERMS = 65_536
+# Such rows whose terms are looked up together.
+LOOKED_UP = 16
 ONE = 1_000_000_000
 # Between language and term; no term has it.
 MARK = "\0"
@@ -171,7 +172,10 @@ def held_terms(docs: DataFrame, min_df: int) -> DataFrame:
                 numbers, groups, cells, counts, size = defaultdict(Numbers), {}, [], [], 0
                 yield from (held.slice(k, 1) for k in range(len(held)))
         held = _held_batch(numbers, groups, cells, counts, min_df)
+        numbers, groups, cells, counts = {}, {}, [], []
         yield from (held.slice(k, 1) for k in range(len(held)))
+        del held
+        pa.default_memory_pool().release_unused()  # the worker outlives the task
 
     return named(docs).mapInArrow(run, _HELD)
 
@@ -189,17 +193,6 @@ def named(docs: DataFrame) -> DataFrame:
     return columns.withColumn("text", F.col("text").cast("binary"))
 
 
-class Vocabulary:
-    """Terms behind their language by index, and what a worker looks them up in: built once, not by every task."""
-
-    def __init__(self, words: list[str]) -> None:
-        self.words = words
-
-    @cached_property
-    def index(self) -> dict[bytes, int]:
-        return {key.encode(): k for k, key in enumerate(self.words)}
-
-
 _PART = "lang string, part int, sources array<string>, source array<int>, index array<int>, n array<long>"
 _SUMS = "lang string, v long, sources array<string>, totals array<long>, source array<int>, index array<long>, n array<long>"
 
@@ -209,7 +202,7 @@ def group_vectors(held: DataFrame, vocabulary: Broadcast, parts: int) -> DataFra
     and one of ``parts`` of the indexes: an entry is ``n`` occurrences of ``index`` in the group of ``sources[source]``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = vocabulary.value.index
+        words = vocabulary.value
         groups: dict[tuple[str, str], int] = {}
         cells, sums, size = [], [], 0
 
@@ -236,9 +229,13 @@ def group_vectors(held: DataFrame, vocabulary: Broadcast, parts: int) -> DataFra
             ]
             return pa.RecordBatch.from_arrays(columns, names=["lang", "part", "sources", "source", "index", "n"])
 
-        for batch in batches:
-            for lang, terms, sources, source, term, n in zip(*batch.columns):
-                known = np.fromiter(map(index.get, terms.values.cast(pa.binary()).to_pylist(), repeat(-1)), np.int64, len(terms))
+        parts_of = (batch.slice(k, LOOKED_UP) for batch in batches for k in range(0, len(batch), LOOKED_UP))
+        for batch in parts_of:
+            # looked up together, as Arrow hashes the vocabulary each time
+            found = pc.fill_null(pc.index_in(batch.column("terms").flatten(), words), -1).to_numpy().astype(np.int64)
+            ends = np.cumsum(pc.list_value_length(batch.column("terms")).to_numpy())
+            for end, lang, terms, sources, source, term, n in zip(ends.tolist(), *batch.columns):
+                known = found[end - len(terms) : end]
                 group = np.array([groups.setdefault((lang.as_py(), name), len(groups)) for name in sources.as_py()], np.int64)
                 at = known[term.values.to_numpy()]
                 kept = at >= 0
@@ -250,6 +247,7 @@ def group_vectors(held: DataFrame, vocabulary: Broadcast, parts: int) -> DataFra
                     groups, cells, sums, size = {}, [], [], 0
         if cells:
             yield summed()
+        pa.default_memory_pool().release_unused()
 
     rows = held.select("lang", "terms", "sources", "source", "term", "n")
     return rows.mapInArrow(run, _PART)
@@ -285,10 +283,12 @@ def _block_sums(held: DataFrame, lists: DataFrame, min_df: int, block: int, part
             raise
         return None
     base = block << 32
-    words = model.vocabulary
-    named_terms = pa.table({"index": pa.array(range(base, base + len(words))), "term": pa.array([key.rsplit(MARK, 1)[1] for key in words])})
+    words = pa.array(model.vocabulary, pa.string())  # Python's own strings are many times as large
+    del model
+    terms = pc.replace_substring_regex(words, r"(?s)^.*\x00", "")
+    named_terms = pa.table({"index": pa.array(np.arange(base, base + len(words))), "term": terms})
     vocabulary = materialize(spark.createDataFrame(named_terms, "index long, term string"), "divergence-vocabulary")
-    vectors = group_vectors(held, spark.sparkContext.broadcast(Vocabulary(words)), parts)
+    vectors = group_vectors(held, spark.sparkContext.broadcast(words), parts)
     sums = vectors.groupBy("lang", "part").applyInArrow(_sum_part(base), _SUMS)
     return materialize(sums, "divergence-sums"), vocabulary
 
