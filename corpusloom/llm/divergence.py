@@ -52,10 +52,12 @@ PROBED = 64
 # Steps that values of terms are counted in, for each doubling.
 STEPS = 16
 # Bytes of text whose terms a task holds at once, and distinct terms that it holds to count their documents.
-STEP_BYTES = 2_000_000
+STEP_BYTES = 1_000_000
 HELD_TERMS = 250_000
-# Entries of document vectors that a task sums up before it gives them on, and terms in a row that it writes.
+# Entries of document vectors, then of written rows, that a task sums up before it gives them on, and terms in a row that
+# it writes.
 HELD_ENTRIES = 2_000_000
+SUMMED_ENTRIES = 1_000_000
 ROW_TERMS = 65_536
 # Such rows whose terms are looked up together.
 LOOKED_UP = 16
@@ -103,9 +105,12 @@ def vectors_of(lists: list[list[bytes]], indexes: list[dict[bytes, int]]) -> tup
 def _summed(cells: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct cells in order and the sum of the counts of each."""
     cell, n = np.concatenate([np.zeros(0, np.int64), *cells]), np.concatenate([np.zeros(0, np.int64), *counts])
-    order = np.argsort(cell, kind="stable")
-    cell, first = np.unique(cell[order], return_index=True)
-    return cell, np.add.reduceat(n[order], first) if len(first) else n
+    order = np.argsort(cell)
+    cell, n = cell[order], n[order]
+    new = np.ones(len(cell), bool)
+    new[1:] = cell[1:] != cell[:-1]
+    first = np.flatnonzero(new)
+    return cell[first], np.add.reduceat(n, first) if len(first) else n
 
 
 def _lists(values: pa.Array | np.ndarray, ends: np.ndarray) -> pa.ListArray:
@@ -147,6 +152,20 @@ def _held_batch(numbers: dict[str, Numbers], groups: dict[tuple[str, str], int],
     return pa.RecordBatch.from_arrays(columns, names=["lang", "terms", "held", "sources", "source", "term", "n"])
 
 
+class Held:
+    """Documents of a language that are read together: numbers of its terms and groups, and its vectors so far."""
+
+    def __init__(self):
+        self.numbers, self.groups, self.cells, self.counts, self.size = Numbers(), {}, [], [], 0
+
+    def add(self, lang: str, sources: list[str], lists: list[list[bytes]]) -> None:
+        doc, index, n = vectors_of(lists, [self.numbers] * len(lists))
+        group = np.array([self.groups.setdefault((lang, source), len(self.groups)) for source in sources], np.int64)
+        self.cells.append(index << 32 | group[doc])
+        self.counts.append(n.astype(np.int32))
+        self.size += len(n)
+
+
 _HELD = "lang string, terms array<string>, held array<int>, sources array<string>, source array<int>, term array<int>, n array<long>"
 
 
@@ -159,22 +178,27 @@ def held_terms(docs: DataFrame, min_df: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, groups, cells, counts, size = defaultdict(Numbers), {}, [], [], 0
+        langs: dict[str, Held] = defaultdict(Held)
+
+        def given() -> Iterator[pa.RecordBatch]:
+            # one language at a time, as a row is made from several times its memory
+            while langs:
+                lang, own = langs.popitem()
+                rows = _held_batch({lang: own.numbers}, own.groups, own.cells, own.counts, min_df)
+                del own
+                yield from (rows.slice(k, 1) for k in range(len(rows)))
+
         for part, lists in _slices(batches):
-            langs = part.column("lang").to_pylist()
-            doc, index, n = vectors_of(lists, [numbers[lang] for lang in langs])
-            group = np.fromiter((groups.setdefault(pair, len(groups)) for pair in zip(langs, part.column("source").to_pylist())), np.int64, len(part))
-            cells.append(index << 32 | group[doc])
-            counts.append(n)
-            size += len(n)
-            if size > HELD_ENTRIES or sum(map(len, numbers.values())) > HELD_TERMS:
-                held = _held_batch(numbers, groups, cells, counts, min_df)
-                numbers, groups, cells, counts, size = defaultdict(Numbers), {}, [], [], 0
-                yield from (held.slice(k, 1) for k in range(len(held)))
-        held = _held_batch(numbers, groups, cells, counts, min_df)
-        numbers, groups, cells, counts = {}, {}, [], []
-        yield from (held.slice(k, 1) for k in range(len(held)))
-        del held
+            docs = defaultdict(list)
+            for k, lang in enumerate(part.column("lang").to_pylist()):
+                docs[lang].append(k)
+            sources = part.column("source").to_pylist()
+            for lang, some in docs.items():
+                langs[lang].add(lang, [sources[k] for k in some], [lists[k] for k in some])
+            del lists
+            if sum(own.size for own in langs.values()) > HELD_ENTRIES or sum(len(own.numbers) for own in langs.values()) > HELD_TERMS:
+                yield from given()
+        yield from given()
         pa.default_memory_pool().release_unused()  # the worker outlives the task
 
     return named(docs).mapInArrow(run, _HELD)
@@ -242,7 +266,7 @@ def group_vectors(held: DataFrame, vocabulary: Broadcast, parts: int) -> DataFra
                 cells.append((group[source.values.to_numpy()] << 32 | at)[kept])
                 sums.append(n.values.to_numpy()[kept])
                 size += len(sums[-1])
-                if size > HELD_ENTRIES:
+                if size > SUMMED_ENTRIES:
                     yield summed()
                     groups, cells, sums, size = {}, [], [], 0
         if cells:

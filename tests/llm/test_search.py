@@ -3,12 +3,15 @@
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import duckdb
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from llm.conftest import SF, TOKENIZER
 from pyspark.sql import functions as F
@@ -258,6 +261,24 @@ def test_divergence_in_small_rows_and_steps(spark, docs_of, monkeypatch):
     assert got == want and df == {term: min(n, 3) for term, n in want_df.items()}
 
 
+def test_reading_texts_holds_one_language_more(monkeypatch):
+    rng = random.Random(9)
+    rows = [{"lang": "abcd"[k % 4], "source": f"s{k % 3}", "text": " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(1000)).encode()} for k in range(400)]
+    monkeypatch.setattr(divergence, "named", lambda docs: docs)
+    run = divergence.held_terms(SimpleNamespace(mapInArrow=lambda run, schema: run), 3)
+    batch, got = pa.RecordBatch.from_pylist(rows), Counter()
+    tracemalloc.start()
+    try:
+        for row in run(iter([batch])):
+            (lang,), n = row["lang"].to_pylist(), pc.sum(row["n"].flatten()).as_py()
+            got[lang] += n
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert got == dict.fromkeys("abcd", 100_000)
+    assert most < 60_000_000  # 78 MB with all languages made into rows at once, 43 with one
+
+
 def test_vectors_equal_those_of_the_model(spark, docs_of):
     rows = [(k, t) for k, (_, t, _, _) in enumerate(divergence_rows(random.Random(3)))]
     lists = [re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", lowered(t)) for _, t in rows]
