@@ -113,7 +113,7 @@ class Encoder:
             pieces = pa.Array.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(cuts), part])
             found = pieces.dictionary_encode()
             index = found.indices.to_numpy(zero_copy_only=False)
-            ids = self._ids(found.dictionary.to_pylist(), set(index[np.searchsorted(cuts, odd)].tolist()))
+            ids = self._ids(found.dictionary.to_numpy(zero_copy_only=False).tolist(), set(index[np.searchsorted(cuts, odd)].tolist()))
             counts = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
             starts = np.cumsum(counts) - counts
             yield counts, index, starts, np.frombuffer(b"".join(ids), "<u4")
@@ -124,20 +124,22 @@ class Encoder:
         known = self.known
         if len(known) > (MAX_PIECES if self.max_pieces is None else self.max_pieces):
             known.clear()
+        found = list(map(known.get, pieces))
+        new = [k for k, ids in enumerate(found) if ids is None]
         spaced, plain, alone = [], [], []
-        for k, piece in enumerate(pieces):
-            if piece not in known:
-                (alone if k in odd or piece == b"\n" else spaced if piece[0] == 32 else plain).append(piece)
+        for k in new:
+            piece = pieces[k]
+            (alone if k in odd or piece == b"\n" else spaced if piece[0] == 32 else plain).append(piece)
         known.update(zip(spaced, self._joined(spaced, b"")))
         known.update(zip(plain, self._joined(plain, b"\n")))
         for start in range(0, len(alone), 4096):
             some = alone[start : start + 4096]
             encoded = self.tokenizer.encode_batch_fast([p.decode() for p in some], add_special_tokens=False)
             known.update(zip(some, [np.array(e.ids, "<u4").tobytes() for e in encoded]))
-        found = [known[piece] for piece in pieces]
-        for piece in [*spaced, *plain, *alone]:
-            if len(piece) > MAX_KEPT_BYTES:
-                del known[piece]
+        for k in new:
+            found[k] = known[pieces[k]]
+            if len(pieces[k]) > MAX_KEPT_BYTES:
+                del known[pieces[k]]
         return found
 
     def _joined(self, words: list[bytes], by: bytes) -> Iterator[bytes]:

@@ -73,6 +73,26 @@ def test_memory_of_a_batch_is_bounded():
     assert int(out.stdout) < 180
 
 
+def test_known_pieces_are_looked_up_once():
+    class Counted(dict):
+        times = 0
+
+        def _counted(name):
+            def looked_up(self, *a):
+                Counted.times += 1
+                return getattr(dict, name)(self, *a)
+
+            return looked_up
+
+        get, __contains__, __getitem__ = map(_counted, ("get", "__contains__", "__getitem__"))
+
+    own, texts = Encoder(TOKENIZER), [f"word{k} other{k % 7}" for k in range(50)]
+    first = own.encode_all(texts)
+    own.known = Counted(own.known)
+    assert own.encode_all(texts) == first == [ids_of(t)[:-1].tobytes() for t in texts]
+    assert Counted.times == 57  # 50 first words and 7 others
+
+
 def test_long_pieces_are_not_kept():
     own = Encoder(TOKENIZER)
     texts = ["a\tb  " * 200 + str(k) for k in range(5)] + ["x" * 900, "y " + "z" * 900, "short text"]
