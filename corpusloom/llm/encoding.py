@@ -47,13 +47,15 @@ _LATIN_LEAD, _NO_LATIN_LETTER = 0xC3, (0x97, 0xB7)
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit numbers."""
 
-    def __init__(self, path: str, plain_specials: bool = False, max_pieces: int | None = None, step_bytes: int | None = None):
+    def __init__(self, path: str, plain_specials: bool = False, max_pieces: int | None = None, step_bytes: int | None = None, two_ages: bool = False):
         self.max_pieces, self.step_bytes = max_pieces, step_bytes  # None: those of this module
+        self.two_ages = two_ages  # pieces that come again outlive max_pieces, twice as many are kept
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.tokenizer.encode_special_tokens = plain_specials
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that begin with a space
         self.opens[[i for token, i in vocabulary.items() if token.startswith("Ġ")]] = True
@@ -64,7 +66,7 @@ class Encoder:
 
         Texts of one task fill the memory of pieces, so the next task loses little; the worker, which outlives it, is small.
         """
-        self.known = {}
+        self.known, self.older = {}, {}
         pa.default_memory_pool().release_unused()
 
     def encode(self, text: str) -> bytes:
@@ -121,11 +123,17 @@ class Encoder:
 
     def _ids(self, pieces: list[bytes], odd: set[int]) -> list[bytes]:
         """Ids of distinct pieces; those numbered in ``odd`` are texts with white space that is not a cut."""
-        known = self.known
-        if len(known) > (MAX_PIECES if self.max_pieces is None else self.max_pieces):
-            known.clear()
+        if len(self.known) > (MAX_PIECES if self.max_pieces is None else self.max_pieces):
+            self.known, self.older = {}, self.known if self.two_ages else {}
+        known, older = self.known, self.older
         found = list(map(known.get, pieces))
         new = [k for k, ids in enumerate(found) if ids is None]
+        if older:
+            for k in new:
+                ids = older.get(pieces[k])
+                if ids is not None:
+                    found[k] = known[pieces[k]] = ids
+            new = [k for k in new if found[k] is None]
         spaced, plain, alone = [], [], []
         for k in new:
             piece = pieces[k]
@@ -196,10 +204,10 @@ def _cuts(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 @functools.cache
-def encoder(path: str, plain_specials: bool = False, max_pieces: int | None = None, step_bytes: int | None = None) -> Encoder:
+def encoder(path: str, plain_specials: bool = False, max_pieces: int | None = None, step_bytes: int | None = None, two_ages: bool = False) -> Encoder:
     """One encoder a worker process; its memory of pieces lasts from task to task.
 
     A task has one core, so the library starts no threads, each of which would take memory of its own.
     """
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    return Encoder(path, plain_specials, max_pieces, step_bytes)
+    return Encoder(path, plain_specials, max_pieces, step_bytes, two_ages)

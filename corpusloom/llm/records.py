@@ -31,6 +31,9 @@ from corpusloom.llm.common import prefix_sums, scratch_path, texts_of
 from corpusloom.llm.encoding import END_ID, encoder
 
 FILE_RECORDS = 8192
+# Less than the encoder's own: a worker holds them, of two ages, beside an executor that reads and writes texts.
+KEPT_PIECES = 150_000
+STEP_BYTES = 1_000_000
 _HEAD, _ID = struct.Struct("<QI"), struct.Struct("<Bq")
 _SUM = struct.Struct("<I")
 WIDE, NO_ID = 1, 2
@@ -73,12 +76,13 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_
     """Encode every text, append ``end_id`` and write the frames below ``path``, ordered by doc_id over all files."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, end = encoder(tokenizer), np.array([end_id], "<u4").tobytes()
+        own, end = encoder(tokenizer, max_pieces=KEPT_PIECES, step_bytes=STEP_BYTES, two_ages=True), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             ids = iter(batch.column("doc_id").to_pylist())
             for some in own.each(batch.column("text")):
                 frames = [frame(i, np.frombuffer(e + end, "<u4")) for e, i in zip(some, ids)]
                 yield pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], names=["frame"])
+        pa.default_memory_pool().release_unused()  # the worker outlives the task
 
     texts = texts_of(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
     ordered = texts.repartitionByRange("doc_id").sortWithinPartitions("doc_id")

@@ -73,6 +73,19 @@ def test_memory_of_a_batch_is_bounded():
     assert int(out.stdout) < 180
 
 
+def test_frequent_pieces_outlive_the_bound():
+    rng = random.Random(13)
+    own = Encoder(TOKENIZER, max_pieces=500, step_bytes=2_000, two_ages=True)
+    encoded, joined = [], own._joined
+    own._joined = lambda words, by: (encoded.extend(words), joined(words, by))[1]
+    texts = ["every text " + " ".join(f"has{k}" for k in range(20)) + " " + " ".join(f"w{rng.randrange(10**9)}" for _ in range(30)) for _ in range(200)]
+    assert own.encode_all(texts) == [ids_of(t)[:-1].tobytes() for t in texts]
+    assert encoded.count(b" text") == encoded.count(b" has7") == 1
+    assert len(own.known) + len(own.older) < 2 * (500 + 2_000)
+    own.forget()
+    assert not own.known and not own.older
+
+
 def test_known_pieces_are_looked_up_once():
     class Counted(dict):
         times = 0
